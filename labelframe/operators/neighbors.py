@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.functions.hashing import draw_hex
+from labelframe.functions.hashing import draw_int, draw_unit
 
 MAX_PIVOTS = 16_384
 MAX_BLOCKS = 32_768
@@ -88,7 +88,10 @@ class _Index:
 
     def __init__(self, rows: DataFrame, id_type: str, keep: int, seed: int, block_rows: int):
         self.spark, self.id_type, self.keep = rows.sparkSession, id_type, keep
-        sizes = {r["grp"]: r["n"] for r in rows.groupBy("grp").agg(F.count("*").alias("n")).collect()}
+        counted = rows.groupBy("grp").agg(F.count("*").alias("n")).limit(MAX_PIVOTS + 1).collect()
+        if len(counted) > MAX_PIVOTS:
+            raise ValueError(f"more than {MAX_PIVOTS} groups; group by a class label")
+        sizes = {r["grp"]: r["n"] for r in counted}
         self.groups = {g: {} for g in sizes if g is not None}
         if not self.groups:
             return
@@ -106,9 +109,14 @@ class _Index:
     def _choose_pivots(self, rows: DataFrame, sizes: dict, seed: int) -> None:
         share = max(1, MAX_PIVOTS // len(self.groups))
         wanted = {g: min(share, 256, max(1, math.isqrt(sizes[g]))) for g in self.groups}
+        # about 16 times the wanted rows pass the first filter, whatever the size of the group
+        share_of = {g: min(1.0, 16 * wanted[g] / sizes[g]) for g in self.groups}
+        shares = self.spark.createDataFrame(list(share_of.items()), "grp string, share double")
         order = Window.partitionBy("grp").orderBy("h", "id")
         drawn = (
-            rows.withColumn("h", draw_hex(seed, "pivot", F.col("id")))
+            rows.join(F.broadcast(shares), "grp")
+            .where(draw_unit(seed, "pivot", F.col("id")) < F.col("share"))
+            .withColumn("h", draw_int(seed, "pivot", F.col("id")))
             .withColumn("n", F.row_number().over(order))
             .where(F.col("n") <= max(wanted.values()))
             .select("grp", "n", "vec")

@@ -19,11 +19,10 @@ def allocate(counts: Mapping, fraction: float) -> dict:
     The whole test set gets ``ceil(fraction * total)`` rows; equal fractional parts
     go to the smaller label.
     """
-    quota = {c: round(fraction * n, 9) for c, n in counts.items()}
-    given = {c: math.floor(q) for c, q in quota.items()}
+    given = {c: math.floor(round(fraction * n, 9)) for c, n in counts.items()}
+    part = {c: round(fraction * n - given[c], 9) for c, n in counts.items()}
     rest = math.ceil(round(fraction * sum(counts.values()), 9)) - sum(given.values())
-    order = sorted(counts, key=lambda c: (-(quota[c] - given[c]), c))
-    for c in [c for c in order if given[c] < counts[c]][:rest]:
+    for c in sorted(counts, key=lambda c: (-part[c], c))[:rest]:
         given[c] += 1
     return given
 
