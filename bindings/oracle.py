@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from bindings.queries import BASELINES, DIMENSIONS, ITEM_RULES, K_VALUES, MEASURES, PART_RULES, SEED
 
-D = "DOUBLE"
 
-
-def r6(expr: str, name: str) -> str:
-    return f"round({expr}, 6) + 0.0::DOUBLE AS {name}"
+def r6(expr: str, name: str, digits: int = 6) -> str:
+    return f"round({expr}, {digits}) + 0.0::DOUBLE AS {name}"
 
 
 def digest(purpose: str, *keys: str, seed: int = SEED) -> str:
@@ -115,6 +113,14 @@ def correlations(table: str, columns) -> str:
 
 WIDE = "(SELECT vec_id, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS {c}" for i, c in enumerate(DIMENSIONS)) + " FROM embeddings)"
 
+LONG_CORRELATIONS = f"""WITH t AS (
+  SELECT vec_id, d.i, embedding[d.i + 1]::DOUBLE AS x FROM embeddings CROSS JOIN (SELECT range AS i FROM range(64)) d),
+p AS (SELECT 'e' || a.i AS a, 'e' || b.i AS b, corr(a.x, b.x) AS r
+      FROM t a JOIN t b ON a.vec_id = b.vec_id AND a.i > b.i GROUP BY 1, 2)
+SELECT a AS feature_a, b AS feature_b, {r6('r', 'r')} FROM p
+UNION ALL SELECT b, a, round(r, 6) + 0.0::DOUBLE FROM p
+UNION ALL SELECT DISTINCT 'e' || i, 'e' || i, 1.0::DOUBLE FROM t"""
+
 
 def strong_pairs() -> str:
     columns = [*MEASURES, "net_price", "gross_price"]
@@ -144,11 +150,11 @@ VIOLIN = f"""WITH m AS (
          quantile_cont(value, 0.75) AS q75 FROM events GROUP BY 1),
 g AS (SELECT *, lo - 2 * h AS s, (hi - lo + 4 * h) / 99 AS step FROM m),
 v AS (SELECT event_type AS class, value, count(*) AS k FROM events GROUP BY 1, 2),
-p AS (SELECT g.*, CAST(range AS INTEGER) AS point, s + range * step AS at FROM g CROSS JOIN range(100))
-SELECT p.class, 'value' AS "column", point, {r6('at', 'x')},
-  {r6('sum(k * exp(-0.5 * ((at - value) / h) * ((at - value) / h))) * 0.3989422804014327::DOUBLE / (n * h)', 'density')},
+p AS (SELECT g.*, CAST(range AS INTEGER) AS point, s + range * step AS spot FROM g CROSS JOIN range(100))
+SELECT p.class, 'value' AS "column", point, {r6('spot', 'x')},
+  {r6('sum(k * exp(-0.5 * ((spot - value) / h) * ((spot - value) / h))) * 0.3989422804014327::DOUBLE / (n * h)', 'density')},
   {r6('q25', 'q25')}, {r6('q50', 'q50')}, {r6('q75', 'q75')}
-FROM p JOIN v ON p.class = v.class GROUP BY p.class, point, at, n, h, q25, q50, q75"""
+FROM p JOIN v ON p.class = v.class GROUP BY p.class, point, spot, n, h, q25, q50, q75"""
 
 
 def variance_shares() -> str:
@@ -261,7 +267,9 @@ def oracle_sql() -> dict[str, str]:
         "profile_distinct_counts": each(
             ["p_brand", "p_type", "p_size"], "SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM part"
         ),
-        "profile_ranges": each(MEASURES, 'SELECT \'{c}\' AS "column", min({c}) AS "min", max({c}) AS "max" FROM lineitem'),
+        "profile_ranges": each(
+            MEASURES, f"""SELECT '{{c}}' AS "column", {r6('min({c})', '"min"')}, {r6('max({c})', '"max"')} FROM lineitem"""
+        ),
         "profile_negatives": each(["c_acctbal", "c_nationkey"], negatives),
         "profile_count_equal": "SELECT count(*) AS n FROM part WHERE p_size = 50",
         "profile_class_distribution": f"""SELECT quality AS class, count(*) AS "count",
@@ -300,12 +308,12 @@ def oracle_sql() -> dict[str, str]:
         "feature_circular": f"""SELECT o_orderkey,
               {r6('sin(radians(dayofyear(o_orderdate) * 360.0::DOUBLE / 366.0::DOUBLE))', 'day_sin')},
               {r6('cos(radians(dayofyear(o_orderdate) * 360.0::DOUBLE / 366.0::DOUBLE))', 'day_cos')} FROM orders""",
-        "feature_formulas": f"""SELECT l_orderkey, l_quantity, {r6('l_discount', 'l_discount')}, {r6('l_tax', 'l_tax')},
-              {r6('sqrt(l_quantity * l_quantity + l_tax * l_tax)', 'combined')},
-              {r6('l_extendedprice - l_quantity', 'net')},
-              {r6('(l_quantity + l_discount + l_tax) / 3', 'mean_rate')},
-              {r6('l_quantity * l_discount', 'interaction')},
-              {r6('l_extendedprice / (l_quantity + 1)', 'rate_ratio')} FROM lineitem""",
+        "feature_formulas": f"""SELECT l_orderkey, l_quantity, {r6('l_discount', 'l_discount', 9)}, {r6('l_tax', 'l_tax', 9)},
+              {r6('sqrt(l_quantity * l_quantity + l_tax * l_tax)', 'combined', 9)},
+              {r6('l_extendedprice - l_quantity', 'net', 9)},
+              {r6('(l_quantity + l_discount + l_tax) / 3', 'mean_rate', 9)},
+              {r6('l_quantity * l_discount', 'interaction', 9)},
+              {r6('l_extendedprice / (l_quantity + 1)', 'rate_ratio', 9)} FROM lineitem""",
         "encode_fit_one_hot": f"""WITH {PART_SPLIT}
             SELECT CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS ordinal, p_brand AS category
             FROM (SELECT DISTINCT p_brand FROM parted WHERE split = 'train')""",
@@ -337,7 +345,7 @@ def oracle_sql() -> dict[str, str]:
         "explore_histogram_skewed": histogram("events", ["value"]),
         "explore_skewness": skewness(),
         "explore_correlations": correlations("lineitem", MEASURES),
-        "explore_correlations_wide": correlations(WIDE, DIMENSIONS),
+        "explore_correlations_wide": LONG_CORRELATIONS,
         "explore_strong_pairs": strong_pairs(),
         "explore_box_statistics": boxes("events", ["value"], "event_type"),
         "explore_box_statistics_items": boxes("lineitem", MEASURES, "l_returnflag"),

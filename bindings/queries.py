@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from labelframe.functions import formulas
 from labelframe.functions.checkpoints import shared_folder
+from labelframe.functions.small import local_table
 from labelframe.operators import clean, encode, evaluate, expect, explore, extra_trees, neighbors, profile
 from labelframe.operators import resample, split, train
 from labelframe.sources import tables
@@ -108,7 +109,7 @@ def profile_distinct_counts(spark, d):
 
 
 def profile_ranges(spark, d):
-    return profile.value_ranges(table(spark, d, "lineitem"), MEASURES).drop("ordinal")
+    return rounded(profile.value_ranges(table(spark, d, "lineitem"), MEASURES).drop("ordinal"), "min", "max")
 
 
 def profile_negatives(spark, d):
@@ -223,7 +224,7 @@ def item_formulas(items: DataFrame) -> DataFrame:
 
 def feature_formulas(spark, d):
     out = item_formulas(table(spark, d, "lineitem"))
-    return rounded(out, "l_discount", "l_tax", "combined", "net", "mean_rate", "interaction", "rate_ratio")
+    return rounded(out, "l_discount", "l_tax", "combined", "net", "mean_rate", "interaction", "rate_ratio", digits=9)
 
 
 def parts_split(spark, d):
@@ -456,13 +457,9 @@ def knn_predictions(spark, d):
     """Predictions of four neighbour counts, from one neighbour search."""
     learn, check = vector_split(spark, d)
     found = neighbors.nearest(check, learn, "vec_id", "embedding", k=max(K_VALUES))
+    votes = neighbors.vote_each(found, learn, "vec_id", "label", K_VALUES)
     truth = check.select(F.col("vec_id").alias("id"), "label")
-    models = [
-        truth.join(neighbors.vote(found.where(F.col("rank") <= k), learn, "vec_id", "label"), "id", "left")
-        .select(F.lit(f"knn_{k}").alias("model"), "id", "label", "prediction")
-        for k in K_VALUES
-    ]
-    return reduce(DataFrame.unionByName, models)
+    return votes.join(truth, "id").select(F.format_string("knn_%d", "k").alias("model"), "id", "label", "prediction")
 
 
 def knn_classify(spark, d):
@@ -511,7 +508,7 @@ def evaluate_ranking(spark, d):
 
 
 def evaluate_baselines(spark, d):
-    stored = spark.createDataFrame(BASELINES, "model string, macro_f1 double")
+    stored = local_table(spark, BASELINES, "model string, macro_f1 double")
     out = evaluate.against_baselines(knn_metrics(spark, d), stored)
     return rounded(out, "macro_f1", "baseline", "delta")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelframe.functions.reshape import aggregate_columns, present
-from labelframe.functions.small import settle
+from labelframe.functions.small import local_table, settle
 from labelframe.operators.profile import status_text
 
 Rules = Mapping[str, tuple[float, float]]
@@ -16,7 +16,7 @@ Rules = Mapping[str, tuple[float, float]]
 
 def class_map(spark: SparkSession, names: Mapping[int, str]) -> DataFrame:
     """The two-column table ``(code, name)`` of a code to name mapping."""
-    return spark.createDataFrame(sorted(names.items()), "code long, name string")
+    return local_table(spark, sorted(names.items()), "code long, name string")
 
 
 def invert_class_map(mapping: DataFrame) -> DataFrame:

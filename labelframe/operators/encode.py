@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from labelframe.functions.reshape import aggregate_columns, is_missing, present
 
-
 MAX_CATEGORIES = 10_000
 
 

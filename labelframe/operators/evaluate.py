@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelframe.functions.checkpoints import materialize
 from labelframe.functions.small import settle
 
 MAX_CLASSES = 10_000
@@ -36,7 +37,7 @@ def confusion_matrix(
 
     Without ``classes`` the list holds every label and prediction that occurs.
     """
-    counts = confusion_counts(predictions, label, prediction, by)
+    counts = materialize(confusion_counts(predictions, label, prediction, by))
     if classes is None:
         both = F.explode(F.array(F.col("label"), F.col("prediction")))
         seen = counts.select(both.alias("c")).where("c IS NOT NULL").distinct().orderBy("c")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelframe.functions.reshape import is_missing
+from labelframe.functions.small import local_table
 from labelframe.operators.profile import compare_distributions
 
 SCHEMA = "check string, passed boolean, observed string, expected string"
@@ -19,7 +20,7 @@ class ExpectationError(AssertionError):
 
 
 def _known(spark: SparkSession, check: str, passed: bool, observed, expected) -> DataFrame:
-    return spark.createDataFrame([(check, bool(passed), str(observed), str(expected))], SCHEMA)
+    return local_table(spark, [(check, bool(passed), str(observed), str(expected))], SCHEMA)
 
 
 def has_columns(df: DataFrame, columns: Sequence[str], check: str = "required columns") -> DataFrame:
@@ -77,7 +78,7 @@ def class_targets_met(
     """One row per class: targets reached, all other classes unchanged."""
     spark = before.sparkSession
     kind = before.schema[label].dataType.simpleString()
-    goal = spark.createDataFrame([(c, int(n)) for c, n in targets.items()], f"class {kind}, target long")
+    goal = local_table(spark, [(c, int(n)) for c, n in targets.items()], f"class {kind}, target long")
     compared = compare_distributions(before, after, label).join(F.broadcast(goal), "class", "left")
     wanted = F.coalesce(F.col("target"), F.col("n_before"))
     return compared.select(

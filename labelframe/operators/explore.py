@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from labelframe.functions.small import settle
 from labelframe.operators.profile import with_share
 from labelframe.operators.quantiles import quantiles
 
-PAIRS_PER_PASS = 150
+BUILT_IN_PAIRS = 66
+SUMS = ["n", "x", "y", "xx", "yy", "xy"]
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
@@ -91,31 +94,18 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r of every ordered pair of columns, in long form.
 
     Each unordered pair is computed once, on the rows where both are present; the
-    mirror image and the diagonal are added to the small result.  A wide table is
-    read once for every ``PAIRS_PER_PASS`` pairs so that a plan stays compilable.
+    mirror image and the diagonal are added to the small result.
     """
     columns = list(columns)
     pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    parts = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start : start + PAIRS_PER_PASS]
-        exprs = []
-        for i, j in chunk:
-            a, b = present(df, columns[i]).cast("double"), present(df, columns[j]).cast("double")
-            exprs.append(F.corr(a, b).alias(f"{i}_{j}"))
-        row = df.agg(*exprs)
-        lower = F.array(
-            *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"{i}_{j}").alias("r")) for i, j in chunk]
-        )
-        parts.append(row.select(F.inline(lower)))
     spread = aggregate_columns(df, columns, {"s": lambda c: F.stddev_pop(present(df, c))})
-    diagonal = spread.select(
+    out = spread.select(
         F.col("ordinal").alias("i"), F.col("ordinal").alias("j"), F.when(F.col("s") > 0, 1.0).alias("r")
     )
-    out = diagonal
-    for part in parts:
+    if pairs:
+        lower = _pairs_built_in(df, columns, pairs) if len(pairs) <= BUILT_IN_PAIRS else _pairs_by_product(df, columns)
         both = F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
-        out = out.unionByName(part.select(F.inline(both)))
+        out = out.unionByName(lower.select(F.inline(both)))
     names = F.array(*[F.lit(c) for c in columns])
     return out.select(
         F.col("i").alias("ordinal_a"),
@@ -126,6 +116,47 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _pairs_built_in(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """``(i, j, r)`` from one aggregation with a ``corr`` per pair."""
+
+    def value(i: int) -> Column:
+        return present(df, columns[i]).cast("double")
+
+    row = df.agg(*[F.corr(value(i), value(j)).alias(f"{i}_{j}") for i, j in pairs])
+    cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"{i}_{j}").alias("r")) for i, j in pairs]
+    return row.select(F.inline(F.array(*cells)))
+
+
+def _pairs_by_product(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, j, r)`` of a wide table: thousands of aggregates would not compile.
+
+    Each task multiplies its batches into sums over pairs, about the column means so
+    that nothing cancels; Spark adds the sums of the tasks up.
+    """
+    means = df.agg(*[F.avg(present(df, c)).alias(str(i)) for i, c in enumerate(columns)]).first()
+    centre = np.array([0.0 if m is None else m for m in means], dtype=float)
+    width = len(columns)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, width, width))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - centre
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            squares = x * x
+            total += [there.T @ there, x.T @ there, there.T @ x, squares.T @ there, there.T @ squares, x.T @ x]
+        i, j = np.tril_indices(width, -1)
+        yield pd.DataFrame({"i": i, "j": j, **{n: total[k, i, j] for k, n in enumerate(SUMS)}})
+
+    schema = "i int, j int, " + ", ".join(f"{n} double" for n in SUMS)
+    values = df.select(*[present(df, c).cast("double").alias(c) for c in columns])
+    added = values.mapInPandas(sums, schema).groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in SUMS])
+    n, x, y, xx, yy, xy = [F.col(c) for c in SUMS]
+    below = (xx - x * x / n) * (yy - y * y / n)
+    r = (xy - x * y / n) / F.sqrt(below)
+    return added.where(n > 0).select("i", "j", F.when(below > 0, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r"))
+
+
 def strong_pairs(corr: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Pairs of the strict lower triangle with |r| above the threshold, strongest first."""
     strength = F.abs("r")

@@ -16,10 +16,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.hashing import draw_hex, draw_unit
+from labelframe.functions.small import local_table
 from labelframe.operators.neighbors import vector
 
 CELLS_PER_PASS = 2_000_000
@@ -129,7 +131,7 @@ class ExtraTrees:
             for t, tree in enumerate(self.trees)
             for i in range(len(tree.feature))
         ]
-        return spark.createDataFrame(rows, MODEL_SCHEMA)
+        return local_table(spark, rows, MODEL_SCHEMA)
 
     @classmethod
     def from_table(cls, classes: list, table: DataFrame) -> ExtraTrees:
@@ -158,15 +160,26 @@ def fit_extra_trees(
     if not counts or len(counted) > max_classes:
         raise ValueError(f"{label} needs 1 to {max_classes} classes")
     classes = sorted(counts)
-    rows = df.select(F.col(label).alias("y"), vector(features).alias("vec"))
+    # read once per pass; partitions lost with an executor are computed again
+    rows = df.select(F.col(label).alias("y"), vector(features).alias("vec")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        trees = _grow(rows, counts, classes, n_trees, max_depth, max_features, min_samples_split, seed)
+    finally:
+        rows.unpersist()
+    return ExtraTrees(classes, trees)
+
+
+def _grow(
+    rows: DataFrame, counts: dict, classes: list, n_trees: int, max_depth: int, max_features: int | None,
+    min_samples_split: int, seed: int,
+) -> list[Tree]:
     width = rows.select(F.size("vec")).first()[0]
     grower = _Grower(rows, classes, width, max_features or max(1, int(width**0.5)), seed)
     trees = [Tree() for _ in range(n_trees)]
     start = [counts[c] for c in classes]
-    queue = []
-    for t, tree in enumerate(trees):
-        queue.append(Node(t, tree.add(start), 1, 0))
-    queue = [n for n in queue if _can_split(start, 0, max_depth, min_samples_split)]
+    queue = [Node(t, tree.add(start), 1, 0) for t, tree in enumerate(trees)]
+    if not _can_split(start, 0, max_depth, min_samples_split):
+        queue = []
     while queue:
         now, queue = queue[: grower.nodes_per_pass], queue[grower.nodes_per_pass :]
         for node, feature, threshold, left, right in grower.split(now, trees):
@@ -177,7 +190,7 @@ def fit_extra_trees(
             for side, part in enumerate((left, right)):
                 if _can_split(part, node.depth + 1, max_depth, min_samples_split):
                     queue.append(Node(node.tree, child + side, 2 * node.path + side, node.depth + 1))
-    return ExtraTrees(classes, trees)
+    return trees
 
 
 def _can_split(counts: Sequence[float], depth: int, max_depth: int, min_samples: int) -> bool:
@@ -232,8 +245,7 @@ class _Grower:
             node, feature = np.nonzero(lo <= hi)
             yield pd.DataFrame({"node": node, "feature": feature, "lo": lo[node, feature], "hi": hi[node, feature]})
 
-        places = self.spark.createDataFrame(
-            [(i, n.tree, n.path) for i, n in enumerate(nodes)], "node int, tree int, path long"
+        places = local_table(self.spark, [(i, n.tree, n.path) for i, n in enumerate(nodes)], "node int, tree int, path long"
         )
         return (
             self.rows.select("vec")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_int, draw_unit
+from labelframe.functions.small import local_table
 
 MAX_PIVOTS = 16_384
 MAX_BLOCKS = 32_768
@@ -64,15 +65,17 @@ def nearest(
     left, right = prepared(queries), prepared(candidates)
     id_type = right.schema["id"].dataType.simpleString()
     index = _Index(right, id_type, keep, seed, block_rows)
+    schema = f"id {id_type}, rank int, neighbour {id_type}, distance2 double"
     if not index.groups:
-        empty = queries.sparkSession.createDataFrame(
-            [], f"id {id_type}, rank int, neighbour {id_type}, distance2 double"
-        )
-        return empty
-    first = materialize(index.search(left, query_rows))
-    near = first.select("id", F.inline("found"))
-    further = index.search(first, query_rows).select("id", F.inline("found"))
-    best = near.unionByName(further)
+        return local_table(queries.sparkSession, [], schema)
+    home = index.search(left, query_rows)
+    if home is None:
+        return local_table(queries.sparkSession, [], schema)
+    first = materialize(home)
+    best = first.select("id", F.inline("found"))
+    further = index.search(first, query_rows)
+    if further is not None:
+        best = best.unionByName(further.select("id", F.inline("found")))
     if exclude_self:
         best = best.where(F.col("id") != F.col("neighbour"))
     order = Window.partitionBy("id").orderBy("distance2", "neighbour")
@@ -95,7 +98,7 @@ class _Index:
         self.groups = {g: {} for g in sizes if g is not None}
         if not self.groups:
             return
-        self._choose_pivots(rows, sizes, seed)
+        self._choose_pivots(rows, sizes, seed, block_rows)
         block_rows = max(block_rows, math.ceil(sum(sizes.values()) / MAX_BLOCKS))
         placed = materialize(self._place(self._distinct(rows)))
         self.blocks = self._split(placed, block_rows)
@@ -106,12 +109,12 @@ class _Index:
         few = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= self.keep)
         return few.groupBy("grp", "vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
-    def _choose_pivots(self, rows: DataFrame, sizes: dict, seed: int) -> None:
-        share = max(1, MAX_PIVOTS // len(self.groups))
-        wanted = {g: min(share, 256, max(1, math.isqrt(sizes[g]))) for g in self.groups}
+    def _choose_pivots(self, rows: DataFrame, sizes: dict, seed: int, block_rows: int) -> None:
+        share = min(256, max(1, MAX_PIVOTS // len(self.groups)))
+        wanted = {g: min(share, math.ceil(4 * sizes[g] / block_rows)) for g in self.groups}
         # about 16 times the wanted rows pass the first filter, whatever the size of the group
         share_of = {g: min(1.0, 16 * wanted[g] / sizes[g]) for g in self.groups}
-        shares = self.spark.createDataFrame(list(share_of.items()), "grp string, share double")
+        shares = local_table(self.spark, list(share_of.items()), "grp string, share double")
         order = Window.partitionBy("grp").orderBy("h", "id")
         drawn = (
             rows.join(F.broadcast(shares), "grp")
@@ -149,7 +152,7 @@ class _Index:
             for r in cells.collect()
             for rings in [math.ceil(r["n"] / block_rows)]
         ]
-        table = self.spark.createDataFrame(widths, "grp string, cell int, rings int, width double")
+        table = local_table(self.spark, widths, "grp string, cell int, rings int, width double")
         ring = F.least(F.floor(F.col("dist") / F.col("width")).cast("int"), F.col("rings") - 1)
         ringed = placed.join(F.broadcast(table), ["grp", "cell"]).withColumn("ring", ring).drop("rings", "width")
         stats = ringed.groupBy("grp", "cell", "ring").agg(
@@ -165,7 +168,7 @@ class _Index:
             start += parts
         for info in self.groups.values():
             info["rings"] = np.array(info["rings"], dtype=float).reshape(-1, 6)
-        table = self.spark.createDataFrame(numbered, "grp string, cell int, ring int, start int, parts int")
+        table = local_table(self.spark, numbered, "grp string, cell int, ring int, start int, parts int")
         part = F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int")
         return (
             ringed.join(F.broadcast(table), ["grp", "cell", "ring"])
@@ -173,10 +176,11 @@ class _Index:
             .select("block", "vec", "ids")
         )
 
-    def search(self, queries: DataFrame, query_rows: int) -> DataFrame:
+    def search(self, queries: DataFrame, query_rows: int) -> DataFrame | None:
         """Search the home block of raw queries, or the blocks still open after that.
 
-        Output: ``(id, grp, vec, home, found)``, one row per query and block.
+        Output: ``(id, grp, vec, home, found)``, one row per query and block; None when
+        no block has to be searched.
         """
         second = "found" in queries.columns
         groups, keep = self.groups, self.keep
@@ -203,9 +207,10 @@ class _Index:
 
         # how often each block is visited: at most one row per block
         counts = queries.mapInPandas(tally, "home int, n long").groupBy("home").agg(F.sum("n").alias("n")).collect()
-        chunks = self.spark.createDataFrame(
-            [(r["home"], math.ceil(r["n"] / query_rows)) for r in counts], "block int, chunks int"
-        )
+        if not counts:
+            return None
+        sizes = [(r["home"], math.ceil(r["n"] / query_rows)) for r in counts]
+        chunks = local_table(self.spark, sizes, "block int, chunks int")
         # a block with many visitors is copied, and its visitors are spread over the copies
         asked = (
             queries.mapInPandas(visits, head)
@@ -319,17 +324,25 @@ def _top(asked: np.ndarray, held: np.ndarray, ids: list, keep: int) -> list[list
     return lists
 
 
-def vote(neighbours: DataFrame, labels: DataFrame, row_id: str, label: str) -> DataFrame:
+def vote(
+    neighbours: DataFrame, labels: DataFrame, row_id: str, label: str, by: Sequence[str] = ()
+) -> DataFrame:
     """Most frequent label among the neighbours; the smallest label wins ties."""
     named = neighbours.join(
         labels.select(F.col(row_id).alias("neighbour"), F.col(label).alias("prediction")), "neighbour"
     )
-    counted = named.groupBy("id", "prediction").agg(F.count("*").alias("votes"))
-    return counted.groupBy("id").agg(
+    counted = named.groupBy(*by, "id", "prediction").agg(F.count("*").alias("votes"))
+    return counted.groupBy(*by, "id").agg(
         F.min_by("prediction", F.struct(-F.col("votes"), F.col("prediction"))).alias("prediction")
     )
 
 
+def vote_each(neighbours: DataFrame, labels: DataFrame, row_id: str, label: str, ks: Sequence[int]) -> DataFrame:
+    """Votes of the first k neighbours for several k, from one neighbour table."""
+    some = F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("rank"))
+    return vote(neighbours.withColumn("k", F.explode(some)), labels, row_id, label, ["k"])
+
+
 def classify(
     train: DataFrame, test: DataFrame, row_id: str, label: str, features: Sequence[str] | str, k: int = 5, **options
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelframe.functions.reshape import aggregate_columns, is_missing, numeric_columns, present
+from labelframe.functions.small import local_table
 from labelframe.operators.quantiles import quantiles
 
 
@@ -192,5 +193,5 @@ def minority_flags(df: DataFrame, label: str, threshold: int) -> DataFrame:
 def name_classes(counts: DataFrame, names: Mapping[int, str], column: str = "class") -> DataFrame:
     """Add the class name from a small map of code to name."""
     spark = counts.sparkSession
-    pairs = spark.createDataFrame(list(names.items()), "code long, class_name string")
+    pairs = local_table(spark, list(names.items()), "code long, class_name string")
     return counts.join(F.broadcast(pairs), counts[column] == pairs["code"], "left").drop("code")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.reshape import aggregate_columns, present
+from labelframe.functions.small import local_table
 
 BROADCAST_TARGETS = 100_000
 
@@ -84,7 +85,7 @@ def refine(
             open_targets.append((*key, rank, 0, row.lo, row.hi, row.n))
 
     def as_frame(targets):
-        frame = spark.createDataFrame(targets, schema)
+        frame = local_table(spark, targets, schema)
         return F.broadcast(frame) if len(targets) <= BROADCAST_TARGETS else frame
 
     def inside(targets):
@@ -127,7 +128,7 @@ def refine(
     few = [t for t in done if t[-3] != t[-2]]
     parts = []
     if flat:
-        parts.append(spark.createDataFrame(flat, schema).select(*keys, "rnk", F.col("lo").alias("v")))
+        parts.append(local_table(spark, flat, schema).select(*keys, "rnk", F.col("lo").alias("v")))
     if few:
         at = (F.col("rnk") - F.col("below") + 1).cast("int")
         parts.append(
@@ -137,7 +138,8 @@ def refine(
             .select(*keys, "rnk", F.element_at("vs", at).alias("v"))
         )
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    n_rows = spark.createDataFrame(
+    n_rows = local_table(
+        spark,
         [(*[r[k] for k in keys], r.n) for r in totals],
         ", ".join([f"{k} {t}" for k, t in zip(keys, key_types)] + ["n long"]),
     )

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_hex, draw_int, draw_unit
-from labelframe.functions.small import settle
+from labelframe.functions.small import local_table, settle
 from labelframe.operators.neighbors import nearest
 
 
 def oversampling_plan(df: DataFrame, label: str, targets: Mapping) -> DataFrame:
     """Rows ``(class, n, target, to_add)``; classes without a target stay as they are."""
     kind = df.schema[label].dataType.simpleString()
-    goal = df.sparkSession.createDataFrame([(c, int(t)) for c, t in targets.items()], f"class {kind}, goal long")
+    goal = local_table(df.sparkSession, [(c, int(t)) for c, t in targets.items()], f"class {kind}, goal long")
     counts = df.groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
     target = F.coalesce(F.col("goal"), F.col("n"))
     return counts.join(F.broadcast(goal), "class", "left").select(

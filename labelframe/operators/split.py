@@ -8,9 +8,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_hex
+from labelframe.functions.small import local_table
 
 PURPOSE = "split"
+DIGITS = 3
 
 
 def allocate(counts: Mapping, fraction: float) -> dict:
@@ -27,59 +30,52 @@ def allocate(counts: Mapping, fraction: float) -> dict:
     return given
 
 
-def cut_points(
-    df: DataFrame, label: str, row_id: str, wanted: Mapping, seed: int, purpose: str = PURPOSE, small: int = 100_000
-) -> dict:
+def bucket_counts(hashed: DataFrame, depth: int) -> DataFrame:
+    """Rows per class and leading hex digits of the digest: ``(label, b, n)``."""
+    return hashed.groupBy("label", F.substring("h", 1, depth).alias("b")).agg(F.count("*").alias("n"))
+
+
+def cut_points(hashed: DataFrame, buckets: DataFrame, wanted: Mapping, small: int = 100_000) -> dict:
     """Per class, the (digest, id) of the wanted-th row in digest order.
 
-    Rows are counted by class and by the first three hex digits of their digest; the
-    digits that hold the cut are then split by three more, until at most ``small``
-    rows are left to sort.  No pass sorts or shuffles the rows of a class.
+    ``buckets`` counts rows by class and the first three hex digits of their digest;
+    the digits that hold the cut are split by three more, until at most ``small`` rows
+    are left to sort.  No pass sorts or shuffles the rows of a class.
     """
-    hashed = df.select(
-        F.col(label).alias("label"), F.col(row_id).alias("id"), draw_hex(seed, purpose, F.col(row_id)).alias("h")
-    )
-    open_, ready, depth = {c: ("", n) for c, n in wanted.items() if n > 0}, {}, 0
+    open_, ready, depth = {c: n for c, n in wanted.items() if n > 0}, {}, DIGITS
     while open_:
-        mine = _under(hashed, {c: p for c, (p, _) in open_.items()})
-        depth += 3
-        buckets = mine.groupBy("label", F.substring("h", 1, depth).alias("b")).agg(F.count("*").alias("n"))
         before = Window.partitionBy("label").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        need = _lookup(df.sparkSession, {c: k for c, (_, k) in open_.items()}, df, label)
         hit = (
             buckets.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-            .join(need, "label")
+            .join(_lookup(hashed, open_, "k long"), "label")
             .where((F.col("start") < F.col("k")) & (F.col("k") <= F.col("start") + F.col("n")))
-        )
-        rows = hit.collect()
-        found = {r["label"]: (r["b"], r["k"] - r["start"]) for r in rows}
-        sizes = {r["label"]: r["n"] for r in rows}
-        for c, state in found.items():
-            if sizes[c] <= small or depth >= 30:
-                ready[c] = state
-        open_ = {c: s for c, s in found.items() if c not in ready}
+        ).collect()
+        found = {r["label"]: (r["b"], r["k"] - r["start"]) for r in hit}
+        ready.update({r["label"]: found[r["label"]] for r in hit if r["n"] <= small or depth >= 30})
+        rest = {c: s for c, s in found.items() if c not in ready}
+        open_ = {c: k for c, (_, k) in rest.items()}
+        depth += DIGITS
+        if rest:
+            buckets = bucket_counts(_under(hashed, {c: b for c, (b, _) in rest.items()}), depth)
     if not ready:
         return {}
-    last = _under(hashed, {c: p for c, (p, _) in ready.items()})
+    last = _under(hashed, {c: b for c, (b, _) in ready.items()})
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "id"))
-    need = _lookup(df.sparkSession, {c: k for c, (_, k) in ready.items()}, df, label)
+    need = _lookup(hashed, {c: k for c, (_, k) in ready.items()}, "k long")
     cut = last.withColumn("rank", rank).join(need, "label").where(F.col("rank") == F.col("k"))
     return {r["label"]: (r["h"], r["id"]) for r in cut.select("label", "h", "id").collect()}
 
 
 def _under(hashed: DataFrame, prefixes: Mapping) -> DataFrame:
-    """Rows whose digest starts with the prefix chosen for their class."""
-    if all(p == "" for p in prefixes.values()):
-        return hashed
-    spark = hashed.sparkSession
-    types = dict(hashed.dtypes)
-    table = spark.createDataFrame(list(prefixes.items()), f"label {types['label']}, prefix string")
-    return hashed.join(F.broadcast(table), "label").where(F.col("h").startswith(F.col("prefix"))).drop("prefix")
+    """Rows whose digest starts with the digits chosen for their class."""
+    table = _lookup(hashed, prefixes, "prefix string")
+    return hashed.join(table, "label").where(F.col("h").startswith(F.col("prefix"))).drop("prefix")
 
 
-def _lookup(spark, values: Mapping, df: DataFrame, label: str) -> DataFrame:
-    kind = df.schema[label].dataType.simpleString()
-    return F.broadcast(spark.createDataFrame([(c, int(k)) for c, k in values.items()], f"label {kind}, k long"))
+def _lookup(hashed: DataFrame, values: Mapping, column: str) -> DataFrame:
+    """A value per class; there are at most ``max_classes`` of them."""
+    kind = hashed.schema["label"].dataType.simpleString()
+    return F.broadcast(local_table(hashed.sparkSession, list(values.items()), f"label {kind}, {column}"))
 
 
 def stratified_split(
@@ -90,6 +86,7 @@ def stratified_split(
     seed: int = 42,
     max_classes: int = 100_000,
     output: str = "split",
+    small: int = 100_000,
 ) -> DataFrame:
     """Add a column 'train' / 'test' with exact class proportions.
 
@@ -97,18 +94,21 @@ def stratified_split(
     counts and one cut per class reach the driver; rows are then marked by a
     map-only comparison, so the wide table is never shuffled.
     """
-    counted = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n")).limit(max_classes + 1).collect()
+    hashed = df.select(
+        F.col(label).alias("label"), F.col(row_id).alias("id"), draw_hex(seed, PURPOSE, F.col(row_id)).alias("h")
+    )
+    buckets = materialize(bucket_counts(hashed, DIGITS))
+    counted = buckets.groupBy("label").agg(F.sum("n").alias("n")).limit(max_classes + 1).collect()
     if len(counted) > max_classes:
         raise ValueError(f"{label} has more than {max_classes} classes; it is not a class label")
     counts = {r["label"]: r["n"] for r in counted if r["label"] is not None}
     if len(counts) < len(counted):
         raise ValueError(f"{label} has missing values; every row needs a class")
     wanted = allocate(counts, test_fraction)
-    cuts = cut_points(df, label, row_id, wanted, seed)
+    cuts = cut_points(hashed, buckets, wanted, small)
     kinds = [df.schema[label].dataType.simpleString(), df.schema[row_id].dataType.simpleString()]
-    table = df.sparkSession.createDataFrame(
-        [(c, h, i) for c, (h, i) in cuts.items()], f"_label {kinds[0]}, _cut string, _cut_id {kinds[1]}"
-    )
+    rows = [(c, h, i) for c, (h, i) in cuts.items()]
+    table = local_table(df.sparkSession, rows, f"_label {kinds[0]}, _cut string, _cut_id {kinds[1]}")
     digest = draw_hex(seed, PURPOSE, F.col(row_id))
     is_test = (digest < F.col("_cut")) | ((digest == F.col("_cut")) & (F.col(row_id) <= F.col("_cut_id")))
     return (

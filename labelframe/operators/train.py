@@ -17,11 +17,11 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from labelframe.functions.checkpoints import materialize
+from labelframe.functions.small import local_table
 from labelframe.operators import neighbors
 from labelframe.operators.evaluate import model_metrics
 from labelframe.operators.extra_trees import ExtraTrees, fit_extra_trees
@@ -96,15 +96,13 @@ class Trained:
         else:
             session = _session()
             PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
-        about = session.createDataFrame(
-            [(self.kind, _as_text(self.features), isinstance(self.features, str), _settings(self))],
-            "kind string, features array<string>, is_array boolean, settings map<string, string>",
-        )
-        about.write.mode("overwrite").parquet(f"{path}/about")
-        kinds = "long" if isinstance(self.classes[0], int) else None
-        table = [(i, c) for i, c in enumerate(self.classes)]
-        schema = f"ordinal int, class {kinds}" if kinds else ["ordinal", "class"]
-        session.createDataFrame(table, schema).write.mode("overwrite").parquet(f"{path}/classes")
+        about = (self.kind, _as_text(self.features), isinstance(self.features, str), _settings(self))
+        local_table(
+            session, [about], "kind string, features array<string>, is_array boolean, settings map<string, string>"
+        ).write.mode("overwrite").parquet(f"{path}/about")
+        kind = {int: "long", float: "double", bool: "boolean"}.get(type(self.classes[0]), "string")
+        table = local_table(session, list(enumerate(self.classes)), f"ordinal int, class {kind}")
+        table.write.mode("overwrite").parquet(f"{path}/classes")
 
     @classmethod
     def load(cls, path: str) -> Trained:
@@ -122,9 +120,7 @@ class Trained:
         return cls(about["kind"], model, classes, features)
 
 
-def _session():
-    from pyspark.sql import SparkSession
-
+def _session() -> SparkSession:
     return SparkSession.getActiveSession()
 
 
@@ -183,10 +179,8 @@ def forest_importances(
         {"numTrees": n_trees, "maxDepth": max_depth, "seed": seed, "featureSubsetStrategy": "sqrt"},
     )
     shares = fitted.model.featureImportances.toArray()
-    return df.sparkSession.createDataFrame(
-        [(i, f, float(v)) for i, (f, v) in enumerate(zip(features, shares))],
-        "ordinal int, feature string, importance double",
-    )
+    rows = [(i, f, float(v)) for i, (f, v) in enumerate(zip(features, shares))]
+    return local_table(df.sparkSession, rows, "ordinal int, feature string, importance double")
 
 
 def select_features(importances: DataFrame, threshold: float = 0.0005) -> DataFrame:
@@ -291,13 +285,7 @@ def search(
         scores = [s for trial, _, s in sorted(results) if trial == t]
         rows.append((t, {k: str(v) for k, v in params.items()}, sum(scores) / len(scores)))
     best = max(rows, key=lambda r: (r[2], -r[0]))
-    schema = T.StructType(
-        [
-            T.StructField("trial", T.IntegerType()),
-            T.StructField("params", T.MapType(T.StringType(), T.StringType())),
-            T.StructField("cv_macro_f1", T.DoubleType()),
-        ]
-    )
+    table = local_table(spark, rows, "trial int, params map<string, string>, cv_macro_f1 double")
     final = prepare(df) if prepare else df
     model = train(kind, final, label, features, trials[best[0]], row_id)
-    return model, trials[best[0]], best[2], spark.createDataFrame(rows, schema)
+    return model, trials[best[0]], best[2], table

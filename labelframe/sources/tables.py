@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from labelframe.functions.reshape import is_missing
+from labelframe.functions.small import local_table
 from labelframe.operators.expect import SCHEMA
 
 
@@ -32,7 +33,7 @@ def write_parquet(df: DataFrame, path: str) -> None:
 def save_columns(spark: SparkSession, columns: Sequence[str], path: str) -> None:
     """An ordered column list as a table ``(ordinal, name)``."""
     rows = list(enumerate(columns))
-    spark.createDataFrame(rows, "ordinal int, name string").coalesce(1).write.mode("overwrite").parquet(path)
+    local_table(spark, rows, "ordinal int, name string").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def load_columns(spark: SparkSession, path: str) -> list[str]:
@@ -80,4 +81,4 @@ def round_trip(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
             "same",
         ),
     ]
-    return spark.createDataFrame(rows, SCHEMA)
+    return local_table(spark, rows, SCHEMA)
