@@ -67,11 +67,12 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
 
 
 def _bin_of(value: Column, lo: float, w: float, bins: int) -> Column:
-    """Bin number, put right against the bin edges where rounding moved it."""
+    """Bin number, put right against the bin edges where rounding moved it; null stays null."""
     lo, w = F.lit(lo), F.lit(w)
     rough = F.least(F.greatest(F.floor((value - lo) / w), F.lit(0)), F.lit(bins - 1))
     return (
-        F.when(value < lo + rough * w, F.greatest(rough - 1, F.lit(0)))
+        F.when(value.isNull(), F.lit(None).cast("long"))
+        .when(value < lo + rough * w, F.greatest(rough - 1, F.lit(0)))
         .when((rough < bins - 1) & (value >= lo + (rough + 1) * w), rough + 1)
         .otherwise(rough)
     )
@@ -117,12 +118,17 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _pairs_built_in(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """``(i, j, r)`` from one aggregation with a ``corr`` per pair."""
+    """``(i, j, r)`` from one aggregation; a column without spread has no r."""
 
     def value(i: int) -> Column:
         return present(df, columns[i]).cast("double")
 
-    row = df.agg(*[F.corr(value(i), value(j)).alias(f"{i}_{j}") for i, j in pairs])
+    def r(i: int, j: int) -> Column:
+        a, b = value(i), value(j)
+        spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+        return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+
+    row = df.agg(*[r(i, j).alias(f"{i}_{j}") for i, j in pairs])
     cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"{i}_{j}").alias("r")) for i, j in pairs]
     return row.select(F.inline(F.array(*cells)))
 

@@ -225,10 +225,12 @@ class _Index:
         )
 
         def best(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
-            if len(ask) == 0 or len(have) == 0:
-                return ask.iloc[:0].drop(columns="chunk").assign(found=[])
-            lists = _top(_matrix(ask["vec"]), _matrix(have["vec"]), list(have["ids"]), keep)
-            return ask.drop(columns="chunk").assign(found=lists)
+            if len(ask) and len(have):
+                lists = _top(_matrix(ask["vec"]), _matrix(have["vec"]), list(have["ids"]), keep)
+            else:
+                # a hash part may be empty; its visitors go on to the other blocks
+                lists = [[] for _ in range(len(ask))]
+            return ask.drop(columns="chunk").assign(found=pd.Series(lists, index=ask.index, dtype=object))
 
         return (
             asked.groupBy("home", "chunk").cogroup(held.groupBy("block", "chunk")).applyInPandas(best, f"{head}, {found}")
