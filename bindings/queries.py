@@ -39,14 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Round for comparison; + 0.0 turns a negative zero into zero."""
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
+    shown = {c: f"round(`{c}`, {digits}) + 0.0D AS `{c}`" for c in columns}
+    return df.selectExpr(*[shown.get(c, f"`{c}`") for c in df.columns])
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embedding table with one double column per dimension."""
     df = table(spark, sf_dir, "embeddings")
-    each = [F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(DIMENSIONS)]
-    return df.select("vec_id", F.col("label").cast("long").alias("label"), *each)
+    each = [f"CAST(embedding[{i}] AS DOUBLE) AS {c}" for i, c in enumerate(DIMENSIONS)]
+    return df.selectExpr("vec_id", "CAST(label AS BIGINT) AS label", *each)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,20 +11,28 @@ from pyspark.sql import types as T
 FLOATING = (T.FloatType, T.DoubleType)
 
 
+def quoted(name: str) -> str:
+    """A column name inside a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal inside a SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """True for null and, in floating columns, for NaN."""
-    col = F.col(f"`{name}`")
     if isinstance(df.schema[name].dataType, FLOATING):
-        return col.isNull() | F.isnan(col)
-    return col.isNull()
+        return F.expr(f"{quoted(name)} IS NULL OR isnan({quoted(name)})")
+    return F.expr(f"{quoted(name)} IS NULL")
 
 
 def present(df: DataFrame, name: str) -> Column:
     """The column with NaN turned into null, so that aggregates skip it."""
-    col = F.col(f"`{name}`")
     if isinstance(df.schema[name].dataType, FLOATING):
-        return F.when(~F.isnan(col), col)
-    return col
+        return F.expr(f"CASE WHEN NOT isnan({quoted(name)}) THEN {quoted(name)} END")
+    return F.expr(quoted(name))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -48,14 +56,11 @@ def aggregate_columns(
         for measure, fn in measures.items()
     ]
     wide = df.groupBy(*by).agg(*exprs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("ordinal"),
-                F.lit(name).alias("column"),
-                *[F.col(f"{i}_{measure}").alias(measure) for measure in measures],
-            )
-            for i, name in enumerate(columns)
-        ]
-    )
-    return wide.select(*by, F.inline(rows))
+    # one expression text: a wide table would need thousands of calls to the JVM otherwise
+    rows = [
+        f"named_struct('ordinal', {i}, 'column', {text(name)}, "
+        + ", ".join(f"'{measure}', `{i}_{measure}`" for measure in measures)
+        + ")"
+        for i, name in enumerate(columns)
+    ]
+    return wide.select(*by, F.expr(f"inline(array({', '.join(rows)}))"))

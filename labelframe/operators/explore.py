@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelframe.functions.reshape import aggregate_columns, present
+from labelframe.functions.reshape import aggregate_columns, present, quoted
 from labelframe.functions.small import settle
 from labelframe.operators.profile import with_share
 from labelframe.operators.quantiles import quantiles
@@ -95,18 +95,14 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r of every ordered pair of columns, in long form.
 
     Each unordered pair is computed once, on the rows where both are present; the
-    mirror image and the diagonal are added to the small result.
+    mirror image is added to the small result.
     """
     columns = list(columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    spread = aggregate_columns(df, columns, {"s": lambda c: F.stddev_pop(present(df, c))})
-    out = spread.select(
-        F.col("ordinal").alias("i"), F.col("ordinal").alias("j"), F.when(F.col("s") > 0, 1.0).alias("r")
-    )
-    if pairs:
-        lower = _pairs_built_in(df, columns, pairs) if len(pairs) <= BUILT_IN_PAIRS else _pairs_by_product(df, columns)
-        both = F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
-        out = out.unionByName(lower.select(F.inline(both)))
+    few = len(columns) * (len(columns) - 1) // 2 <= BUILT_IN_PAIRS
+    lower = _pairs_built_in(df, columns) if few else _pairs_by_product(df, columns)
+    mirror = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r")
+    one, both = F.array(F.struct("i", "j", "r")), F.array(F.struct("i", "j", "r"), mirror)
+    out = lower.select(F.inline(F.when(F.col("i") == F.col("j"), one).otherwise(both)))
     names = F.array(*[F.lit(c) for c in columns])
     return out.select(
         F.col("i").alias("ordinal_a"),
@@ -117,29 +113,33 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _pairs_built_in(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """``(i, j, r)`` from one aggregation; a column without spread has no r."""
+def _pairs_built_in(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, j, r)``, j <= i, from one aggregation; a column without spread has no r."""
 
     def value(i: int) -> Column:
         return present(df, columns[i]).cast("double")
 
     def r(i: int, j: int) -> Column:
         a, b = value(i), value(j)
+        if i == j:
+            return F.when(F.stddev_pop(a) > 0, 1.0)
         spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
         return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
 
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
     row = df.agg(*[r(i, j).alias(f"{i}_{j}") for i, j in pairs])
     cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"{i}_{j}").alias("r")) for i, j in pairs]
     return row.select(F.inline(F.array(*cells)))
 
 
 def _pairs_by_product(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(i, j, r)`` of a wide table: thousands of aggregates would not compile.
+    """``(i, j, r)``, j <= i, of a wide table: thousands of aggregates would not compile.
 
     Each task multiplies its batches into sums over pairs, about the column means so
     that nothing cancels; Spark adds the sums of the tasks up.
     """
-    means = df.agg(*[F.avg(present(df, c)).alias(str(i)) for i, c in enumerate(columns)]).first()
+    values = df.select(*[present(df, c).cast("double").alias(c) for c in columns])
+    means = values.agg({c: "avg" for c in columns}).select(*[quoted(f"avg({c})") for c in columns]).first()
     centre = np.array([0.0 if m is None else m for m in means], dtype=float)
     width = len(columns)
 
@@ -151,16 +151,17 @@ def _pairs_by_product(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             x = np.nan_to_num(x)
             squares = x * x
             total += [there.T @ there, x.T @ there, there.T @ x, squares.T @ there, there.T @ squares, x.T @ x]
-        i, j = np.tril_indices(width, -1)
+        i, j = np.tril_indices(width)
         yield pd.DataFrame({"i": i, "j": j, **{n: total[k, i, j] for k, n in enumerate(SUMS)}})
 
     schema = "i int, j int, " + ", ".join(f"{n} double" for n in SUMS)
-    values = df.select(*[present(df, c).cast("double").alias(c) for c in columns])
     added = values.mapInPandas(sums, schema).groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in SUMS])
     n, x, y, xx, yy, xy = [F.col(c) for c in SUMS]
-    below = (xx - x * x / n) * (yy - y * y / n)
-    r = (xy - x * y / n) / F.sqrt(below)
-    return added.where(n > 0).select("i", "j", F.when(below > 0, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r"))
+    some = F.nullif(n, F.lit(0.0))
+    below = (xx - x * x / some) * (yy - y * y / some)
+    r = (xy - x * y / some) / F.nullif(F.sqrt(below), F.lit(0.0))
+    kept = F.greatest(F.least(F.when(F.col("i") == F.col("j"), 1.0).otherwise(r), F.lit(1.0)), F.lit(-1.0))
+    return added.select("i", "j", F.when((n > 0) & (below > 0), kept).alias("r"))
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.85) -> DataFrame:
@@ -175,7 +176,7 @@ def strong_pairs(corr: DataFrame, threshold: float = 0.85) -> DataFrame:
 
 def box_statistics(
     df: DataFrame, columns: Sequence[str], label: str, whisker: float = 1.5, approx: bool = False,
-    max_distinct: int = 1_000_000,
+    max_distinct: int = 200_000,
 ) -> DataFrame:
     """Per (feature, class): quartiles, whisker ends, outliers beyond 1.5 x IQR."""
     quarters = quantiles(df, columns, [0.25, 0.5, 0.75], by=[label], approx=approx, max_distinct=max_distinct)

@@ -225,11 +225,12 @@ class _Grower:
 
     def ranges(self, nodes: list[Node], arrays: dict, slots: dict) -> DataFrame:
         """Rows ``(node, tree, path, feature, lo, hi)`` over the rows of each open node."""
-        shared = self.spark.sparkContext.broadcast((arrays, slots))
+        names = np.array([(n.tree, n.path) for n in nodes], dtype=np.int64)
+        shared = self.spark.sparkContext.broadcast((arrays, slots, names))
         shape = (len(nodes), self.width)
 
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            arrays, slots = shared.value
+            arrays, slots, names = shared.value
             lo, hi = np.full(shape, np.inf), np.full(shape, -np.inf)
             for batch in batches:
                 x = _features(batch)
@@ -243,16 +244,19 @@ class _Grower:
                     lo[found] = np.minimum(lo[found], np.minimum.reduceat(x[order], starts, axis=0))
                     hi[found] = np.maximum(hi[found], np.maximum.reduceat(x[order], starts, axis=0))
             node, feature = np.nonzero(lo <= hi)
-            yield pd.DataFrame({"node": node, "feature": feature, "lo": lo[node, feature], "hi": hi[node, feature]})
+            yield pd.DataFrame(
+                {"node": node, "tree": names[node, 0], "path": names[node, 1], "feature": feature,
+                 "lo": lo[node, feature], "hi": hi[node, feature]}
+            )
 
-        places = local_table(self.spark, [(i, n.tree, n.path) for i, n in enumerate(nodes)], "node int, tree int, path long"
-        )
+        # a partition sends at most one row per open node and feature; with the rows of a
+        # node in one place, the draws of its features need no further exchange
         return (
             self.rows.select("vec")
-            .mapInPandas(partial, "node int, feature int, lo double, hi double")
-            .groupBy("node", "feature")
+            .mapInPandas(partial, "node int, tree int, path long, feature int, lo double, hi double")
+            .repartition("node")
+            .groupBy("node", "tree", "path", "feature")
             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-            .join(F.broadcast(places), "node")
         )
 
     def counts(self, nodes: list[Node], arrays: dict, slots: dict, cuts: list) -> DataFrame:
@@ -292,6 +296,8 @@ class _Grower:
             known.mapInPandas(partial, "node int, slot int, side int, class int, n long")
             .groupBy("node", "slot", "side", "class")
             .agg(F.sum("n").alias("n"))
+            # the totals are small now; all that follows is per node
+            .repartition("node")
         )
 
 

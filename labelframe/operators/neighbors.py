@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_int, draw_unit
+from labelframe.functions.reshape import quoted
 from labelframe.functions.small import local_table
 
 MAX_PIVOTS = 16_384
@@ -36,7 +37,7 @@ def vector(features: Sequence[str] | str) -> Column:
     """Array of doubles from an array column or a list of numeric columns."""
     if isinstance(features, str):
         return F.col(features).cast("array<double>")
-    return F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+    return F.expr(f"array({', '.join(f'CAST({quoted(c)} AS DOUBLE)' for c in features)})")
 
 
 def nearest(

@@ -27,7 +27,7 @@ def tail(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, max_distinct: int = 1_000_000
+    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, max_distinct: int = 200_000
 ) -> DataFrame:
     """count, mean, sample std, min, quartiles and max of each numeric column."""
     columns = list(columns or numeric_columns(df))
@@ -67,9 +67,22 @@ def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
-def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows that repeat an earlier row, i.e. copies after the first."""
-    copies = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("n"))
+def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None, max_repeated: int = 100_000) -> DataFrame:
+    """Rows that repeat an earlier row, i.e. copies after the first.
+
+    Only a hash of each row is shuffled at first.  Rows whose hash occurs once cannot
+    be copies; the others are compared in full.  With more than ``max_repeated``
+    repeated hashes the whole rows are grouped at once.
+    """
+    names = list(columns or df.columns)
+    rows = df.select(*names)
+    hashed = rows.withColumn("_hash", F.xxhash64(*names))
+    repeated = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
+    few = repeated.limit(max_repeated + 1).toArrow()
+    if few.num_rows <= max_repeated:
+        known = F.broadcast(df.sparkSession.createDataFrame(few, schema=repeated.schema))
+        rows = hashed.join(known, "_hash", "left_semi").drop("_hash")
+    copies = rows.groupBy(*names).agg(F.count("*").alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
 
 

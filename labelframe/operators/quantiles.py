@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelframe.functions.reshape import aggregate_columns, present
-from labelframe.functions.small import local_table
+from labelframe.functions.reshape import aggregate_columns, present, quoted
+from labelframe.functions.small import local_table, settle
 
-BROADCAST_TARGETS = 100_000
+MAX_TARGETS = 100_000
 
 
 def quantiles(
@@ -19,13 +19,13 @@ def quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    max_distinct: int = 1_000_000,
+    max_distinct: int = 200_000,
     approx: bool = False,
 ) -> DataFrame:
     """Rows ``(by..., ordinal, column, q)`` with ``q`` an array aligned to ``probs``.
 
     ``percentile`` keeps a map of value to count for each group in memory.  It is
-    used only while that map is known to be small (``max_distinct`` values over the
+    used only where that map is known to be small (``max_distinct`` values over the
     columns of a group); larger groups go through :func:`refine`, whose state does
     not depend on the number of values.  ``approx`` gives Spark's bounded sketch.
     """
@@ -34,15 +34,22 @@ def quantiles(
         return aggregate_columns(
             df, columns, {"q": lambda c: F.percentile_approx(present(df, c).cast("double"), wanted)}, by
         )
-    sizes = df.groupBy(*by).agg(
-        sum((F.approx_count_distinct(F.col(f"`{c}`")) for c in columns), F.lit(0)).alias("n")
-    )
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= max_distinct:
+    def built_in(part: DataFrame) -> DataFrame:
         return aggregate_columns(
-            df, columns, {"q": lambda c: F.percentile(present(df, c).cast("double"), wanted)}, by
+            part, columns, {"q": lambda c: F.percentile(present(df, c).cast("double"), wanted)}, by
         )
-    return refine(df, columns, probs, by)
+
+    distinct = sum((F.approx_count_distinct(F.expr(quoted(c))) for c in columns), F.lit(0))
+    large = df.groupBy(*by).agg(distinct.alias("_n")).where(F.col("_n") > max_distinct).select(*by)
+    if not by:
+        return refine(df, columns, probs) if large.count() else built_in(df)
+    keys = large.select(*[F.col(b).alias(f"_key{i}") for i, b in enumerate(by)])
+    keys = settle(keys, MAX_TARGETS)
+    if keys.limit(1).count() == 0:
+        return built_in(df)
+    same = [df[b].eqNullSafe(keys[f"_key{i}"]) for i, b in enumerate(by)]
+    rest = built_in(df.join(keys, same, "left_anti"))
+    return rest.unionByName(refine(df.join(keys, same, "left_semi"), columns, probs, by))
 
 
 def refine(
@@ -50,8 +57,8 @@ def refine(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    bins: int = 1024,
-    small: int = 10_000,
+    bins: int = 4096,
+    small: int = 50_000,
 ) -> DataFrame:
     """Exact quantiles by repeated counting into equal-width bins.
 
@@ -76,7 +83,9 @@ def refine(
 
     totals = long.groupBy(*keys).agg(
         F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    ).collect()
+    ).limit(MAX_TARGETS + 1).collect()
+    if len(totals) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} large groups; use approx")
     open_targets, done = [], []
     for row in totals:
         key = [row[k] for k in keys]
@@ -85,8 +94,7 @@ def refine(
             open_targets.append((*key, rank, 0, row.lo, row.hi, row.n))
 
     def as_frame(targets):
-        frame = local_table(spark, targets, schema)
-        return F.broadcast(frame) if len(targets) <= BROADCAST_TARGETS else frame
+        return F.broadcast(local_table(spark, targets, schema))
 
     def inside(targets):
         other = as_frame(targets).select(*[F.col(k).alias(f"t_{k}") for k in keys], "rnk", "below", "lo", "hi")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_hex, draw_int, draw_unit
+from labelframe.functions.reshape import quoted
 from labelframe.functions.small import local_table, settle
-from labelframe.operators.neighbors import nearest
+from labelframe.operators.neighbors import nearest, vector
 
 
 def oversampling_plan(df: DataFrame, label: str, targets: Mapping) -> DataFrame:
@@ -70,10 +71,11 @@ def synthetic_rows(
         if target > plan[c]["n"] and plan[c]["n"] < k + 1:
             raise ValueError(f"class {c!r} has {plan[c]['n']} rows; {k} neighbours need {k + 1}")
     grown = sorted((c for c in targets if plan[c]["to_add"] > 0), key=str)
-    x = [F.col(f"`{f}`").cast("double").alias(f) for f in features]
-    minority = df.where(F.col(label).isin(grown)).select(row_id, label, *x)
+    minority = df.where(F.col(label).isin(grown)).select(row_id, label, vector(list(features)).alias("_vec"))
+    moved = [f"_new[{i}] AS {quoted(f)}" for i, f in enumerate(features)]
     if not grown:
-        return minority.withColumn("synthetic_no", F.lit(0).cast("long")).limit(0)
+        none = minority.limit(0).withColumn("_new", F.col("_vec"))
+        return none.selectExpr(quoted(row_id), quoted(label), *moved, "CAST(0 AS BIGINT) AS synthetic_no")
 
     starts, total = [], 0
     for c in grown:
@@ -106,31 +108,23 @@ def synthetic_rows(
         )
     )
     asked = minority.join(drawn.select(F.col("_base").alias(row_id)).distinct(), row_id, "left_semi")
-    found = nearest(asked, minority, row_id, list(features), k=k, group=label, exclude_self=True, seed=seed)
+    found = nearest(asked, minority, row_id, "_vec", k=k, group=label, exclude_self=True, seed=seed)
     found = found.select(F.col("id").alias("_id"), F.col("rank").alias("_r"), "neighbour")
-    other = minority.select(
-        F.col(row_id).alias("_other"), *[F.col(f"`{f}`").alias(f"_to_{i}") for i, f in enumerate(features)]
-    )
-    moved = [
-        (F.col(f"`{f}`") + F.col("_gap") * (F.col(f"_to_{i}") - F.col(f"`{f}`"))).alias(f)
-        for i, f in enumerate(features)
-    ]
-    return (
+    other = minority.select(F.col(row_id).alias("_other"), F.col("_vec").alias("_to"))
+    made = (
         drawn.join(found, (F.col("_base") == F.col("_id")) & (F.col("_rank") == F.col("_r")))
         .join(minority, F.col("_base") == F.col(row_id))
         .join(other, F.col("neighbour") == F.col("_other"))
-        .select(row_id, label, *moved, "synthetic_no")
+        .withColumn("_new", F.expr("zip_with(_vec, _to, (a, b) -> a + _gap * (b - a))"))
     )
+    return made.selectExpr(quoted(row_id), quoted(label), *moved, "synthetic_no")
 
 
 def append_synthetic(df: DataFrame, new_rows: DataFrame, row_id: str, label: str, features: Sequence[str]) -> DataFrame:
     """Real and synthetic rows together, told apart by ``is_synthetic``."""
-    real = df.select(
-        row_id,
-        label,
-        *[F.col(f"`{f}`").cast("double").alias(f) for f in features],
-        F.lit(None).cast("long").alias("synthetic_no"),
-        F.lit(False).alias("is_synthetic"),
+    values = [f"CAST({quoted(f)} AS DOUBLE) AS {quoted(f)}" for f in features]
+    real = df.selectExpr(
+        quoted(row_id), quoted(label), *values, "CAST(NULL AS BIGINT) AS synthetic_no", "false AS is_synthetic"
     )
     return real.unionByName(new_rows.withColumn("is_synthetic", F.lit(True)))
 

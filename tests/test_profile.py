@@ -23,6 +23,13 @@ def test_missing_counts_null_and_nan(gaps):
 def test_duplicates_count_later_copies(gaps):
     assert profile.duplicate_count(gaps).first()[0] == 1
     assert profile.duplicate_count(gaps.limit(0)).first()[0] == 0
+    assert profile.duplicate_count(gaps, max_repeated=0).first()[0] == 1
+    assert profile.duplicate_count(gaps, ["s"]).first()[0] == 2
+
+
+def test_duplicates_see_equal_zeros(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (1.0,)], "x double")
+    assert profile.duplicate_count(df).first()[0] == 2
 
 
 def test_ranges_skip_nan(gaps):
@@ -65,6 +72,13 @@ def test_refined_quantiles_are_exact_per_group(spark):
         assert np.allclose(r["q"], np.quantile(part[r["column"]], probs), rtol=1e-12)
 
 
+def test_only_large_groups_are_refined(spark):
+    rows = [("big", float(i)) for i in range(500)] + [("small", 1.0), ("small", 2.0), (None, 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["q"] for r in quantiles(df, ["v"], [0.5], by=["g"], max_distinct=50).collect()}
+    assert got == {"big": [249.5], "small": [1.5], None: [7.0]}
+
+
 def test_refined_quantiles_with_infinities(spark):
     values = [float("-inf"), float("inf")] + [float(i) for i in range(100)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
