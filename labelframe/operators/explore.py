@@ -176,7 +176,7 @@ def strong_pairs(corr: DataFrame, threshold: float = 0.85) -> DataFrame:
 
 def box_statistics(
     df: DataFrame, columns: Sequence[str], label: str, whisker: float = 1.5, approx: bool = False,
-    max_distinct: int = 200_000,
+    max_distinct: int = 2_000_000,
 ) -> DataFrame:
     """Per (feature, class): quartiles, whisker ends, outliers beyond 1.5 x IQR."""
     quarters = quantiles(df, columns, [0.25, 0.5, 0.75], by=[label], approx=approx, max_distinct=max_distinct)

@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.hashing import draw_hex, draw_unit
+from labelframe.functions.reshape import vector
 from labelframe.functions.small import local_table
-from labelframe.operators.neighbors import vector
 
 CELLS_PER_PASS = 2_000_000
-NODES_PER_SCORING_PASS = 1_000_000
+NODES_PER_BROADCAST = 1_000_000
 MODEL_SCHEMA = "tree int, node int, feature int, threshold double, child int, counts array<double>"
 
 
@@ -100,7 +100,7 @@ class ExtraTrees:
         """Trees in groups whose nodes stay below the bound of one broadcast."""
         group, nodes = [], 0
         for tree in self.trees:
-            if group and nodes + len(tree.feature) > NODES_PER_SCORING_PASS:
+            if group and nodes + len(tree.feature) > NODES_PER_BROADCAST:
                 yield group
                 group, nodes = [], 0
             group.append(tree)
@@ -181,7 +181,8 @@ def _grow(
     if not _can_split(start, 0, max_depth, min_samples_split):
         queue = []
     while queue:
-        now, queue = queue[: grower.nodes_per_pass], queue[grower.nodes_per_pass :]
+        size = grower.pass_size(queue, trees)
+        now, queue = queue[:size], queue[size:]
         for node, feature, threshold, left, right in grower.split(now, trees):
             tree = trees[node.tree]
             child = tree.add(left)
@@ -204,6 +205,17 @@ class _Grower:
         cells = max(width, self.max_features * 2 * len(classes))
         self.nodes_per_pass = max(1, CELLS_PER_PASS // cells)
 
+    def pass_size(self, queue: list[Node], trees: list[Tree]) -> int:
+        """How many open nodes fit one pass: their cells, and the trees to be broadcast."""
+        used, sent = set(), 0
+        for i, n in enumerate(queue[: self.nodes_per_pass]):
+            if n.tree not in used:
+                used.add(n.tree)
+                sent += len(trees[n.tree].feature)
+                if i and sent > NODES_PER_BROADCAST:
+                    return i
+        return min(len(queue), self.nodes_per_pass)
+
     def split(self, nodes: list[Node], trees: list[Tree]) -> list[tuple]:
         """Best cut of each node that can be cut: (node, feature, threshold, left, right)."""
         used = sorted({n.tree for n in nodes})

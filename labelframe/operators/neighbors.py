@@ -19,12 +19,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_int, draw_unit
-from labelframe.functions.reshape import quoted
+from labelframe.functions.reshape import vector
 from labelframe.functions.small import local_table
 
 MAX_PIVOTS = 16_384
@@ -33,13 +33,6 @@ SLACK = 1e-6
 PAIRS_AT_ONCE = 4_000_000
 
 
-def vector(features: Sequence[str] | str) -> Column:
-    """Array of doubles from an array column or a list of numeric columns."""
-    if isinstance(features, str):
-        return F.col(features).cast("array<double>")
-    return F.expr(f"array({', '.join(f'CAST({quoted(c)} AS DOUBLE)' for c in features)})")
-
-
 def nearest(
     queries: DataFrame,
     candidates: DataFrame,

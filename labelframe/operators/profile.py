@@ -27,7 +27,7 @@ def tail(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, max_distinct: int = 200_000
+    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, max_distinct: int = 2_000_000
 ) -> DataFrame:
     """count, mean, sample std, min, quartiles and max of each numeric column."""
     columns = list(columns or numeric_columns(df))

@@ -12,6 +12,8 @@ from labelframe.functions.reshape import aggregate_columns, present, quoted
 from labelframe.functions.small import local_table, settle
 
 MAX_TARGETS = 100_000
+# groups that Spark's object aggregation holds before it sorts instead
+GROUPS_IN_MEMORY = 128
 
 
 def quantiles(
@@ -19,14 +21,14 @@ def quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    max_distinct: int = 200_000,
+    max_distinct: int = 2_000_000,
     approx: bool = False,
 ) -> DataFrame:
     """Rows ``(by..., ordinal, column, q)`` with ``q`` an array aligned to ``probs``.
 
     ``percentile`` keeps a map of value to count for each group in memory.  It is
-    used only where that map is known to be small (``max_distinct`` values over the
-    columns of a group); larger groups go through :func:`refine`, whose state does
+    used only where those maps are known to be small: ``max_distinct`` values over the
+    columns and groups that a task can hold at once.  Larger groups go through :func:`refine`, whose state does
     not depend on the number of values.  ``approx`` gives Spark's bounded sketch.
     """
     wanted = F.array(*[F.lit(float(p)) for p in probs])
@@ -40,13 +42,15 @@ def quantiles(
         )
 
     distinct = sum((F.approx_count_distinct(F.expr(quoted(c))) for c in columns), F.lit(0))
-    large = df.groupBy(*by).agg(distinct.alias("_n")).where(F.col("_n") > max_distinct).select(*by)
-    if not by:
-        return refine(df, columns, probs) if large.count() else built_in(df)
-    keys = large.select(*[F.col(b).alias(f"_key{i}") for i, b in enumerate(by)])
-    keys = settle(keys, MAX_TARGETS)
-    if keys.limit(1).count() == 0:
+    sizes = df.groupBy(*by).agg(distinct.alias("_n"))
+    groups, largest = sizes.agg(F.count("*"), F.max("_n")).first()
+    allowed = max_distinct // max(1, min(groups, GROUPS_IN_MEMORY))
+    if (largest or 0) <= allowed:
         return built_in(df)
+    if not by:
+        return refine(df, columns, probs)
+    large = sizes.where(F.col("_n") > allowed)
+    keys = settle(large.select(*[F.col(b).alias(f"_key{i}") for i, b in enumerate(by)]), MAX_TARGETS)
     same = [df[b].eqNullSafe(keys[f"_key{i}"]) for i, b in enumerate(by)]
     rest = built_in(df.join(keys, same, "left_anti"))
     return rest.unionByName(refine(df.join(keys, same, "left_semi"), columns, probs, by))

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_hex, draw_int, draw_unit
-from labelframe.functions.reshape import quoted
+from labelframe.functions.reshape import quoted, vector
 from labelframe.functions.small import local_table, settle
-from labelframe.operators.neighbors import nearest, vector
+from labelframe.operators.neighbors import nearest
 
 
 def oversampling_plan(df: DataFrame, label: str, targets: Mapping) -> DataFrame:
@@ -45,7 +45,8 @@ def number_rows(df: DataFrame, label: str, row_id: str, seed: int, purpose: str,
     )
 
 
-def _digits(largest: int, rows_per_bucket: int = 50_000) -> int:
+def bucket_digits(largest: int, rows_per_bucket: int = 50_000) -> int:
+    """Hex digits that cut a class of ``largest`` rows into buckets one task can sort."""
     digits = 2
     while 16**digits * rows_per_bucket < largest and digits < 8:
         digits += 1
@@ -100,7 +101,7 @@ def synthetic_rows(
         (F.pmod(draw_int(seed, "smote-neighbour", *key), F.lit(k)) + 1).cast("int").alias("_rank"),
         draw_unit(seed, "smote-gap", *key).alias("_gap"),
     )
-    digits = _digits(max(plan[c]["n"] for c in grown))
+    digits = bucket_digits(max(plan[c]["n"] for c in grown))
     numbered = number_rows(minority.select(row_id, label), label, row_id, seed, "smote-order", digits)
     drawn = materialize(
         draws.join(numbered, (F.col("_class") == F.col(label)) & (F.col("_idx") == F.col("idx"))).select(

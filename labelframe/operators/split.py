@@ -109,8 +109,10 @@ def stratified_split(
     kinds = [df.schema[label].dataType.simpleString(), df.schema[row_id].dataType.simpleString()]
     rows = [(c, h, i) for c, (h, i) in cuts.items()]
     table = local_table(df.sparkSession, rows, f"_label {kinds[0]}, _cut string, _cut_id {kinds[1]}")
-    digest = draw_hex(seed, PURPOSE, F.col(row_id))
-    is_test = (digest < F.col("_cut")) | ((digest == F.col("_cut")) & (F.col(row_id) <= F.col("_cut_id")))
+    # one comparison of pairs, so that the digest is computed once per row
+    own = F.struct(draw_hex(seed, PURPOSE, F.col(row_id)).alias("h"), F.col(row_id).alias("i"))
+    cut = F.struct(F.col("_cut").alias("h"), F.col("_cut_id").alias("i"))
+    is_test = F.col("_cut").isNotNull() & (own <= cut)
     return (
         df.join(F.broadcast(table), F.col(label) == F.col("_label"), "left")
         .withColumn(output, F.when(is_test, "test").otherwise("train"))

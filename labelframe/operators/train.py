@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
+from labelframe.functions.reshape import vector
 from labelframe.functions.small import local_table
 from labelframe.operators import neighbors
 from labelframe.operators.evaluate import model_metrics
 from labelframe.operators.extra_trees import ExtraTrees, fit_extra_trees
-from labelframe.operators.resample import _digits, number_rows
+from labelframe.operators.resample import bucket_digits, number_rows
 
 MAX_CLASSES = 100
 
@@ -47,7 +48,7 @@ def class_list(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> lis
 
 def to_ml(df: DataFrame, features: Sequence[str] | str, label: str | None = None, classes: Sequence = ()) -> DataFrame:
     """Add ``_features`` (vector) and, with a label, its 0-based ``_label``."""
-    out = df.withColumn("_features", array_to_vector(neighbors.vector(features)))
+    out = df.withColumn("_features", array_to_vector(vector(features)))
     if label is not None:
         every = F.array(*[F.lit(c) for c in classes])
         out = out.withColumn("_label", (F.array_position(every, F.col(label)) - 1).cast("double"))
@@ -235,7 +236,7 @@ def stratified_folds(df: DataFrame, label: str, row_id: str, folds: int, seed: i
     real = df.where(~F.col("is_synthetic")) if "is_synthetic" in df.columns else df
     keys = real.select(row_id, label)
     largest = keys.groupBy(label).count().agg(F.max("count")).first()[0] or 0
-    numbered = number_rows(keys, label, row_id, seed, "fold", _digits(largest))
+    numbered = number_rows(keys, label, row_id, seed, "fold", bucket_digits(largest))
     table = numbered.select(F.col(row_id).alias("_id"), F.pmod(F.col("idx"), F.lit(folds)).cast("int").alias("fold"))
     return df.join(table, F.col(row_id) == F.col("_id")).drop("_id")
 

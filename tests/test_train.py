@@ -80,7 +80,7 @@ def test_extra_trees_scoring_in_groups(spark, parts, monkeypatch):
     learn, check = parts
     forest = extra_trees.fit_extra_trees(learn, "label", FEATURES, n_trees=4, max_depth=3)
     whole = forest.predict(check, FEATURES).select("id", "prediction").collect()
-    monkeypatch.setattr(extra_trees, "NODES_PER_SCORING_PASS", 5)
+    monkeypatch.setattr(extra_trees, "NODES_PER_BROADCAST", 5)
     assert len(list(forest._groups())) == 4
     assert set(forest.predict(check, FEATURES).select("id", "prediction").collect()) == set(whole)
 
