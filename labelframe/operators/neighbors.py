@@ -42,7 +42,7 @@ def nearest(
     group: str | None = None,
     exclude_self: bool = False,
     seed: int = 42,
-    block_rows: int = 4096,
+    block_rows: int = 2048,
     query_rows: int = 8192,
 ) -> DataFrame:
     """Rows ``(id, rank, neighbour, distance2)``, rank 1..k by (distance, id).
@@ -173,12 +173,12 @@ class _Index:
     def search(self, queries: DataFrame, query_rows: int) -> DataFrame | None:
         """Search the home block of raw queries, or the blocks still open after that.
 
-        Output: ``(id, grp, vec, home, found)``, one row per query and block; None when
-        no block has to be searched.
+        Output: ``(id, grp, vec, home, reach, found)``, one row per query and block; None
+        when no block has to be searched.  Rows beyond ``reach`` are not looked for.
         """
         second = "found" in queries.columns
         groups, keep = self.groups, self.keep
-        head = f"id {self.id_type}, grp string, vec array<double>, home int"
+        head = f"id {self.id_type}, grp string, vec array<double>, home int, reach double"
         found = f"found array<struct<distance2: double, neighbour: {self.id_type}>>"
 
         def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,11 +189,11 @@ class _Index:
                     step = max(1, PAIRS_AT_ONCE // (len(groups[g]["rings"]) + len(groups[g]["pivots"])))
                     for at in range(0, len(part), step):
                         some = part.iloc[at : at + step]
-                        rows, blocks = (_open_blocks if second else _home_blocks)(some, groups[g], keep)
+                        rows, blocks, reach = (_open_blocks if second else _home_blocks)(some, groups[g], keep)
                         for i in range(0, len(rows), 20_000):
                             cut = slice(i, i + 20_000)
                             out = some.iloc[rows[cut]][["id", "grp", "vec"]]
-                            yield out.assign(home=blocks[cut].astype("int32"))
+                            yield out.assign(home=blocks[cut].astype("int32"), reach=reach[rows[cut]])
 
         def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for part in visits(batches):
@@ -220,7 +220,8 @@ class _Index:
 
         def best(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
             if len(ask) and len(have):
-                lists = _top(_matrix(ask["vec"]), _matrix(have["vec"]), list(have["ids"]), keep)
+                reach = ask["reach"].to_numpy()
+                lists = _top(_matrix(ask["vec"]), reach, _matrix(have["vec"]), list(have["ids"]), keep)
             else:
                 # a hash part may be empty; its visitors go on to the other blocks
                 lists = [[] for _ in range(len(ask))]
@@ -249,16 +250,16 @@ def _slack(v: np.ndarray, info: dict) -> np.ndarray:
     return (SLACK * scale)[:, None]
 
 
-def _home_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray, np.ndarray]:
+def _home_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each query the block whose ring comes nearest to it."""
     v, rings = _matrix(part["vec"]), info["rings"]
     d = _distances(v, info["pivots"])[:, rings[:, 0].astype(int)]
     gap = np.maximum(np.maximum(rings[:, 1] - d, d - rings[:, 2]), 0.0)
     ring = (gap + 1e-3 * d).argmin(axis=1)
-    return np.arange(len(part)), rings[ring, 3].astype(int)
+    return np.arange(len(part)), rings[ring, 3].astype(int), np.full(len(part), np.inf)
 
 
-def _open_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray, np.ndarray]:
+def _open_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each query the blocks that may hold a row nearer than its k-th so far."""
     v, rings = _matrix(part["vec"]), info["rings"]
     cell = rings[:, 0].astype(int)
@@ -280,7 +281,7 @@ def _open_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray,
     blocks = np.repeat(rings[ring, 3].astype(int), parts) + _offsets(parts)
     rows = np.repeat(rows, parts)
     new = blocks != part["home"].to_numpy()[rows]
-    return rows[new], blocks[new]
+    return rows[new], blocks[new], reach[:, 0]
 
 
 def _offsets(parts: np.ndarray) -> np.ndarray:
@@ -289,8 +290,8 @@ def _offsets(parts: np.ndarray) -> np.ndarray:
     return np.arange(parts.sum()) - starts
 
 
-def _top(asked: np.ndarray, held: np.ndarray, ids: list, keep: int) -> list[list[dict]]:
-    """Per query the ``keep`` nearest (distance, id) of one block.
+def _top(asked: np.ndarray, reach: np.ndarray, held: np.ndarray, ids: list, keep: int) -> list[list[dict]]:
+    """Per query the ``keep`` nearest (distance, id) of one block, as far as its reach.
 
     A matrix product gives a shortlist with a margin for its rounding; distances of
     the shortlist are then taken from the differences themselves.
@@ -305,7 +306,7 @@ def _top(asked: np.ndarray, held: np.ndarray, ids: list, keep: int) -> list[list
         rough = _distances(some, held)
         kth = np.partition(rough, n - 1, axis=1)[:, n - 1]
         margin = SLACK * (np.sqrt((some * some).sum(axis=1)) + norm)
-        rows, cols = np.nonzero(rough <= (kth + margin)[:, None])
+        rows, cols = np.nonzero(rough <= (np.minimum(kth, reach[at : at + step]) + margin)[:, None])
         d2 = np.empty(len(rows))
         for i in range(0, len(rows), 100_000):
             cut = slice(i, i + 100_000)

@@ -28,14 +28,16 @@ def quantiles(
 
     ``percentile`` keeps a map of value to count for each group in memory.  It is
     used only where those maps are known to be small: ``max_distinct`` values over the
-    columns and groups that a task can hold at once.  Larger groups go through :func:`refine`, whose state does
-    not depend on the number of values.  ``approx`` gives Spark's bounded sketch.
+    columns and groups that a task can hold at once.  Larger groups go through
+    :func:`refine`, whose state does not depend on the number of values.  ``approx``
+    gives Spark's bounded sketch.
     """
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
         return aggregate_columns(
             df, columns, {"q": lambda c: F.percentile_approx(present(df, c).cast("double"), wanted)}, by
         )
+
     def built_in(part: DataFrame) -> DataFrame:
         return aggregate_columns(
             part, columns, {"q": lambda c: F.percentile(present(df, c).cast("double"), wanted)}, by
