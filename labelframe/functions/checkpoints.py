@@ -1,19 +1,22 @@
-"""Materialising intermediate results in the shared checkpoint folder."""
+"""Intermediate tables, written as Parquet in the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+RUN_FOLDER = "labelframe.run.folder"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only when Spark itself runs in local mode; on a
-    cluster executors could not read it back, so a missing setting is an error.
+    A temporary folder stands in only when the setting is absent and Spark itself runs
+    in local mode; on a cluster executors could not read it back, so a missing setting
+    is an error.
     """
     folder = spark.conf.get(SETTING, None)
     if folder:
@@ -25,9 +28,36 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application inside the shared one, deleted when its JVM ends."""
+    shared = shared_folder(spark).rstrip("/")
+    own = f"{shared}/labelframe-{spark.sparkContext.applicationId}"
+    if spark.conf.get(RUN_FOLDER, None) != own:
+        path, files = _path(spark, own)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        spark.conf.set(RUN_FOLDER, own)
+    return own
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the intermediate tables now; frames that read them can no longer be used."""
+    path, files = _path(spark, run_folder(spark))
+    files.delete(path, True)
+    files.mkdirs(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and cut its lineage there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` once, with its lineage cut there, and read it back.
+
+    The table is Parquet, so later reads take only the columns they need and the
+    optimizer knows its size.
+    """
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

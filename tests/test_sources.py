@@ -1,4 +1,6 @@
-from labelframe.functions.checkpoints import SETTING, shared_folder
+from pathlib import Path
+
+from labelframe.functions.checkpoints import SETTING, clean, materialize, run_folder, shared_folder
 from labelframe.functions.small import local_table, settle
 from labelframe.operators import encode
 from labelframe.sources import tables
@@ -50,3 +52,13 @@ def test_local_table(spark):
 
 def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get(SETTING)
+
+
+def test_intermediate_tables_are_parquet_in_the_shared_folder_and_can_be_deleted(spark):
+    kept = materialize(spark.range(10).selectExpr("id", "id * 2 AS twice"))
+    assert "FileScan parquet" in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, kept.collect())) == [(i, 2 * i) for i in range(10)]
+    folder = Path(run_folder(spark).removeprefix("file:"))
+    assert folder.is_relative_to(shared_folder(spark)) and list(folder.iterdir())
+    clean(spark)
+    assert not list(folder.iterdir())
