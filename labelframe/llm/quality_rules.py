@@ -27,8 +27,10 @@ from labelframe.llm.words import (
     mix,
     repeated_words,
     repeats,
+    row_of,
     row_sums,
     slices,
+    spans_of,
     split_lines,
     split_words,
 )
@@ -40,15 +42,11 @@ LEAST_CONTENT = 0.5
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 CAPITALS = (np.arange(256) >= 65) & (np.arange(256) <= 90)
 SMALLS = (np.arange(256) >= 97) & (np.arange(256) <= 122)
+MARKS = np.arange(256) == ord("!")
 STOPS = np.isin(np.arange(256), list(b".!?:;"))
 FEATURES = ("always", "symbols", "many symbols", "capitals", "marks", "same word again", "few distinct words", "line again", "windows again", "short", "no full stop")
 
 
-def shares(bits: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
-    return total[ends] - total[begins]
-
-
 @dataclass
 class Lines:
     """Lines with a word: rows, words of each, features."""
@@ -63,10 +61,8 @@ def describe_lines(part: Slice, words) -> Lines:
     lines, first_word = split_lines(part, words)
     offsets = np.append(first_word, len(words))
     n = np.diff(offsets)
-    data, begins, ends = part.data, lines.begins, lines.ends
-    symbols = shares(SYMBOLS[data], begins, ends)
-    capitals, smalls = shares(CAPITALS[data], begins, ends), shares(SMALLS[data], begins, ends)
-    marks = shares(data == ord("!"), begins, ends)
+    data, ends = part.data, lines.ends
+    symbols, capitals, smalls, marks = (spans_of(np.flatnonzero(bits[data]), lines) for bits in (SYMBOLS, CAPITALS, SMALLS, MARKS))
     line = np.repeat(np.arange(len(n)), n)
     same = np.zeros(len(words), bool)
     same[1:] = (words.hashes[1:] == words.hashes[:-1]) & (line[1:] == line[:-1])
@@ -202,7 +198,7 @@ def quality_rules(docs: DataFrame, field: Field, least_content: float = LEAST_CO
     def judge(part: Slice) -> list[np.ndarray]:
         words = split_words(part)
         offsets, n = words.per_row(part.rows), part.rows
-        chars = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])
+        inner = np.flatnonzero((part.data & 0xC0) == 0x80)  # bytes after the first of a code point
         lines = describe_lines(part, words)
         content = decode(lines.rows, lines.features, field)
         n_words = np.diff(offsets)
@@ -211,8 +207,8 @@ def quality_rules(docs: DataFrame, field: Field, least_content: float = LEAST_CO
         share = np.bincount(lines.rows, content * lines.words, n) / np.maximum(n_words, 1)
         return [
             n_words,
-            row_sums(chars[words.ends] - chars[words.begins], offsets),
-            row_sums(SYMBOLS[part.data], part.offsets),
+            row_sums(words.ends - words.begins - spans_of(inner, words), offsets),
+            np.bincount(row_of(np.flatnonzero(SYMBOLS[part.data]), part.offsets), minlength=n).astype(np.int64),
             np.bincount(lines.rows, lines.duplicate, n).astype(np.int64),
             repeat,
             failed,

@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelframe.llm import license_scan, quality_rules, token_counts
+from labelframe.functions.checkpoints import materialize
+from labelframe.llm import decontaminate, license_scan, packing, pii, quality_classifier, quality_rules, token_counts, warc
+
+PIECES = "piece_bpe_32k.model"
+TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    return Path(public_tokenizers.path(TOKENIZER)).read_text()
+
+
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = token_counts.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = token_counts.vocabulary(public_tokenizers.path(PIECES))
     return token_counts.token_counts(table(spark, folder, "documents"), pieces)
 
 
@@ -28,7 +37,40 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(docs, quality_rules.fit(docs, table(spark, folder, "labels")))
 
 
-QUERIES = (op1_token_counts, op2_license_scan, op3_quality_rules)
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_classifier.classify(docs, quality_classifier.fit(docs))
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    archives = materialize(warc.archive_parts(warc.mark_revisits(pages)))
+    read = warc.read_archives(archives, pages.schema["page_id"].dataType.simpleString())
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer())
+
+
+QUERIES = (
+    op1_token_counts,
+    op2_license_scan,
+    op3_quality_rules,
+    op5_decontamination,
+    op6_pii,
+    op8_quality_classifier,
+    op9_warc,
+    op10_packing,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -36,4 +78,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc": OP9_SQL}
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS greatest FROM p
+)
+SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN size >= 1000 AND page_id <> greatest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN size >= 1000 AND page_id <> greatest THEN greatest END AS refers_to
+FROM g
+"""

@@ -108,9 +108,16 @@ class Spans:
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)[:n]
+    """The first n powers, kept by the process up to the usual slice."""
+
+    def make(size: int) -> np.ndarray:
+        out = np.full(size, base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    if n > SLICE_BYTES + 1:
+        return make(n)
+    return process_state(f"powers_{int(base):x}", lambda: make(SLICE_BYTES + 1))[:n]
 
 
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -175,13 +182,13 @@ def repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How often each key occurs, and whether an equal one stands before it."""
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(0, bool)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
-    new = np.append(True, ordered[1:] != ordered[:-1])
-    group = np.cumsum(new) - 1
-    count, before = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
-    count[order] = np.bincount(group)[group]
-    before[order] = ~new
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    sizes = np.diff(np.append(starts, len(keys)))
+    count, before = np.empty(len(keys), np.int64), np.ones(len(keys), bool)
+    count[order] = np.repeat(sizes, sizes)
+    before[np.minimum.reduceat(order, starts)] = False
     return count, before
 
 
@@ -200,3 +207,8 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of values over [offsets[i], offsets[i + 1])."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64 if values.dtype.kind in "bui" else np.float64)])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def spans_of(places: np.ndarray, spans: Spans) -> np.ndarray:
+    """How many of the ordered places fall into each span."""
+    return np.searchsorted(places, spans.ends) - np.searchsorted(places, spans.begins)
