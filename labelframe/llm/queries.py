@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm import decontaminate, license_scan, packing, pii, quality_classifier, quality_rules, token_counts, warc
+from labelframe.llm import decontaminate, jaccard_join, license_scan, packing, pii, quality_classifier, quality_rules, token_counts, warc
 
 PIECES = "piece_bpe_32k.model"
 TOKENIZER = "word_bpe_49k.json"
@@ -37,6 +37,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(docs, quality_rules.fit(docs, table(spark, folder, "labels")))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents")).drop("text_hash")
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -65,6 +69,7 @@ QUERIES = (
     op1_token_counts,
     op2_license_scan,
     op3_quality_rules,
+    op4_jaccard_join,
     op5_decontamination,
     op6_pii,
     op8_quality_classifier,
