@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm import decontaminate, jaccard_join, license_scan, packing, pii, quality_classifier, quality_rules, token_counts, warc
+from labelframe.llm import decontaminate, jaccard_join, license_scan, lm_score, packing, pii, quality_classifier, quality_rules, token_counts, warc
 
 PIECES = "piece_bpe_32k.model"
 TOKENIZER = "word_bpe_49k.json"
@@ -49,6 +49,10 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_personal_data(table(spark, folder, "documents"))
 
 
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.lm_score(table(spark, folder, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality_classifier.classify(docs, quality_classifier.fit(docs))
@@ -72,6 +76,7 @@ QUERIES = (
     op4_jaccard_join,
     op5_decontamination,
     op6_pii,
+    op7_lm_score,
     op8_quality_classifier,
     op9_warc,
     op10_packing,
