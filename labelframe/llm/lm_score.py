@@ -284,6 +284,7 @@ def lm_score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     held out, the others train; a null id trains.  ``n_known`` tokens occur in training;
     ``base_score`` is the sum of log10((c + 0.5) / (N + 0.5 (V + 1))), ``score`` the
     log10 probability under the model.  A null or empty text is an end token alone.
+    Without training texts every token has the uniform share, which is 1.
     Repeated rows count and are scored each.
 
     ``docs`` is read twice and must come in the same order both times, as a stored table
@@ -299,6 +300,8 @@ def lm_score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     uniform = 1 / (known + 1)
     found = evidence(counts, kept_tokens, uniform).orderBy("cell").toArrow()
     weights = learn_weights(*(found.column(c).to_numpy() for c in ("cell", "n", "bigram_log", "unigram_log")))
+    if not tokens:
+        weights[:] = 0, 0, 1
     names = [id_column, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
