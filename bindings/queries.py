@@ -457,8 +457,8 @@ def dimension_split(spark, d):
 def knn_predictions(spark, d):
     """Predictions of four neighbour counts, from one neighbour search."""
     learn, check = vector_split(spark, d)
-    found = neighbors.nearest(check, learn, "vec_id", "embedding", k=max(K_VALUES))
-    votes = neighbors.vote_each(found, learn, "vec_id", "label", K_VALUES)
+    found = neighbors.nearest(check, learn, "vec_id", "embedding", k=max(K_VALUES), carry="label")
+    votes = neighbors.vote_each(found, "label", K_VALUES)
     truth = check.select(F.col("vec_id").alias("id"), "label")
     return votes.join(truth, "id").select(F.format_string("knn_%d", "k").alias("model"), "id", "label", "prediction")
 

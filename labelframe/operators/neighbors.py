@@ -3,13 +3,13 @@
 Candidates are cut into cells around pivot points and each cell into rings by the
 distance to its pivot (the iDistance idea: Jagadish et al., ACM TODS 2005; the
 pivot-cell join: Lu et al., VLDB 2012).  A ring with many rows is split further by a
-hash, so a block always has a bounded number of rows.  Every query first searches
+hash, so a block always has a bounded number of rows, whatever the size of the table.  Every query first searches
 the one block around it; the k-th distance found there, with the triangle
 inequality, rules out the blocks that cannot hold a nearer row, and only the blocks
 left are searched.  No pair of rows is ever emitted: a block search gives k rows.
 
 Copies of a vector are one candidate that carries its k + 1 smallest ids, which is
-all that an order by (distance, id) can ever use.
+all that an order by (distance, id) can ever use, and what the caller asks for of them.
 """
 
 from __future__ import annotations
@@ -19,16 +19,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_int, draw_unit
-from labelframe.functions.reshape import vector
+from labelframe.functions.reshape import quoted, vector
 from labelframe.functions.small import local_table
 
 MAX_PIVOTS = 16_384
-MAX_BLOCKS = 32_768
+MAX_RINGS = 32_768
 SLACK = 1e-6
 PAIRS_AT_ONCE = 4_000_000
 
@@ -44,22 +44,28 @@ def nearest(
     seed: int = 42,
     block_rows: int = 2048,
     query_rows: int = 8192,
+    carry: str | None = None,
 ) -> DataFrame:
     """Rows ``(id, rank, neighbour, distance2)``, rank 1..k by (distance, id).
 
     With ``group`` a row only meets rows of its own group.  ``exclude_self`` leaves
-    out the candidate that has the query's own id.
+    out the candidate that has the query's own id.  ``carry`` names a column of the
+    candidates, such as the label, that comes along with each neighbour.  Candidate ids
+    must be unique: rows that share one could not be told apart.
     """
     keep = k + 1 if exclude_self else k
 
-    def prepared(df: DataFrame) -> DataFrame:
+    def prepared(df: DataFrame, *more: Column) -> DataFrame:
         key = F.col(group).cast("string") if group else F.lit("")
-        return df.select(key.alias("grp"), F.col(row_id).alias("id"), vector(features).alias("vec"))
-
-    left, right = prepared(queries), prepared(candidates)
-    id_type = right.schema["id"].dataType.simpleString()
-    index = _Index(right, id_type, keep, seed, block_rows)
-    schema = f"id {id_type}, rank int, neighbour {id_type}, distance2 double"
+        return df.select(key.alias("grp"), F.col(row_id).alias("id"), vector(features).alias("vec"), *more)
+
+    _require_unique(candidates, row_id)
+    carried = F.col(carry) if carry else F.lit(None).cast("int")
+    left, right = prepared(queries), prepared(candidates, carried.alias("carried"))
+    id_type, carried_type = (right.schema[c].dataType.simpleString() for c in ("id", "carried"))
+    index = _Index(right, id_type, carried_type, keep, seed, block_rows)
+    brought = f", {quoted(carry)} {carried_type}" if carry else ""
+    schema = f"id {id_type}, rank int, neighbour {id_type}, distance2 double{brought}"
     if not index.groups:
         return local_table(queries.sparkSession, [], schema)
     home = index.search(left, query_rows)
@@ -76,15 +82,23 @@ def nearest(
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("id", "rank", "neighbour", "distance2")
+        .select("id", "rank", "neighbour", "distance2", *([F.col("carried").alias(carry)] if carry else []))
     )
 
 
+def _require_unique(df: DataFrame, row_id: str) -> None:
+    repeated = df.groupBy(F.col(row_id).alias("id")).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{row_id} {repeated[0]['id']!r} stands for {repeated[0]['count']} candidates; ids must be unique")
+
+
 class _Index:
     """Candidates in blocks, and the bounded directory that says where to look."""
 
-    def __init__(self, rows: DataFrame, id_type: str, keep: int, seed: int, block_rows: int):
+    def __init__(self, rows: DataFrame, id_type: str, carried_type: str, keep: int, seed: int, block_rows: int):
         self.spark, self.id_type, self.keep = rows.sparkSession, id_type, keep
+        self.one_type = f"struct<neighbour: {id_type}, carried: {carried_type}>"
+        self.found_type = f"struct<distance2: double, neighbour: {id_type}, carried: {carried_type}>"
         counted = rows.groupBy("grp").agg(F.count("*").alias("n")).limit(MAX_PIVOTS + 1).collect()
         if len(counted) > MAX_PIVOTS:
             raise ValueError(f"more than {MAX_PIVOTS} groups; group by a class label")
@@ -93,15 +107,16 @@ class _Index:
         if not self.groups:
             return
         self._choose_pivots(rows, sizes, seed, block_rows)
-        block_rows = max(block_rows, math.ceil(sum(sizes.values()) / MAX_BLOCKS))
+        ring_rows = max(block_rows, math.ceil(sum(sizes.values()) / MAX_RINGS))
         placed = materialize(self._place(self._distinct(rows)))
-        self.blocks = self._split(placed, block_rows)
+        self.blocks = self._split(placed, ring_rows, block_rows)
 
     def _distinct(self, rows: DataFrame) -> DataFrame:
         """One row per distinct vector with its smallest ids; copies stop at the map side."""
         order = Window.partitionBy("grp", "vec").orderBy("id")
         few = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= self.keep)
-        return few.groupBy("grp", "vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        one = F.struct(F.col("id").alias("neighbour"), "carried")
+        return few.groupBy("grp", "vec").agg(F.array_sort(F.collect_list(one)).alias("ids"))
 
     def _choose_pivots(self, rows: DataFrame, sizes: dict, seed: int, block_rows: int) -> None:
         share = min(256, max(1, MAX_PIVOTS // len(self.groups)))
@@ -118,15 +133,18 @@ class _Index:
             .where(F.col("n") <= max(wanted.values()))
             .select("grp", "n", "vec")
         )
+        # a small group passes the filter whole; should chance leave a large one without pivots, its least row stands in
         table = drawn.collect()
         for g, info in self.groups.items():
             vecs = [r["vec"] for r in table if r["grp"] == g and r["n"] <= wanted[g]]
+            if not vecs:
+                vecs = [rows.where(F.col("grp") == F.lit(g)).agg(F.min_by("vec", "id")).first()[0]]
             info["pivots"] = np.unique(np.array(vecs, dtype=float), axis=0)
 
     def _place(self, distinct: DataFrame) -> DataFrame:
         """Add the nearest pivot of each vector and the distance to it."""
         pivots = {g: info["pivots"] for g, info in self.groups.items()}
-        schema = f"grp string, vec array<double>, ids array<{self.id_type}>, cell int, dist double"
+        schema = f"grp string, vec array<double>, ids array<{self.one_type}>, cell int, dist double"
 
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -138,13 +156,17 @@ class _Index:
 
         return distinct.where(F.col("grp").isNotNull()).mapInPandas(place, schema)
 
-    def _split(self, placed: DataFrame, block_rows: int) -> DataFrame:
-        """Number the blocks: rings of a cell, and hash parts of a ring."""
+    def _split(self, placed: DataFrame, ring_rows: int, block_rows: int) -> DataFrame:
+        """Number the blocks: rings of a cell, and hash parts of a ring.
+
+        The directory lists rings, whose number is bounded; a block is a part of a ring
+        and has about ``block_rows`` rows however large the table is.
+        """
         cells = placed.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.max("dist").alias("radius"))
         widths = [
             (r["grp"], r["cell"], rings, (r["radius"] / rings) or 1.0)
             for r in cells.collect()
-            for rings in [math.ceil(r["n"] / block_rows)]
+            for rings in [math.ceil(r["n"] / ring_rows)]
         ]
         table = local_table(self.spark, widths, "grp string, cell int, rings int, width double")
         ring = F.least(F.floor(F.col("dist") / F.col("width")).cast("int"), F.col("rings") - 1)
@@ -179,7 +201,7 @@ class _Index:
         second = "found" in queries.columns
         groups, keep = self.groups, self.keep
         head = f"id {self.id_type}, grp string, vec array<double>, home int, reach double"
-        found = f"found array<struct<distance2: double, neighbour: {self.id_type}>>"
+        found = f"found array<{self.found_type}>"
 
         def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -299,7 +321,12 @@ def _top(asked: np.ndarray, reach: np.ndarray, held: np.ndarray, ids: list, keep
     n = min(keep, len(held))
     lists: list[list[dict]] = []
     norm = np.sqrt((held * held).sum(axis=1)).max()
-    first = np.array([i[0] for i in ids])
+    # copies of a vector: entries of one candidate, ranked by id over the block
+    size = np.array([len(i) for i in ids])
+    entry = np.cumsum(size) - size
+    flat = [one for i in ids for one in i]
+    names = np.array([one["neighbour"] for one in flat])
+    place = np.unique(names, return_inverse=True)[1]
     step = max(1, PAIRS_AT_ONCE // len(held))
     for at in range(0, len(asked), step):
         some = asked[at : at + step]
@@ -311,40 +338,44 @@ def _top(asked: np.ndarray, reach: np.ndarray, held: np.ndarray, ids: list, keep
         for i in range(0, len(rows), 100_000):
             cut = slice(i, i + 100_000)
             d2[cut] = ((some[rows[cut]] - held[cols[cut]]) ** 2).sum(axis=1)
-        order = np.lexsort((first[cols], d2, rows))
-        rows, cols, d2 = rows[order], cols[order], d2[order]
+        entries = np.repeat(entry[cols], size[cols]) + _offsets(size[cols])
+        rows, d2 = np.repeat(rows, size[cols]), np.repeat(d2, size[cols])
+        order = np.lexsort((place[entries], d2, rows))
+        rows, d2, entries = rows[order], d2[order], entries[order]
         starts = np.searchsorted(rows, np.arange(len(some)))
-        ends = np.append(starts[1:], len(rows))
-        for s, e in zip(starts, np.minimum(ends, starts + n)):
-            pairs = sorted((d2[j], one) for j in range(s, e) for one in ids[cols[j]])[:keep]
-            lists.append([{"distance2": float(d), "neighbour": one} for d, one in pairs])
+        ends = np.minimum(np.append(starts[1:], len(rows)), starts + keep)
+        for s, e in zip(starts.tolist(), ends.tolist()):
+            lists.append(
+                [
+                    {"distance2": d, "neighbour": flat[j]["neighbour"], "carried": flat[j]["carried"]}
+                    for d, j in zip(d2[s:e].tolist(), entries[s:e].tolist())
+                ]
+            )
     return lists
 
 
-def vote(
-    neighbours: DataFrame, labels: DataFrame, row_id: str, label: str, by: Sequence[str] = ()
-) -> DataFrame:
-    """Most frequent label among the neighbours; the smallest label wins ties."""
-    named = neighbours.join(
-        labels.select(F.col(row_id).alias("neighbour"), F.col(label).alias("prediction")), "neighbour"
-    )
-    counted = named.groupBy(*by, "id", "prediction").agg(F.count("*").alias("votes"))
+def vote(neighbours: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Most frequent label among the neighbours; the smallest label wins ties.
+
+    ``neighbours`` holds the label, as ``nearest`` brings it with ``carry``.
+    """
+    counted = neighbours.groupBy(*by, "id", F.col(label).alias("prediction")).agg(F.count("*").alias("votes"))
     return counted.groupBy(*by, "id").agg(
         F.min_by("prediction", F.struct(-F.col("votes"), F.col("prediction"))).alias("prediction")
     )
 
 
-def vote_each(neighbours: DataFrame, labels: DataFrame, row_id: str, label: str, ks: Sequence[int]) -> DataFrame:
+def vote_each(neighbours: DataFrame, label: str, ks: Sequence[int]) -> DataFrame:
     """Votes of the first k neighbours for several k, from one neighbour table."""
     some = F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("rank"))
-    return vote(neighbours.withColumn("k", F.explode(some)), labels, row_id, label, ["k"])
+    return vote(neighbours.withColumn("k", F.explode(some)), label, ["k"])
 
 
 def classify(
     train: DataFrame, test: DataFrame, row_id: str, label: str, features: Sequence[str] | str, k: int = 5, **options
 ) -> DataFrame:
     """k-nearest-neighbour predictions ``(id, label, prediction)`` for the test rows."""
-    found = nearest(test, train, row_id, features, k=k, **options)
-    predicted = vote(found, train, row_id, label)
+    found = nearest(test, train, row_id, features, k=k, carry=label, **options)
+    predicted = vote(found, label)
     truth = test.select(F.col(row_id).alias("id"), F.col(label).alias("label"))
     return truth.join(predicted, "id", "left")

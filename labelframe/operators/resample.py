@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_hex, draw_int, draw_unit
@@ -56,10 +57,12 @@ def bucket_digits(largest: int, rows_per_bucket: int = 50_000) -> int:
 def synthetic_rows(
     df: DataFrame, row_id: str, label: str, features: Sequence[str], targets: Mapping, k: int = 5, seed: int = 42
 ) -> DataFrame:
-    """The new rows only: ``(row_id, label, features..., synthetic_no)``.
+    """The new rows only: ``(row_id, label, features..., base_id, synthetic_no)``.
 
     Draw j of a class picks a row, one of its k neighbours in the class and a gap g in
-    [0, 1); the new row is x + g (neighbour - x).  ``row_id`` is that of the row x.
+    [0, 1); the new row is x + g (neighbour - x).  ``base_id`` is the id of the row x.
+    ``row_id`` is new and unique: ids count on from the greatest one, and text ids
+    have the greatest one as their beginning.
     """
     spark = df.sparkSession
     kind = df.schema[label].dataType.simpleString()
@@ -76,7 +79,9 @@ def synthetic_rows(
     moved = [f"_new[{i}] AS {quoted(f)}" for i, f in enumerate(features)]
     if not grown:
         none = minority.limit(0).withColumn("_new", F.col("_vec"))
-        return none.selectExpr(quoted(row_id), quoted(label), *moved, "CAST(0 AS BIGINT) AS synthetic_no")
+        return none.selectExpr(
+            quoted(row_id), quoted(label), *moved, f"{quoted(row_id)} AS base_id", "CAST(0 AS BIGINT) AS synthetic_no"
+        )
 
     starts, total = [], 0
     for c in grown:
@@ -88,13 +93,23 @@ def synthetic_rows(
     def pick(values, kind):
         return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("_which"))
 
+    id_type = df.schema[row_id].dataType
+    greatest = df.agg(F.max(row_id)).first()[0]
+    if isinstance(id_type, T.IntegralType):
+        new_id = (F.lit(greatest).cast("long") + 1 + F.col("id")).cast(id_type)
+    elif isinstance(id_type, T.StringType):
+        new_id = F.concat(F.lit(greatest), F.lit("~"), F.col("id").cast("string"))
+    else:
+        raise ValueError(f"{row_id} is {id_type.simpleString()}; new rows need an integer or text id")
     draws = spark.range(total).withColumn("_which", which).select(
+        new_id.alias("_new_id"),
         pick(grown, kind).alias("_class"),
         (F.col("id") - pick(starts, "long")).alias("synthetic_no"),
         pick([plan[c]["n"] for c in grown], "long").alias("_n"),
     )
     key = [F.col("_class"), F.col("synthetic_no")]
     draws = draws.select(
+        "_new_id",
         "_class",
         "synthetic_no",
         F.pmod(draw_int(seed, "smote-row", *key), F.col("_n")).alias("_idx"),
@@ -105,7 +120,7 @@ def synthetic_rows(
     numbered = number_rows(minority.select(row_id, label), label, row_id, seed, "smote-order", digits)
     drawn = materialize(
         draws.join(numbered, (F.col("_class") == F.col(label)) & (F.col("_idx") == F.col("idx"))).select(
-            F.col(row_id).alias("_base"), "synthetic_no", "_rank", "_gap"
+            F.col(row_id).alias("_base"), "_new_id", "synthetic_no", "_rank", "_gap"
         )
     )
     asked = minority.join(drawn.select(F.col("_base").alias(row_id)).distinct(), row_id, "left_semi")
@@ -118,14 +133,15 @@ def synthetic_rows(
         .join(other, F.col("neighbour") == F.col("_other"))
         .withColumn("_new", F.expr("zip_with(_vec, _to, (a, b) -> a + _gap * (b - a))"))
     )
-    return made.selectExpr(quoted(row_id), quoted(label), *moved, "synthetic_no")
+    return made.selectExpr(f"_new_id AS {quoted(row_id)}", quoted(label), *moved, "_base AS base_id", "synthetic_no")
 
 
 def append_synthetic(df: DataFrame, new_rows: DataFrame, row_id: str, label: str, features: Sequence[str]) -> DataFrame:
-    """Real and synthetic rows together, told apart by ``is_synthetic``."""
+    """Real and synthetic rows together, told apart by ``is_synthetic``; a real row is its own base."""
     values = [f"CAST({quoted(f)} AS DOUBLE) AS {quoted(f)}" for f in features]
     real = df.selectExpr(
-        quoted(row_id), quoted(label), *values, "CAST(NULL AS BIGINT) AS synthetic_no", "false AS is_synthetic"
+        quoted(row_id), quoted(label), *values, f"{quoted(row_id)} AS base_id",
+        "CAST(NULL AS BIGINT) AS synthetic_no", "false AS is_synthetic",
     )
     return real.unionByName(new_rows.withColumn("is_synthetic", F.lit(True)))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -77,8 +79,8 @@ class Trained:
 
     def _predict_knn(self, df: DataFrame, output: str) -> DataFrame:
         train, row_id, label, options = self.model
-        found = neighbors.nearest(df, train, row_id, self.features, **options)
-        votes = neighbors.vote(found, train, row_id, label).select(
+        found = neighbors.nearest(df, train, row_id, self.features, carry=label, **options)
+        votes = neighbors.vote(found, label).select(
             F.col("id").alias("_id"), F.col("prediction").alias(output)
         )
         return df.drop(output).join(votes, F.col(row_id) == F.col("_id"), "left").drop("_id")
@@ -207,38 +209,47 @@ def apply_selection(df: DataFrame, names: Sequence[str], keep: Sequence[str] = (
 def draw_params(space: Mapping, n_trials: int, seed: int = 42) -> list[dict]:
     """Random settings: a list is chosen from, a pair (lo, hi) is a range.
 
-    Ranges of two ints give ints.  Repeated settings are drawn again while the space
-    has others.
+    Ranges of two ints give ints.  No setting is drawn twice; a space with no more than
+    ``n_trials`` settings is given whole, in order.
     """
     rng = random.Random(seed)
+    sizes = [None if isinstance(c, tuple) and not _whole(c) else len(_values(c)) for c in space.values()]
+    if None not in sizes and math.prod(sizes) <= n_trials:
+        return [dict(zip(space, values)) for values in itertools.product(*map(_values, space.values()))]
     trials: list[dict] = []
-    for _ in range(50 * n_trials):
-        if len(trials) == n_trials:
-            break
+    while len(trials) < n_trials:
         drawn = {}
         for name, choice in space.items():
             if isinstance(choice, tuple):
-                lo, hi = choice
-                whole = isinstance(lo, int) and isinstance(hi, int)
-                drawn[name] = rng.randint(lo, hi) if whole else rng.uniform(lo, hi)
+                drawn[name] = rng.randint(*choice) if _whole(choice) else rng.uniform(*choice)
             else:
-                drawn[name] = rng.choice(list(choice))
+                drawn[name] = rng.choice(_values(choice))
         if drawn not in trials:
             trials.append(drawn)
     return trials
 
 
+def _whole(choice: tuple) -> bool:
+    return all(isinstance(v, int) for v in choice)
+
+
+def _values(choice: tuple | Sequence) -> Sequence:
+    """The distinct settings of a list or of a range of ints, in order."""
+    return range(choice[0], choice[1] + 1) if isinstance(choice, tuple) else list(dict.fromkeys(choice))
+
+
 def stratified_folds(df: DataFrame, label: str, row_id: str, folds: int, seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..folds-1, even within each class.
 
-    Only real rows are dealt out; a synthetic row follows the row it was made from.
+    Only real rows are dealt out; a synthetic row follows the row it was made from, its
+    ``base_id``.
     """
     real = df.where(~F.col("is_synthetic")) if "is_synthetic" in df.columns else df
     keys = real.select(row_id, label)
     largest = keys.groupBy(label).count().agg(F.max("count")).first()[0] or 0
     numbered = number_rows(keys, label, row_id, seed, "fold", bucket_digits(largest))
     table = numbered.select(F.col(row_id).alias("_id"), F.pmod(F.col("idx"), F.lit(folds)).cast("int").alias("fold"))
-    return df.join(table, F.col(row_id) == F.col("_id")).drop("_id")
+    return df.join(table, F.col("base_id" if "base_id" in df.columns else row_id) == F.col("_id")).drop("_id")
 
 
 def search(

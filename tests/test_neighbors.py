@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelframe.operators import neighbors
+from labelframe.operators import neighbors, resample
 
 
 def brute(queries, candidates, k, group=False, exclude_self=False):
@@ -64,8 +64,8 @@ def test_pruning_keeps_far_cells_closed(spark):
     df = frame(spark, rows)
     got = neighbors.nearest(df, df, "id", "v", k=3, exclude_self=True, block_rows=100)
     assert found(got) == brute(rows, rows, 3, exclude_self=True)
-    left = df.select(F.lit("").alias("grp"), "id", F.col("v").alias("vec"))
-    index = neighbors._Index(left, "bigint", 4, 42, 100)
+    left = df.select(F.lit("").alias("grp"), "id", F.col("v").alias("vec"), F.lit(None).cast("int").alias("carried"))
+    index = neighbors._Index(left, "bigint", "int", 4, 42, 100)
     first = index.search(left, 1000)
     more = index.search(first.cache(), 1000)
     visited = 0 if more is None else more.count()
@@ -91,10 +91,9 @@ def test_no_candidates(spark):
 
 
 def test_smallest_label_wins_a_tied_vote(spark):
-    near = spark.createDataFrame([(1, 1, 10), (1, 2, 11), (2, 1, 11)], "id long, rank int, neighbour long")
-    labels = spark.createDataFrame([(10, 5), (11, 3)], "id long, y long")
-    assert {tuple(r) for r in neighbors.vote(near, labels, "id", "y").collect()} == {(1, 3), (2, 3)}
-    each = neighbors.vote_each(near, labels, "id", "y", [1, 2])
+    near = spark.createDataFrame([(1, 1, 5), (1, 2, 3), (2, 1, 3)], "id long, rank int, y long")
+    assert {tuple(r) for r in neighbors.vote(near, "y").collect()} == {(1, 3), (2, 3)}
+    each = neighbors.vote_each(near, "y", [1, 2])
     assert {tuple(r) for r in each.collect()} == {(1, 1, 5), (2, 1, 3), (1, 2, 3), (2, 2, 3)}
 
 
@@ -102,3 +101,47 @@ def test_classify(separable):
     test, train = separable.where("id % 4 = 0"), separable.where("id % 4 <> 0")
     out = neighbors.classify(train, test, "id", "label", ["x", "y"], k=5)
     assert out.count() == 75 and out.where("label = prediction").count() >= 74
+
+
+def test_repeated_candidate_ids_are_refused(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0)], "id long, x double")
+    with pytest.raises(ValueError, match="unique"):
+        neighbors.nearest(df, df, "id", ["x"], k=1)
+
+
+def test_labels_come_with_the_neighbours_and_text_ids_are_ordered(spark):
+    rows = [("b", 1.0, 7), ("a", 1.0, 8), ("c", 2.0, 9)]
+    df = spark.createDataFrame(rows, "id string, x double, y long")
+    got = neighbors.nearest(df, df, "id", ["x"], k=2, exclude_self=True, carry="y")
+    assert {tuple(r) for r in got.collect()} == {
+        ("a", 1, "b", 0.0, 7), ("a", 2, "c", 1.0, 9), ("b", 1, "a", 0.0, 8),
+        ("b", 2, "c", 1.0, 9), ("c", 1, "a", 1.0, 8), ("c", 2, "b", 1.0, 7),
+    }
+
+
+def test_blocks_stay_small_when_the_directory_is_full(spark, lumpy, monkeypatch):
+    monkeypatch.setattr(neighbors, "MAX_RINGS", 4)
+    df = frame(spark, lumpy)
+    got = neighbors.nearest(df, df, "id", "v", k=3, block_rows=16)
+    assert found(got) == brute(lumpy, lumpy, 3)
+    rows = df.select(F.lit("").alias("grp"), "id", F.col("v").alias("vec"), F.lit(None).cast("int").alias("carried"))
+    index = neighbors._Index(rows, "bigint", "int", 3, 42, 16)
+    rings = index.groups[""]["rings"]
+    assert len(rings) <= len(np.unique(rings[:, 0])) + 4 and rings[:, 4].max() > 1
+    assert index.blocks.groupBy("block").count().agg(F.max("count")).first()[0] <= 48
+
+
+def test_votes_on_an_oversampled_table_equal_brute_force(spark):
+    """Overlapping classes, so that a wrong vote shows."""
+    rng = np.random.default_rng(12)
+    rows = [(i, int(i % 4 == 0), float(rng.normal(0.7 * (i % 4 == 0))), float(rng.normal())) for i in range(160)]
+    df = spark.createDataFrame(rows, "id long, label long, x double, y double")
+    learn, check = df.where("id < 100"), df.where("id >= 100")
+    grown = resample.smote(learn, "id", "label", ["x", "y"], {1: 75}, k=5).cache()
+    assert grown.select("id").distinct().count() == grown.count() == 150
+    got = {r["id"]: r["prediction"] for r in neighbors.classify(grown, check, "id", "label", ["x", "y"], k=5).collect()}
+    held = sorted((r["id"], r["label"], r["x"], r["y"]) for r in grown.collect())
+    for i, _, x, y in rows[100:]:
+        near = sorted(((x - a) ** 2 + (y - b) ** 2, j, c) for j, c, a, b in held)[:5]
+        votes = [c for _, _, c in near]
+        assert got[i] == max(sorted(set(votes)), key=votes.count)

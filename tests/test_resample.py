@@ -23,8 +23,8 @@ def test_targets_are_reached_and_others_untouched(separable, grown):
 def test_new_rows_lie_between_their_row_and_a_near_one_of_the_class(separable, grown):
     pdf = separable.toPandas().set_index("id")
     for r in grown.where("is_synthetic").collect():
-        base = pdf.loc[r["id"]]
-        mates = pdf[(pdf["label"] == r["label"]) & (pdf.index != r["id"])]
+        base = pdf.loc[r["base_id"]]
+        mates = pdf[(pdf["label"] == r["label"]) & (pdf.index != r["base_id"])]
         dist = np.sqrt(((mates[FEATURES] - base[FEATURES]) ** 2).sum(axis=1))
         near = mates.loc[dist.sort_values(kind="stable").index[:5], FEATURES].to_numpy()
         start = base[FEATURES].to_numpy(dtype=float)
@@ -81,3 +81,12 @@ def test_copies_in_a_class(spark):
     out = resample.smote(df, "id", "label", ["x"], {1: 200}, k=3)
     assert out.where("label = 1").count() == 200
     assert out.where(F.col("is_synthetic") & F.col("x").isNull()).count() == 0
+
+
+def test_new_ids_are_unique_for_numbers_and_text(separable, grown):
+    assert grown.select("id").distinct().count() == grown.count()
+    assert grown.where("NOT is_synthetic AND base_id <> id").count() == 0
+    named = separable.withColumn("id", F.concat(F.lit("row"), F.col("id")))
+    twice = resample.smote(named, "id", "label", FEATURES, {3: 40}, k=5)
+    twice = resample.smote(twice.drop("base_id", "synthetic_no", "is_synthetic"), "id", "label", FEATURES, {3: 50}, k=5)
+    assert twice.select("id").distinct().count() == twice.count() == 320

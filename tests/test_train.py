@@ -103,7 +103,9 @@ def test_drawn_params():
     trials = train.draw_params({"a": [1, 2], "b": (1, 3), "c": (0.0, 1.0)}, 5, seed=3)
     assert trials == train.draw_params({"a": [1, 2], "b": (1, 3), "c": (0.0, 1.0)}, 5, seed=3)
     assert len(trials) == 5 and all(t["a"] in (1, 2) and 1 <= t["b"] <= 3 and 0 <= t["c"] <= 1 for t in trials)
-    assert len(train.draw_params({"a": [1, 2]}, 5)) == 2
+    assert train.draw_params({"a": [1, 2], "b": (1, 2)}, 5) == [{"a": a, "b": b} for a in (1, 2) for b in (1, 2)]
+    space = {"a": list(range(12)), "b": (1, 10)}
+    assert len({tuple(t.items()) for t in train.draw_params(space, 119)}) == 119
 
 
 def test_search_refits_the_best_setting(parts):
@@ -122,7 +124,7 @@ def test_search_keeps_synthetic_rows_out_of_validation(parts):
     grown = resample.smote(learn, "id", "label", FEATURES, {3: 60}, k=3)
     dealt = train.stratified_folds(grown, "label", "id", 2)
     assert dealt.count() == grown.count()
-    strays = dealt.where("is_synthetic").select("id", F.col("fold").alias("f")).join(dealt.where("NOT is_synthetic"), "id")
+    strays = dealt.where("is_synthetic").select(F.col("base_id").alias("b"), F.col("fold").alias("f")).join(dealt.where("NOT is_synthetic"), F.col("b") == F.col("id"))
     assert strays.where("f <> fold").count() == 0
     _, _, score, _ = train.search("decision_tree", grown, "label", "id", FEATURES, {"maxDepth": [4]}, n_trials=1, folds=2)
     assert score > 0.9
