@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelframe.functions.checkpoints import materialize
+from labelframe.functions.small import local_table
+
 FLOATING = (T.FloatType, T.DoubleType)
 
 
@@ -71,3 +74,21 @@ def aggregate_columns(
         for i, name in enumerate(columns)
     ]
     return wide.select(*by, F.expr(f"inline(array({', '.join(rows)}))"))
+
+
+def ranked(df: DataFrame, by: str, output: str) -> DataFrame:
+    """Number the rows 0, 1, ... in the order of a column of distinct values.
+
+    The rows are sorted into ranges, numbered inside each range and moved up by the
+    sizes of the ranges before; no task sees more than a range.
+    """
+    sorted_ = materialize(df.orderBy(by).withColumn("_range", F.spark_partition_id()))
+    sizes = sorted_.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect()
+    starts, total = [], 0
+    for r in sizes:
+        starts.append((r["_range"], total))
+        total += r["n"]
+    table = local_table(df.sparkSession, starts, "_range int, _start long")
+    inner = F.row_number().over(Window.partitionBy("_range").orderBy(by)) - 1
+    numbered = sorted_.withColumn("_rank", inner).join(F.broadcast(table), "_range")
+    return numbered.select((F.col("_start") + F.col("_rank")).cast("int").alias(output), *df.columns)

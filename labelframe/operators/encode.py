@@ -5,27 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelframe.functions.reshape import aggregate_columns, is_missing, present
+from labelframe.functions.reshape import aggregate_columns, is_missing, present, ranked
 
 MAX_CATEGORIES = 10_000
 
 
-def fit_one_hot(df: DataFrame, column: str, max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """Parameter table ``(ordinal, category)``: sorted categories seen in ``df``.
-
-    One row above the limit is kept so that :func:`categories` can refuse the column;
-    the numbering therefore never sees more than ``max_categories + 1`` rows.
-    """
+def fit_one_hot(df: DataFrame, column: str) -> DataFrame:
+    """Parameter table ``(ordinal, category)``: all sorted categories seen in ``df``."""
     seen = df.where(~is_missing(df, column)).select(F.col(column).alias("category")).distinct()
-    few = seen.orderBy("category").limit(max_categories + 1)
-    return few.select((F.row_number().over(Window.orderBy("category")) - 1).alias("ordinal"), "category")
+    return ranked(seen, "category", "ordinal")
 
 
 def categories(params: DataFrame, max_categories: int = MAX_CATEGORIES) -> list:
-    """The ordered categories on the driver, refused when they are not few."""
+    """The ordered categories on the driver; more than can be columns are refused."""
     rows = params.orderBy("ordinal").limit(max_categories + 1).collect()
     if len(rows) > max_categories:
         raise ValueError(f"more than {max_categories} categories; one column for each is not useful")

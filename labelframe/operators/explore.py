@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelframe.functions.reshape import aggregate_columns, present, quoted
+from labelframe.functions.checkpoints import materialize
+from labelframe.functions.reshape import aggregate_columns, present
 from labelframe.functions.small import settle
 from labelframe.operators.profile import with_share
 from labelframe.operators.quantiles import quantiles
 
-BUILT_IN_PAIRS = 66
+TILE = 512
+# exp(-z * z / 2) is zero in double arithmetic beyond this many bandwidths
+REACH = 39.0
 SUMS = ["n", "x", "y", "xx", "yy", "xy"]
 
 
@@ -98,8 +102,12 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     mirror image is added to the small result.
     """
     columns = list(columns)
-    few = len(columns) * (len(columns) - 1) // 2 <= BUILT_IN_PAIRS
-    lower = _pairs_built_in(df, columns) if few else _pairs_by_product(df, columns)
+    tiles = [range(i, min(i + TILE, len(columns))) for i in range(0, len(columns), TILE)]
+    means = _means(df, columns)
+    lower = reduce(
+        DataFrame.unionByName,
+        [_pairs_by_product(df, columns, means, a, b) for i, a in enumerate(tiles) for b in tiles[: i + 1]],
+    )
     mirror = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r")
     one, both = F.array(F.struct("i", "j", "r")), F.array(F.struct("i", "j", "r"), mirror)
     out = lower.select(F.inline(F.when(F.col("i") == F.col("j"), one).otherwise(both)))
@@ -113,46 +121,37 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _pairs_built_in(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(i, j, r)``, j <= i, from one aggregation; a column without spread has no r."""
-
-    def value(i: int) -> Column:
-        return present(df, columns[i]).cast("double")
-
-    def r(i: int, j: int) -> Column:
-        a, b = value(i), value(j)
-        if i == j:
-            return F.when(F.stddev_pop(a) > 0, 1.0)
-        spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
-        return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
-
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
-    row = df.agg(*[r(i, j).alias(f"{i}_{j}") for i, j in pairs])
-    cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"{i}_{j}").alias("r")) for i, j in pairs]
-    return row.select(F.inline(F.array(*cells)))
+def _means(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    values = df.select(*[present(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    means = values.agg(*[F.avg(f"c{i}") for i in range(len(columns))]).first()
+    return np.array([0.0 if m is None else m for m in means], dtype=float)
 
 
-def _pairs_by_product(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(i, j, r)``, j <= i, of a wide table: thousands of aggregates would not compile.
+def _pairs_by_product(df: DataFrame, columns: Sequence[str], means: np.ndarray, rows: range, cols: range) -> DataFrame:
+    """``(i, j, r)``, j <= i, of the columns numbered ``rows`` with those numbered ``cols``.
 
     Each task multiplies its batches into sums over pairs, about the column means so
-    that nothing cancels; Spark adds the sums of the tasks up.
+    that nothing cancels; Spark adds the sums of the tasks up.  A task holds the sums of
+    one tile of columns with another, so its memory does not grow with the width.
     """
-    values = df.select(*[present(df, c).cast("double").alias(c) for c in columns])
-    means = values.agg({c: "avg" for c in columns}).select(*[quoted(f"avg({c})") for c in columns]).first()
-    centre = np.array([0.0 if m is None else m for m in means], dtype=float)
-    width = len(columns)
+    used = [*rows, *(j for j in cols if j not in rows)]
+    values = df.select(*[present(df, columns[i]).cast("double").alias(f"c{i}") for i in used])
+    at = {i: k for k, i in enumerate(used)}
+    left, right = [at[i] for i in rows], [at[j] for j in cols]
+    centre = means[used]
+    i, j = (a.ravel() for a in np.meshgrid(np.array(rows), np.array(cols), indexing="ij"))
+    kept = j <= i
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((6, width, width))
+        total = np.zeros((6, len(left), len(right)))
         for batch in batches:
             x = batch.to_numpy(dtype=float) - centre
             there = (~np.isnan(x)).astype(float)
             x = np.nan_to_num(x)
             squares = x * x
-            total += [there.T @ there, x.T @ there, there.T @ x, squares.T @ there, there.T @ squares, x.T @ x]
-        i, j = np.tril_indices(width)
-        yield pd.DataFrame({"i": i, "j": j, **{n: total[k, i, j] for k, n in enumerate(SUMS)}})
+            a, b, at_, bt, a2, b2 = x[:, left], x[:, right], there[:, left], there[:, right], squares[:, left], squares[:, right]
+            total += [at_.T @ bt, a.T @ bt, at_.T @ b, a2.T @ bt, at_.T @ b2, a.T @ b]
+        yield pd.DataFrame({"i": i[kept], "j": j[kept], **{n: total[k].ravel()[kept] for k, n in enumerate(SUMS)}})
 
     schema = "i int, j int, " + ", ".join(f"{n} double" for n in SUMS)
     added = values.mapInPandas(sums, schema).groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in SUMS])
@@ -160,8 +159,8 @@ def _pairs_by_product(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     some = F.nullif(n, F.lit(0.0))
     below = (xx - x * x / some) * (yy - y * y / some)
     r = (xy - x * y / some) / F.nullif(F.sqrt(below), F.lit(0.0))
-    kept = F.greatest(F.least(F.when(F.col("i") == F.col("j"), 1.0).otherwise(r), F.lit(1.0)), F.lit(-1.0))
-    return added.select("i", "j", F.when((n > 0) & (below > 0), kept).alias("r"))
+    bounded = F.greatest(F.least(F.when(F.col("i") == F.col("j"), 1.0).otherwise(r), F.lit(1.0)), F.lit(-1.0))
+    return added.select("i", "j", F.when((n > 0) & (below > 0), bounded).alias("r"))
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.85) -> DataFrame:
@@ -175,13 +174,12 @@ def strong_pairs(corr: DataFrame, threshold: float = 0.85) -> DataFrame:
 
 
 def box_statistics(
-    df: DataFrame, columns: Sequence[str], label: str, whisker: float = 1.5, approx: bool = False,
-    max_distinct: int = 2_000_000,
+    df: DataFrame, columns: Sequence[str], label: str, whisker: float = 1.5, approx: bool = False
 ) -> DataFrame:
     """Per (feature, class): quartiles, whisker ends, outliers beyond 1.5 x IQR."""
-    quarters = quantiles(df, columns, [0.25, 0.5, 0.75], by=[label], approx=approx, max_distinct=max_distinct)
+    quarters = quantiles(df, columns, [0.25, 0.5, 0.75], by=[label], approx=approx)
     reach = F.lit(whisker) * (F.col("q")[2] - F.col("q")[0])
-    fences = quarters.select(
+    fences = quarters.where("q IS NOT NULL").select(
         F.col(label).alias("class"),
         "ordinal",
         "column",
@@ -191,6 +189,7 @@ def box_statistics(
         (F.col("q")[0] - reach).alias("lower"),
         (F.col("q")[2] + reach).alias("upper"),
     )
+    fences = materialize(fences)
     table = fences.groupBy("class").agg(
         F.map_from_entries(F.collect_list(F.struct("ordinal", F.struct("lower", "upper")))).alias("fence")
     )
@@ -226,9 +225,10 @@ def density(
     """Gaussian kernel density of each (feature, class) on an even grid.
 
     Bandwidth std * n^(-1/5); the grid reaches ``cut`` bandwidths past the extremes.
-    Equal values are counted before they meet the grid, so the cost is distinct
-    values x grid.  ``bins`` first rounds values to that many bin centres per group:
-    cheaper on continuous columns, and approximate to the bin width.
+    A value meets the grid points within ``REACH`` bandwidths, beyond which its kernel
+    is zero, and the points are summed up in the task that reads it: no value is
+    shuffled.  ``bins`` first counts values in that many bins per group: cheaper, and
+    approximate to the bin width.
     """
     columns = list(columns)
     moments = aggregate_columns(
@@ -260,15 +260,23 @@ def density(
         long = long.join(p, same).select(
             long["class"], long["ordinal"], (F.col("lo") + (number + 0.5) * w).alias("value")
         )
-    counted = long.groupBy("class", "ordinal", "value").agg(F.count("*").alias("n"))
+    if bins is None:
+        counted = long.withColumn("n", F.lit(1))
+    else:
+        counted = long.groupBy("class", "ordinal", "value").agg(F.count("*").alias("n"))
     p = params.select(F.col("class").alias("p_class"), F.col("ordinal").alias("p_ordinal"), "h", "start", "step")
+    first = F.greatest(F.ceil((F.col("value") - REACH * F.col("h") - F.col("start")) / F.col("step")), F.lit(0)).cast("int")
+    last = F.least(F.floor((F.col("value") + REACH * F.col("h") - F.col("start")) / F.col("step")), F.lit(grid - 1)).cast("int")
     points = (
         counted.join(p, counted["class"].eqNullSafe(p["p_class"]) & (counted["ordinal"] == p["p_ordinal"]))
-        .select("p_class", "p_ordinal", "value", "n", "h", "start", "step", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+        .withColumns({"first": first, "last": last})
+        .select("p_class", "p_ordinal", "value", "n", "h", "start", "step", F.explode(F.when(F.col("first") <= F.col("last"), F.sequence("first", "last"))).alias("point"))
         .withColumn("z", (F.col("start") + F.col("point") * F.col("step") - F.col("value")) / F.col("h"))
         .groupBy("p_class", "p_ordinal", "point")
         .agg(F.sum(F.col("n") * F.exp(F.col("z") * F.col("z") * -0.5)).alias("mass"))
     )
+    every = params.select(F.col("class").alias("p_class"), F.col("ordinal").alias("p_ordinal"), F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    points = points.unionByName(every.withColumn("mass", F.lit(0.0))).groupBy("p_class", "p_ordinal", "point").agg(F.sum("mass").alias("mass"))
     same = points["p_class"].eqNullSafe(params["class"]) & (points["p_ordinal"] == params["ordinal"])
     scale = F.lit(0.3989422804014327) / (F.col("n_total") * F.col("h"))
     return points.join(params, same).select(
@@ -283,7 +291,7 @@ def density(
 
 def violin(df: DataFrame, columns: Sequence[str], label: str, grid: int = 100, bins: int | None = None) -> DataFrame:
     """The density table with the quartiles of each (feature, class) beside it."""
-    quarters = quantiles(df, columns, [0.25, 0.5, 0.75], by=[label]).select(
+    quarters = quantiles(df, columns, [0.25, 0.5, 0.75], by=[label]).where("q IS NOT NULL").select(
         F.col(label).alias("q_class"),
         F.col("ordinal").alias("q_ordinal"),
         F.col("q")[0].alias("q25"),

@@ -26,9 +26,7 @@ def tail(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*[F.col(k).desc() for k in key]).limit(n)
 
 
-def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, max_distinct: int = 2_000_000
-) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, quartiles and max of each numeric column."""
     columns = list(columns or numeric_columns(df))
     moments = aggregate_columns(
@@ -42,7 +40,7 @@ def describe(
             "max": lambda c: F.max(present(df, c)).cast("double"),
         },
     )
-    quarters = quantiles(df, columns, [0.25, 0.5, 0.75], approx=approx, max_distinct=max_distinct).select(
+    quarters = quantiles(df, columns, [0.25, 0.5, 0.75], approx=approx).select(
         "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
     )
     return moments.join(quarters, "column", "left").select(

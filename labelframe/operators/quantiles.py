@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelframe.functions.reshape import aggregate_columns, present, quoted
-from labelframe.functions.small import local_table, settle
+from labelframe.functions.checkpoints import materialize
+from labelframe.functions.reshape import aggregate_columns, present
+from labelframe.functions.small import settle
 
-MAX_TARGETS = 100_000
-# groups that Spark's object aggregation holds before it sorts instead
-GROUPS_IN_MEMORY = 128
+BINS = 4096
+SORTED_AT_ONCE = 200_000
 
 
 def quantiles(
@@ -21,102 +21,84 @@ def quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    max_distinct: int = 2_000_000,
     approx: bool = False,
+    bins: int = BINS,
+    small: int = SORTED_AT_ONCE,
 ) -> DataFrame:
     """Rows ``(by..., ordinal, column, q)`` with ``q`` an array aligned to ``probs``.
 
-    ``percentile`` keeps a map of value to count for each group in memory.  It is
-    used only where those maps are known to be small: ``max_distinct`` values over the
-    columns and groups that a task can hold at once.  Larger groups go through
-    :func:`refine`, whose state does not depend on the number of values.  ``approx``
-    gives Spark's bounded sketch.
+    Every group and column has a row; ``q`` is null where there is no value.  ``approx``
+    gives Spark's bounded sketch instead.
+
+    The exact way is the same for every size.  A state row is an interval of values of
+    one group and column, with the wanted ranks inside it.  While an interval holds more
+    than ``small`` values, a pass counts them in ``bins`` equal parts and keeps the parts
+    with a wanted rank; that is a map-side aggregation with at most ``bins`` groups per
+    interval.  The values of the intervals left are counted by value and ranked.  No list
+    of values is ever built, and the intervals stay in a table.
     """
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    columns = list(columns)
     if approx:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
         return aggregate_columns(
             df, columns, {"q": lambda c: F.percentile_approx(present(df, c).cast("double"), wanted)}, by
         )
-
-    def built_in(part: DataFrame) -> DataFrame:
-        return aggregate_columns(
-            part, columns, {"q": lambda c: F.percentile(present(df, c).cast("double"), wanted)}, by
-        )
-
-    distinct = sum((F.approx_count_distinct(F.expr(quoted(c))) for c in columns), F.lit(0))
-    sizes = df.groupBy(*by).agg(distinct.alias("_n"))
-    groups, largest = sizes.agg(F.count("*"), F.max("_n")).first()
-    allowed = max_distinct // max(1, min(groups, GROUPS_IN_MEMORY))
-    if (largest or 0) <= allowed:
-        return built_in(df)
-    if not by:
-        return refine(df, columns, probs)
-    large = sizes.where(F.col("_n") > allowed)
-    keys = settle(large.select(*[F.col(b).alias(f"_key{i}") for i, b in enumerate(by)]), MAX_TARGETS)
-    same = [df[b].eqNullSafe(keys[f"_key{i}"]) for i, b in enumerate(by)]
-    rest = built_in(df.join(keys, same, "left_anti"))
-    return rest.unionByName(refine(df.join(keys, same, "left_semi"), columns, probs, by))
-
-
-def refine(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    bins: int = 4096,
-    small: int = 50_000,
-) -> DataFrame:
-    """Exact quantiles by repeated counting into equal-width bins.
-
-    Each pass counts the values of the interval that holds a wanted rank in
-    ``bins`` bins and keeps the bin with that rank.  A pass is one map-side
-    aggregation with at most ``bins`` groups per rank.  It ends when the interval
-    holds at most ``small`` values (or one distinct value); those are then sorted.
-    """
-    spark = df.sparkSession
     groups = [f"g{i}" for i in range(len(by))]
     keys = [*groups, "ordinal"]
-    # the map from column number to value keeps the scan at one row per input row
+    totals = aggregate_columns(
+        df,
+        columns,
+        {
+            "n": lambda c: F.count(present(df, c)),
+            "lo": lambda c: F.min(present(df, c)).cast("double"),
+            "hi": lambda c: F.max(present(df, c)).cast("double"),
+        },
+        by,
+    )
+    totals = materialize(totals.select(*[F.col(f"`{b}`").alias(g) for b, g in zip(by, groups)], "ordinal", "column", "n", "lo", "hi"))
+    # one row per input row and column; a null is dropped before anything moves
     long = df.select(
         *[F.col(f"`{b}`").alias(g) for b, g in zip(by, groups)],
         F.posexplode(F.array(*[present(df, c).cast("double") for c in columns])).alias("ordinal", "v"),
     ).where(F.col("v").isNotNull())
-    key_types = [f.dataType.simpleString() for f in long.schema.fields[: len(keys)]]
-    schema = ", ".join(
-        [f"{k} {t}" for k, t in zip(keys, key_types)]
-        + ["rnk long", "below long", "lo double", "hi double", "n long"]
+
+    spots = {p: (F.col("n") - 1) * F.lit(float(p)) for p in probs}
+    ends = [f(spot).cast("long") for spot in spots.values() for f in (F.floor, F.ceil)]
+    start = totals.where("n > 0").select(
+        *keys, F.lit(0).cast("long").alias("below"), "lo", "hi", "n", F.array_distinct(F.array(*ends)).alias("ranks")
+    )
+    found = _values(long, keys, _settled(long, keys, start, bins, small))
+    at = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rnk", "v"))).alias("at"))
+    at = at.select(*[F.col(k).alias(f"t_{k}") for k in keys], "at")
+    values = []
+    for spot in spots.values():
+        low, high = (F.element_at("at", f(spot).cast("long")) for f in (F.floor, F.ceil))
+        # between equal values nothing is added, so that infinite ones stay themselves
+        values.append(F.when(low == high, low).otherwise(low + (high - low) * (spot - F.floor(spot))))
+    same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in keys]
+    return totals.join(at, same, "left").select(
+        *[F.col(g).alias(b) for b, g in zip(by, groups)], "ordinal", "column", F.when(F.col("n") > 0, F.array(*values)).alias("q")
     )
 
-    totals = long.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    ).limit(MAX_TARGETS + 1).collect()
-    if len(totals) > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} large groups; use approx")
-    open_targets, done = [], []
-    for row in totals:
-        key = [row[k] for k in keys]
-        ranks = {r for p in probs for r in (math.floor((row.n - 1) * p), math.ceil((row.n - 1) * p))}
-        for rank in sorted(ranks):
-            open_targets.append((*key, rank, 0, row.lo, row.hi, row.n))
-
-    def as_frame(targets):
-        return F.broadcast(local_table(spark, targets, schema))
-
-    def inside(targets):
-        other = as_frame(targets).select(*[F.col(k).alias(f"t_{k}") for k in keys], "rnk", "below", "lo", "hi")
-        same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in keys]
-        between = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
-        joined = long.join(other, same + [between])
-        return joined.drop(*[f"t_{k}" for k in keys])
-
-    def settled(t):
-        return t[-1] <= small or t[-3] == t[-2]
 
+def _inside(long: DataFrame, keys: Sequence[str], intervals: DataFrame, *more: str) -> DataFrame:
+    """The values of each interval, beside what is asked for of it."""
+    other = settle(intervals.select(*[F.col(k).alias(f"t_{k}") for k in keys], "below", "lo", "hi", *more))
+    same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in keys]
+    between = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+    return long.join(other, [*same, between]).drop(*[f"t_{k}" for k in keys])
+
+
+def _settled(long: DataFrame, keys: Sequence[str], intervals: DataFrame, bins: int, small: int) -> DataFrame:
+    """Intervals around all wanted ranks with at most ``small`` values or one distinct value."""
+    done = []
     while True:
-        done += [t for t in open_targets if settled(t)]
-        open_targets = [t for t in open_targets if not settled(t)]
-        if not open_targets:
-            break
+        intervals = materialize(intervals)
+        ready = (F.col("n") <= small) | (F.col("lo") == F.col("hi"))
+        done.append(intervals.where(ready))
+        wide = intervals.where(~ready)
+        if wide.isEmpty():
+            return reduce(DataFrame.unionByName, done)
         share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
         number = (
             F.when(F.col("v") == F.col("lo"), 0)
@@ -125,51 +107,29 @@ def refine(
             .otherwise(F.least(F.floor(F.nanvl(share, F.lit(0.5)) * bins), F.lit(bins - 1)))
         )
         counted = (
-            inside(open_targets)
+            _inside(long, keys, wide)
             .withColumn("bin", number)
-            .groupBy(*keys, "rnk", "below", "bin")
+            .groupBy(*keys, "below", "bin")
             .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-        upto = Window.partitionBy(*keys, "rnk").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        chosen = (
-            counted.withColumn("start", F.col("below") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
-            .where((F.col("rnk") >= F.col("start")) & (F.col("rnk") < F.col("start") + F.col("n")))
-            .select(*keys, "rnk", F.col("start").alias("below"), "lo", "hi", "n")
-        )
-        open_targets = [tuple(row) for row in chosen.collect()]
-
-    flat = [t for t in done if t[-3] == t[-2]]
-    few = [t for t in done if t[-3] != t[-2]]
-    parts = []
-    if flat:
-        parts.append(local_table(spark, flat, schema).select(*keys, "rnk", F.col("lo").alias("v")))
-    if few:
-        at = (F.col("rnk") - F.col("below") + 1).cast("int")
-        parts.append(
-            inside(few)
-            .groupBy(*keys, "rnk", "below")
-            .agg(F.array_sort(F.collect_list("v")).alias("vs"))
-            .select(*keys, "rnk", F.element_at("vs", at).alias("v"))
-        )
-    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    n_rows = local_table(
-        spark,
-        [(*[r[k] for k in keys], r.n) for r in totals],
-        ", ".join([f"{k} {t}" for k, t in zip(keys, key_types)] + ["n long"]),
-    )
-    at_rank = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rnk", "v"))).alias("at"))
-    at_rank = at_rank.select(*[F.col(k).alias(f"t_{k}") for k in keys], "at")
-    values = []
-    for p in probs:
-        pos = (F.col("n") - 1) * F.lit(float(p))
-        low = F.element_at("at", F.floor(pos).cast("long"))
-        high = F.element_at("at", F.ceil(pos).cast("long"))
-        values.append(low + (high - low) * (pos - F.floor(pos)))
-    names = F.array(*[F.lit(c) for c in columns])
-    same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in keys]
-    return n_rows.join(at_rank, same).select(
-        *[F.col(g).alias(b) for b, g in zip(by, groups)],
-        "ordinal",
-        F.element_at(names, F.col("ordinal") + 1).alias("column"),
-        F.array(*values).alias("q"),
-    )
+        wanted = wide.select(*[F.col(k).alias(f"t_{k}") for k in keys], F.col("below").alias("t_below"), F.col("ranks").alias("all"))
+        upto = Window.partitionBy(*keys, "below").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counted.withColumn("first", F.col("below") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+        same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in [*keys, "below"]]
+        kept = placed.join(wanted, same).withColumn("ranks", _ranks_in("all"))
+        intervals = kept.where(F.size("ranks") > 0).select(*keys, F.col("first").alias("below"), "lo", "hi", "n", "ranks")
+
+
+def _ranks_in(column: str):
+    return F.filter(column, lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n")))
+
+
+def _values(long: DataFrame, keys: Sequence[str], intervals: DataFrame) -> DataFrame:
+    """Rows ``(keys..., rnk, v)`` of all wanted ranks."""
+    flat = intervals.where(F.col("lo") == F.col("hi"))
+    ranged = intervals.where(F.col("lo") < F.col("hi"))
+    counted = _inside(long, keys, ranged, "ranks").groupBy(*keys, "below", "v").agg(F.count("*").alias("n"), F.first("ranks").alias("all"))
+    upto = Window.partitionBy(*keys, "below").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("first", F.col("below") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    hit = placed.select(*keys, F.explode(_ranks_in("all")).alias("rnk"), "v")
+    return hit.unionByName(flat.select(*keys, F.explode("ranks").alias("rnk"), F.col("lo").alias("v")))

@@ -43,7 +43,12 @@ def test_one_hot_keeps_all_categories_and_ignores_unseen(spark):
 
 def test_too_many_categories_are_refused(spark):
     with pytest.raises(ValueError, match="categories"):
-        encode.categories(encode.fit_one_hot(spark.range(20), "id", max_categories=5), max_categories=5)
+        encode.categories(encode.fit_one_hot(spark.range(20), "id"), max_categories=5)
+
+
+def test_every_category_is_fitted_and_numbered(spark):
+    got = encode.fit_one_hot(spark.range(20_000).selectExpr("id % 12345 AS id"), "id").collect()
+    assert {(r["ordinal"], r["category"]) for r in got} == {(i, i) for i in range(12345)}
 
 
 def test_inverse_takes_the_first_of_equal_indicators(spark):
@@ -77,8 +82,9 @@ def mixed(spark):
     return pdf, spark.createDataFrame(pdf).repartition(4)
 
 
-@pytest.mark.parametrize("width", [4, 14])
-def test_correlations_equal_pandas(mixed, width):
+@pytest.mark.parametrize("width, tile", [(4, 512), (14, 512), (14, 5)])
+def test_correlations_equal_pandas(mixed, monkeypatch, width, tile):
+    monkeypatch.setattr(explore, "TILE", tile)
     pdf, df = mixed
     columns = [f"c{i}" for i in range(width)]
     expected = pdf[columns].corr()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelframe.operators import profile
-from labelframe.operators.quantiles import quantiles, refine
+from labelframe.operators.quantiles import quantiles
 
 
 @pytest.fixture(scope="module")
@@ -46,12 +46,11 @@ def test_describe_equals_pandas(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"a": rng.normal(size=501), "b": rng.integers(0, 9, 501)})
     expected = pdf.describe()
-    for limit in (1_000_000, 5):
-        got = profile.describe(spark.createDataFrame(pdf), max_distinct=limit).toPandas().set_index("column")
-        for c in pdf.columns:
-            for ours, theirs in {"count": "count", "mean": "mean", "std": "std", "min": "min", "q25": "25%",
-                                 "q50": "50%", "q75": "75%", "max": "max"}.items():
-                assert math.isclose(got.loc[c, ours], expected.loc[theirs, c], rel_tol=1e-12), (c, ours)
+    got = profile.describe(spark.createDataFrame(pdf)).toPandas().set_index("column")
+    for c in pdf.columns:
+        for ours, theirs in {"count": "count", "mean": "mean", "std": "std", "min": "min", "q25": "25%",
+                             "q50": "50%", "q75": "75%", "max": "max"}.items():
+            assert math.isclose(got.loc[c, ours], expected.loc[theirs, c], rel_tol=1e-12), (c, ours)
 
 
 def test_describe_of_empty_table(spark):
@@ -65,30 +64,43 @@ def test_refined_quantiles_are_exact_per_group(spark):
     pdf = pd.DataFrame({"g": np.where(np.arange(len(heavy)) % 3 == 0, "p", None), "v": heavy, "w": -heavy})
     df = spark.createDataFrame(pdf, "g string, v double, w double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = refine(df, ["v", "w"], probs, by=["g"], bins=16, small=10).collect()
+    got = quantiles(df, ["v", "w"], probs, by=["g"], bins=16, small=10).collect()
     assert len(got) == 4
     for r in got:
         part = pdf[pdf["g"] == r["g"]] if r["g"] else pdf[pdf["g"].isna()]
         assert np.allclose(r["q"], np.quantile(part[r["column"]], probs), rtol=1e-12)
 
 
-def test_only_large_groups_are_refined(spark):
-    rows = [("big", float(i)) for i in range(500)] + [("small", 1.0), ("small", 2.0), (None, 7.0)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r["q"] for r in quantiles(df, ["v"], [0.5], by=["g"], max_distinct=50).collect()}
-    assert got == {"big": [249.5], "small": [1.5], None: [7.0]}
+@pytest.mark.parametrize("small", [1, 50, 10_000])
+def test_rows_do_not_depend_on_sizes(spark, small):
+    """A column without values and a group without values have their row, however large the neighbours are."""
+    rows = [("big", float(i), None) for i in range(500)] + [("small", 1.0, None), ("small", 2.0, None), (None, 7.0, None), ("none", None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, empty double")
+    got = {(r["g"], r["column"]): r["q"] for r in quantiles(df, ["v", "empty"], [0.5], by=["g"], small=small, bins=8).collect()}
+    assert got == {
+        ("big", "v"): [249.5], ("small", "v"): [1.5], (None, "v"): [7.0], ("none", "v"): None,
+        **{(g, "empty"): None for g in ("big", "small", "none", None)},
+    }
+    whole = {r["column"]: r["q"] for r in quantiles(df, ["v", "empty"], [0.0, 1.0], small=small, bins=8).collect()}
+    assert whole == {"v": [0.0, 499.0], "empty": None}
 
 
-def test_refined_quantiles_with_infinities(spark):
+def test_quantiles_of_many_groups(spark):
+    df = spark.range(30_000).selectExpr("id % 10000 AS g", "CAST(id AS DOUBLE) AS v")
+    got = quantiles(df, ["v"], [0.5], by=["g"]).collect()
+    assert len(got) == 10_000 and all(r["q"] == [r["g"] + 10_000.0] for r in got)
+
+
+def test_quantiles_with_infinities(spark):
     values = [float("-inf"), float("inf")] + [float(i) for i in range(100)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    assert refine(df, ["v"], [0.5], bins=4, small=3).first()["q"][0] == 49.5
+    assert quantiles(df, ["v"], [0.0, 0.5, 1.0], bins=4, small=3).first()["q"] == [float("-inf"), 49.5, float("inf")]
 
 
 def test_quantiles_skip_missing(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "v double")
     assert quantiles(df, ["v"], [0.5]).first()["q"] == [2.0]
-    assert quantiles(df, ["v"], [0.5], max_distinct=0).first()["q"] == [2.0]
+    assert quantiles(df, ["v"], [0.5], small=0).first()["q"] == [2.0]
 
 
 def test_class_shares_and_comparison(spark):
