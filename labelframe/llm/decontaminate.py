@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelframe.llm.batches import bounded
 from labelframe.llm.words import Slice, slices, split_words, windows
 
 WIDTH = 5
@@ -140,7 +141,7 @@ def contained_items(
                     names=["id", "item", "n_shared", "n_shingles", "containment"],
                 )
 
-        some = docs.select(id_column, text).mapInArrow(run, schema)
+        some = bounded(docs).select(id_column, text).mapInArrow(run, schema)
         found = some if found is None else found.unionAll(some)
     return found.withColumnsRenamed({"id": id_column, "item": item_column})
 
@@ -166,5 +167,5 @@ def decontaminate(
                     keep[[part.first + hit[0] for hit in sketches.search(part)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = bounded(docs).mapInArrow(run, docs.schema)
     return docs

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
+from labelframe.llm.batches import bounded
 from labelframe.llm.components import components
 from labelframe.llm.words import Slice, in_row, mix, repeats, seeds, slices, split_words, windows
 
@@ -298,7 +299,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
     loss of executors.
     """
     rows_in_band, least = band_rows(threshold), least_matches(threshold)
-    own = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    own = bounded(docs).select(F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     sketches = materialize(sketch(own, width, rows_in_band))
     classes = materialize(classes_of(sketches))
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from labelframe.llm.batches import bounded
 from labelframe.llm.words import slices, split_words
 
 THRESHOLD = 0.8
@@ -177,6 +178,6 @@ def license_scan(
             yield pa.RecordBatch.from_arrays([batch.column(0).take(arrays[0]), *arrays[1:]], names=[id_column, "license", "coverage", "n_found", "start", "end"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text).mapInArrow(
+    return bounded(docs).select(id_column, text).mapInArrow(
         run, f"`{id_column}` {kind}, license string, coverage double, n_found long, start long, `end` long"
     )

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from labelframe.llm.batches import bounded
 from labelframe.llm.words import Slice, Spans, process_state, slices, split_words
 
 WINDOW = 2048
@@ -203,4 +204,4 @@ def pack(
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = ", ".join([f"`{id_column}` {kind}", *(f"{c} long" for c in COLUMNS), *["ids array<int>"] * with_ids])
-    return docs.select(id_column, text).mapInArrow(run, schema)
+    return bounded(docs).select(id_column, text).mapInArrow(run, schema)

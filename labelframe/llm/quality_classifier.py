@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelframe.llm.batches import bounded
 from labelframe.llm.words import Slice, in_row, mix, repeated_words, repeats, row_sums, slices, spans_of, split_words
 
 SAMPLE = 6000
@@ -157,7 +158,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text:
     An empty table gives a model that keeps every text with words.
     """
     k = len(LABELLERS)
-    own = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(id_column), F.col(text)).alias("draw"))
+    own = bounded(docs).select(F.col(text).alias("text"), F.xxhash64(F.col(id_column), F.col(text)).alias("draw"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(3**k, np.int64)
@@ -217,7 +218,7 @@ def classify(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(weak), pa.array(p), pa.array(p >= 0.5)], names=names)
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text).mapInArrow(run, f"`{id_column}` {kind}, n_words long, weak_label double, p_quality double, kept boolean")
+    return bounded(docs).select(id_column, text).mapInArrow(run, f"`{id_column}` {kind}, n_words long, weak_label double, p_quality double, kept boolean")
 
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -229,4 +230,4 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             for part in slices(batch.column(place)):
                 yield batch.slice(part.first, part.rows).filter(pa.array(score(part, model)[2] >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelframe.llm.batches import bounded
 from labelframe.llm.words import (
     Slice,
     in_row,
@@ -227,4 +228,4 @@ def quality_rules(docs: DataFrame, field: Field, least_content: float = LEAST_CO
     kind = docs.schema[id_column].dataType.simpleString()
     kinds = ["long"] * 5 + ["boolean", "double", "boolean"]
     schema = ", ".join([f"`{id_column}` {kind}", *(f"{n} {k}" for n, k in zip(names, kinds))])
-    return docs.select(id_column, text).mapInArrow(run, schema)
+    return bounded(docs).select(id_column, text).mapInArrow(run, schema)

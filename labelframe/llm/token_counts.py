@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from labelframe.llm.batches import bounded
 from labelframe.llm.words import process_state, row_sums, slices, split_words
 
 MARK = "▁"
@@ -168,4 +169,4 @@ def token_counts(docs: DataFrame, pieces: list[str], id_column: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offsets)), pa.array(tokens)], names=[id_column, "n_words", "n_tokens"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text).mapInArrow(run, f"`{id_column}` {kind}, n_words long, n_tokens long")
+    return bounded(docs).select(id_column, text).mapInArrow(run, f"`{id_column}` {kind}, n_words long, n_tokens long")

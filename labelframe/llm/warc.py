@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelframe.llm.batches import bounded
+
 LEAST_REVISIT = 1000
 PART_BYTES = 4 << 20
 READ_BYTES = 64 << 10
@@ -113,7 +115,7 @@ def archive_parts(marked: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return marked.select("id", "url", "payload", "response_id").mapInArrow(run, PARTS)
+    return bounded(marked).select("id", "url", "payload", "response_id").mapInArrow(run, PARTS)
 
 
 class BadRecord(ValueError):
@@ -202,5 +204,5 @@ def read_archives(parts: DataFrame, id_type: str = "bigint", with_payload: bool
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     schema = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string, url string" + ", payload binary" * with_payload
-    read = parts.select("content").mapInArrow(run, schema)
+    read = bounded(parts).select("content").mapInArrow(run, schema)
     return read.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
