@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
+from labelframe.llm.batches import bounded
 from labelframe.llm.words import BASE, Slice, mix, row_sums, slices, split_words
 
 FOLDS = 5
 HELD_OUT = 1
 DELETED = 2
 BLOCK_BYTES = 8 << 20
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 8 << 20
 BUCKETS = 64  # binary logarithms of a 64-bit count
 BINS = 8  # bins of the weights' statistics in a factor of two
 ROUNDS = 100
@@ -291,7 +292,7 @@ def lm_score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     does; a checksum of each block finds an order that has changed.
     """
     fold = F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(FOLDS)), F.lit(0)).cast("long")
-    own = docs.select(F.col(id_column).alias("id"), fold.alias("fold"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = bounded(docs).select(F.col(id_column).alias("id"), fold.alias("fold"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, math.ceil(size / RANGE_BYTES))
     answers = materialize(add_up(count_requests(own, ranges), ranges))
