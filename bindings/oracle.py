@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from bindings.queries import BASELINES, DIMENSIONS, ITEM_RULES, K_VALUES, MEASURES, PART_RULES, SEED
+from bindings.queries import BASELINES, ITEM_RULES, K_VALUES, MEASURES, PART_RULES, SEARCHED, SEASON_ENDS, SEED
+
+# the width of the vectors of the test tables; the queries read it off the table
+DIMENSIONS = [f"e{i}" for i in range(64)]
 
 
 def r6(expr: str, name: str, digits: int = 6) -> str:
@@ -163,46 +166,52 @@ def variance_shares() -> str:
     shares AS (SELECT feature, ordinal, v / (SELECT sum(v) FROM spread) AS importance FROM spread)"""
 
 
-NEIGHBORS = f"""vec AS (SELECT vec_id, CAST(label AS BIGINT) AS label, embedding::DOUBLE[] AS e FROM embeddings),
-near AS (
+ALL_VECTORS = "vec AS (SELECT vec_id, CAST(label AS BIGINT) AS label, embedding::DOUBLE[] AS e FROM embeddings)"
+
+# from here on ``vec`` is the table that is oversampled
+NEAR = f"""near AS (
   SELECT id, neighbour, distance2, row_number() OVER (PARTITION BY id ORDER BY distance2, neighbour) AS rank
   FROM (SELECT a.vec_id AS id, b.vec_id AS neighbour, {SQUARED} AS distance2
         FROM vec a JOIN vec b ON a.label = b.label AND a.vec_id <> b.vec_id))"""
 
-GROWTH = """sizes AS (SELECT CAST(label AS BIGINT) AS class, count(*) AS n FROM embeddings GROUP BY 1),
-plan AS (SELECT class, n, (SELECT max(n) FROM sizes) AS target FROM sizes)"""
+GROWTH = """before AS (SELECT label AS class, count(*) AS n FROM vec GROUP BY 1),
+plan AS (SELECT class, n, (SELECT max(n) FROM before) AS target FROM before)"""
+
+SMOTE_KEY = ("class", "j")
+SMOTE = f"""{NEAR}, {GROWTH},
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY {digest('smote-order', 'vec_id')}, vec_id) - 1 AS idx
+  FROM vec),
+draws AS (
+  SELECT class, j, row_number() OVER (ORDER BY CAST(class AS VARCHAR), j) - 1 AS no,
+         {draw_int('smote-row', *SMOTE_KEY)} % n AS idx, {draw_int('smote-neighbour', *SMOTE_KEY)} % 5 + 1 AS rank,
+         {draw_unit('smote-gap', *SMOTE_KEY)} AS gap
+  FROM (SELECT class, n, unnest(range(target - n)) AS j FROM plan WHERE target > n)),
+made AS (
+  SELECT (SELECT max(vec_id) FROM vec) + 1 + no AS vec_id, a.label,
+         list_transform(list_zip(a.e, b.e), lambda z: z[1] + gap * (z[2] - z[1])) AS e, a.vec_id AS base_id,
+         CAST(j AS BIGINT) AS synthetic_no
+  FROM draws JOIN numbered a ON a.label = draws.class AND a.idx = draws.idx
+  JOIN near ON near.id = a.vec_id AND near.rank = draws.rank JOIN vec b ON b.vec_id = near.neighbour),
+grown AS (
+  SELECT *, true AS is_synthetic FROM made
+  UNION ALL SELECT vec_id, label, e, vec_id, NULL, false FROM vec)"""
 
 
 def smote() -> str:
-    key = ("class", "j")
-    moved = ", ".join(
-        r6(f"a.e[{i + 1}] + gap * (b.e[{i + 1}] - a.e[{i + 1}])", c) for i, c in enumerate(DIMENSIONS)
-    )
-    real = ", ".join(r6(f"e[{i + 1}]", c) for i, c in enumerate(DIMENSIONS))
-    return f"""WITH {NEIGHBORS}, {GROWTH},
-    numbered AS (
-      SELECT *, row_number() OVER (PARTITION BY label ORDER BY {digest('smote-order', 'vec_id')}, vec_id) - 1 AS idx
-      FROM vec),
-    draws AS (
-      SELECT class, j, {draw_int('smote-row', *key)} % n AS idx, {draw_int('smote-neighbour', *key)} % 5 + 1 AS rank,
-             {draw_unit('smote-gap', *key)} AS gap
-      FROM (SELECT class, n, unnest(range(target - n)) AS j FROM plan WHERE target > n))
-    SELECT a.vec_id, a.label, {moved}, CAST(j AS BIGINT) AS synthetic_no, true AS is_synthetic
-    FROM draws JOIN numbered a ON a.label = draws.class AND a.idx = draws.idx
-    JOIN near ON near.id = a.vec_id AND near.rank = draws.rank JOIN vec b ON b.vec_id = near.neighbour
-    UNION ALL SELECT vec_id, label, {real}, NULL, false FROM vec"""
+    shown = ", ".join(r6(f"e[{i + 1}]", c) for i, c in enumerate(DIMENSIONS))
+    return f"WITH {ALL_VECTORS}, {SMOTE} SELECT vec_id, label, {shown}, base_id, synthetic_no, is_synthetic FROM grown"
 
 
-KNN = f"""{VECTOR_SPLIT},
-close AS (
-  SELECT id, label, vote, row_number() OVER (PARTITION BY id ORDER BY distance2, neighbour) AS rank
-  FROM (SELECT a.vec_id AS id, a.label, b.vec_id AS neighbour, b.label AS vote, {SQUARED} AS distance2
-        FROM parted a JOIN parted b ON a.split = 'test' AND b.split = 'train')),
-predicted AS ({' UNION ALL '.join(
-    f'''SELECT 'knn_{k}' AS model, id, label, vote AS prediction FROM (
-      SELECT id, label, vote, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, vote) AS place
-      FROM close WHERE rank <= {k} GROUP BY id, label, vote) WHERE place = 1''' for k in K_VALUES)}),
-cells AS (SELECT model, label, prediction, count(*) AS n FROM predicted GROUP BY ALL),
+def votes(k: int, near: str = "close", by: str = "id, label") -> str:
+    """The label that most of the first k neighbours have, the smallest on a tie."""
+    return f"""SELECT {by}, vote AS prediction FROM (
+      SELECT {by}, vote, row_number() OVER (PARTITION BY {by} ORDER BY count(*) DESC, vote) AS place
+      FROM {near} WHERE rank <= {k} GROUP BY {by}, vote) WHERE place = 1"""
+
+
+# from ``predicted`` (model, label, prediction) to ``metrics``
+METRICS = """cells AS (SELECT model, label, prediction, count(*) AS n FROM predicted GROUP BY ALL),
 seen AS (SELECT DISTINCT model, label AS class FROM cells UNION SELECT DISTINCT model, prediction FROM cells),
 marks AS (
   SELECT model, class,
@@ -217,6 +226,53 @@ metrics AS (
   SELECT model, avg(f) AS macro_f1, sum(f * support) / sum(support) AS weighted_f1,
          sum(r * support) / sum(support) AS accuracy FROM report GROUP BY 1)"""
 
+CLOSE = f"""close AS (
+  SELECT id, label, vote, row_number() OVER (PARTITION BY id ORDER BY distance2, neighbour) AS rank
+  FROM (SELECT a.vec_id AS id, a.label, b.vec_id AS neighbour, b.label AS vote, {SQUARED} AS distance2
+        FROM asked a CROSS JOIN held b))"""
+
+KNN = f"""{VECTOR_SPLIT},
+asked AS (SELECT * FROM parted WHERE split = 'test'), held AS (SELECT * FROM parted WHERE split = 'train'), {CLOSE},
+predicted AS ({' UNION ALL '.join(f"SELECT 'knn_{k}' AS model, * FROM ({votes(k)})" for k in K_VALUES)}),
+{METRICS}"""
+
+GROWN_KNN = f"""{VECTOR_SPLIT}, vec AS (SELECT vec_id, label, e FROM parted WHERE split = 'train'), {SMOTE},
+asked AS (SELECT * FROM parted WHERE split = 'test'), held AS (SELECT * FROM grown), {CLOSE}"""
+
+SEARCH = f"""WITH {VECTOR_SPLIT},
+dealt AS (
+  SELECT vec_id, label, e,
+    (row_number() OVER (PARTITION BY label ORDER BY {digest('fold', 'vec_id')}, vec_id) - 1) % 3 AS fold
+  FROM parted WHERE split = 'train'),
+close AS (
+  SELECT id, fold, label, vote, row_number() OVER (PARTITION BY id ORDER BY distance2, neighbour) AS rank
+  FROM (SELECT a.vec_id AS id, a.fold, a.label, b.vec_id AS neighbour, b.label AS vote, {SQUARED} AS distance2
+        FROM dealt a JOIN dealt b ON a.fold <> b.fold)),
+predicted AS ({' UNION ALL '.join(f"SELECT {k} || '-' || fold AS model, * FROM ({votes(k, by='id, fold, label')})" for k in SEARCHED)}),
+{METRICS}
+SELECT CAST(split_part(model, '-', 1) AS BIGINT) AS k, {r6('avg(macro_f1)', 'cv_macro_f1')} FROM metrics GROUP BY 1"""
+
+SEASON_SPLIT = split_ctes(
+    f"""SELECT o_orderkey, month(o_orderdate) AS month,
+      CAST(CASE WHEN month(o_orderdate) <= {SEASON_ENDS[0]} THEN 0 WHEN month(o_orderdate) <= {SEASON_ENDS[1]} THEN 1 ELSE 2 END
+           AS BIGINT) AS label FROM orders""",
+    "label", "o_orderkey", 0.2,
+)
+# what a model that has found the bands of the month says
+SEASONS = f"WITH {SEASON_SPLIT} SELECT o_orderkey, label, label AS prediction FROM parted WHERE split = 'test'"
+
+STUMP = f"""{SEASON_SPLIT},
+cuts AS (SELECT CAST(range AS INTEGER) AS cut FROM range(1, 12)),
+sides AS (SELECT cut, month > cut AS side, label, count(*)::DOUBLE AS n
+          FROM parted CROSS JOIN cuts WHERE split = 'train' GROUP BY ALL),
+best AS (SELECT cut FROM (SELECT cut, side, sum(n * n) / sum(n) AS s FROM sides GROUP BY ALL)
+         GROUP BY cut ORDER BY sum(s) DESC, cut LIMIT 1),
+larger AS (SELECT side, label FROM (
+  SELECT side, label, row_number() OVER (PARTITION BY side ORDER BY n DESC, label) AS place
+  FROM sides WHERE cut = (SELECT cut FROM best)) WHERE place = 1),
+stump AS (SELECT p.o_orderkey, p.label, l.label AS prediction FROM parted p
+          JOIN larger l ON l.side = (p.month > (SELECT cut FROM best)) WHERE p.split = 'test')"""
+
 
 def first_cut(trees: int = 8, width: int = 64, kept: int = 8) -> str:
     key = ("tree", "path", "feature")
@@ -294,8 +350,9 @@ def oracle_sql() -> dict[str, str]:
         "clean_audit_ranges": audit(),
         "clean_drop_impossible": f"SELECT p_partkey, p_size, p_retailprice FROM part WHERE {impossible}",
         "label_distribution": f"""WITH {CODES}, o AS (
-              SELECT code FROM orders LEFT JOIN codes ON o_orderpriority = name WHERE o_orderstatus IN ('O', 'P'))
-            SELECT code AS class, count(*) AS "count", {r6('count(*) / (SELECT count(*) FROM o) * 100', 'pct')}
+              SELECT CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END || '-' || code AS pair
+              FROM orders LEFT JOIN codes ON o_orderpriority = name)
+            SELECT pair AS class, count(*) AS "count", {r6('count(*) / (SELECT count(*) FROM o) * 100', 'pct')}
             FROM o GROUP BY 1""",
         "split_stratified": f"WITH {ORDERS_SPLIT} SELECT * FROM parted",
         "split_imbalanced": f"""WITH {split_ctes('SELECT doc_id, quality FROM labels', 'quality', 'doc_id', 0.25)}
@@ -368,15 +425,36 @@ def oracle_sql() -> dict[str, str]:
             SELECT feature, {r6('importance', 'importance')}, importance >= {1 / 64!r}::DOUBLE AS selected FROM shares""",
         "select_dropped": f"""WITH {variance_shares()}
             SELECT feature, {r6('importance', 'importance')} FROM shares WHERE shares.importance < {1 / 64!r}::DOUBLE""",
-        "resample_plan": f"WITH {GROWTH} SELECT class, n, target, target - n AS to_add FROM plan",
-        "resample_neighbors": f"""WITH {NEIGHBORS} SELECT id, CAST(rank AS INTEGER) AS rank, neighbour,
+        "resample_plan": f"WITH {ALL_VECTORS}, {GROWTH} SELECT class, n, target, target - n AS to_add FROM plan",
+        "resample_neighbors": f"""WITH {ALL_VECTORS}, {NEAR} SELECT id, CAST(rank AS INTEGER) AS rank, neighbour,
               {r6('distance2', 'distance2')} FROM near WHERE near.rank <= 5""",
         "resample_smote": smote(),
-        "resample_comparison": f"""WITH {GROWTH} SELECT class, n AS n_before, target AS n_after,
-              {r6('target / (SELECT sum(target) FROM plan) * 100', 'pct_after')}, target - n AS added,
-              CASE WHEN target = n THEN 'unchanged' ELSE 'resampled' END AS status FROM plan""",
-        "expect_class_targets": f"""WITH {GROWTH} SELECT 'class ' || class AS "check", true AS passed,
-              CAST(target AS VARCHAR) AS observed, CAST(target AS VARCHAR) AS expected FROM plan""",
+        "resample_comparison": f"""WITH {ALL_VECTORS}, {SMOTE},
+              after AS (SELECT label AS class, count(*) AS n FROM grown GROUP BY 1)
+            SELECT class, before.n AS n_before, after.n AS n_after,
+              {r6('after.n / (SELECT sum(n) FROM after) * 100', 'pct_after')}, after.n - before.n AS added,
+              CASE WHEN after.n = before.n THEN 'unchanged' ELSE 'resampled' END AS status
+            FROM before JOIN after USING (class)""",
+        "expect_class_targets": f"""WITH {ALL_VECTORS}, {SMOTE},
+              after AS (SELECT label AS class, count(*) AS n FROM grown GROUP BY 1)
+            SELECT 'class ' || class AS "check", after.n = target AS passed, CAST(after.n AS VARCHAR) AS observed,
+              CAST(target AS VARCHAR) AS expected FROM plan JOIN after USING (class)""",
+        "knn_on_oversampled": f"WITH {GROWN_KNN} {votes(5)}",
+        "train_logistic_regression": SEASONS,
+        "train_decision_tree": SEASONS,
+        "train_random_forest": SEASONS,
+        "train_extra_trees": SEASONS,
+        "train_boosted_trees": SEASONS,
+        "train_stump": f"WITH {STUMP} SELECT * FROM stump",
+        "train_importances": """SELECT 'month' AS first, 3::BIGINT AS n_features, 0::BIGINT AS n_negative,
+              1.0::DOUBLE AS total FROM orders LIMIT 1""",
+        "train_search": SEARCH,
+        "model_metrics_table": f"""WITH {STUMP}, predicted AS (
+              SELECT 'stump' AS model, label, prediction FROM stump
+              UNION ALL SELECT m.model, label, label FROM stump
+              CROSS JOIN (SELECT unnest(['logistic_regression', 'random_forest', 'extra_trees']) AS model) m),
+            {METRICS} SELECT model, {r6('macro_f1', 'macro_f1')}, {r6('weighted_f1', 'weighted_f1')},
+              {r6('accuracy', 'accuracy')} FROM metrics""",
         "knn_classify": f"WITH {KNN} SELECT id, label, prediction FROM predicted WHERE model = 'knn_5'",
         "evaluate_confusion": f"""WITH {KNN}, classes AS (SELECT DISTINCT class FROM seen),
               grid AS (SELECT m.model, a.class AS label, b.class AS prediction
@@ -410,8 +488,11 @@ def oracle_sql() -> dict[str, str]:
                   OR o_totalprice IS NULL OR o_orderdate IS NULL OR o_orderpriority IS NULL) AS VARCHAR) AS m FROM orders),
               c AS (SELECT string_agg(column_name, ',' ORDER BY column_index) AS names
                 FROM duckdb_columns() WHERE table_name = 'orders')
+            , v AS (SELECT CAST(sum(CAST('0x' || substr(md5(concat_ws('|', o_orderkey, o_custkey, o_orderstatus,
+                CAST(round(o_totalprice * 100) AS BIGINT), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority)), 1, 8)
+                AS BIGINT)) AS VARCHAR) AS v FROM orders)
             SELECT format, 'columns in order' AS "check", true AS passed, names AS observed, names AS expected FROM f, c
             UNION ALL SELECT format, 'rows', true, n, n FROM f, n
             UNION ALL SELECT format, 'missing values', true, m, m FROM f, n
-            UNION ALL SELECT format, 'values', true, 'same', 'same' FROM f""",
+            UNION ALL SELECT format, 'values', true, v, v FROM f, v""",
     }

@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelframe.functions import formulas
-from labelframe.functions.checkpoints import shared_folder
+from labelframe.functions.checkpoints import run_folder
+from labelframe.functions.classes import class_counts
+from labelframe.functions.hashing import hex_to_long
 from labelframe.functions.small import local_table
 from labelframe.operators import clean, encode, evaluate, expect, explore, extra_trees, neighbors, profile
 from labelframe.operators import resample, split, train
 from labelframe.sources import tables
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-DIMENSIONS = [f"e{i}" for i in range(64)]
 SEED = 42
 K_VALUES = [1, 3, 5, 7]
+SEARCHED = [1, 5, 9]
+SEASON_ENDS = (5, 9)
 ITEM_RULES = {
     "l_quantity": (2, 49),
     "l_extendedprice": (1000, 100000),
@@ -44,12 +47,19 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The embedding table with one double column per dimension."""
+    """The embedding table with one double column per dimension, as many as its vectors have."""
     df = table(spark, sf_dir, "embeddings")
-    each = [f"CAST(embedding[{i}] AS DOUBLE) AS {c}" for i, c in enumerate(DIMENSIONS)]
+    least, most = df.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if least != most:
+        raise ValueError(f"vectors of {least} to {most} dimensions")
+    each = [f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(most or 0)]
     return df.selectExpr("vec_id", "CAST(label AS BIGINT) AS label", *each)
 
 
+def dimensions(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in ("vec_id", "label")]
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "embeddings")
     return df.select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
@@ -171,10 +181,11 @@ def clean_drop_impossible(spark, d):
 
 
 def label_distribution(spark, d):
-    """Recode, encode and count: the smallest whole slice of the cleaning stage."""
+    """Recode, encode and count by recoded status and code: the smallest whole slice of the cleaning stage."""
     orders = clean.recode(table(spark, d, "orders"), "o_orderstatus", "P", "O")
     encoded = clean.encode_label(orders, "o_orderpriority", class_codes(spark, d), "code")
-    return rounded(profile.class_distribution(encoded.where(F.col("o_orderstatus") == "O"), "code"), "pct")
+    both = encoded.withColumn("both", F.concat_ws("-", "o_orderstatus", F.col("code").cast("string")))
+    return rounded(profile.class_distribution(both, "both"), "pct")
 
 
 def orders_split(spark, d):
@@ -238,13 +249,12 @@ def encode_fit_one_hot(spark, d):
 
 
 def type_indicators(spark, d):
-    parts = table(spark, d, "part")
-    cats = encode.categories(encode.fit_one_hot(parts.where(F.col("p_size") > 25), "p_type"))
-    return encode.one_hot(parts.select("p_partkey", "p_type"), "p_type", cats), cats
+    cats = encode.categories(encode.fit_one_hot(parts_split(spark, d).where("split = 'train'"), "p_type"))
+    return encode.one_hot(table(spark, d, "part").select("p_partkey", "p_type"), "p_type", cats), cats
 
 
 def encode_one_hot(spark, d):
-    """Fitted on the large parts only, applied to all."""
+    """Fitted on the training part, applied to all."""
     return type_indicators(spark, d)[0]
 
 
@@ -322,7 +332,8 @@ def explore_correlations(spark, d):
 
 
 def explore_correlations_wide(spark, d):
-    out = explore.correlations(embeddings(spark, d), DIMENSIONS).drop("ordinal_a", "ordinal_b")
+    df = embeddings(spark, d)
+    out = explore.correlations(df, dimensions(df)).drop("ordinal_a", "ordinal_b")
     return rounded(out, "r")
 
 
@@ -380,7 +391,8 @@ def explore_sparse_categories(spark, d):
 
 def variance_shares(spark, d):
     """An importance table that SQL can check: each dimension's share of the variance."""
-    spread = encode.fit_scaler(embeddings(spark, d), DIMENSIONS)
+    df = embeddings(spark, d)
+    spread = encode.fit_scaler(df, dimensions(df))
     total = spread.agg(F.sum(F.col("std") * F.col("std"))).scalar()
     share = F.col("std") * F.col("std") / total
     return spread.select("ordinal", F.col("column").alias("feature"), share.alias("importance"))
@@ -405,7 +417,7 @@ def select_dropped(spark, d):
 
 def growth_targets(df: DataFrame) -> dict:
     """Every class below the largest one is raised to it."""
-    counts = {r["label"]: r["n"] for r in df.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    counts = class_counts(df, "label")
     top = max(counts.values())
     return {c: top for c, n in counts.items() if n < top}
 
@@ -423,12 +435,13 @@ def resample_neighbors(spark, d):
 
 def grown(spark, d):
     df = embeddings(spark, d)
-    return df, resample.smote(df, "vec_id", "label", DIMENSIONS, growth_targets(df), 5, SEED)
+    return df, resample.smote(df, "vec_id", "label", dimensions(df), growth_targets(df), 5, SEED)
 
 
 def resample_smote(spark, d):
     """Real and synthetic rows together."""
-    return rounded(grown(spark, d)[1], *DIMENSIONS)
+    df, out = grown(spark, d)
+    return rounded(out, *dimensions(df))
 
 
 def resample_comparison(spark, d):
@@ -449,9 +462,12 @@ def vector_split(spark, d):
     return df.where("split = 'train'").drop("split"), df.where("split = 'test'").drop("split")
 
 
-def dimension_split(spark, d):
+def knn_on_oversampled(spark, d):
+    """Split, oversample the training part, classify the test part by its real and new rows."""
     df = split.stratified_split(embeddings(spark, d), "label", "vec_id", 0.2, SEED)
-    return df.where("split = 'train'").drop("split"), df.where("split = 'test'").drop("split")
+    learn, check = (df.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    more = resample.smote(learn, "vec_id", "label", dimensions(learn), growth_targets(learn), 5, SEED)
+    return neighbors.classify(more, check, "vec_id", "label", dimensions(learn), k=5)
 
 
 def knn_predictions(spark, d):
@@ -525,63 +541,98 @@ def extra_trees_first_cut(spark, d):
     return rounded(roots.select(F.col("tree").cast("long").alias("tree"), F.col("feature").cast("long").alias("feature"), "threshold"), "threshold")
 
 
-def scored(spark, d, kind, params):
-    learn, check = vector_split(spark, d)
-    model = train.train(kind, learn, "label", "embedding", params, "vec_id")
-    return model.predict(check).select("vec_id", "label", "prediction")
+def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders with a label that their month decides: what a model should learn is known."""
+    month = F.month("o_orderdate")
+    label = F.when(month <= SEASON_ENDS[0], 0).when(month <= SEASON_ENDS[1], 1).otherwise(2)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        label.cast("long").alias("label"),
+        month.cast("long").alias("month"),
+        F.col("o_totalprice").alias("price"),
+        (13.0 - month).alias("left"),
+    )
+
+
+def season_split(spark, d):
+    df = split.stratified_split(seasons(spark, d), "label", "o_orderkey", 0.2, SEED)
+    return tuple(df.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+
+
+MODELS = {
+    "logistic_regression": ([], {"maxIter": 50, "regParam": 0.001}),
+    "decision_tree": (["month", "price"], {"maxDepth": 5}),
+    "random_forest": (["month", "price"], {"numTrees": 20, "maxDepth": 6, "featureSubsetStrategy": "all", "seed": SEED}),
+    "boosted_trees": (["month", "price"], {"maxIter": 10, "maxDepth": 3, "seed": SEED}),
+    "extra_trees": (["month", "left"], {"n_trees": 10, "max_depth": 12, "seed": SEED}),
+    "stump": (["month"], {"maxDepth": 1}),
+}
+
+
+def season_predictions(spark, d, name):
+    """Predictions of one model for the test part."""
+    learn, check = season_split(spark, d)
+    features, params = MODELS[name]
+    if name == "logistic_regression":
+        months = encode.categories(encode.fit_one_hot(learn, "month"))
+        learn, check = (encode.one_hot(df, "month", months) for df in (learn, check))
+        features = [f"month_{m}" for m in months]
+    kind = "decision_tree" if name == "stump" else name
+    return train.train(kind, learn, "label", features, params).predict(check).select("o_orderkey", "label", "prediction")
 
 
 def train_logistic_regression(spark, d):
-    return scored(spark, d, "logistic_regression", {"maxIter": 50, "regParam": 0.01})
+    return season_predictions(spark, d, "logistic_regression")
 
 
 def train_decision_tree(spark, d):
-    return scored(spark, d, "decision_tree", {"maxDepth": 8, "seed": SEED})
+    return season_predictions(spark, d, "decision_tree")
 
 
 def train_random_forest(spark, d):
-    return scored(spark, d, "random_forest", {"numTrees": 30, "maxDepth": 8, "seed": SEED})
+    return season_predictions(spark, d, "random_forest")
 
 
 def train_extra_trees(spark, d):
-    return scored(spark, d, "extra_trees", {"n_trees": 30, "max_depth": 8, "seed": SEED})
+    return season_predictions(spark, d, "extra_trees")
 
 
 def train_boosted_trees(spark, d):
-    return scored(spark, d, "boosted_trees", {"maxIter": 3, "maxDepth": 3, "seed": SEED})
+    return season_predictions(spark, d, "boosted_trees")
 
 
-def train_importances(spark, d):
-    learn, _ = dimension_split(spark, d)
-    out = train.forest_importances(learn, "label", DIMENSIONS, n_trees=50, max_depth=8, seed=SEED)
-    return explore.importance_ranking(out, 0.0005, 30)
+def train_stump(spark, d):
+    """One cut: the best Gini gain on the month, the larger class on each side."""
+    return season_predictions(spark, d, "stump")
 
 
-def train_search(spark, d):
-    """Trials of a random search, each fold oversampled by itself."""
-    learn, _ = dimension_split(spark, d)
+def train_importances(spark, d):
+    """What must hold for the importances: one for each feature, none negative, sum 1, the month first."""
+    learn, _ = season_split(spark, d)
+    out = train.forest_importances(learn, "label", ["price", "month", "o_orderkey"], n_trees=20, max_depth=6, seed=SEED)
+    return out.agg(
+        F.max_by("feature", "importance").alias("first"),
+        F.count("*").alias("n_features"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+        (F.round(F.sum("importance"), 6) + 0.0).alias("total"),
+    )
 
-    def grow(part: DataFrame) -> DataFrame:
-        return resample.smote(part, "vec_id", "label", DIMENSIONS, growth_targets(part), 5, SEED)
 
-    space = {"numTrees": [10, 20], "maxDepth": (4, 8), "seed": [SEED]}
+def train_search(spark, d):
+    """Cross-validated macro F1 of every neighbour count."""
+    learn, _ = vector_split(spark, d)
     _, _, _, trials = train.search(
-        "random_forest", learn, "label", "vec_id", DIMENSIONS, space, n_trials=2, folds=2, prepare=grow
+        "knn", learn, "label", "vec_id", "embedding", {"k": SEARCHED}, n_trials=len(SEARCHED), folds=3, seed=SEED
     )
-    return trials
+    return rounded(trials.select(F.col("params")["k"].cast("long").alias("k"), "cv_macro_f1"), "cv_macro_f1")
 
 
 def model_metrics_table(spark, d):
-    """Metrics of models of three kinds on the held-out rows."""
-    kinds = {
-        "logistic_regression": {"maxIter": 30, "regParam": 0.01},
-        "random_forest": {"numTrees": 20, "maxDepth": 6, "seed": SEED},
-        "extra_trees": {"n_trees": 20, "max_depth": 6, "seed": SEED},
-    }
-    learn, check = vector_split(spark, d)
-    models = train.train_all(list(kinds), learn, "label", "embedding", kinds)
-    parts = [m.predict(check).select(F.lit(k).alias("model"), "label", "prediction") for k, m in models.items()]
-    return evaluate.compare_models(evaluate.model_metrics(reduce(DataFrame.unionByName, parts)))
+    """Metrics of models of four kinds on the held-out rows."""
+    names = ["stump", "logistic_regression", "random_forest", "extra_trees"]
+    parts = [season_predictions(spark, d, k).select(F.lit(k).alias("model"), "label", "prediction") for k in names]
+    found = evaluate.compare_models(evaluate.model_metrics(reduce(DataFrame.unionByName, parts)))
+    return rounded(found, "macro_f1", "weighted_f1", "accuracy")
 
 
 # sources
@@ -589,9 +640,15 @@ def model_metrics_table(spark, d):
 
 def source_round_trip(spark, d):
     orders = table(spark, d, "orders")
-    where = f"{shared_folder(spark).rstrip('/')}/round-trip-{uuid.uuid4().hex}"
+    where = f"{run_folder(spark)}/round-trip-{uuid.uuid4().hex}"
+    # a number for each row that any engine can compute
+    text = F.concat_ws(
+        "|", "o_orderkey", "o_custkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("long"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "o_orderpriority",
+    )
+    digest = hex_to_long(F.substring(F.md5(text), 1, 8))
     both = [
-        tables.round_trip(orders, f"{where}/{fmt}", fmt).select(F.lit(fmt).alias("format"), "*")
+        tables.round_trip(orders, f"{where}/{fmt}", fmt, digest).select(F.lit(fmt).alias("format"), "*")
         for fmt in ("parquet", "csv")
     ]
     return reduce(DataFrame.unionByName, both)
@@ -613,10 +670,10 @@ ALL: list[Query] = [
     explore_violin, explore_cross_tab, explore_cross_tab_percent, explore_indicator_counts,
     explore_sparse_indicators, explore_sparse_categories, select_ranking, select_by_threshold, select_dropped,
     resample_plan, resample_neighbors, resample_smote, resample_comparison, expect_class_targets,
-    knn_classify, evaluate_confusion, evaluate_accuracy, evaluate_class_report, evaluate_macro,
+    knn_classify, knn_on_oversampled, evaluate_confusion, evaluate_accuracy, evaluate_class_report, evaluate_macro,
     evaluate_weighted, evaluate_comparison, evaluate_ranking, evaluate_baselines, expect_metric_floor,
     extra_trees_first_cut, train_logistic_regression, train_decision_tree, train_random_forest,
-    train_extra_trees, train_boosted_trees, train_importances, train_search, model_metrics_table,
+    train_extra_trees, train_boosted_trees, train_stump, train_importances, train_search, model_metrics_table,
     source_round_trip,
 ]
 

@@ -11,11 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelframe.functions.checkpoints import materialize
 from labelframe.functions.small import settle
 
-MAX_CLASSES = 10_000
-
 
 def confusion_counts(
     predictions: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
@@ -37,25 +34,17 @@ def confusion_matrix(
 
     Without ``classes`` the list holds every label and prediction that occurs.
     """
-    counts = materialize(confusion_counts(predictions, label, prediction, by))
-    if classes is None:
-        both = F.explode(F.array(F.col("label"), F.col("prediction")))
-        seen = counts.select(both.alias("c")).where("c IS NOT NULL").distinct().orderBy("c")
-        classes = [r["c"] for r in seen.limit(MAX_CLASSES + 1).collect()]
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    counts = confusion_counts(predictions, label, prediction, by)
     kind = predictions.schema[label].dataType
-    every = F.array(*[F.lit(c).cast(kind) for c in classes])
-    zeros = (
-        counts.select(*by)
-        .distinct()
-        .select(*by, F.explode(every).alias("label"))
-        .select(*by, "label", F.explode(every).alias("prediction"), F.lit(0).cast("long").alias("n"))
-        if by
-        else predictions.sparkSession.range(1)
-        .select(F.explode(every).alias("label"))
-        .select("label", F.explode(every).alias("prediction"), F.lit(0).cast("long").alias("n"))
-    )
+    if classes is None:
+        both = F.explode(F.array(F.col("label"), F.col("prediction"))).alias("c")
+        seen = counts.select(both).where("c IS NOT NULL").distinct()
+    else:
+        seen = predictions.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c).cast(kind) for c in classes])).alias("c"))
+    # every pair of classes, for every group: the cells of the answer itself
+    cells = seen.select(F.col("c").alias("label")).join(seen.select(F.col("c").alias("prediction")))
+    zeros = counts.select(*by).distinct().join(cells) if by else cells
+    zeros = zeros.select(*by, "label", "prediction", F.lit(0).cast("long").alias("n"))
     return counts.unionByName(zeros).groupBy(*by, "label", "prediction").agg(F.sum("n").alias("n"))
 
 

@@ -20,12 +20,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from labelframe.functions.classes import class_counts
 from labelframe.functions.hashing import draw_hex, draw_unit
 from labelframe.functions.reshape import vector
 from labelframe.functions.small import local_table
 
 CELLS_PER_PASS = 2_000_000
 NODES_PER_BROADCAST = 1_000_000
+MAX_DEPTH = 61
 MODEL_SCHEMA = "tree int, node int, feature int, threshold double, child int, counts array<double>"
 
 
@@ -116,7 +118,7 @@ class ExtraTrees:
 
         @F.pandas_udf("array<double>")
         def add_share(vec: pd.Series, share: pd.Series) -> pd.Series:
-            x = np.array(vec.tolist(), dtype=float)
+            x = _features(pd.DataFrame({"vec": vec}))
             total = np.array(share.tolist(), dtype=float)
             for arrays, shares in model.value:
                 total += shares[_route(x, arrays)]
@@ -152,14 +154,17 @@ def fit_extra_trees(
     max_features: int | None = None,
     min_samples_split: int = 2,
     seed: int = 42,
-    max_classes: int = 10_000,
 ) -> ExtraTrees:
-    """Grow ``n_trees`` trees to ``max_depth``; ``max_features`` defaults to the square root."""
-    counted = df.groupBy(F.col(label).alias("c")).agg(F.count("*").alias("n")).limit(max_classes + 1).collect()
-    counts = {r["c"]: r["n"] for r in counted if r["c"] is not None}
-    if not counts or len(counted) > max_classes:
-        raise ValueError(f"{label} needs 1 to {max_classes} classes")
-    classes = sorted(counts)
+    """Grow ``n_trees`` trees to ``max_depth``; ``max_features`` defaults to the square root.
+
+    A node's path is a number with one bit for each level, hence ``MAX_DEPTH``.
+    """
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth is at most {MAX_DEPTH}")
+    counts = {c: n for c, n in class_counts(df, label).items() if c is not None}
+    if not counts:
+        raise ValueError(f"{label} has no classes")
+    classes = list(counts)
     # read once per pass; partitions lost with an executor are computed again
     rows = df.select(F.col(label).alias("y"), vector(features).alias("vec")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -261,12 +266,11 @@ class _Grower:
                  "lo": lo[node, feature], "hi": hi[node, feature]}
             )
 
-        # a partition sends at most one row per open node and feature; with the rows of a
-        # node in one place, the draws of its features need no further exchange
+        # a partition sends at most one row per open node and feature; they are merged by
+        # node and feature, so that a few open nodes still use many tasks
         return (
             self.rows.select("vec")
             .mapInPandas(partial, "node int, tree int, path long, feature int, lo double, hi double")
-            .repartition("node")
             .groupBy("node", "tree", "path", "feature")
             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         )
@@ -308,8 +312,6 @@ class _Grower:
             known.mapInPandas(partial, "node int, slot int, side int, class int, n long")
             .groupBy("node", "slot", "side", "class")
             .agg(F.sum("n").alias("n"))
-            # the totals are small now; all that follows is per node
-            .repartition("node")
         )
 
 

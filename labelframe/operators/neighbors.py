@@ -23,12 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
+from labelframe.functions.classes import class_counts, require_unique
 from labelframe.functions.hashing import draw_int, draw_unit
 from labelframe.functions.reshape import quoted, vector
 from labelframe.functions.small import local_table
 
 MAX_PIVOTS = 16_384
 MAX_RINGS = 32_768
+ROUNDS = (8, 64)
 SLACK = 1e-6
 PAIRS_AT_ONCE = 4_000_000
 
@@ -45,6 +47,7 @@ def nearest(
     block_rows: int = 2048,
     query_rows: int = 8192,
     carry: str | None = None,
+    probes: int | None = None,
 ) -> DataFrame:
     """Rows ``(id, rank, neighbour, distance2)``, rank 1..k by (distance, id).
 
@@ -52,6 +55,9 @@ def nearest(
     out the candidate that has the query's own id.  ``carry`` names a column of the
     candidates, such as the label, that comes along with each neighbour.  Candidate ids
     must be unique: rows that share one could not be told apart.
+
+    The search is exact unless ``probes`` is given: a query then visits its home block
+    and the rings nearest to it, ``probes`` in all, and a nearer row elsewhere is missed.
     """
     keep = k + 1 if exclude_self else k
 
@@ -59,7 +65,7 @@ def nearest(
         key = F.col(group).cast("string") if group else F.lit("")
         return df.select(key.alias("grp"), F.col(row_id).alias("id"), vector(features).alias("vec"), *more)
 
-    _require_unique(candidates, row_id)
+    require_unique(candidates, row_id, "candidates")
     carried = F.col(carry) if carry else F.lit(None).cast("int")
     left, right = prepared(queries), prepared(candidates, carried.alias("carried"))
     id_type, carried_type = (right.schema[c].dataType.simpleString() for c in ("id", "carried"))
@@ -71,11 +77,20 @@ def nearest(
     home = index.search(left, query_rows)
     if home is None:
         return local_table(queries.sparkSession, [], schema)
-    first = materialize(home)
-    best = first.select("id", F.inline("found"))
-    further = index.search(first, query_rows)
-    if further is not None:
-        best = best.unionByName(further.select("id", F.inline("found")))
+    state = materialize(home)
+    # nearest rings first, so that the reach has shrunk before the many far ones are weighed
+    last = probes - 1 if probes else None
+    for lo, hi in zip((0, *ROUNDS), (*ROUNDS, None)):
+        stop = last if hi is None or last is not None and last < hi else hi
+        if stop is not None and stop <= lo:
+            break
+        further = index.search(state, query_rows, lo, stop)
+        if further is not None:
+            state = materialize(index.merge(state, further))
+        elif stop is None or stop - lo > 1:
+            # of two rings one is not the home ring; it is closed, and so are all that come after
+            break
+    best = state.select("id", F.inline("found"))
     if exclude_self:
         best = best.where(F.col("id") != F.col("neighbour"))
     order = Window.partitionBy("id").orderBy("distance2", "neighbour")
@@ -86,12 +101,6 @@ def nearest(
     )
 
 
-def _require_unique(df: DataFrame, row_id: str) -> None:
-    repeated = df.groupBy(F.col(row_id).alias("id")).count().where("count > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"{row_id} {repeated[0]['id']!r} stands for {repeated[0]['count']} candidates; ids must be unique")
-
-
 class _Index:
     """Candidates in blocks, and the bounded directory that says where to look."""
 
@@ -99,10 +108,7 @@ class _Index:
         self.spark, self.id_type, self.keep = rows.sparkSession, id_type, keep
         self.one_type = f"struct<neighbour: {id_type}, carried: {carried_type}>"
         self.found_type = f"struct<distance2: double, neighbour: {id_type}, carried: {carried_type}>"
-        counted = rows.groupBy("grp").agg(F.count("*").alias("n")).limit(MAX_PIVOTS + 1).collect()
-        if len(counted) > MAX_PIVOTS:
-            raise ValueError(f"more than {MAX_PIVOTS} groups; group by a class label")
-        sizes = {r["grp"]: r["n"] for r in counted}
+        sizes = class_counts(rows, "grp")
         self.groups = {g: {} for g in sizes if g is not None}
         if not self.groups:
             return
@@ -192,11 +198,24 @@ class _Index:
             .select("block", "vec", "ids")
         )
 
-    def search(self, queries: DataFrame, query_rows: int) -> DataFrame | None:
+    def merge(self, state: DataFrame, further: DataFrame) -> DataFrame:
+        """One row per query again, with the ``keep`` nearest rows of both tables."""
+        both = state.unionByName(further.withColumn("vec", F.lit(None).cast("array<double>")).withColumn("home", F.lit(None).cast("int")))
+        nearest_first = F.array_sort(F.flatten(F.collect_list("found")))
+        return both.groupBy("id", "grp").agg(
+            F.first("vec", ignorenulls=True).alias("vec"),
+            F.first("home", ignorenulls=True).alias("home"),
+            F.min("reach").alias("reach"),
+            F.slice(nearest_first, 1, self.keep).alias("found"),
+        )
+
+    def search(self, queries: DataFrame, query_rows: int, first: int = 0, last: int | None = None) -> DataFrame | None:
         """Search the home block of raw queries, or the blocks still open after that.
 
         Output: ``(id, grp, vec, home, reach, found)``, one row per query and block; None
-        when no block has to be searched.  Rows beyond ``reach`` are not looked for.
+        when no block has to be searched.  Rows beyond ``reach`` are not looked for.  In
+        the order of their least possible distance, the rings from ``first`` on and
+        before ``last`` are looked at.
         """
         second = "found" in queries.columns
         groups, keep = self.groups, self.keep
@@ -211,7 +230,10 @@ class _Index:
                     step = max(1, PAIRS_AT_ONCE // (len(groups[g]["rings"]) + len(groups[g]["pivots"])))
                     for at in range(0, len(part), step):
                         some = part.iloc[at : at + step]
-                        rows, blocks, reach = (_open_blocks if second else _home_blocks)(some, groups[g], keep)
+                        if second:
+                            rows, blocks, reach = _open_blocks(some, groups[g], keep, first, last)
+                        else:
+                            rows, blocks, reach = _home_blocks(some, groups[g], keep)
                         for i in range(0, len(rows), 20_000):
                             cut = slice(i, i + 20_000)
                             out = some.iloc[rows[cut]][["id", "grp", "vec"]]
@@ -281,8 +303,10 @@ def _home_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray,
     return np.arange(len(part)), rings[ring, 3].astype(int), np.full(len(part), np.inf)
 
 
-def _open_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each query the blocks that may hold a row nearer than its k-th so far."""
+def _open_blocks(
+    part: pd.DataFrame, info: dict, keep: int, first: int, last: int | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each query the blocks that may hold a row nearer than its k-th so far, ranked [first, last) by ring."""
     v, rings = _matrix(part["vec"]), info["rings"]
     cell = rings[:, 0].astype(int)
     to_pivot = _distances(v, info["pivots"])
@@ -298,7 +322,10 @@ def _open_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray,
     ring_gap = np.maximum(rings[:, 1] - d, d - rings[:, 2])
     # a row of a cell is no nearer to any other pivot than to its own
     half_plane = (d - to_pivot.min(axis=1)[:, None]) / 2.0
-    rows, ring = np.nonzero((ring_gap <= reach) & (half_plane <= reach))
+    least = np.maximum(ring_gap, half_plane)
+    by_bound = least.argsort(axis=1, kind="stable")[:, first:last]
+    rows, place = np.nonzero(np.take_along_axis(least, by_bound, axis=1) <= reach)
+    ring = by_bound[rows, place]
     parts = rings[ring, 4].astype(int)
     blocks = np.repeat(rings[ring, 3].astype(int), parts) + _offsets(parts)
     rows = np.repeat(rows, parts)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
+from labelframe.functions.classes import MAX_CLASSES, require_unique
 from labelframe.functions.hashing import draw_hex
 from labelframe.functions.small import local_table
 
@@ -73,7 +74,7 @@ def _under(hashed: DataFrame, prefixes: Mapping) -> DataFrame:
 
 
 def _lookup(hashed: DataFrame, values: Mapping, column: str) -> DataFrame:
-    """A value per class; there are at most ``max_classes`` of them."""
+    """A value per class; there are at most ``MAX_CLASSES`` of them."""
     kind = hashed.schema["label"].dataType.simpleString()
     return F.broadcast(local_table(hashed.sparkSession, list(values.items()), f"label {kind}, {column}"))
 
@@ -84,7 +85,6 @@ def stratified_split(
     row_id: str,
     test_fraction: float = 0.2,
     seed: int = 42,
-    max_classes: int = 100_000,
     output: str = "split",
     small: int = 100_000,
 ) -> DataFrame:
@@ -92,15 +92,17 @@ def stratified_split(
 
     Within a class the rows with the smallest digests are test rows.  Only class
     counts and one cut per class reach the driver; rows are then marked by a
-    map-only comparison, so the wide table is never shuffled.
+    map-only comparison, so the wide table is never shuffled.  Ids must be unique, since
+    rows that share one could not be parted by the cut.
     """
+    require_unique(df, row_id)
     hashed = df.select(
         F.col(label).alias("label"), F.col(row_id).alias("id"), draw_hex(seed, PURPOSE, F.col(row_id)).alias("h")
     )
     buckets = materialize(bucket_counts(hashed, DIGITS))
-    counted = buckets.groupBy("label").agg(F.sum("n").alias("n")).limit(max_classes + 1).collect()
-    if len(counted) > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} classes; it is not a class label")
+    counted = buckets.groupBy("label").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counted) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes; it is not a class label")
     counts = {r["label"]: r["n"] for r in counted if r["label"] is not None}
     if len(counts) < len(counted):
         raise ValueError(f"{label} has missing values; every row needs a class")

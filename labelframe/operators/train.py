@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
+from labelframe.functions.classes import class_counts, class_list
 from labelframe.functions.reshape import vector
 from labelframe.functions.small import local_table
 from labelframe.operators import neighbors
@@ -30,24 +31,17 @@ from labelframe.operators.evaluate import model_metrics
 from labelframe.operators.extra_trees import ExtraTrees, fit_extra_trees
 from labelframe.operators.resample import bucket_digits, number_rows
 
-MAX_CLASSES = 100
+CLASS_MODELS_AT_ONCE = 4
 
 ESTIMATORS: dict[str, Callable] = {
     "logistic_regression": lambda **p: LogisticRegression(family="multinomial", **p),
     "decision_tree": DecisionTreeClassifier,
     "random_forest": RandomForestClassifier,
     # GBTClassifier knows two labels only, hence one model per class
-    "boosted_trees": lambda **p: OneVsRest(classifier=GBTClassifier(**p)),
+    "boosted_trees": lambda **p: OneVsRest(classifier=GBTClassifier(**p), parallelism=CLASS_MODELS_AT_ONCE),
 }
 
 
-def class_list(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> list:
-    rows = df.select(F.col(label).alias("c")).where("c IS NOT NULL").distinct().limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} classes")
-    return sorted(r["c"] for r in rows)
-
-
 def to_ml(df: DataFrame, features: Sequence[str] | str, label: str | None = None, classes: Sequence = ()) -> DataFrame:
     """Add ``_features`` (vector) and, with a label, its 0-based ``_label``."""
     out = df.withColumn("_features", array_to_vector(vector(features)))
@@ -145,14 +139,16 @@ def train(
     features: Sequence[str] | str,
     params: Mapping | None = None,
     row_id: str | None = None,
+    classes: Sequence | None = None,
 ) -> Trained:
     """Fit one classifier; ``params`` are those of its Spark estimator.
 
     ``boosted_trees`` is one gradient-boosted binary model per class.  ``extra_trees``
-    takes the arguments of :func:`fit_extra_trees`, ``knn`` those of ``nearest``.
+    takes the arguments of :func:`fit_extra_trees`, ``knn`` those of ``nearest``.  The
+    classes are read off the table unless they are given.
     """
     params = dict(params or {})
-    classes = class_list(df, label)
+    classes = list(classes) if classes is not None else class_list(df, label)
     if kind == "extra_trees":
         return Trained(kind, fit_extra_trees(df, label, features, **params), classes, features)
     if kind == "knn":
@@ -169,8 +165,10 @@ def train_all(
     kinds: Sequence[str], df: DataFrame, label: str, features: Sequence[str] | str,
     params: Mapping[str, Mapping] | None = None, row_id: str | None = None,
 ) -> dict[str, Trained]:
-    """Fit a list of classifiers in order."""
-    return {k: train(k, df, label, features, (params or {}).get(k), row_id) for k in kinds}
+    """Fit a list of classifiers in order; the table is written once and read by each."""
+    df = materialize(df)
+    classes = class_list(df, label)
+    return {k: train(k, df, label, features, (params or {}).get(k), row_id, classes) for k in kinds}
 
 
 def forest_importances(
@@ -246,7 +244,7 @@ def stratified_folds(df: DataFrame, label: str, row_id: str, folds: int, seed: i
     """
     real = df.where(~F.col("is_synthetic")) if "is_synthetic" in df.columns else df
     keys = real.select(row_id, label)
-    largest = keys.groupBy(label).count().agg(F.max("count")).first()[0] or 0
+    largest = max(class_counts(keys, label).values(), default=0)
     numbered = number_rows(keys, label, row_id, seed, "fold", bucket_digits(largest))
     table = numbered.select(F.col(row_id).alias("_id"), F.pmod(F.col("idx"), F.lit(folds)).cast("int").alias("fold"))
     return df.join(table, F.col("base_id" if "base_id" in df.columns else row_id) == F.col("_id")).drop("_id")
@@ -281,11 +279,12 @@ def search(
         learn = materialize(prepare(learn)) if prepare else learn
         parts.append((learn, dealt.where((F.col("fold") == fold) & real).drop("fold")))
     trials = draw_params(space, n_trials, seed)
+    classes = class_list(dealt, label)
 
     def score(job: tuple[int, int]) -> tuple[int, int, float]:
         trial, fold = job
         learn, check = parts[fold]
-        fitted = train(kind, learn, label, features, trials[trial], row_id)
+        fitted = train(kind, learn, label, features, trials[trial], row_id, classes)
         scored = fitted.predict(check).select(F.lit("m").alias("model"), F.col(label).alias("label"), "prediction")
         return trial, fold, model_metrics(scored).first()["macro_f1"]
 
@@ -299,5 +298,5 @@ def search(
     best = max(rows, key=lambda r: (r[2], -r[0]))
     table = local_table(spark, rows, "trial int, params map<string, string>, cv_macro_f1 double")
     final = prepare(df) if prepare else df
-    model = train(kind, final, label, features, trials[best[0]], row_id)
+    model = train(kind, final, label, features, trials[best[0]], row_id, classes)
     return model, trials[best[0]], best[2], table

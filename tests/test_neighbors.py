@@ -103,6 +103,27 @@ def test_classify(separable):
     assert out.count() == 75 and out.where("label = prediction").count() >= 74
 
 
+@pytest.mark.parametrize("rounds", [(1,), (1, 2, 3), (2, 500)])
+def test_rounds_do_not_change_the_result(spark, lumpy, monkeypatch, rounds):
+    monkeypatch.setattr(neighbors, "ROUNDS", rounds)
+    df = frame(spark, lumpy)
+    got = neighbors.nearest(df, df, "id", "v", k=4, group="g", exclude_self=True, block_rows=8)
+    assert found(got) == brute(lumpy, lumpy, 4, group=True, exclude_self=True)
+
+
+def test_few_probes_find_most_neighbours(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, "a", rng.normal(size=4) + 4 * rng.integers(0, 4, 4)) for i in range(1500)]
+    df = frame(spark, rows)
+    exact = brute(rows, rows, 5)
+    ids = {(q, n) for q, _, n in exact}
+    shares = []
+    for probes in (1, 12):
+        got = {(q, n) for q, _, n in found(neighbors.nearest(df, df, "id", "v", k=5, block_rows=64, probes=probes))}
+        shares.append(len(got & ids) / len(ids))
+    assert shares[0] < shares[1] and shares[1] > 0.9
+
+
 def test_repeated_candidate_ids_are_refused(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 2.0)], "id long, x double")
     with pytest.raises(ValueError, match="unique"):

@@ -38,11 +38,11 @@ def test_equals_sql(spark, duck, name):
     assert ordered(df.columns, df.collect()) == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(SQL) - {"train_search", "train_boosted_trees"}))
-def test_learned_queries_give_rows(spark, name):
-    assert driver.queries()[name](spark, DATA).count() > 0
+def test_every_query_has_sql_or_a_test_of_its_own():
+    """Queries of the corpus operators without SQL are compared with brute force in their own tests."""
+    assert all(name.startswith("op") or name == "pipeline" for name in set(driver.queries()) - set(SQL))
 
 
 def test_entry(spark):
     df = driver.entry(spark)
-    assert df.columns == ["class", "count", "pct"] and df.count() == 5
+    assert df.columns == ["class", "count", "pct"] and df.count() == 10

@@ -51,9 +51,15 @@ def test_missing_label_is_refused(spark):
         split.stratified_split(df, "label", "id")
 
 
-def test_too_many_classes_are_refused(rows):
+def test_too_many_classes_are_refused(rows, monkeypatch):
+    monkeypatch.setattr(split, "MAX_CLASSES", 10)
     with pytest.raises(ValueError, match="classes"):
-        split.stratified_split(rows, "id", "id", max_classes=10)
+        split.stratified_split(rows, "id", "id")
+
+
+def test_repeated_ids_are_refused(rows):
+    with pytest.raises(ValueError, match="unique"):
+        split.stratified_split(rows.unionAll(rows.limit(1)), "label", "id")
 
 
 def test_split_leaves_the_table_in_place(rows):
