@@ -88,7 +88,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": OP9_SQL}
+    return {"op4_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op9_warc": OP9_SQL}
+
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+# a text of fewer than five words is one shingle of them all
+SHINGLES = """SELECT DISTINCT {id}, array_to_string(w[k:k + 4], ' ') AS g FROM (
+  SELECT {id}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k
+  FROM (SELECT {id}, {words} AS w FROM {table}) WHERE len(w) > 0)"""
+
+OP4_SQL = f"""
+WITH RECURSIVE s AS MATERIALIZED ({SHINGLES.format(id="doc_id", words=WORDS, table="documents")}),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE common >= 0.8 * (a.n + b.n - common) - 1e-9),
+reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+SELECT doc_id,
+  least(doc_id, coalesce((SELECT min(y) FROM reached WHERE x = doc_id), doc_id)) AS class_id,
+  (SELECT count(*) FROM links WHERE x = doc_id) AS n_links
+FROM documents
+"""
+
+OP5_SQL = f"""
+WITH d AS ({SHINGLES.format(id="doc_id", words=WORDS, table="documents")}),
+i AS ({SHINGLES.format(id="item_id", words=WORDS, table="benchmark")}),
+n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY 1),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (g) GROUP BY 1, 2)
+SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+FROM shared JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles - 1e-9
+"""
 
 
 OP9_SQL = """
