@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 RUN_FOLDER = "labelframe.run.folder"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -56,8 +57,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once, with its lineage cut there, and read it back.
 
     The table is Parquet, so later reads take only the columns they need and the
-    optimizer knows its size.
+    optimizer knows its size.  The shuffle files of the write are deleted after it, not
+    when the driver happens to collect its garbage: nothing else reads them.
     """
-    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before) if before is not None else spark.conf.unset(CLEAN_UP)
+    return spark.read.schema(df.schema).parquet(path)
