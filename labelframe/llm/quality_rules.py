@@ -37,6 +37,7 @@ from labelframe.llm.words import (
 )
 
 MOST = 1500
+LONGEST = 65_536
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent
 LEAST_CONTENT = 0.5
@@ -160,7 +161,8 @@ def train(rows: np.ndarray, features: np.ndarray, labels: np.ndarray, rounds: in
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, id_column: str = "doc_id", text: str = "text", quality: str = "quality") -> Field:
     """Learn the weights from at most ``most`` labelled texts of each quality.
 
-    Labels that are null are left out.  Without two kinds of label all lines count as
+    Labels that are null are left out, and so are texts of more than ``LONGEST`` bytes:
+    this bounds what reaches the driver.  An id that repeats gives one text.  Without two kinds of label all lines count as
     content, so that the rules alone decide.
     """
     known = labels.select(F.col(id_column).alias("key"), F.col(quality).cast("int").alias("label"))
@@ -170,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, id_column: str = "
         some = known.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(most)
         wanted = some if wanted is None else wanted.unionAll(some)
     own = docs.select(F.col(id_column).alias("key"), F.col(text).alias("text"))
-    found = own.join(F.broadcast(wanted), "key").select("label", F.expr("CAST(text AS STRING) AS text")).toArrow()
+    short = own.where(F.octet_length("text") <= LONGEST)
+    found = short.join(F.broadcast(wanted), "key").dropDuplicates(["key"]).orderBy("key").select("label", "text").toArrow()
     rows, features, target, seen = [], [], [], 0
     labels_of = found.column("label").to_numpy().astype(np.int64)
     for chunk in found.column("text").chunks:
