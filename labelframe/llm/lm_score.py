@@ -116,9 +116,9 @@ def count_requests(docs: DataFrame, ranges: int) -> DataFrame:
 
 
 def add_up(requests: DataFrame, ranges: int) -> DataFrame:
-    """Answers (block, range, size, check, total, kept) with the sums over all blocks.
+    """Answers (block, range, size, check, total, deleted) with the sums over all blocks.
 
-    ``kept`` is total less deleted.  The first answer of a range also carries its
+    The first answer of a range also carries its
     distinct known tokens and its tokens, of all training texts and of the kept ones.
     """
 
@@ -136,8 +136,8 @@ def add_up(requests: DataFrame, ranges: int) -> DataFrame:
             lengths = pa.compute.list_value_length(own.column("keys")).to_numpy()
             order, starts, times = grouped(keys)
             all_, gone = sums(total, order, starts), sums(deleted, order, starts)
-            answer, kept = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
-            answer[order], kept[order] = np.repeat(all_, times), np.repeat(all_ - gone, times)
+            answer, absent = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+            answer[order], absent[order] = np.repeat(all_, times), np.repeat(gone, times)
             ends = np.append(0, np.cumsum(lengths))
             with np.errstate(over="ignore"):
                 check = row_check(keys, ends)
@@ -150,13 +150,13 @@ def add_up(requests: DataFrame, ranges: int) -> DataFrame:
                     *(own.column(c).combine_chunks() for c in ("block", "range", "size")),
                     pa.array(check),
                     pa.ListArray.from_arrays(offsets, pa.array(answer)),
-                    pa.ListArray.from_arrays(offsets, pa.array(kept)),
+                    pa.ListArray.from_arrays(offsets, pa.array(absent)),
                     *map(pa.array, stats),
                 ],
-                names=["block", "range", "size", "check", "total", "kept", "known", "tokens", "kept_tokens"],
+                names=["block", "range", "size", "check", "total", "deleted", "known", "tokens", "kept_tokens"],
             )
 
-    schema = "block long, `range` int, size int, check long, total array<long>, kept array<long>, known long, tokens long, kept_tokens long"
+    schema = "block long, `range` int, size int, check long, total array<long>, deleted array<long>, known long, tokens long, kept_tokens long"
     return requests.repartitionById(ranges, F.col("range")).mapInArrow(run, schema)
 
 
@@ -195,9 +195,10 @@ def counted(docs: DataFrame, answers: DataFrame) -> DataFrame:
             cut = np.append(0, np.cumsum(lengths))
             if cut[-1] != len(starts) or (row_check(keys[order[starts]], cut) != own.column("check").to_numpy()).any():
                 raise ValueError("the documents came in another order at the second reading; store them first")
-            for kind, prefix, offsets in (("total", "", ends), ("kept", "kept_", kept_ends)):
+            total = flat(own.column("total"))
+            for sums_, prefix, offsets in ((total, "", ends), (total - flat(own.column("deleted")), "kept_", kept_ends)):
                 of_token = np.empty(len(keys), np.int64)
-                of_token[order] = np.repeat(flat(own.column(kind)), times)
+                of_token[order] = np.repeat(sums_, times)
                 values = of_token[deleted] if prefix else of_token
                 columns[prefix + name] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
         return pa.table({"id": ids, "fold": left.column("fold"), **columns})
