@@ -65,7 +65,7 @@ def materialize(df: DataFrame) -> DataFrame:
     before = spark.conf.get(CLEAN_UP, None)
     spark.conf.set(CLEAN_UP, "true")
     try:
-        df.select("*").write.parquet(path)
+        df.select("*").write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before) if before is not None else spark.conf.unset(CLEAN_UP)
     return spark.read.schema(df.schema).parquet(path)
