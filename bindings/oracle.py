@@ -464,6 +464,13 @@ def oracle_sql() -> dict[str, str]:
             FROM predicted GROUP BY 1""",
         "evaluate_class_report": f"""WITH {KNN} SELECT model, class, {r6('p', 'precision')}, {r6('r', 'recall')},
               {r6('f', 'f1')}, CAST(support AS BIGINT) AS support FROM report""",
+        "evaluate_full_report": f"""WITH {KNN}, lines AS (
+              SELECT model, 'class ' || class AS class, p, r, f, support FROM report
+              UNION ALL SELECT model, 'macro avg', avg(p), avg(r), avg(f), sum(support) FROM report GROUP BY 1
+              UNION ALL SELECT model, 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
+                sum(f * support) / sum(support), sum(support) FROM report GROUP BY 1)
+            SELECT model, class, {r6('p', 'precision')}, {r6('r', 'recall')}, {r6('f', 'f1')},
+              CAST(support AS BIGINT) AS support FROM lines""",
         "evaluate_macro": f"""WITH {KNN} SELECT model, {r6('avg(p)', 'macro_precision')}, {r6('avg(r)', 'macro_recall')},
               {r6('avg(f)', 'macro_f1')} FROM report GROUP BY 1""",
         "evaluate_weighted": f"""WITH {KNN} SELECT model,

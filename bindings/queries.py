@@ -500,6 +500,11 @@ def evaluate_class_report(spark, d):
     return rounded(knn_report(spark, d), "precision", "recall", "f1")
 
 
+def evaluate_full_report(spark, d):
+    out = evaluate.full_report(knn_report(spark, d), ["model"], {i: f"class {i}" for i in range(10)})
+    return rounded(out, "precision", "recall", "f1")
+
+
 def evaluate_macro(spark, d):
     out = evaluate.macro_average(knn_report(spark, d), ["model"])
     return rounded(out, "macro_precision", "macro_recall", "macro_f1")
@@ -670,7 +675,7 @@ ALL: list[Query] = [
     explore_violin, explore_cross_tab, explore_cross_tab_percent, explore_indicator_counts,
     explore_sparse_indicators, explore_sparse_categories, select_ranking, select_by_threshold, select_dropped,
     resample_plan, resample_neighbors, resample_smote, resample_comparison, expect_class_targets,
-    knn_classify, knn_on_oversampled, evaluate_confusion, evaluate_accuracy, evaluate_class_report, evaluate_macro,
+    knn_classify, knn_on_oversampled, evaluate_confusion, evaluate_accuracy, evaluate_class_report, evaluate_full_report, evaluate_macro,
     evaluate_weighted, evaluate_comparison, evaluate_ranking, evaluate_baselines, expect_metric_floor,
     extra_trees_first_cut, train_logistic_regression, train_decision_tree, train_random_forest,
     train_extra_trees, train_boosted_trees, train_stump, train_importances, train_search, model_metrics_table,

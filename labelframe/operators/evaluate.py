@@ -6,7 +6,8 @@ per model, so the predictions are read and shuffled (pre-aggregated) once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,6 +101,25 @@ def weighted_average(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def full_report(report: DataFrame, by: Sequence[str] = (), names: Mapping | None = None) -> DataFrame:
+    """The class report with the rows ``macro avg`` and ``weighted avg`` below it.
+
+    ``class`` is text: the name that ``names`` gives to a class, or the class itself.
+    """
+    named = F.col("class").cast("string")
+    if names:
+        known = F.create_map(*[F.lit(str(v)) for pair in names.items() for v in pair])
+        named = F.coalesce(F.element_at(known, named), named)
+    rates = ["precision", "recall", "f1"]
+    parts = [report.select(*by, named.alias("class"), *rates, "support")]
+    total = report.groupBy(*by).agg(F.sum("support").alias("support"))
+    for name, average in (("macro", macro_average), ("weighted", weighted_average)):
+        rows = average(report, by)
+        rows = rows.join(total, list(by)) if by else rows.crossJoin(total)
+        parts.append(rows.select(*by, F.lit(f"{name} avg").alias("class"), *[F.col(f"{name}_{m}").alias(m) for m in rates], "support"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def model_metrics(predictions: DataFrame, by: str = "model", label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row ``(model, macro_f1, weighted_f1, accuracy)`` per model, from one pass."""
     confusion = confusion_counts(predictions, label, prediction, [by])

@@ -262,15 +262,22 @@ def search(
     seed: int = 42,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     parallelism: int = 2,
+    prepare_first: bool = False,
 ) -> tuple[Trained, dict, float, DataFrame]:
     """Random search on cross-validated macro F1, then a refit on all rows.
 
     ``prepare`` is applied to the training part of each fold, e.g. to oversample it,
     so that no synthetic row is made from a validation row.  When the table already
     holds synthetic rows (``is_synthetic``), they are kept out of the validation
-    parts.  Returns the refitted model, its settings, its score and the trials.
+    parts.  ``prepare_first`` applies it to the whole table before the folds are dealt
+    instead: rows made from a validation row may then be learned from, and validated on,
+    which flatters the scores.  Returns the refitted model, its settings, its score and
+    the trials.
     """
     spark = df.sparkSession
+    if prepare_first:
+        df = materialize(prepare(df)) if prepare else df
+        df, prepare = df.drop("is_synthetic", "base_id", "synthetic_no"), None
     dealt = materialize(stratified_folds(df, label, row_id, folds, seed))
     real = ~F.col("is_synthetic") if "is_synthetic" in df.columns else F.lit(True)
     parts = []

@@ -128,3 +128,17 @@ def test_search_keeps_synthetic_rows_out_of_validation(parts):
     assert strays.where("f <> fold").count() == 0
     _, _, score, _ = train.search("decision_tree", grown, "label", "id", FEATURES, {"maxDepth": [4]}, n_trials=1, folds=2)
     assert score > 0.9
+
+
+def test_search_may_prepare_the_whole_table_first(parts):
+    learn, _ = parts
+    seen = []
+
+    def grow(part):
+        seen.append(part.count())
+        return resample.smote(part, "id", "label", FEATURES, {3: 60}, k=3)
+
+    _, _, score, _ = train.search(
+        "decision_tree", learn, "label", "id", FEATURES, {"maxDepth": [4]}, n_trials=1, folds=2, prepare=grow, prepare_first=True
+    )
+    assert seen == [learn.count()] and score > 0.9
