@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from labelframe.llm.batches import bounded
-from labelframe.llm.words import Slice, Spans, process_state, slices, split_words
+from labelframe.llm.words import Growing, KnownWords, Slice, Spans, distinct_of, process_state, slices, split_words
 
 WINDOW = 2048
 CLOSING_ID = 1
 GROUP_TOKENS = 4_000_000
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 2_000_000
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -89,34 +89,29 @@ class WordIds:
     """Token ids of the words met so far."""
 
     def __init__(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.begins, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        self.known = KnownWords()
+        self.begins, self.lengths, self.pool = Growing(np.int64), Growing(np.int64), Growing(np.uint32)
 
     def look_up(self, part: Slice, words: Spans, encode) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a slice in order, and their number by word."""
-        if len(self.hashes) > KEPT_WORDS:
+        if self.known.count > KEPT_WORDS:
             self.__init__()
-        distinct, example, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, distinct)
-        known = np.zeros(len(distinct), bool)
-        if len(self.hashes):
-            known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == distinct
-        new = np.flatnonzero(~known)
+        distinct, example, inverse = distinct_of(words.hashes)
+        at = self.known.find(distinct)
+        new = np.flatnonzero(at < 0)
         if len(new):
             raw = part.data.tobytes()
             begins, ends = words.begins[example[new]].tolist(), words.ends[example[new]].tolist()
             coded = [x.ids for x in encode([raw[b:e].decode("utf-8", "replace") for b, e in zip(begins, ends)])]
             lengths = np.array([len(x) for x in coded], np.int64)
-            starts = len(self.pool) + np.cumsum(lengths) - lengths
-            self.pool = np.concatenate([self.pool, np.array([i for x in coded for i in x], np.uint32)])
-            self.hashes = np.insert(self.hashes, at[new], distinct[new])
-            self.begins = np.insert(self.begins, at[new], starts)
-            self.lengths = np.insert(self.lengths, at[new], lengths)
-            at = np.searchsorted(self.hashes, distinct)
-        lengths, begins = self.lengths[at][inverse], self.begins[at][inverse]
+            at[new] = self.known.count + np.arange(len(new))
+            self.known.add(distinct[new])
+            self.begins.append(self.pool.size + np.cumsum(lengths) - lengths)
+            self.lengths.append(lengths)
+            self.pool.append(np.array([i for x in coded for i in x], np.uint32))
+        lengths, begins = self.lengths.data[at][inverse], self.begins.data[at][inverse]
         shift = np.repeat(begins - (np.cumsum(lengths) - lengths), lengths)
-        return self.pool[shift + np.arange(len(shift))], lengths
+        return self.pool.data[shift + np.arange(len(shift))], lengths
 
 
 def token_ids(part: Slice, state: WordIds, encode, closing: int) -> tuple[np.ndarray, np.ndarray]:

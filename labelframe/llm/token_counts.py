@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from labelframe.llm.batches import bounded
-from labelframe.llm.words import process_state, row_sums, slices, split_words
+from labelframe.llm.words import Growing, KnownWords, distinct_of, process_state, row_sums, slices, split_words
 
 MARK = "▁"
 POINT = 0x110000
 MULTIPLIER = 0xD1342543DE82EF95
 MASK = (1 << 64) - 1
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 2_000_000
 
 
 @dataclass
@@ -122,26 +122,22 @@ class WordCounts:
     """Counts of words met so far, by hash; emptied when it holds too many."""
 
     def __init__(self) -> None:
-        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.known, self.counts = KnownWords(), Growing(np.int64)
 
     def look_up(self, part, words, pieces: Pieces) -> np.ndarray:
-        distinct, example, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > KEPT_WORDS:
+        if self.known.count > KEPT_WORDS:
             self.__init__()
-        at = np.searchsorted(self.hashes, distinct)
-        known = np.zeros(len(distinct), bool)
-        if len(self.hashes):
-            known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == distinct
-        new = np.flatnonzero(~known)
-        begins, ends = words.begins[example[new]].tolist(), words.ends[example[new]].tolist()
-        raw = part.data.tobytes()
-        texts = [raw[b:e].decode("utf-8", "replace") for b, e in zip(begins, ends)]
-        if texts:
-            fresh = count_pieces(texts, pieces)
-            self.hashes = np.insert(self.hashes, at[new], distinct[new])
-            self.counts = np.insert(self.counts, at[new], fresh)
-            at = np.searchsorted(self.hashes, distinct)
-        return self.counts[at][inverse] if len(distinct) else np.zeros(0, np.int64)
+        distinct, example, inverse = distinct_of(words.hashes)
+        at = self.known.find(distinct)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            begins, ends = words.begins[example[new]].tolist(), words.ends[example[new]].tolist()
+            raw = part.data.tobytes()
+            fresh = count_pieces([raw[b:e].decode("utf-8", "replace") for b, e in zip(begins, ends)], pieces)
+            at[new] = self.known.count + np.arange(len(new))
+            self.known.add(distinct[new])
+            self.counts.append(fresh)
+        return self.counts.data[at][inverse]
 
 
 def token_counts(docs: DataFrame, pieces: list[str], id_column: str = "doc_id", text: str = "text") -> DataFrame:

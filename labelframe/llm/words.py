@@ -212,3 +212,66 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def spans_of(places: np.ndarray, spans: Spans) -> np.ndarray:
     """How many of the ordered places fall into each span."""
     return np.searchsorted(places, spans.ends) - np.searchsorted(places, spans.begins)
+
+
+def distinct_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the place of one occurrence of each, and which of them each key is."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(keys) else np.zeros(0, np.int64)
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
+    return ordered[starts], order[starts], inverse
+
+
+class KnownWords:
+    """Numbers of the words met so far, in the order of their arrival, by hash.
+
+    New words go to a small table, which joins the large one from time to time, so that
+    a slice does not copy all that is known.
+    """
+
+    JOIN = 60_000
+
+    def __init__(self) -> None:
+        self.count = 0
+        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where it is new."""
+        out = np.full(len(hashes), -1, np.int64)
+        for known, numbers in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                out[hit] = numbers[at[hit]]
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number new hashes, given in order."""
+        (large, large_numbers), (small, small_numbers) = self.tables
+        at = np.searchsorted(small, hashes)
+        small = np.insert(small, at, hashes)
+        small_numbers = np.insert(small_numbers, at, self.count + np.arange(len(hashes)))
+        self.count += len(hashes)
+        if len(small) > self.JOIN:
+            at = np.searchsorted(large, small)
+            large, large_numbers = np.insert(large, at, small), np.insert(large_numbers, at, small_numbers)
+            small, small_numbers = small[:0], small_numbers[:0]
+        self.tables = [(large, large_numbers), (small, small_numbers)]
+
+
+class Growing:
+    """An array that is appended to, with room to spare."""
+
+    def __init__(self, kind: type) -> None:
+        self.data, self.size = np.zeros(1024, kind), 0
+
+    def append(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.data):
+            more = np.zeros(max(end, 3 * len(self.data) // 2), self.data.dtype)
+            more[: self.size] = self.data[: self.size]
+            self.data = more
+        self.data[self.size : end] = values
+        self.size = end
