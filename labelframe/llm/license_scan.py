@@ -8,12 +8,16 @@ are matched.
 
 Only words of some template can match, so an alignment works on those alone.  Their
 presence in the text bounds the coverage; a text whose bound is under the threshold is
-left without alignment, which loses nothing.  A notice may stand several times: the
-template word that is rarest in the text marks the regions, one around each occurrence.
+left without alignment, which loses nothing.  A notice may stand several times and
+anywhere: every run of at most 2 ``REACH`` template lengths and a word, from one template
+word to another, is a region.  A region is aligned unless the template words in it, or
+the longest common subsequence of it and the template, are too few; an alignment is a
+common subsequence, so this loses nothing either.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
@@ -26,7 +30,7 @@ from labelframe.llm.batches import bounded
 from labelframe.llm.words import slices, split_words
 
 THRESHOLD = 0.8
-REACH = 2  # template lengths that a region extends to either side of its rarest word
+REACH = 2  # template lengths that a region extends to either side of its middle
 BETWEEN = ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
 
 # fixed values: short notices of well-known licences
@@ -91,19 +95,54 @@ def align(text: Sequence[int], template: Sequence[int]) -> list[tuple[int, int]]
     return sorted(out)
 
 
-def regions(places: np.ndarray, ids: np.ndarray, template: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of the hits, one around each occurrence of the rarest template word."""
-    own, count = np.unique(ids, return_counts=True)
-    found = dict(zip(own.tolist(), count.tolist()))
-    once = [w for w, n in Counter(template).items() if n == 1] or list(template)
-    rare = min((w for w in once if w in found), key=lambda w: (found[w], once.index(w)), default=None)
-    at = np.flatnonzero(ids == rare) if rare is not None else np.zeros(0, np.int64)
-    spots = places[at]
-    middle = (spots[1:] + spots[:-1]) // 2
-    reach = REACH * len(template)
-    lo = np.maximum(spots - reach, np.append(-1, middle) + 1)
-    hi = np.minimum(spots + reach, np.append(middle, places[-1] if len(places) else 0))
-    return zip(np.searchsorted(places, lo, "left").tolist(), np.searchsorted(places, hi, "right").tolist())
+def most_matches(places: np.ndarray, ids: np.ndarray, template: Sequence[int], reach: int) -> np.ndarray:
+    """For each hit, how many template words the ``reach`` words up to it can match at most."""
+    times = Counter(template)
+    n = len(ids)
+    gone = np.searchsorted(places, places + reach)  # the first hit whose run does not reach back
+    for word, most in times.items():
+        at = np.flatnonzero(ids == word)
+        if len(at) > most:  # a word matches no more often than the template has it
+            gone[at[:-most]] = np.minimum(gone[at[:-most]], at[most:])
+    change = np.ones(n + 1, np.int64)
+    change -= np.bincount(gone, minlength=n + 1)
+    return np.cumsum(change[:n])
+
+
+def notices(places: np.ndarray, ids: np.ndarray, template: Sequence[int], least: int) -> tuple[int, tuple[int, int, int] | None]:
+    """How many disjoint regions match ``least`` template words, and the best (matched, first, last hit).
+
+    Going by the ends of regions and taking the first one that shares no word with those
+    taken gives the most.  Of equal matches the best is the first to end, and of those
+    the shortest.
+    """
+    reach, size = 2 * REACH * len(template) + 1, len(template)
+    mask, bits = (1 << size) - 1, {}
+    for j, w in enumerate(reversed(template)):
+        bits[w] = bits.get(w, 0) | 1 << j
+    taken, n, best = -1, 0, None
+    words = ids.tolist()
+    first = np.searchsorted(places, places - reach, "right").tolist()
+    for q in np.flatnonzero(most_matches(places, ids, template, reach) >= least).tolist():
+        row, found = mask, False
+        for p in range(q, first[q] - 1, -1):
+            free = p > taken and not found
+            if not free and best and best[0] == size:
+                break
+            hit = row & bits[words[p]]
+            row = (row + hit | row - hit) & mask  # zeros count the longest common subsequence
+            common = size - row.bit_count()
+            if common < least or not free and best and common <= best[0]:
+                continue
+            pairs = align(words[p : q + 1], template)
+            if len(pairs) < least:
+                continue
+            found = found or free
+            if best is None or len(pairs) > best[0]:
+                best = (len(pairs), p + pairs[0][0], p + pairs[-1][0])
+        if found:
+            n, taken = n + 1, q
+    return n, best
 
 
 def words_of(text: str) -> list[bytes]:
@@ -123,8 +162,8 @@ def license_scan(
 ) -> DataFrame:
     """One row per text and licence with coverage >= threshold: (id, license, coverage, n_found, start, end).
 
-    ``n_found`` regions reach the threshold; coverage, start and end (code points, end
-    exclusive) are those of the best, the first on a tie.  Null and empty texts give no
+    ``n_found`` regions without a word in common reach the threshold; coverage, start and
+    end (code points, end exclusive) are those of the best, the first on a tie.  Null and empty texts give no
     row, repeated rows give their rows each, a null id stays.  A template without words
     is an error.  The templates travel with the function; nothing is shuffled.
     """
@@ -154,15 +193,9 @@ def license_scan(
             mine = slice(hit_offsets[r], hit_offsets[r + 1])
             own = np.isin(kind[mine], coded[j])
             spots, labels = hits[mine][own] - offsets[r], kind[mine][own]
-            best, n = None, 0
-            for lo, hi in regions(spots, labels, coded[j]):
-                pairs = align(labels[lo:hi].tolist(), coded[j])
-                if len(pairs) >= threshold * len(coded[j]) - 1e-9:
-                    n += 1
-                    if best is None or len(pairs) > best[0]:
-                        best = (len(pairs), spots[lo + pairs[0][0]], spots[lo + pairs[-1][0]])
+            n, best = notices(spots, labels, coded[j], max(1, math.ceil(threshold * len(coded[j]) - 1e-9)))
             if best:
-                start, end = words.begins[offsets[r] + best[1]], words.ends[offsets[r] + best[2]]
+                start, end = words.begins[offsets[r] + spots[best[1]]], words.ends[offsets[r] + spots[best[2]]]
                 head = part.data[part.offsets[r] : end].tobytes()
                 cut = len(head[: start - part.offsets[r]].decode("utf-8", "replace"))
                 rows_out.append((part.first + int(r), names[j], best[0] / len(coded[j]), n, cut, len(head.decode("utf-8", "replace"))))

@@ -148,6 +148,53 @@ def test_licences_of_the_documents_are_those_with_the_line(spark):
     assert got == {(r.doc_id, n) for r in docs.collect() for n, line in short.items() if line in r.text}
 
 
+def test_a_notice_is_found_without_its_rarest_word(spark):
+    text = "We released the tool in May after more than a year of hard work by many kind people who came from nearly all places. Distributed under the MIT License."
+    grant = license_scan.TEMPLATES["MIT-grant"].replace("granted", "given")
+    texts = {0: text, 1: f"Funds were granted by the state. {'the word ' * 200}{grant}. {'the word ' * 90}{grant}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {(r.doc_id, r.license): r for r in license_scan.license_scan(docs).collect()}
+    mit, given = found[0, "MIT"], found[1, "MIT-grant"]
+    assert (mit.coverage, mit.n_found, text[mit.start : mit.end]) == (0.8, 1, "under the MIT License")
+    assert given.n_found == 2 and texts[1][given.start : given.end] == grant
+
+
+def brute_notices(text, template, least):
+    """Notices by alignment of every run of at most 4 template lengths and a word; None is no template word."""
+    ends, best = {}, None
+    for q in range(len(text)):
+        for p in range(q, max(-1, q - 4 * len(template) - 1), -1):
+            hits = [i for i in range(p, q + 1) if text[i] is not None]
+            pairs = license_scan.align([text[i] for i in hits], template)
+            if len(pairs) >= least:
+                ends.setdefault(q, p)
+                if best is None or len(pairs) > best[0]:
+                    best = (len(pairs), hits[pairs[0][0]], hits[pairs[-1][0]])
+    n, taken = 0, -1
+    for q, p in sorted(ends.items()):
+        if p > taken:
+            n, taken = n + 1, q
+    return n, best
+
+
+def test_notices_are_those_of_alignment_at_every_place():
+    rng, several = random.Random(3), 0
+    for _ in range(400):
+        size = rng.randint(1, 6)
+        template = [rng.randint(0, size) for _ in range(size)]
+        text = [rng.choice([None, *template, *template]) for _ in range(rng.randint(1, 15))]
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randint(0, len(text))
+            text[at:at] = template
+        least = max(1, math.ceil(0.8 * size - 1e-9))
+        places = [i for i, w in enumerate(text) if w is not None]
+        n, best = license_scan.notices(np.array(places, np.int64), np.array([text[i] for i in places], np.int64), template, least)
+        got = (n, best and (best[0], places[best[1]], places[best[2]]))
+        assert got == brute_notices(text, template, least)
+        several += n > 1
+    assert several > 50
+
+
 def test_licence_scan_of_odd_tables(spark):
     assert license_scan.license_scan(edge_docs(spark)).count() == 0
     assert license_scan.license_scan(empty_docs(spark)).count() == 0
