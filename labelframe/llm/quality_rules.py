@@ -7,8 +7,9 @@ place in the text at a time.
 
 The weights are learned from texts with a quality label, each of whose lines takes the
 label of its text, by gradient ascent on the conditional log likelihood (forward and
-backward sums).  Training takes at most ``MOST`` texts, those with the least hash of id
-and text; decoding takes all.
+backward sums).  Training takes at most ``MOST`` texts with a word of each quality, those with the
+least hash of the id, and of each at most ``MOST_LINES`` lines: a text of more gives runs
+of ``RUN`` consecutive lines, drawn by hash.  Decoding takes all.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from labelframe.llm.batches import bounded
 from labelframe.llm.words import (
+    BASE,
     Slice,
     in_row,
     mix,
@@ -37,7 +39,8 @@ from labelframe.llm.words import (
 )
 
 MOST = 1500
-LONGEST = 65_536
+MOST_LINES = 256
+RUN = 64
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent
 LEAST_CONTENT = 0.5
@@ -158,34 +161,81 @@ def train(rows: np.ndarray, features: np.ndarray, labels: np.ndarray, rounds: in
     return Field(theta[:-4].reshape(-1, 2).copy(), theta[-4:].reshape(2, 2).copy())
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, id_column: str = "doc_id", text: str = "text", quality: str = "quality") -> Field:
-    """Learn the weights from at most ``most`` labelled texts of each quality.
+def draw_lines(rows: np.ndarray, seeds: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lines to learn from, at most ``most`` of each text, and the run that each is in.
 
-    Labels that are null are left out, and so are texts of more than ``LONGEST`` bytes:
-    this bounds what reaches the driver.  An id that repeats gives one text.  Without two kinds of label all lines count as
-    content, so that the rules alone decide.
+    A text of no more lines is one run; of another, the runs with the least hash of the
+    text's seed and their number are taken.
     """
+    place, _ = grid(rows)
+    size = min(RUN, most)
+    run = np.where(np.bincount(rows)[rows] > most, place // size, 0) if len(rows) else place
+    keep = np.ones(len(rows), bool)
+    for row in np.unique(rows[run > 0]):
+        own = np.flatnonzero(rows == row)
+        number = np.arange(run[own[-1]] + 1)
+        with np.errstate(over="ignore"):
+            drawn = np.argsort(mix(seeds[row] ^ (number.astype(np.uint64) + np.uint64(1)) * BASE))[: most // size]
+        keep[own] = np.isin(run[own], drawn)
+    at = np.flatnonzero(keep)
+    return at, run[at]
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    most: int = MOST,
+    id_column: str = "doc_id",
+    text: str = "text",
+    quality: str = "quality",
+    most_lines: int = MOST_LINES,
+) -> Field:
+    """Learn the weights from at most ``most`` labelled texts of each quality, ``most_lines`` lines of each.
+
+    Labels that are null are left out, and so are texts without a word.  Lines are
+    described in the tasks; two bytes a line reach the driver.  An id that repeats gives
+    one text.  Without two kinds of label all lines count as content, so that the rules
+    alone decide.
+    """
+    if most_lines < 1:
+        raise ValueError("most_lines must be 1 at least")
     known = labels.select(F.col(id_column).alias("key"), F.col(quality).cast("int").alias("label"))
     known = known.where("label IS NOT NULL AND key IS NOT NULL").groupBy("key").agg(F.max("label").alias("label"))
+    own = bounded(docs).select(F.col(id_column).alias("key"), F.col(text).alias("text"))
+    own = own.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    known = known.join(own.select("key").where("key IS NOT NULL").distinct(), "key", "left_semi")
     wanted = None
     for value in (0, 1):
         some = known.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(most)
         wanted = some if wanted is None else wanted.unionAll(some)
-    own = docs.select(F.col(id_column).alias("key"), F.col(text).alias("text"))
-    short = own.where(F.octet_length("text") <= LONGEST)
-    found = short.join(F.broadcast(wanted), "key").dropDuplicates(["key"]).orderBy("key").select("label", "text").toArrow()
-    rows, features, target, seen = [], [], [], 0
-    labels_of = found.column("label").to_numpy().astype(np.int64)
-    for chunk in found.column("text").chunks:
-        for part in slices(chunk):
-            lines = describe_lines(part, split_words(part))
-            rows.append(lines.rows + seen)
-            features.append(lines.features)
-            target.append(labels_of[lines.rows + seen])
-            seen += part.rows
-    if not seen or len(set(labels_of.tolist())) < 2:
+    drawn = wanted.toArrow()
+    if len(drawn.column("label").unique()) < 2:
         return Field(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)))
-    return train(np.concatenate(rows), np.concatenate(features), np.concatenate(target))
+    wanted = docs.sparkSession.createDataFrame(drawn, schema=wanted.schema)
+    bits = 1 << np.arange(len(FEATURES))
+
+    def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column(3)):
+                some = batch.slice(part.first, part.rows)
+                lines = describe_lines(part, split_words(part))
+                at, run = draw_lines(lines.rows, some.column(2).to_numpy().view(np.uint64), most_lines)
+                ends = pa.array(np.append(0, np.cumsum(np.bincount(lines.rows[at], minlength=part.rows))), pa.int32())
+                lists = (pa.ListArray.from_arrays(ends, pa.array(x, k)) for x, k in ((lines.features[at] @ bits, pa.int16()), (run, pa.int32())))
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *lists], names=["key", "label", "lines", "runs"])
+
+    kind = wanted.schema["key"].dataType.simpleString()
+    joined = own.join(F.broadcast(wanted), "key").select("key", "label", F.xxhash64("key").alias("seed"), "text")
+    described = joined.mapInArrow(lines_of, f"key {kind}, label int, lines array<smallint>, runs array<int>")
+    found = described.dropDuplicates(["key"]).orderBy("key").select("label", "lines", "runs").toArrow().combine_chunks()
+    if found.num_rows < drawn.num_rows:
+        raise ValueError("labelled texts are gone at the second reading; store the documents first")
+    lengths = pa.compute.list_value_length(found.column("lines")).to_numpy()
+    codes, runs = (np.concatenate([c.flatten().to_numpy() for c in found.column(n).chunks]).astype(np.int64) for n in ("lines", "runs"))
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    change = (of[1:] != of[:-1]) | (runs[1:] != runs[:-1])
+    target = found.column("label").to_numpy().astype(np.int64)[of]
+    return train(np.append(0, np.cumsum(change)), (codes[:, None] & bits) > 0, target)
 
 
 def quality_rules(docs: DataFrame, field: Field, least_content: float = LEAST_CONTENT, id_column: str = "doc_id", text: str = "text") -> DataFrame:

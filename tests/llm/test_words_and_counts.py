@@ -273,6 +273,33 @@ def test_base_counts_and_verdicts_on_documents(spark):
     assert np.mean(right) > 0.97
 
 
+def test_lines_of_long_texts_are_drawn_in_runs():
+    rows, seeds = np.repeat([0, 1, 3], [40, 1000, 300]), np.arange(4, dtype=np.uint64)
+    at, run = quality_rules.draw_lines(rows, seeds, 128)
+    assert at[:40].tolist() == list(range(40)) and not run[:40].any()
+    for row, first in ((1, 40), (3, 1040)):
+        own = rows[at] == row
+        assert 64 < own.sum() <= 128 and len(np.unique(run[own])) == 2
+        assert ((at[own] - first) // 64 == run[own]).all()
+    assert len(quality_rules.draw_lines(rows, seeds, 5000)[0]) == len(rows)
+    assert np.bincount(rows[quality_rules.draw_lines(rows, seeds, 3)[0]]).tolist() == [3, 3, 0, 3]
+
+
+def test_long_texts_are_learned_from(spark):
+    good = "this is a plain line of words that ends with a full stop.\n"
+    bad = "### $$$ BUY NOW | | | *** !!!\n"
+    rows = [(i, (bad if i % 2 else good) * 3000) for i in range(6)]
+    docs = spark.createDataFrame([*rows, (7, None), (8, " ")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(6)] + [(7, 0), (8, 1)], "doc_id long, quality int")
+    absent = spark.range(100, 400).selectExpr("id AS doc_id", "0 AS quality")
+    for most in (1500, 2):
+        field = quality_rules.fit(docs, labels.unionAll(absent), most)
+        share = {r.doc_id: r.content_share for r in quality_rules.quality_rules(docs, field).collect()}
+        assert [share[i] for i in range(6)] == [1.0, 0.0] * 3
+    with pytest.raises(ValueError):
+        quality_rules.fit(docs, labels, most_lines=0)
+
+
 def test_line_rules_of_odd_tables(spark):
     docs = edge_docs(spark)
     field = quality_rules.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
