@@ -37,6 +37,7 @@ FOLDS = 5
 HELD_OUT = 1
 DELETED = 2
 BLOCK_BYTES = 8 << 20
+ROW_BYTES = 16  # what a row counts in a block besides its text: null and empty texts have an end token too
 RANGE_BYTES = 8 << 20
 BUCKETS = 64  # binary logarithms of a 64-bit count
 BINS = 8  # bins of the weights' statistics in a factor of two
@@ -70,12 +71,12 @@ def sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarra
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[int, list[tuple[pa.RecordBatch, Slice]]]]:
-    """Consecutive rows of a partition in blocks of bounded text, with an id for each block."""
+    """Consecutive rows of a partition in blocks of bounded text and number, with an id for each block."""
     first, number, held, size = TaskContext.get().partitionId() << 28, 0, [], 0
     for batch in batches:
         for part in slices(batch.column(text_at)):
             held.append((batch.slice(part.first, part.rows), part))
-            size += len(part.data)
+            size += len(part.data) + ROW_BYTES * part.rows
             if size >= BLOCK_BYTES:
                 yield first + number, held
                 number, held, size = number + 1, [], 0

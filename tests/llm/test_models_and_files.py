@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -18,7 +19,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from corpus_cases import DATA, EDGE_TEXTS, edge_docs, empty_docs
-from labelframe.llm import lm_score, packing, quality_classifier, queries, warc
+from labelframe.llm import batches, lm_score, packing, quality_classifier, queries, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: chr(c + 32) for c in range(65, 91)}
@@ -100,6 +101,20 @@ def test_scores_equal_brute_force(spark, monkeypatch, block, ranges):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_blocks_of_null_and_empty_texts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 1 << 16)
+    rows = spark.range(0, 30000, 1, 1).selectExpr("id", "0L AS fold", "CASE WHEN id % 2 = 0 THEN '' END AS text")
+
+    def sizes(batches):
+        for block, held in lm_score.blocks(batches, 2):
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sum(b.num_rows for b, _ in held)])], names=["block", "n"])
+
+    found = batches.bounded(rows).mapInArrow(sizes, "block long, n long").collect()
+    assert sum(r.n for r in found) == 30000 and len({r.block for r in found}) == len(found)
+    assert max(r.n for r in found) <= (1 << 16) // 16 + batches.MOST_ROWS
+    assert lm_score.lm_score(rows.selectExpr("id AS doc_id", "text")).count() == 30000
+
+
 def test_weights_recover_a_known_mixture():
     rng = np.random.default_rng(3)
     n, weights = 40000, np.array([0.5, 0.3, 0.2])
