@@ -10,8 +10,10 @@ these is among its own, so no contained item is missed, however long the documen
 document looks up only hashes up to the greatest of the sketches; the candidates are
 verified on the words themselves.
 
-The items are the query set.  They travel in blocks of at most ``BLOCK_BYTES`` of text,
-and the documents are passed once per block; nothing is shuffled.
+The items are the query set.  Equal texts are one; the ids of the items meet the hits in a
+join.  The texts travel in blocks of at most ``BLOCK_BYTES`` by running sums of their
+bytes, a longer text alone, and the documents are passed once per block.  With several
+blocks the hits of each are stored before the next is fetched, so the driver holds one.
 """
 
 from __future__ import annotations
@@ -22,15 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelframe.functions.checkpoints import materialize
 from labelframe.llm.batches import bounded
 from labelframe.llm.words import Slice, slices, split_words, windows
 
 WIDTH = 5
 THRESHOLD = 0.8
 BLOCK_BYTES = 8 << 20
+ROW_BYTES = 8  # what a text counts in a block besides its bytes
+BUCKET_BLOCKS = 8
 
 
 def shingles(words: list[bytes], width: int) -> set[tuple[bytes, ...]]:
@@ -98,16 +103,39 @@ class Sketches:
                 yield row, item, shared, len(wanted)
 
 
-def blocks(items: DataFrame, id_column: str, text: str) -> Iterator[tuple[pa.Array, list[str | None]]]:
-    """Items in blocks of bounded text, each fetched on its own."""
-    own = items.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    size = own.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
-    n = max(1, math.ceil(size / BLOCK_BYTES))
-    for i in range(n):
-        some = own.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i) if n > 1 else own
-        found = some.toArrow().combine_chunks()
-        ids = found.column("id")
-        yield pa.concat_arrays(ids.chunks) if ids.num_chunks != 1 else ids.chunk(0), found.column("text").to_pylist()
+def keyed(items: DataFrame, id_column: str, text: str) -> DataFrame:
+    """Items with a text: (item, key, text), the key telling texts apart."""
+    own = items.select(F.col(id_column).alias("item"), F.col(text).alias("text")).where("text <> ''")
+    return own.select("item", F.sha2("text", 256).alias("key"), "text")
+
+
+def placed(items: DataFrame) -> DataFrame:
+    """Distinct texts with their block: (key, text, large, bucket, block).
+
+    A text of more than half a block is a block alone.  The others fall into a block by
+    the half of the running sum at which they begin, so a block stays under one half and
+    a last text of at most another.  The sums run in buckets of the key, of many blocks
+    each, so that no task sorts all.
+    """
+    size = F.octet_length("text") + ROW_BYTES
+    own = items.groupBy("key").agg(F.first("text").alias("text")).withColumn("size", F.octet_length("text") + ROW_BYTES)
+    total = own.agg(F.sum("size")).first()[0] or 0
+    buckets, half = max(1, math.ceil(total / (BUCKET_BLOCKS * BLOCK_BYTES))), BLOCK_BYTES // 2
+    own = own.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    own = own.withColumn("large", F.when(F.col("size") > half, F.col("key")).otherwise(F.lit("")))
+    before = Window.partitionBy("bucket", "large").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn("block", F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / half))
+    return own.select("key", "text", "large", "bucket", "block")
+
+
+def blocks(items: DataFrame) -> Iterator[tuple[bool, pa.Array, list[str]]]:
+    """Whether it is the only one, keys and texts of each block of bounded text, fetched on its own."""
+    own = materialize(placed(items))
+    of = ["large", "bucket", "block"]
+    found = own.select(of).distinct().orderBy(of).collect()
+    for where in found:
+        some = own.where(" AND ".join(f"{n} = {where[n]!r}" for n in of)).select("key", "text").toArrow().combine_chunks()
+        yield len(found) == 1, pa.concat_arrays(some.column("key").chunks), some.column("text").to_pylist()
 
 
 def contained_items(
@@ -126,23 +154,29 @@ def contained_items(
     Repeated rows give their rows each; null ids stay.  Words are compared as they are.
     """
     key, item_key = docs.schema[id_column].dataType, items.schema[item_column].dataType
-    schema = f"id {key.simpleString()}, item {item_key.simpleString()}, n_shared long, n_shingles long, containment double"
-    found = None
-    for item_ids, texts in blocks(items, item_column, item_text):
+    own, found = keyed(items, item_column, item_text), None
+    for only, keys, texts in blocks(own):
         sketches = Sketches(texts, threshold, width)
 
-        def run(batches: Iterator[pa.RecordBatch], sketches=sketches, item_ids=item_ids) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sketches=sketches, keys=keys) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hits = [(part.first + r, *rest) for part in slices(batch.column(1)) for r, *rest in sketches.search(part)]
                 row, item, shared, size = (pa.array(c, pa.int64()) for c in (zip(*hits) if hits else [[]] * 4))
                 share = pa.array(np.asarray(shared, float) / np.maximum(size, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), item_ids.take(item), shared, size, share],
-                    names=["id", "item", "n_shared", "n_shingles", "containment"],
+                    [batch.column(0).take(row), keys.take(item), shared, size, share],
+                    names=["id", "key", "n_shared", "n_shingles", "containment"],
                 )
 
-        some = bounded(docs).select(id_column, text).mapInArrow(run, schema)
+        some = bounded(docs).select(id_column, text).mapInArrow(run, f"id {key.simpleString()}, key string, n_shared long, n_shingles long, containment double")
+        some = some if only else materialize(some)
         found = some if found is None else found.unionAll(some)
+        del run, sketches, keys, texts
+    if found is None:
+        schema = f"id {key.simpleString()}, item {item_key.simpleString()}, n_shared long, n_shingles long, containment double"
+        found = docs.sparkSession.createDataFrame([], schema)
+    else:
+        found = found.join(own.select("item", "key"), "key").select("id", "item", "n_shared", "n_shingles", "containment")
     return found.withColumnsRenamed({"id": id_column, "item": item_column})
 
 
@@ -156,8 +190,8 @@ def decontaminate(
     item_text: str = "text",
 ) -> DataFrame:
     """The documents that contain no item, with all their columns; see ``contained_items``."""
-    place = docs.columns.index(text)
-    for _, texts in blocks(items, item_column, item_text):
+    place, hits = docs.columns.index(text), None
+    for only, _, texts in blocks(keyed(items, item_column, item_text)):
         sketches = Sketches(texts, threshold, width)
 
         def run(batches: Iterator[pa.RecordBatch], sketches=sketches) -> Iterator[pa.RecordBatch]:
@@ -167,5 +201,15 @@ def decontaminate(
                     keep[[part.first + hit[0] for hit in sketches.search(part)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = bounded(docs).mapInArrow(run, docs.schema)
-    return docs
+        def mark(batches: Iterator[pa.RecordBatch], sketches=sketches) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = {part.first + hit[0] for part in slices(batch.column(1)) for hit in sketches.search(part)}
+                yield batch.select([0]).take(pa.array(sorted(rows), pa.int64()))
+
+        if only:
+            return bounded(docs).mapInArrow(run, docs.schema)
+        own = bounded(docs).select(F.sha2(text, 256).alias("key"), F.col(text).alias("text"))
+        some = materialize(own.mapInArrow(mark, "key string").distinct())
+        hits = some if hits is None else hits.unionAll(some)
+        del run, mark, sketches, texts
+    return docs if hits is None else docs.join(hits, F.sha2(docs[text], 256) == hits["key"], "left_anti")

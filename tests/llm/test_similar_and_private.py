@@ -142,6 +142,20 @@ def test_items_of_every_size_in_long_documents(spark, monkeypatch, block):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(8)} | {(100, 6)}
 
 
+def test_blocks_of_items_are_bounded_and_equal_texts_fetched_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1000)
+    texts = [f"item number {i} of the words " + "and more " * (i % 30) for i in range(60)] + ["long " * 400]
+    rows = list(enumerate([*texts, *["the same words of a repeated item"] * 100, None, ""]))
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    found = [t for _, _, t in decontaminate.blocks(decontaminate.keyed(items, "item_id", "text"))]
+    assert sorted(sum(found, [])) == sorted({t for _, t in rows if t})
+    assert all(len(t) == 1 or sum(len(x) + 8 for x in t) <= 1000 for t in found) and len(found) < 60
+    docs = spark.createDataFrame([(0, "here stand the same words of a repeated item"), (1, texts[7]), (2, None), (3, "clean")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.contained_items(docs, items).collect())
+    assert got == [(0, i) for i in range(61, 161)] + [(1, 7)]
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, items).collect()) == [2, 3]
+
+
 def test_decontamination_of_odd_tables(spark):
     items = spark.createDataFrame([(1, "two three four"), (2, None), (None, LONG)], "item_id long, text string")
     got = [(r.doc_id, r.item_id) for r in decontaminate.contained_items(edge_docs(spark), items).collect()]
