@@ -6,8 +6,11 @@ votes on good and on bad texts, and with that the probability that a text of eac
 pattern is good.  The pattern counts cover all texts; there are at most 3^k of them.
 
 These posterior labels train a linear scorer on hashed word features.  It is fitted on
-a sample of about ``SAMPLE`` texts drawn by the hash of id and text (a documented bound
-of fitting alone) and scores all texts; its score decides.
+a sample of at most ``SAMPLE`` texts (a documented bound of fitting alone) and scores all
+texts; its score decides.  Equal rows are drawn as one, in proportion to their number, by
+priority: a hash of id and text divided by that number.  What is drawn stands for as many
+rows as its weight says, so a group that makes up a third of the table has a third of the
+weight.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from labelframe.llm.words import Slice, in_row, mix, repeated_words, repeats, ro
 SAMPLE = 6000
 BUCKETS = 512
 ROUNDS = 200
+SPARE = 1.2  # part of the sample ranked, so that it is full
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 CAPITALS = (np.arange(256) >= 65) & (np.arange(256) <= 90)
 LETTERS = CAPITALS | ((np.arange(256) >= 97) & (np.arange(256) <= 122)) | (np.arange(256) >= 128)
@@ -131,12 +135,13 @@ def weak_labels(codes: np.ndarray, counts: np.ndarray, k: int, rounds: int = 200
     return Labels(float(prior), accuracy, 1 / (1 + np.exp(-np.clip(odds, -500, 500))))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, penalty: float = 1e-5) -> np.ndarray:
-    """Weights and a bias for soft labels y, both classes with equal weight in all; Adam steps."""
+def logistic(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, penalty: float = 1e-5, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights and a bias for soft labels y of rows that count ``times``, both classes with equal weight in all; Adam steps."""
     x = x.astype(np.float64)
-    good, bad = y.sum(), (1 - y).sum()
-    weight = y / max(good, 1e-9) + (1 - y) / max(bad, 1e-9) if good > 0.5 and bad > 0.5 else np.full(len(y), 1 / max(len(y), 1))
-    target = np.where(weight > 0, (y / max(good, 1e-9)) / weight, y) if good > 0.5 and bad > 0.5 else y
+    times = np.ones(len(y)) if times is None else times * (len(y) / times.sum())
+    good, bad = (times * y).sum(), (times * (1 - y)).sum()
+    weight = times * (y / max(good, 1e-9) + (1 - y) / max(bad, 1e-9)) if good > 0.5 and bad > 0.5 else times / max(len(y), 1)
+    target = np.where(weight > 0, (times * y / max(good, 1e-9)) / weight, y) if good > 0.5 and bad > 0.5 else y
     w, m, v = np.zeros(x.shape[1] + 1), 0.0, 0.0
     for step in range(1, rounds + 1):
         error = weight * (1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -500, 500))) - target)
@@ -153,7 +158,7 @@ class Model:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text: str = "text") -> Model:
-    """Estimate the labellers on all texts, then train the scorer on a sample of about ``sample``.
+    """Estimate the labellers on all texts, then train the scorer on a sample of at most ``sample``.
 
     An empty table gives a model that keeps every text with words.
     """
@@ -175,24 +180,39 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text:
     labels = weak_labels(codes[order], n[order], k)
     if not n.sum():
         return Model(labels, np.append(np.zeros(BUCKETS), 1.0))
-    limit = int(min(1.0, sample / n.sum()) * (2**31))
+    # a group of equal rows is one row with its number; ranks below the limit suffice for a full sample
+    limit = SPARE * sample / int(n.sum())
+    real = own.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rank = (F.shiftrightunsigned("draw", 11) + 0.5) / 2.0**53 / F.col("n")
+    ranked = real.groupBy("draw").agg(F.count("*").alias("n")).withColumn("rank", rank).where(F.col("rank") < limit)
+    first = ranked.orderBy("rank", "draw").limit(sample + 1).toArrow().sort_by("rank")
+    if first.num_rows > sample:
+        limit, first = first.column("rank")[sample].as_py(), first.slice(0, sample)
+    if not first.num_rows:
+        return Model(labels, np.append(np.zeros(BUCKETS), 1.0))
+    times = np.maximum(first.column("n").to_numpy(), 1 / limit)
+    drawn = docs.sparkSession.createDataFrame(pa.table({"draw": first.column("draw")}))
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for part in slices(batch.column(0)):
+            new = []
+            for i, key in enumerate(batch.column(1).to_pylist()):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            some = batch.take(pa.array(new, pa.int64()))
+            for part in slices(some.column(0)):
                 d = describe(part)
-                real = d.n_words > 0
-                code = patterns(votes(d.shares, d.n_words))[real]
-                flat = pa.array(d.features[real].ravel())
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.FixedSizeListArray.from_arrays(flat, BUCKETS).cast(pa.list_(pa.float32()))], names=["pattern", "features"])
+                code = patterns(votes(d.shares, d.n_words))
+                flat = pa.FixedSizeListArray.from_arrays(pa.array(d.features.ravel()), BUCKETS).cast(pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([some.column(1).slice(part.first, part.rows), pa.array(code), flat], names=["draw", "pattern", "features"])
 
-    some = own.where(F.expr(f"pmod(draw, {2**31}) < {limit}")).select("text").mapInArrow(draw, "pattern long, features array<float>").toArrow()
-    if not some.num_rows:
-        return Model(labels, np.append(np.zeros(BUCKETS), 1.0))
+    some = real.join(F.broadcast(drawn), "draw").select("text", "draw").mapInArrow(draw, "draw long, pattern long, features array<float>")
+    some = some.dropDuplicates(["draw"]).toArrow().sort_by("draw")  # the same sums whatever the order of arrival
     x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in some.column("features").chunks]).reshape(-1, BUCKETS)
-    code = some.column("pattern").to_numpy()
-    order = np.lexsort([*x.T[:8], code])  # the same sums whatever the order of arrival
-    return Model(labels, logistic(x[order], labels.posterior[code[order]]))
+    order = np.argsort(first.column("draw").to_numpy())
+    return Model(labels, logistic(x, labels.posterior[some.column("pattern").to_numpy()], times=times[order]))
 
 
 def score(part: Slice, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -164,6 +164,33 @@ def test_classifier_agrees_with_labels_that_it_has_not_seen(spark):
     assert kept == {r.doc_id for r in quality_classifier.classify(docs, model).collect() if r.kept}
 
 
+def test_equal_rows_are_drawn_once_with_their_number(spark, monkeypatch):
+    seen = {}
+
+    def fitted(x, y, rounds=200, penalty=1e-5, times=None):
+        seen.update(x=x, y=y, times=times)
+        return np.zeros(x.shape[1] + 1)
+
+    monkeypatch.setattr(quality_classifier, "logistic", fitted)
+    same = spark.range(1000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'### !!! ### !!! ###' AS text")
+    other = spark.range(2000).selectExpr("id AS doc_id", "concat('a quiet line of words, number ', id) AS text")
+    blank = spark.range(50).selectExpr("id AS doc_id", "' ' AS text")
+    quality_classifier.fit(same.unionAll(other).unionAll(blank), sample=100)
+    assert len(seen["x"]) == len(seen["y"]) == len(seen["times"]) == 100
+    heavy = seen["times"] == 1000
+    assert heavy.sum() == 1 and abs(seen["times"].sum() - 3000) < 600
+    assert len(np.unique(seen["times"][~heavy])) == 1
+    quality_classifier.fit(same.unionAll(other), sample=5000)
+    assert sorted(seen["times"]) == [1] * 2000 + [1000]
+
+
+def test_rows_that_count_twice_fit_as_two_rows():
+    rng = np.random.default_rng(5)
+    x, y, times = rng.random((60, 4)), rng.random(60), rng.integers(1, 4, 60)
+    once = quality_classifier.logistic(x, y, times=times)
+    assert np.allclose(once, quality_classifier.logistic(np.repeat(x, times, axis=0), np.repeat(y, times)), atol=1e-6)
+
+
 def test_classifier_on_odd_tables(spark):
     model = quality_classifier.fit(edge_docs(spark))
     rows = quality_classifier.classify(edge_docs(spark), model).collect()
