@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from conftest import DATA
+from sf_data import DATA
 
 SQL = driver.oracle_sql()
 
