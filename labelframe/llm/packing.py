@@ -123,39 +123,43 @@ def token_ids(part: Slice, state: WordIds, encode, closing: int) -> tuple[np.nda
     return ids, ends + np.arange(len(ends))
 
 
+def encoder(tokenizer: str, special_as_text: bool = False):
+    """A function from words to their encodings, by a tokenizer's JSON, without added special ids."""
+    import os
+
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    made = Tokenizer.from_str(tokenizer)
+    made.encode_special_tokens = special_as_text
+    return lambda words: made.encode_batch_fast(words, add_special_tokens=False)
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
     window: int = WINDOW,
     closing: int = CLOSING_ID,
     with_ids: bool = False,
+    special_as_text: bool = False,
     id_column: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """Pieces of all documents and their places: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]).
 
     ``tokenizer`` is the JSON of a fast tokenizer whose pieces do not cross white space;
-    special words in a text count as ordinary text.  ``start`` counts the document's ids
+    special words in a text give their special ids unless ``special_as_text``.  ``start`` counts the document's ids
     before the piece, ``offset`` those before it in its sequence, without gaps.
     ``ids_crc32`` is the unsigned CRC-32 of the ids as little-endian 32-bit integers.
     A null or empty text is its closing id alone.  Repeated rows and null ids are packed
     each; other columns are not read.  Sequence ids are unique, not consecutive.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    name = f"packing_{zlib.crc32(tokenizer.encode())}"
-
-    def encoder():
-        from tokenizers import Tokenizer
-
-        made = Tokenizer.from_str(shared.value)
-        made.encode_special_tokens = True
-        return lambda words: made.encode_batch_fast(words, add_special_tokens=False)
+    name = f"packing_{zlib.crc32(tokenizer.encode())}_{special_as_text}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, state = process_state(f"{name}_encode", encoder), process_state(name, WordIds)
+        encode = process_state(f"{name}_encode", lambda: encoder(shared.value, special_as_text))
+        state = process_state(name, WordIds)
         first_id = TaskContext.get().partitionId() << 40
         keys, pieces, kept, tokens = [], [], [], 0
 

@@ -292,10 +292,11 @@ def test_best_fit_fills_windows_as_the_naive_rule_does(lengths):
         assert [a for a, _ in sorted(s)] == [0, *[b for _, b in sorted(s)][:-1]]
 
 
-def check_pieces(texts, rows, window=2048):
+def check_pieces(texts, rows, window=2048, special_as_text=False):
     """Every document's ids come back from its pieces, every sequence is gapless."""
     coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    coder.encode_special_tokens = True
+    if special_as_text:
+        coder.encode_special_tokens = True
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
         pieces[r.doc_id].append(r)
@@ -329,6 +330,16 @@ def test_small_groups_and_odd_texts(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     rows = packing.pack(docs, queries.tokenizer(), window=64, with_ids=True).collect()
     check_pieces(texts, rows, 64)
+    rows = packing.pack(docs, queries.tokenizer(), window=64, with_ids=True, special_as_text=True).collect()
+    check_pieces(texts, rows, 64, special_as_text=True)
+
+
+def test_special_words_give_their_ids_unless_they_count_as_text(spark):
+    docs = spark.createDataFrame([(1, "hello <|endoftext|> world"), (2, "hello<|endoftext|>world")], "doc_id long, text string")
+    found = {r.doc_id: r.ids for r in packing.pack(docs, queries.tokenizer(), with_ids=True).collect()}
+    assert found[1] == [3306, 49407, 1002, 1] and 49407 in found[2]
+    plain = packing.pack(docs, queries.tokenizer(), with_ids=True, special_as_text=True)
+    assert all(49407 not in r.ids for r in plain.collect())
 
 
 def test_packing_of_odd_tables(spark):
