@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm import decontaminate, jaccard_join, license_scan, lm_score, packing, pii, quality_classifier, quality_rules, token_counts, warc
+from labelframe.llm import decontaminate, jaccard_join, license_scan, lm_score, packing, pii, quality_classifier, quality_rules, token_counts, two_fit, warc
 
 PIECES = "piece_bpe_32k.model"
 TOKENIZER = "word_bpe_49k.json"
@@ -69,6 +69,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer())
 
 
+def op11_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return two_fit.pack_whole(table(spark, folder, "documents"), tokenizer())
+
+
 QUERIES = (
     op1_token_counts,
     op2_license_scan,
@@ -80,6 +84,7 @@ QUERIES = (
     op8_quality_classifier,
     op9_warc,
     op10_packing,
+    op11_best_two_fit,
 )
 
 
