@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm import decontaminate, jaccard_join, license_scan, lm_score, packing, pii, quality_classifier, quality_rules, token_counts, two_fit, warc
+from labelframe.llm import decontaminate, jaccard_join, license_scan, lm_score, packing, pii, quality_classifier, quality_rules, token_counts, two_fit, warc, whitening
 
 PIECES = "piece_bpe_32k.model"
 TOKENIZER = "word_bpe_49k.json"
@@ -73,6 +73,10 @@ def op11_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return two_fit.pack_whole(table(spark, folder, "documents"), tokenizer())
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = (
     op1_token_counts,
     op2_license_scan,
@@ -85,6 +89,7 @@ QUERIES = (
     op9_warc,
     op10_packing,
     op11_best_two_fit,
+    op12_whitening,
 )
 
 
