@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm import decontaminate, jaccard_join, license_scan, lm_score, packing, pii, quality_classifier, quality_rules, token_counts, two_fit, warc, whitening
+from labelframe.llm import decontaminate, jaccard_join, license_scan, lm_score, packing, pii, prefix_trie, quality_classifier, quality_rules, token_counts, two_fit, warc, whitening
 
 PIECES = "piece_bpe_32k.model"
 TOKENIZER = "word_bpe_49k.json"
@@ -77,6 +77,10 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 QUERIES = (
     op1_token_counts,
     op2_license_scan,
@@ -90,6 +94,7 @@ QUERIES = (
     op10_packing,
     op11_best_two_fit,
     op12_whitening,
+    op13_prefix_trie,
 )
 
 
@@ -98,7 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op9_warc": OP9_SQL}
+    return {"op4_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op9_warc": OP9_SQL, "op13_prefix_trie": OP13_SQL}
 
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -143,3 +148,31 @@ SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
   CASE WHEN size >= 1000 AND page_id <> greatest THEN greatest END AS refers_to
 FROM g
 """
+
+# CRC-32 of the decimal id, bit by bit; 3988292384 is its reflected polynomial
+OP13_SQL = """
+WITH own AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS q,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+        lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 9 AS h
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.c, list_concat(coalesce(b.q[1:o.h], []), o.q[o.h + 1:]) AS q FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 5
+), prefix AS (
+  SELECT c, q[1:d] AS p, d, len(q) = d AS ends FROM (SELECT c, q, unnest(range(0, len(q) + 1)) AS d FROM rebuilt)
+), node AS MATERIALIZED (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, bool_and(ends) AS leaf,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * octet_length(encode(any_value(p[d].x))) END AS saved,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefix GROUP BY p, d
+), below AS (
+  SELECT p[1:a] AS p, sum(CAST(leaf AS BIGINT)) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM node) GROUP BY 1
+), children AS (
+  SELECT p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.d AS INTEGER) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+  CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN below b ON b.p = n.p LEFT JOIN children k ON k.p = n.p LEFT JOIN node u ON n.d > 0 AND u.p = n.p[1:n.d - 1]
+"""
