@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 RUN_FOLDER = "labelframe.run.folder"
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ROW_GROUP_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -53,19 +57,38 @@ def clean(spark: SparkSession) -> None:
     files.mkdirs(path)
 
 
+_lock = threading.Lock()
+_writers: dict[int, list] = {}  # by session: how many write just now, and the setting before the first of them
+
+
+@contextmanager
+def _cleaned_up(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries inside are deleted after them; the setting comes back when the last thread is out."""
+    key = id(spark._jsparkSession)
+    with _lock:
+        held = _writers.setdefault(key, [0, spark.conf.get(CLEAN_UP, None)])
+        held[0] += 1
+        spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            held[0] -= 1
+            if not held[0]:
+                del _writers[key]
+                spark.conf.set(CLEAN_UP, held[1]) if held[1] is not None else spark.conf.unset(CLEAN_UP)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once, with its lineage cut there, and read it back.
 
     The table is Parquet, so later reads take only the columns they need and the
-    optimizer knows its size.  The shuffle files of the write are deleted after it, not
-    when the driver happens to collect its garbage: nothing else reads them.
+    optimizer knows its size.  Row groups are small, since each task that writes holds
+    one.  The shuffle files of the write are deleted after it, not when the driver
+    happens to collect its garbage: nothing else reads them.  Threads may write at once.
     """
     spark = df.sparkSession
     path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.select("*").write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEAN_UP, before) if before is not None else spark.conf.unset(CLEAN_UP)
+    with _cleaned_up(spark):
+        df.select("*").write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
