@@ -38,7 +38,7 @@ THRESHOLD = 0.8
 VALUES = 128
 STEP = 16
 TOLERANCE = 1e-6
-BLOCK_MEMBERS = 2048
+BLOCK_MEMBERS = 1024
 BLOCK_SHINGLES = 2_000_000
 PAIRS_AT_ONCE = 40_000
 CELL = ("band", "value", "i", "j")
@@ -168,8 +168,11 @@ def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, n
         yield table, begins(table)
 
 
-def pairs_left(table: pa.Table, starts: np.ndarray, least: list[int], rows_in_band: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that survive the pruning, each in the first band that it shares."""
+def pairs_left(table: pa.Table, starts: np.ndarray, least: list[int], rows_in_band: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows that survive the pruning, each in the first band that it shares.
+
+    They come in the order of their first row, from some ``PAIRS_AT_ONCE`` candidates at a time.
+    """
     n = table.num_rows
     column = table.column("bands").combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
@@ -184,7 +187,7 @@ def pairs_left(table: pa.Table, starts: np.ndarray, least: list[int], rows_in_ba
     hi = np.where(cross & (side == 1), lo, ends[cell])
     count = np.maximum(hi - lo, 0)
     total = np.cumsum(count)
-    left, right, row = [], [], 0
+    row = 0
     while row < n:
         base = total[row - 1] if row else 0
         stop = max(row + 1, int(np.searchsorted(total, base + PAIRS_AT_ONCE, "right")))
@@ -204,38 +207,49 @@ def pairs_left(table: pa.Table, starts: np.ndarray, least: list[int], rows_in_ba
             a, b, matches = a[keep], b[keep], matches[keep]
             if not len(a):
                 break
-        left.append(a)
-        right.append(b)
-    empty = [np.zeros(0, np.int64)]
-    return np.concatenate(left or empty), np.concatenate(right or empty)
-
-
-def shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the pairs (a, b) of sets, exactly."""
-    if len(a) < 64:
-        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)], np.int64)
-    sizes = np.array([len(s) for s in sets])
-    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    member = np.repeat(np.arange(len(sets)), sizes)
-    common = count[code] > 1  # a shingle of one member is in no intersection
-    place = np.cumsum(count > 1) - 1
-    code, member, width = place[code[common]], member[common], int((count > 1).sum())
-    if len(sets) ** 2 * width / 5e9 > len(a) * 2e-5:
-        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)], np.int64)
-    order = np.argsort(code, kind="stable")
-    code, member = code[order], member[order]
-    inter = np.zeros((len(sets), len(sets)), np.float32)  # counts stay exact below 2^24
-    for begin in range(0, width, 4096):
-        lo, hi = np.searchsorted(code, [begin, begin + 4096])
-        x = np.zeros((len(sets), 4096), np.float32)
-        x[member[lo:hi], code[lo:hi] - begin] = 1
-        inter += x @ x.T
-    return inter[a, b].astype(np.int64)
-
-
-def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least member of the component of each of n members under the edges (a, b)."""
-    root = np.arange(n)
+        if len(a):
+            yield a, b
+
+
+class CellSets:
+    """Shingle sets of the members of one cell, and the sizes of their intersections, exactly."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sets, self.sizes = sets, np.array([len(s) for s in sets])
+        self.inter: np.ndarray | None = None
+
+    def _one_by_one(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.array([len(np.intersect1d(self.sets[x], self.sets[y], assume_unique=True)) for x, y in zip(a, b)], np.int64)
+
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the pairs (a, b): one by one for few, by products of 0-1 matrices, kept for the cell, for many."""
+        if self.inter is not None:
+            return self.inter[a, b].astype(np.int64)
+        if len(a) < 64:
+            return self._one_by_one(a, b)
+        n = len(self.sets)
+        _, code, count = np.unique(np.concatenate(self.sets), return_inverse=True, return_counts=True)
+        member = np.repeat(np.arange(n), self.sizes)
+        common = count[code] > 1  # a shingle of one member is in no intersection
+        place = np.cumsum(count > 1) - 1
+        code, member, width = place[code[common]], member[common], int((count > 1).sum())
+        if n**2 * width / 5e9 > len(a) * 2e-5:
+            return self._one_by_one(a, b)
+        order = np.argsort(code, kind="stable")
+        code, member = code[order], member[order]
+        inter = np.zeros((n, n), np.float32)  # counts stay exact below 2^24
+        for begin in range(0, width, 4096):
+            lo, hi = np.searchsorted(code, [begin, begin + 4096])
+            x = np.zeros((n, 4096), np.float32)
+            x[member[lo:hi], code[lo:hi] - begin] = 1
+            inter += x @ x.T
+        self.inter = inter
+        return inter[a, b].astype(np.int64)
+
+
+def local_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least member of the component of each member, given those so far and more edges (a, b)."""
+    a, b = np.concatenate([a, np.arange(len(root))]), np.concatenate([b, root])
     while True:
         low = np.minimum(root[a], root[b])
         new = root.copy()
@@ -305,8 +319,10 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_cells(batches):
-            used = np.unique(np.concatenate(pairs_left(table, starts, least, rows_in_band)))
-            yield from table.drop_columns(["bands"]).take(pa.array(used)).to_batches()
+            used = np.zeros(table.num_rows, bool)
+            for a, b in pairs_left(table, starts, least, rows_in_band):
+                used[a] = used[b] = True
+            yield from table.drop_columns(["bands"]).filter(pa.array(used)).to_batches()
 
     cell_schema = "band int, value long, i int, j int, side int, own binary"
     cells = cells_of(classes).join(classes.select("own", "bands"), "own").select(*CELL, "side", "own", "bands")
@@ -328,25 +344,23 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_cells(batches):
-            a, b = pairs_left(table, starts, least, rows_in_band)
             copies, names = table.column("copies").to_numpy(), table.column("own")
             held = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("shingles")]
-            of_pair = np.searchsorted(starts, a, "right") - 1
             links, root = np.zeros(table.num_rows, np.int64), np.arange(table.num_rows)
-            order = np.argsort(of_pair, kind="stable")
             ends = np.append(starts[1:], table.num_rows)
-            for cell, run in zip(*runs(of_pair[order])):
-                mine = order[run]
-                lo, hi = starts[cell], ends[cell]
-                x, y = a[mine] - lo, b[mine] - lo
-                sets_here = held[lo:hi]
-                sizes = np.array([len(s) for s in sets_here])
-                both = shared(sets_here, x, y)
-                good = both >= threshold * (sizes[x] + sizes[y] - both) - 1e-9
-                x, y = x[good], y[good]
-                np.add.at(links, lo + x, copies[lo + y])
-                np.add.at(links, lo + y, copies[lo + x])
-                root[lo:hi] = lo + local_roots(hi - lo, x, y)
+            at, sets = -1, None
+            for a, b in pairs_left(table, starts, least, rows_in_band):
+                for cell, run in zip(*runs(np.searchsorted(starts, a, "right") - 1)):
+                    lo, hi = starts[cell], ends[cell]
+                    if cell != at:
+                        at, sets = cell, CellSets(held[lo:hi])
+                    x, y = a[run] - lo, b[run] - lo
+                    both = sets.shared(x, y)
+                    good = both >= threshold * (sets.sizes[x] + sets.sizes[y] - both) - 1e-9
+                    x, y = x[good], y[good]
+                    np.add.at(links, lo + x, copies[lo + y])
+                    np.add.at(links, lo + y, copies[lo + x])
+                    root[lo:hi] = lo + local_roots(root[lo:hi] - lo, x, y)
             used = pa.array(np.flatnonzero(links))
             yield from pa.table({"own": names.take(used), "links": pa.array(links).take(used), "root": names.take(pa.array(root).take(used))}).to_batches()
 

@@ -75,7 +75,7 @@ def test_shared_sizes_are_the_same_by_products_and_by_pairs():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 80)).astype(np.uint64)) for _ in range(30)]
     a, b = np.triu_indices(30, 1)
-    assert jaccard_join.shared(sets, a, b).tolist() == [len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b)]
+    assert jaccard_join.CellSets(sets).shared(a, b).tolist() == [len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b)]
 
 
 def test_pruning_keeps_what_can_reach_the_threshold():
