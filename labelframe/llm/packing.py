@@ -29,7 +29,8 @@ from labelframe.llm.words import Growing, KnownWords, Slice, Spans, distinct_of,
 WINDOW = 2048
 CLOSING_ID = 1
 GROUP_TOKENS = 4_000_000
-KEPT_WORDS = 2_000_000
+KEPT_WORDS = 1_000_000
+ENCODED_AT_ONCE = 4096
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -102,7 +103,9 @@ class WordIds:
         if len(new):
             raw = part.data.tobytes()
             begins, ends = words.begins[example[new]].tolist(), words.ends[example[new]].tolist()
-            coded = [x.ids for x in encode([raw[b:e].decode("utf-8", "replace") for b, e in zip(begins, ends)])]
+            strings = [raw[b:e].decode("utf-8", "replace") for b, e in zip(begins, ends)]
+            # an encoding is far larger than its ids
+            coded = [x.ids for k in range(0, len(strings), ENCODED_AT_ONCE) for x in encode(strings[k : k + ENCODED_AT_ONCE])]
             lengths = np.array([len(x) for x in coded], np.int64)
             at[new] = self.known.count + np.arange(len(new))
             self.known.add(distinct[new])
