@@ -79,6 +79,23 @@ def _cleaned_up(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(CLEAN_UP, held[1]) if held[1] is not None else spark.conf.unset(CLEAN_UP)
 
 
+def store(df: DataFrame) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the folder, for ``discard``."""
+    spark = df.sparkSession
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    with _cleaned_up(spark):
+        df.select("*").write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more, so that rounds do not pile up."""
+    if not path.startswith(f"{run_folder(spark)}/"):
+        raise ValueError(f"{path} is no intermediate table of this application")
+    folder, files = _path(spark, path)
+    files.delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once, with its lineage cut there, and read it back.
 
@@ -87,8 +104,4 @@ def materialize(df: DataFrame) -> DataFrame:
     one.  The shuffle files of the write are deleted after it, not when the driver
     happens to collect its garbage: nothing else reads them.  Threads may write at once.
     """
-    spark = df.sparkSession
-    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
-    with _cleaned_up(spark):
-        df.select("*").write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store(df)[0]

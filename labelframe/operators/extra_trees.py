@@ -2,33 +2,41 @@
 
 No bootstrap; at a node ``max_features`` features that vary there are drawn, each
 gets one uniform cut between its smallest and largest value, and the cut with the
-best Gini gain is kept.  Rows are never moved or rewritten: a pass sends every batch
-of rows down the trees grown so far, and the partitions send back partial ranges or
-class counts, which Spark merges by key.  A pass starts from the input table, so
-there is no lineage that grows with depth, and it looks at a bounded number of nodes
-at a time, whatever the number of rows.
+best Gini gain is kept.
+
+The node that a row has reached in each tree is an array column of a stored table.  A
+level reads it twice, whatever the number of trees: one pass counts the classes on both
+sides of all drawn cuts; the next moves the rows by the cuts chosen, which are all that is
+broadcast, writes them with their new nodes, and gives the ranges of the features there.
+Rows in leaves of all trees are left behind.  Partial ranges and counts are merged by
+Spark, by node and feature.  The nodes of a level are written as a table when the level is
+done, so the driver holds one level.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from labelframe.functions.checkpoints import discard, materialize, store
 from labelframe.functions.classes import class_counts
 from labelframe.functions.hashing import draw_hex, draw_unit
 from labelframe.functions.reshape import vector
-from labelframe.functions.small import local_table
 
-CELLS_PER_PASS = 2_000_000
+CELLS_PER_PASS = 8_000_000
 NODES_PER_BROADCAST = 1_000_000
+PAIRS_AT_ONCE = 1 << 15
 MAX_DEPTH = 61
 MODEL_SCHEMA = "tree int, node int, feature int, threshold double, child int, counts array<double>"
+STATE = "y int, vec array<double>, at array<int>"
+RANGES = "node int, tree int, path long, feature int, lo double, hi double"
 
 
 @dataclass
@@ -40,25 +48,10 @@ class Tree:
     child: list[int] = field(default_factory=list)
     counts: list[list[float]] = field(default_factory=list)
 
-    def add(self, counts: Sequence[float]) -> int:
-        self.feature.append(-1)
-        self.threshold.append(0.0)
-        self.child.append(-1)
-        self.counts.append([float(c) for c in counts])
-        return len(self.feature) - 1
-
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.array(self.feature), np.array(self.threshold), np.array(self.child)
 
 
-@dataclass
-class Node:
-    tree: int
-    node: int
-    path: int
-    depth: int
-
-
 def _route(x: np.ndarray, arrays: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """The leaf that each row reaches."""
     feature, threshold, child = arrays
@@ -72,18 +65,24 @@ def _route(x: np.ndarray, arrays: tuple[np.ndarray, np.ndarray, np.ndarray]) ->
     return at
 
 
-def _features(batch: pd.DataFrame) -> np.ndarray:
-    x = np.array(batch["vec"].tolist(), dtype=float)
+def _features(vectors: pa.Array | list, width: int | None = None) -> np.ndarray:
+    """Vectors as a matrix; a missing entry is an error."""
+    if isinstance(vectors, pa.Array):
+        if vectors.null_count:
+            raise ValueError("missing values in a feature vector")
+        x = vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), width)
+    else:
+        x = np.array(vectors, dtype=float)
     if np.isnan(x).any():
         raise ValueError("missing values in a feature vector")
     return x
 
 
 class ExtraTrees:
-    """A fitted forest: ``classes`` in order, and one :class:`Tree` per tree."""
+    """A fitted forest: ``classes`` in order, and a table of nodes (see ``MODEL_SCHEMA``)."""
 
-    def __init__(self, classes: list, trees: list[Tree]):
-        self.classes, self.trees = classes, trees
+    def __init__(self, classes: list, nodes: DataFrame):
+        self.classes, self.nodes = classes, nodes
 
     def predict(self, df: DataFrame, features: Sequence[str] | str, output: str = "prediction") -> DataFrame:
         """Add the class with the highest mean leaf share; the first class wins ties."""
@@ -99,15 +98,28 @@ class ExtraTrees:
         return scored.withColumn(output, F.element_at(kinds, place)).drop("_vec", "_share")
 
     def _groups(self) -> Iterator[list[Tree]]:
-        """Trees in groups whose nodes stay below the bound of one broadcast."""
+        """Trees in groups whose nodes stay below the bound of one broadcast, fetched one group at a time."""
+        sizes = sorted(self.nodes.groupBy("tree").count().collect())
         group, nodes = [], 0
-        for tree in self.trees:
-            if group and nodes + len(tree.feature) > NODES_PER_BROADCAST:
-                yield group
+        for tree, n in sizes:
+            if group and nodes + n > NODES_PER_BROADCAST:
+                yield self._fetch(group)
                 group, nodes = [], 0
             group.append(tree)
-            nodes += len(tree.feature)
-        yield group
+            nodes += n
+        yield self._fetch(group)
+
+    def _fetch(self, group: list[int]) -> list[Tree]:
+        some = self.nodes.where(F.col("tree").between(group[0], group[-1])).toArrow().sort_by([("tree", "ascending"), ("node", "ascending")])
+        of, feature, threshold, child = (some.column(c).to_numpy() for c in ("tree", "feature", "threshold", "child"))
+        counts = some.column("counts").to_pylist()
+        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        return [Tree(feature[a:b].tolist(), threshold[a:b].tolist(), child[a:b].tolist(), counts[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+    @property
+    def trees(self) -> list[Tree]:
+        """All trees on the driver, for inspection."""
+        return [tree for group in self._groups() for tree in group]
 
     def _score(self, spark: SparkSession, scored: DataFrame, trees: list[Tree]) -> DataFrame:
         packed = []
@@ -118,7 +130,7 @@ class ExtraTrees:
 
         @F.pandas_udf("array<double>")
         def add_share(vec: pd.Series, share: pd.Series) -> pd.Series:
-            x = _features(pd.DataFrame({"vec": vec}))
+            x = _features(vec.tolist())
             total = np.array(share.tolist(), dtype=float)
             for arrays, shares in model.value:
                 total += shares[_route(x, arrays)]
@@ -128,21 +140,36 @@ class ExtraTrees:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The forest as rows, one per node."""
-        rows = [
-            (t, i, tree.feature[i], tree.threshold[i], tree.child[i], tree.counts[i])
-            for t, tree in enumerate(self.trees)
-            for i in range(len(tree.feature))
-        ]
-        return local_table(spark, rows, MODEL_SCHEMA)
+        return self.nodes
 
     @classmethod
     def from_table(cls, classes: list, table: DataFrame) -> ExtraTrees:
-        trees: dict[int, Tree] = {}
-        for r in table.orderBy("tree", "node").toLocalIterator():
-            tree = trees.setdefault(r["tree"], Tree())
-            tree.add(r["counts"])
-            tree.feature[-1], tree.threshold[-1], tree.child[-1] = r["feature"], r["threshold"], r["child"]
-        return cls(classes, [trees[t] for t in sorted(trees)])
+        return cls(classes, table)
+
+
+@dataclass
+class Level:
+    """The nodes of one depth, in the order of tree and path."""
+
+    tree: np.ndarray
+    path: np.ndarray
+    node: np.ndarray
+    counts: np.ndarray  # (node, class)
+
+    def __len__(self) -> int:
+        return len(self.tree)
+
+    def where(self, keep: np.ndarray) -> Level:
+        return Level(self.tree[keep], self.path[keep], self.node[keep], self.counts[keep])
+
+
+@dataclass
+class Cuts:
+    """The chosen cut of each open node of a level: -1 and no children where none was found."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    after: np.ndarray  # (node, side): the number among the open nodes of the next level, -1 for a leaf
 
 
 def fit_extra_trees(
@@ -157,7 +184,9 @@ def fit_extra_trees(
 ) -> ExtraTrees:
     """Grow ``n_trees`` trees to ``max_depth``; ``max_features`` defaults to the square root.
 
-    A node's path is a number with one bit for each level, hence ``MAX_DEPTH``.
+    Rows without a label are left out.  A node's path is a number with one bit for each
+    level, hence ``MAX_DEPTH``.  A level of more than ``CELLS_PER_PASS`` ranges or counts
+    is measured in several passes, which bounds the memory of a task.
     """
     if max_depth > MAX_DEPTH:
         raise ValueError(f"max_depth is at most {MAX_DEPTH}")
@@ -165,154 +194,215 @@ def fit_extra_trees(
     if not counts:
         raise ValueError(f"{label} has no classes")
     classes = list(counts)
-    # read once per pass; partitions lost with an executor are computed again
-    rows = df.select(F.col(label).alias("y"), vector(features).alias("vec")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        trees = _grow(rows, counts, classes, n_trees, max_depth, max_features, min_samples_split, seed)
-    finally:
-        rows.unpersist()
-    return ExtraTrees(classes, trees)
-
-
-def _grow(
-    rows: DataFrame, counts: dict, classes: list, n_trees: int, max_depth: int, max_features: int | None,
-    min_samples_split: int, seed: int,
-) -> list[Tree]:
+    known = df.where(F.col(label).isNotNull())
+    number = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)).cast("int") - 1
+    rows = known.select(number.cast("int").alias("y"), vector(features).alias("vec"))
     width = rows.select(F.size("vec")).first()[0]
-    grower = _Grower(rows, classes, width, max_features or max(1, int(width**0.5)), seed)
-    trees = [Tree() for _ in range(n_trees)]
-    start = [counts[c] for c in classes]
-    queue = [Node(t, tree.add(start), 1, 0) for t, tree in enumerate(trees)]
-    if not _can_split(start, 0, max_depth, min_samples_split):
-        queue = []
-    while queue:
-        size = grower.pass_size(queue, trees)
-        now, queue = queue[:size], queue[size:]
-        for node, feature, threshold, left, right in grower.split(now, trees):
-            tree = trees[node.tree]
-            child = tree.add(left)
-            tree.add(right)
-            tree.feature[node.node], tree.threshold[node.node], tree.child[node.node] = feature, threshold, child
-            for side, part in enumerate((left, right)):
-                if _can_split(part, node.depth + 1, max_depth, min_samples_split):
-                    queue.append(Node(node.tree, child + side, 2 * node.path + side, node.depth + 1))
-    return trees
-
-
-def _can_split(counts: Sequence[float], depth: int, max_depth: int, min_samples: int) -> bool:
-    return depth < max_depth and sum(counts) >= min_samples and sum(c > 0 for c in counts) > 1
+    grower = _Grower(rows.sparkSession, len(classes), width, max_features or max(1, int(width**0.5)), seed)
+    start = np.tile([float(counts[c]) for c in classes], (n_trees, 1))
+    level = Level(np.arange(n_trees), np.ones(n_trees, np.int64), np.zeros(n_trees, np.int64), start)
+    made, size = [], np.ones(n_trees, np.int64)
+    is_open = _can_split(level.counts, 0, max_depth, min_samples_split)
+    state, path = rows.withColumn("at", F.array(*[F.lit(t if is_open[t] else -1) for t in range(n_trees)])), None
+    cuts = None
+    for depth in range(max_depth + 1):
+        opened = level.where(is_open)
+        if not len(opened):
+            made.append(_node_table(rows.sparkSession, level, is_open, None, None))
+            break
+        state, before = grower.move(state, cuts, opened), path
+        state, path = state
+        if before:
+            discard(rows.sparkSession, before)
+        feature, threshold, sides = grower.split(state, opened)
+        cut = feature >= 0
+        child = np.full(len(opened), -1)
+        # children of a tree are numbered on, in the order of their parents
+        for t in np.unique(opened.tree[cut]):
+            mine = np.flatnonzero(cut & (opened.tree == t))
+            child[mine] = size[t] + 2 * np.arange(len(mine))
+            size[t] += 2 * len(mine)
+        made.append(_node_table(rows.sparkSession, level, is_open, (feature, threshold), child))
+        both = np.repeat(np.flatnonzero(cut), 2)
+        side = np.tile([0, 1], int(cut.sum()))
+        level = Level(opened.tree[both], 2 * opened.path[both] + side, child[both] + side, sides[both, side])
+        is_open = _can_split(level.counts, depth + 1, max_depth, min_samples_split)
+        after = np.full((len(opened), 2), -1)
+        after[both, side] = np.where(is_open, np.cumsum(is_open) - 1, -1)
+        cuts = Cuts(feature, threshold, after)
+    if path:
+        discard(rows.sparkSession, path)
+    return ExtraTrees(classes, materialize(reduce(DataFrame.unionAll, made)))
+
+
+def _can_split(counts: np.ndarray, depth: int, max_depth: int, min_samples: int) -> np.ndarray:
+    return (depth < max_depth) & (counts.sum(axis=1) >= min_samples) & ((counts > 0).sum(axis=1) > 1)
+
+
+def _node_table(spark: SparkSession, level: Level, is_open: np.ndarray, cuts: tuple | None, child: np.ndarray | None) -> DataFrame:
+    """The nodes of a level as rows of the model, stored."""
+    feature, threshold, first = np.full(len(level), -1), np.zeros(len(level)), np.full(len(level), -1)
+    if cuts is not None:
+        feature[is_open], first[is_open] = cuts[0], child
+        threshold[is_open] = np.where(cuts[0] >= 0, cuts[1], 0.0)
+    width = level.counts.shape[1]
+    table = pa.table(
+        {
+            "tree": pa.array(level.tree, pa.int32()),
+            "node": pa.array(level.node, pa.int32()),
+            "feature": pa.array(feature, pa.int32()),
+            "threshold": pa.array(threshold),
+            "child": pa.array(first, pa.int32()),
+            "counts": pa.ListArray.from_arrays(np.arange(0, level.counts.size + 1, width).astype(np.int32), level.counts.ravel()),
+        }
+    )
+    return materialize(spark.createDataFrame(table, schema=MODEL_SCHEMA))
 
 
 class _Grower:
-    def __init__(self, rows: DataFrame, classes: list, width: int, max_features: int, seed: int):
-        self.spark, self.rows, self.classes = rows.sparkSession, rows, classes
+    def __init__(self, spark: SparkSession, n_classes: int, width: int, max_features: int, seed: int):
+        self.spark, self.n_classes = spark, n_classes
         self.width, self.max_features, self.seed = width, min(max_features, width), seed
-        cells = max(width, self.max_features * 2 * len(classes))
-        self.nodes_per_pass = max(1, CELLS_PER_PASS // cells)
-
-    def pass_size(self, queue: list[Node], trees: list[Tree]) -> int:
-        """How many open nodes fit one pass: their cells, and the trees to be broadcast."""
-        used, sent = set(), 0
-        for i, n in enumerate(queue[: self.nodes_per_pass]):
-            if n.tree not in used:
-                used.add(n.tree)
-                sent += len(trees[n.tree].feature)
-                if i and sent > NODES_PER_BROADCAST:
-                    return i
-        return min(len(queue), self.nodes_per_pass)
-
-    def split(self, nodes: list[Node], trees: list[Tree]) -> list[tuple]:
-        """Best cut of each node that can be cut: (node, feature, threshold, left, right)."""
-        used = sorted({n.tree for n in nodes})
-        arrays = {t: trees[t].arrays() for t in used}
-        # position of each open node in this pass, by tree and node number
-        slots = {t: np.full(len(trees[t].feature), -1) for t in used}
-        for i, n in enumerate(nodes):
-            slots[n.tree][n.node] = i
-        cuts = candidate_cuts(self.ranges(nodes, arrays, slots), self.max_features, self.seed).collect()
-        if not cuts:
-            return []
-        chosen = best_cuts(self.counts(nodes, arrays, slots, cuts), len(self.classes)).collect()
-        by_slot = {(c["node"], c["slot"]): c for c in cuts}
-        out = []
-        for r in chosen:
-            cut = by_slot[(r["node"], r["slot"])]
-            out.append((nodes[r["node"]], cut["feature"], cut["threshold"], r["left"], r["right"]))
-        return sorted(out, key=lambda o: (o[0].tree, o[0].path))
-
-    def ranges(self, nodes: list[Node], arrays: dict, slots: dict) -> DataFrame:
-        """Rows ``(node, tree, path, feature, lo, hi)`` over the rows of each open node."""
-        names = np.array([(n.tree, n.path) for n in nodes], dtype=np.int64)
-        shared = self.spark.sparkContext.broadcast((arrays, slots, names))
-        shape = (len(nodes), self.width)
-
-        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            arrays, slots, names = shared.value
-            lo, hi = np.full(shape, np.inf), np.full(shape, -np.inf)
+        self.nodes_per_pass = max(1, CELLS_PER_PASS // max(2 * width, self.max_features * 2 * n_classes))
+
+    def move(self, state: DataFrame, cuts: Cuts | None, opened: Level) -> tuple[DataFrame, str]:
+        """Rows with their nodes of the next level, stored; beside them the partial ranges, if they fit one pass."""
+        cut = self.spark.sparkContext.broadcast(cuts) if cuts else None
+        ranges = self._ranges(opened, 0, len(opened)) if len(opened) <= self.nodes_per_pass else None
+        width = self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = ranges() if ranges else None
             for batch in batches:
-                x = _features(batch)
-                for t in arrays:
-                    at = slots[t][_route(x, arrays[t])]
-                    order = at.argsort(kind="stable")
-                    order = order[np.searchsorted(at[order], 0) :]
-                    if not len(order):
-                        continue
-                    found, starts = np.unique(at[order], return_index=True)
-                    lo[found] = np.minimum(lo[found], np.minimum.reduceat(x[order], starts, axis=0))
-                    hi[found] = np.maximum(hi[found], np.maximum.reduceat(x[order], starts, axis=0))
-            node, feature = np.nonzero(lo <= hi)
-            yield pd.DataFrame(
-                {"node": node, "tree": names[node, 0], "path": names[node, 1], "feature": feature,
-                 "lo": lo[node, feature], "hi": hi[node, feature]}
-            )
-
-        # a partition sends at most one row per open node and feature; they are merged by
-        # node and feature, so that a few open nodes still use many tasks
-        return (
-            self.rows.select("vec")
-            .mapInPandas(partial, "node int, tree int, path long, feature int, lo double, hi double")
-            .groupBy("node", "tree", "path", "feature")
-            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        )
+                x = _features(batch.column(1), width)
+                at = batch.column(2).flatten().to_numpy().reshape(len(x), -1)
+                if cut:
+                    c = cut.value
+                    here = np.maximum(at, 0)
+                    right = np.take_along_axis(x, np.maximum(c.feature, 0)[here], axis=1) >= c.threshold[here]
+                    at = np.where(at >= 0, c.after[here, right.astype(np.int64)], -1).astype(np.int32)
+                stay = (at >= 0).any(axis=1)
+                if found:
+                    found.add(x, at)
+                if stay.any():
+                    batch = batch.filter(pa.array(stay))
+                    at = pa.ListArray.from_arrays((np.arange(stay.sum() + 1) * at.shape[1]).astype(np.int32), at[stay].ravel())
+                    empty = [pa.nulls(len(at), kind) for kind in (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.float64())]
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), at, *empty], names=names)
+            if found:
+                for columns in found.rows():
+                    n = len(columns[0])
+                    empty = [pa.nulls(n, kind) for kind in (pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int32()))]
+                    yield pa.RecordBatch.from_arrays([*empty, *columns], names=names)
+
+        names = [c.strip().split()[0] for c in f"{STATE}, {RANGES}".split(",")]
+        rows = state.where("node IS NULL") if "node" in state.columns else state
+        return store(rows.select("y", "vec", "at").mapInArrow(run, f"{STATE}, {RANGES}"))
+
+    def split(self, state: DataFrame, opened: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature and threshold of the best cut of each open node (-1 without one), and the counts of both sides."""
+        n, k = len(opened), self.max_features
+        feature, threshold, sides = np.full(n, -1), np.zeros(n), np.zeros((n, 2, self.n_classes))
+        rows = state.where("node IS NULL")
+        for lo in range(0, n, self.nodes_per_pass):
+            hi = min(n, lo + self.nodes_per_pass)
+            partial = state.where("node IS NOT NULL") if n <= self.nodes_per_pass else self.ranges(rows, opened, lo, hi)
+            merged = partial.groupBy("node", "tree", "path", "feature").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+            drawn = candidate_cuts(merged, k, self.seed).toArrow()
+            if not drawn.num_rows:
+                continue
+            node, slot = (drawn.column(c).to_numpy() for c in ("node", "slot"))
+            features, thresholds = np.full((n, k), -1), np.full((n, k), np.nan)
+            features[node, slot], thresholds[node, slot] = (drawn.column(c).to_numpy() for c in ("feature", "threshold"))
+            best = best_cuts(self.counts(rows, features, thresholds, lo, hi), self.n_classes).toArrow()
+            node, slot = (best.column(c).to_numpy() for c in ("node", "slot"))
+            feature[node], threshold[node] = features[node, slot], thresholds[node, slot]
+            for side, name in enumerate(("left", "right")):
+                flat = best.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+                sides[node, side] = flat.reshape(len(node), self.n_classes)
+        return feature, threshold, sides
+
+    def _ranges(self, opened: Level, lo: int, hi: int):
+        names = self.spark.sparkContext.broadcast((opened.tree, opened.path))
+        width = self.width
+        return lambda: Ranges(lo, hi, width, *names.value)
+
+    def ranges(self, rows: DataFrame, opened: Level, lo: int, hi: int) -> DataFrame:
+        """Partial ranges of the open nodes lo to hi."""
+        make, width = self._ranges(opened, lo, hi), self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = make()
+            for batch in batches:
+                found.add(_features(batch.column(0), width), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1))
+            for columns in found.rows():
+                yield pa.RecordBatch.from_arrays(columns, names=[c.strip().split()[0] for c in RANGES.split(",")])
+
+        return rows.select("vec", "at").mapInArrow(run, RANGES)
 
-    def counts(self, nodes: list[Node], arrays: dict, slots: dict, cuts: list) -> DataFrame:
-        """Rows ``(node, slot, side, class, n)`` for every candidate cut."""
-        k, n_classes = self.max_features, len(self.classes)
-        feature = np.zeros((len(nodes), k), dtype=np.int64)
-        threshold = np.full((len(nodes), k), np.nan)
-        for c in cuts:
-            feature[c["node"], c["slot"]] = c["feature"]
-            threshold[c["node"], c["slot"]] = c["threshold"]
-        shared = self.spark.sparkContext.broadcast((arrays, slots, feature, threshold, self.classes))
-
-        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            arrays, slots, feature, threshold, classes = shared.value
-            number = {c: i for i, c in enumerate(classes)}
+    def counts(self, rows: DataFrame, features: np.ndarray, thresholds: np.ndarray, lo: int, hi: int) -> DataFrame:
+        """Rows ``(node, slot, side, class, n)`` for every candidate cut of the open nodes lo to hi."""
+        k, n_classes, width = self.max_features, self.n_classes, self.width
+        shared = self.spark.sparkContext.broadcast((features[lo:hi], thresholds[lo:hi]))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            feature, threshold = shared.value
             total = np.zeros(len(feature) * k * 2 * n_classes, dtype=np.int64)
             for batch in batches:
-                x = _features(batch)
-                y = batch["y"].map(number).to_numpy()
-                for t in arrays:
-                    at = slots[t][_route(x, arrays[t])]
-                    mine = np.nonzero(at >= 0)[0]
-                    node = at[mine]
-                    right = x[mine[:, None], feature[node]] >= threshold[node]
-                    cell = ((node[:, None] * k + np.arange(k)) * 2 + right) * n_classes + y[mine][:, None]
-                    cell = cell[~np.isnan(threshold[node])]
-                    found, n = np.unique(cell, return_counts=True)
+                x, y = _features(batch.column(1), width), batch.column(0).to_numpy()
+                for row, node in open_pairs(batch.column(2).flatten().to_numpy().reshape(len(x), -1), lo, hi):
+                    node = node - lo
+                    right = x[row[:, None], np.maximum(feature[node], 0)] >= threshold[node]
+                    cell = ((node[:, None] * k + np.arange(k)) * 2 + right) * n_classes + y[row][:, None]
+                    found, n = np.unique(cell[feature[node] >= 0], return_counts=True)
                     total[found] += n
             cell = np.nonzero(total)[0]
             rest, cls = np.divmod(cell, n_classes)
             rest, side = np.divmod(rest, 2)
             node, slot = np.divmod(rest, k)
-            yield pd.DataFrame({"node": node, "slot": slot, "side": side, "class": cls, "n": total[cell]})
-
-        known = self.rows.where(F.col("y").isNotNull())
-        return (
-            known.mapInPandas(partial, "node int, slot int, side int, class int, n long")
-            .groupBy("node", "slot", "side", "class")
-            .agg(F.sum("n").alias("n"))
-        )
+            for at in range(0, len(cell), 1 << 16):
+                some = slice(at, at + (1 << 16))
+                columns = [pa.array(c[some], pa.int32()) for c in (node + lo, slot, side, cls)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(total[cell[some]])], names=["node", "slot", "side", "class", "n"])
+
+        merged = rows.select("y", "vec", "at").mapInArrow(run, "node int, slot int, side int, class int, n long")
+        return merged.groupBy("node", "slot", "side", "class").agg(F.sum("n").alias("n"))
+
+
+def open_pairs(at: np.ndarray, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, node) of the rows in the open nodes lo to hi of any tree, some at a time."""
+    rows, places = np.nonzero((at >= lo) & (at < hi))
+    for k in range(0, len(rows), PAIRS_AT_ONCE):
+        row, place = rows[k : k + PAIRS_AT_ONCE], places[k : k + PAIRS_AT_ONCE]
+        yield row, at[row, place].astype(np.int64)
+
+
+class Ranges:
+    """Smallest and largest value of each feature in the open nodes lo to hi."""
+
+    def __init__(self, lo: int, hi: int, width: int, tree: np.ndarray, path: np.ndarray):
+        self.first, self.last, self.tree, self.path = lo, hi, tree, path
+        self.low, self.high = np.full((hi - lo, width), np.inf), np.full((hi - lo, width), -np.inf)
+
+    def add(self, x: np.ndarray, at: np.ndarray) -> None:
+        for row, node in open_pairs(at, self.first, self.last):
+            order = node.argsort(kind="stable")
+            found, starts = np.unique(node[order], return_index=True)
+            found, values = found - self.first, x[row[order]]
+            self.low[found] = np.minimum(self.low[found], np.minimum.reduceat(values, starts, axis=0))
+            self.high[found] = np.maximum(self.high[found], np.maximum.reduceat(values, starts, axis=0))
+
+    def rows(self) -> Iterator[list[pa.Array]]:
+        """A row per node and feature met: at most one per partition, node and feature is sent on."""
+        step = max(1, (1 << 16) // self.low.shape[1])
+        for at in range(0, len(self.low), step):
+            low, high = self.low[at : at + step], self.high[at : at + step]
+            node, feature = np.nonzero(low <= high)
+            name = node + at + self.first
+            yield [
+                pa.array(name, pa.int32()), pa.array(self.tree[name], pa.int32()), pa.array(self.path[name]),
+                pa.array(feature, pa.int32()), pa.array(low[node, feature]), pa.array(high[node, feature]),
+            ]
 
 
 def candidate_cuts(ranges: DataFrame, max_features: int, seed: int) -> DataFrame:
