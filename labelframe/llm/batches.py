@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -22,3 +26,25 @@ def bounded(df: DataFrame) -> DataFrame:
         conf.set(ROWS, str(MOST_ROWS))
     conf.set(BYTES, MOST_BYTES)
     return df
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for mapInArrow, whose worker holds no freed memory between its tasks.
+
+    Workers outlive a task and those of several stages share an executor.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm.batches import bounded
+from labelframe.llm.batches import bounded, tidy
 from labelframe.llm.words import Slice, slices, split_words, windows
 
 WIDTH = 5
@@ -168,7 +168,7 @@ def contained_items(
                     names=["id", "key", "n_shared", "n_shingles", "containment"],
                 )
 
-        some = bounded(docs).select(id_column, text).mapInArrow(run, f"id {key.simpleString()}, key string, n_shared long, n_shingles long, containment double")
+        some = bounded(docs).select(id_column, text).mapInArrow(tidy(run), f"id {key.simpleString()}, key string, n_shared long, n_shingles long, containment double")
         some = some if only else materialize(some)
         found = some if found is None else found.unionAll(some)
         del run, sketches, keys, texts
@@ -207,9 +207,9 @@ def decontaminate(
                 yield batch.select([0]).take(pa.array(sorted(rows), pa.int64()))
 
         if only:
-            return bounded(docs).mapInArrow(run, docs.schema)
+            return bounded(docs).mapInArrow(tidy(run), docs.schema)
         own = bounded(docs).select(F.sha2(text, 256).alias("key"), F.col(text).alias("text"))
-        some = materialize(own.mapInArrow(mark, "key string").distinct())
+        some = materialize(own.mapInArrow(tidy(mark), "key string").distinct())
         hits = some if hits is None else hits.unionAll(some)
         del run, mark, sketches, texts
     return docs if hits is None else docs.join(hits, F.sha2(docs[text], 256) == hits["key"], "left_anti")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm.batches import bounded
+from labelframe.llm.batches import bounded, tidy
 from labelframe.llm.components import components
 from labelframe.llm.words import Slice, in_row, mix, repeats, seeds, slices, split_words, windows
 
@@ -140,7 +140,7 @@ def sketch(docs: DataFrame, width: int, rows_in_band: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*first, own, pa.array(n), bands], names=["id", "text_hash", "own", "n", "bands"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, text_hash long, own binary, n long, bands array<long>")
+    return docs.mapInArrow(tidy(run), f"id {kind}, text_hash long, own binary, n long, bands array<long>")
 
 
 def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -326,7 +326,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
 
     cell_schema = "band int, value long, i int, j int, side int, own binary"
     cells = cells_of(classes).join(classes.select("own", "bands"), "own").select(*CELL, "side", "own", "bands")
-    cells = materialize(in_cells(cells).mapInArrow(prune, cell_schema))
+    cells = materialize(in_cells(cells).mapInArrow(tidy(prune), cell_schema))
 
     wanted = materialize(classes.join(cells.select("own").distinct(), "own", "left_semi").select("own", "copies", "bands", "rep"))
     same = own["id"].eqNullSafe(F.col("rep.id")) & (own["text_hash"] == F.col("rep.text_hash"))
@@ -340,7 +340,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
                 first = (batch.column(c).slice(part.first, part.rows) for c in (0, 1, 2))
                 yield pa.RecordBatch.from_arrays([*first, sets], names=["own", "copies", "bands", "shingles"])
 
-    sets = texts.mapInArrow(gather, "own binary, copies long, bands array<long>, shingles binary").dropDuplicates(["own"])
+    sets = texts.mapInArrow(tidy(gather), "own binary, copies long, bands array<long>, shingles binary").dropDuplicates(["own"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_cells(batches):
@@ -364,7 +364,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
             used = pa.array(np.flatnonzero(links))
             yield from pa.table({"own": names.take(used), "links": pa.array(links).take(used), "root": names.take(pa.array(root).take(used))}).to_batches()
 
-    linked = in_cells(cells.join(sets, "own")).mapInArrow(verify, "own binary, links long, root binary")
+    linked = in_cells(cells.join(sets, "own")).mapInArrow(tidy(verify), "own binary, links long, root binary")
     linked = materialize(linked)
     roots = components(linked.select(F.col("own").alias("a"), F.col("root").alias("b")))
     least_id = roots.join(classes.select(F.col("own").alias("node"), "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("class_first"))

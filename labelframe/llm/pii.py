@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from labelframe.llm.batches import bounded
+from labelframe.llm.batches import bounded, tidy
 from labelframe.llm.words import process_state
 
 KINDS = ("email", "ip", "card", "phone", "url", "secret", "account")
@@ -258,7 +258,7 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text: str = "
 
     kind = docs.schema[id_column].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in BASE_KINDS)
-    return bounded(docs).select(id_column, text).mapInArrow(run, f"`{id_column}` {kind}, {counts}, base_sha256 string, spans string")
+    return bounded(docs).select(id_column, text).mapInArrow(tidy(run), f"`{id_column}` {kind}, {counts}, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -272,4 +272,4 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
             clean = [None if (t := v.as_py()) is None else redacted(t, find(t, cues)) for v in column]
             yield batch.set_column(place, batch.schema.field(place), pa.array(clean, column.type))
 
-    return bounded(docs).mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(tidy(run), docs.schema)

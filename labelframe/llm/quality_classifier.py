@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelframe.llm.batches import bounded
+from labelframe.llm.batches import bounded, tidy
 from labelframe.llm.words import Slice, in_row, mix, repeated_words, repeats, row_sums, slices, spans_of, split_words
 
 SAMPLE = 6000
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["pattern", "n"])
 
-    found = own.select("text").mapInArrow(vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toArrow()
+    found = own.select("text").mapInArrow(tidy(vote), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toArrow()
     codes, n = (found.column(c).to_numpy().astype(np.int64) for c in ("pattern", "n"))
     order = np.argsort(codes)
     labels = weak_labels(codes[order], n[order], k)
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text:
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(d.features.ravel()), BUCKETS).cast(pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([some.column(1).slice(part.first, part.rows), pa.array(code), flat], names=["draw", "pattern", "features"])
 
-    some = real.join(F.broadcast(drawn), "draw").select("text", "draw").mapInArrow(draw, "draw long, pattern long, features array<float>")
+    some = real.join(F.broadcast(drawn), "draw").select("text", "draw").mapInArrow(tidy(draw), "draw long, pattern long, features array<float>")
     some = some.dropDuplicates(["draw"]).toArrow().sort_by("draw")  # the same sums whatever the order of arrival
     x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in some.column("features").chunks]).reshape(-1, BUCKETS)
     order = np.argsort(first.column("draw").to_numpy())
@@ -238,7 +238,7 @@ def classify(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(weak), pa.array(p), pa.array(p >= 0.5)], names=names)
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return bounded(docs).select(id_column, text).mapInArrow(run, f"`{id_column}` {kind}, n_words long, weak_label double, p_quality double, kept boolean")
+    return bounded(docs).select(id_column, text).mapInArrow(tidy(run), f"`{id_column}` {kind}, n_words long, weak_label double, p_quality double, kept boolean")
 
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -250,4 +250,4 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             for part in slices(batch.column(place)):
                 yield batch.slice(part.first, part.rows).filter(pa.array(score(part, model)[2] >= 0.5))
 
-    return bounded(docs).mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(tidy(run), docs.schema)
