@@ -274,6 +274,42 @@ stump AS (SELECT p.o_orderkey, p.label, l.label AS prediction FROM parted p
           JOIN larger l ON l.side = (p.month > (SELECT cut FROM best)) WHERE p.split = 'test')"""
 
 
+NOISY = """SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey % 3 ELSE band END AS BIGINT) AS label,
+      CAST(band AS BIGINT) AS band, CAST(month AS BIGINT) AS month, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS priority,
+      CAST(dayofweek(o_orderdate) + 1 AS BIGINT) AS weekday
+    FROM (SELECT *, month(o_orderdate) AS month, CASE WHEN month(o_orderdate) <= 5 THEN 0
+      WHEN month(o_orderdate) <= 9 THEN 1 ELSE 2 END AS band FROM orders)"""
+
+
+def first_round(eta: float = 0.3) -> str:
+    """Trees of depth 2 from the gradients of equal chances, by sums over the values of each feature."""
+    value = f"-{eta}::DOUBLE * g / (h + 1)"
+
+    def level(n: int) -> str:
+        """CTEs that cut the nodes of ``at{n}`` and give ``at{n + 1}``."""
+        return f"""
+    by{n} AS (SELECT class, path, f, v, sum(g) AS g, sum(h) AS h FROM at{n} JOIN long USING (o_orderkey) GROUP BY ALL),
+    run{n} AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER p AS ga, sum(h) OVER p AS ha FROM by{n}
+      WINDOW w AS (PARTITION BY class, path, f ORDER BY v), p AS (PARTITION BY class, path, f)),
+    gain{n} AS (SELECT *, round(gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1), 7) AS gain
+      FROM run{n} WHERE hl >= 1 AND ha - hl >= 1),
+    cut{n} AS (SELECT class, path, f, (SELECT min(v) FROM long l WHERE l.f = b.f AND l.v > b.v) AS threshold
+      FROM (SELECT *, row_number() OVER (PARTITION BY class, path ORDER BY gain DESC, f, v) AS place FROM gain{n} WHERE gain > 0) b
+      WHERE place = 1),
+    at{n + 1} AS (SELECT class, path || CASE WHEN v >= threshold THEN 'R' ELSE 'L' END AS path, o_orderkey, g, h
+      FROM at{n} JOIN cut{n} USING (class, path) JOIN long USING (o_orderkey, f))"""
+
+    nodes = " UNION ALL ".join(f"SELECT class, path, sum(g) AS g, sum(h) AS h FROM at{n} GROUP BY ALL" for n in range(3))
+    return f"""WITH noisy AS ({NOISY}),
+    long AS (SELECT o_orderkey, 0 AS f, month AS v FROM noisy UNION ALL SELECT o_orderkey, 1, priority FROM noisy
+      UNION ALL SELECT o_orderkey, 2, weekday FROM noisy),
+    at0 AS (SELECT class, '' AS path, o_orderkey, 1.0::DOUBLE / 3 - CAST(label = class AS INTEGER) AS g, 4.0::DOUBLE / 9 AS h
+      FROM noisy CROSS JOIN (SELECT unnest([0, 1, 2])::BIGINT AS class)),
+    {level(0)}, {level(1)}, nodes AS ({nodes}), cuts AS (SELECT * FROM cut0 UNION ALL SELECT * FROM cut1)
+    SELECT class, path, ['month', 'priority', 'weekday'][f + 1] AS feature, {r6('threshold', 'threshold')}, {r6(value, 'value')}
+    FROM nodes LEFT JOIN cuts USING (class, path)"""
+
+
 def first_cut(trees: int = 8, width: int = 64, kept: int = 8) -> str:
     key = ("tree", "path", "feature")
     return f"""WITH vec AS (SELECT CAST(label AS BIGINT) AS label, embedding::DOUBLE[] AS e FROM embeddings),
@@ -445,6 +481,9 @@ def oracle_sql() -> dict[str, str]:
         "train_random_forest": SEASONS,
         "train_extra_trees": SEASONS,
         "train_boosted_trees": SEASONS,
+        "train_multinomial_boosting": f"""WITH {split_ctes(NOISY, 'label', 'o_orderkey', 0.2)}
+            SELECT o_orderkey, label, band AS prediction FROM parted WHERE split = 'test'""",
+        "boosting_first_round": first_round(),
         "train_stump": f"WITH {STUMP} SELECT * FROM stump",
         "train_importances": """SELECT 'month' AS first, 3::BIGINT AS n_features, 0::BIGINT AS n_negative,
               1.0::DOUBLE AS total FROM orders LIMIT 1""",

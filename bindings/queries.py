@@ -14,7 +14,7 @@ from labelframe.functions.checkpoints import run_folder
 from labelframe.functions.classes import class_counts
 from labelframe.functions.hashing import hex_to_long
 from labelframe.functions.small import local_table
-from labelframe.operators import clean, encode, evaluate, expect, explore, extra_trees, neighbors, profile
+from labelframe.operators import boosting, clean, encode, evaluate, expect, explore, extra_trees, neighbors, profile
 from labelframe.operators import resample, split, train
 from labelframe.sources import tables
 
@@ -606,6 +606,51 @@ def train_boosted_trees(spark, d):
     return season_predictions(spark, d, "boosted_trees")
 
 
+NOISY_FEATURES = ["month", "priority", "weekday"]
+
+
+def noisy_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders; the label follows the month, but for every seventh order, where it is drawn by the key."""
+    month, key = F.month("o_orderdate"), F.col("o_orderkey")
+    band = F.when(month <= SEASON_ENDS[0], 0).when(month <= SEASON_ENDS[1], 1).otherwise(2)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(key % 7 == 0, key % 3).otherwise(band).cast("long").alias("label"),
+        band.cast("long").alias("band"),
+        month.cast("long").alias("month"),
+        F.substring("o_orderpriority", 1, 1).cast("long").alias("priority"),
+        F.dayofweek("o_orderdate").cast("long").alias("weekday"),
+    )
+
+
+def train_multinomial_boosting(spark, d):
+    """Boosted trees of all classes see through the noise: the band is what they predict."""
+    df = split.stratified_split(noisy_seasons(spark, d), "label", "o_orderkey", 0.2, SEED)
+    learn, check = (df.where(F.col("split") == s) for s in ("train", "test"))
+    model = train.train("multinomial_boosting", learn, "label", NOISY_FEATURES, {"rounds": 10, "max_depth": 3, "min_child_weight": 20.0})
+    return model.predict(check).select("o_orderkey", "label", "prediction")
+
+
+def boosting_first_round(spark, d):
+    """The trees of the first round: cuts and values of all nodes, named by the sides on the way to them."""
+    model = boosting.fit_boosting(noisy_seasons(spark, d), "label", NOISY_FEATURES, rounds=1, max_depth=2)
+    nodes = model.nodes.select("class", "node", "feature", "threshold", "child", "value")
+    up = nodes.where("child >= 0").select(F.col("class").alias("c"), F.col("node").alias("up"), F.explode(F.array(*[F.struct((F.col("child") + i).alias("node"), F.lit(s).alias("side")) for i, s in enumerate("LR")])).alias("of"))
+    first = nodes.join(up, (F.col("class") == F.col("c")) & (nodes["node"] == F.col("of.node")), "left")
+    second = up.select(F.col("c").alias("c2"), F.col("of.node").alias("up2"), F.col("of.side").alias("side2"))
+    named = first.join(second, (F.col("class") == F.col("c2")) & (F.col("up") == F.col("up2")), "left")
+    names = F.array(*[F.lit(n) for n in NOISY_FEATURES])
+    cut = F.col("feature") >= 0
+    out = named.select(
+        F.col("class").cast("long").alias("class"),
+        F.concat(F.coalesce("side2", F.lit("")), F.coalesce("of.side", F.lit(""))).alias("path"),
+        F.when(cut, F.get(names, F.col("feature"))).alias("feature"),
+        F.when(cut, F.col("threshold")).alias("threshold"),
+        "value",
+    )
+    return rounded(out, "threshold", "value")
+
+
 def train_stump(spark, d):
     """One cut: the best Gini gain on the month, the larger class on each side."""
     return season_predictions(spark, d, "stump")
@@ -678,7 +723,7 @@ ALL: list[Query] = [
     knn_classify, knn_on_oversampled, evaluate_confusion, evaluate_accuracy, evaluate_class_report, evaluate_full_report, evaluate_macro,
     evaluate_weighted, evaluate_comparison, evaluate_ranking, evaluate_baselines, expect_metric_floor,
     extra_trees_first_cut, train_logistic_regression, train_decision_tree, train_random_forest,
-    train_extra_trees, train_boosted_trees, train_stump, train_importances, train_search, model_metrics_table,
+    train_extra_trees, train_boosted_trees, train_multinomial_boosting, boosting_first_round, train_stump, train_importances, train_search, model_metrics_table,
     source_round_trip,
 ]
 

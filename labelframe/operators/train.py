@@ -27,6 +27,7 @@ from labelframe.functions.classes import class_counts, class_list
 from labelframe.functions.reshape import vector
 from labelframe.functions.small import local_table
 from labelframe.operators import neighbors
+from labelframe.operators.boosting import Boosted, fit_boosting
 from labelframe.operators.evaluate import model_metrics
 from labelframe.operators.extra_trees import ExtraTrees, fit_extra_trees
 from labelframe.operators.resample import bucket_digits, number_rows
@@ -41,6 +42,10 @@ ESTIMATORS: dict[str, Callable] = {
     "boosted_trees": lambda **p: OneVsRest(classifier=GBTClassifier(**p), parallelism=CLASS_MODELS_AT_ONCE),
 }
 
+# models that are tables of nodes
+TABLE_MODELS: dict[str, Callable] = {"extra_trees": ExtraTrees, "multinomial_boosting": Boosted}
+KNN_OPTIONS = ("k", "probes", "block_rows", "seed")
+
 
 def to_ml(df: DataFrame, features: Sequence[str] | str, label: str | None = None, classes: Sequence = ()) -> DataFrame:
     """Add ``_features`` (vector) and, with a label, its 0-based ``_label``."""
@@ -62,7 +67,7 @@ class Trained:
 
     def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """The table with a column of predicted labels."""
-        if self.kind == "extra_trees":
+        if self.kind in TABLE_MODELS:
             return self.model.predict(df, self.features, output)
         if self.kind == "knn":
             return self._predict_knn(df, output)
@@ -80,11 +85,11 @@ class Trained:
         return df.drop(output).join(votes, F.col(row_id) == F.col("_id"), "left").drop("_id")
 
     def save(self, path: str) -> None:
-        """Spark models in their own format, extra trees and neighbours as tables."""
+        """Spark models in their own format, extra trees, multinomial boosting and neighbours as tables."""
         session = None
-        if self.kind == "extra_trees":
+        if self.kind in TABLE_MODELS:
             session = _session()
-            self.model.table(session).write.mode("overwrite").parquet(f"{path}/model")
+            self.model.nodes.write.mode("overwrite").parquet(f"{path}/model")
         elif self.kind == "knn":
             train, row_id, label, options = self.model
             session = train.sparkSession
@@ -107,11 +112,12 @@ class Trained:
         about = spark.read.parquet(f"{path}/about").first()
         classes = [r["class"] for r in spark.read.parquet(f"{path}/classes").orderBy("ordinal").collect()]
         features = about["features"][0] if about["is_array"] else list(about["features"])
-        if about["kind"] == "extra_trees":
-            model = ExtraTrees.from_table(classes, spark.read.parquet(f"{path}/model"))
+        if about["kind"] in TABLE_MODELS:
+            model = TABLE_MODELS[about["kind"]](classes, spark.read.parquet(f"{path}/model"))
         elif about["kind"] == "knn":
             s = about["settings"]
-            model = (spark.read.parquet(f"{path}/model"), s["row_id"], s["label"], {"k": int(s["k"])})
+            options = {name: int(s[name]) for name in KNN_OPTIONS if name in s}
+            model = (spark.read.parquet(f"{path}/model"), s["row_id"], s["label"], options)
         else:
             model = PipelineModel.load(f"{path}/model").stages[0]
         return cls(about["kind"], model, classes, features)
@@ -129,7 +135,7 @@ def _settings(trained: Trained) -> dict[str, str]:
     if trained.kind != "knn":
         return {}
     _, row_id, label, options = trained.model
-    return {"row_id": row_id, "label": label, "k": str(options.get("k", 5))}
+    return {"row_id": row_id, "label": label, **{name: str(v) for name, v in options.items() if v is not None}}
 
 
 def train(
@@ -143,14 +149,17 @@ def train(
 ) -> Trained:
     """Fit one classifier; ``params`` are those of its Spark estimator.
 
-    ``boosted_trees`` is one gradient-boosted binary model per class.  ``extra_trees``
-    takes the arguments of :func:`fit_extra_trees`, ``knn`` those of ``nearest``.  The
-    classes are read off the table unless they are given.
+    ``multinomial_boosting`` takes the arguments of :func:`fit_boosting`; ``boosted_trees``
+    is one gradient-boosted binary model of Spark's per class.  ``extra_trees`` takes the
+    arguments of :func:`fit_extra_trees`, ``knn`` those of ``nearest``.  The classes are
+    read off the table unless they are given.
     """
     params = dict(params or {})
     classes = list(classes) if classes is not None else class_list(df, label)
     if kind == "extra_trees":
         return Trained(kind, fit_extra_trees(df, label, features, **params), classes, features)
+    if kind == "multinomial_boosting":
+        return Trained(kind, fit_boosting(df, label, features, **params), classes, features)
     if kind == "knn":
         if row_id is None:
             raise ValueError("knn needs row_id")
