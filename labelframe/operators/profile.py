@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from labelframe.functions.reshape import aggregate_columns, is_missing, numeric_columns, present
 from labelframe.functions.small import local_table
-from labelframe.operators.quantiles import quantiles
+from labelframe.operators.quantiles import summaries
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -29,22 +29,22 @@ def tail(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, quartiles and max of each numeric column."""
     columns = list(columns or numeric_columns(df))
-    moments = aggregate_columns(
-        df,
-        columns,
-        {
-            "count": lambda c: F.count(present(df, c)),
-            "mean": lambda c: F.avg(present(df, c)),
-            "std": lambda c: F.stddev_samp(present(df, c)),
-            "min": lambda c: F.min(present(df, c)).cast("double"),
-            "max": lambda c: F.max(present(df, c)).cast("double"),
-        },
-    )
-    quarters = quantiles(df, columns, [0.25, 0.5, 0.75], approx=approx).select(
-        "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
-    )
-    return moments.join(quarters, "column", "left").select(
-        "ordinal", "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    measures = {
+        "count": lambda c: F.count(present(df, c)),
+        "mean": lambda c: F.avg(present(df, c)),
+        "std": lambda c: F.stddev_samp(present(df, c)),
+        "min": lambda c: F.min(present(df, c)).cast("double"),
+        "max": lambda c: F.max(present(df, c)).cast("double"),
+    }
+    quarters = [0.25, 0.5, 0.75]
+    if approx:
+        wanted = F.array(*[F.lit(p) for p in quarters])
+        found = aggregate_columns(df, columns, {**measures, "q": lambda c: F.percentile_approx(present(df, c).cast("double"), wanted)})
+    else:
+        found = summaries(df, columns, quarters, measures=measures)
+    return found.select(
+        "ordinal", "column", "count", "mean", "std", "min",
+        *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))], "max",
     )
 
 

@@ -85,6 +85,28 @@ def test_rows_do_not_depend_on_sizes(spark, small):
     assert whole == {"v": [0.0, 499.0], "empty": None}
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 333, 334, 399, 401, 5003, 39_999, 40_001])
+def test_ranks_lie_inside_their_brackets(spark, n):
+    values = np.random.default_rng(n).permutation(n) * 1.0
+    df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(7)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    assert np.allclose(quantiles(df, ["v"], probs).first()["q"], np.quantile(values, probs), rtol=0, atol=1e-9)
+
+
+def test_passes_do_not_depend_on_the_values(spark, monkeypatch):
+    """Values over 600 decades take as many passes as evenly spread ones, two; narrow limits add a few."""
+    module = __import__("labelframe.operators.quantiles", fromlist=["x"])
+    written = []
+    real = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df: (written.append(1), real(df))[1])
+    for values in (10.0 ** np.linspace(-300, 300, 4000), np.arange(4000.0)):
+        df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(4)
+        for small, most in ((200_000, 2), (50, 6)):
+            written.clear()
+            assert np.allclose(quantiles(df, ["v"], [0.5], bins=100, small=small).first()["q"], np.quantile(values, [0.5]), rtol=1e-12)
+            assert len(written) <= most
+
+
 def test_quantiles_of_many_groups(spark):
     df = spark.range(30_000).selectExpr("id % 10000 AS g", "CAST(id AS DOUBLE) AS v")
     got = quantiles(df, ["v"], [0.5], by=["g"]).collect()
