@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from labelframe.llm.words import forget_others
+
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 MOST_ROWS = 2000
@@ -37,13 +39,15 @@ def give_back() -> None:
         pass
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str | None = None) -> Callable:
     """``run`` for mapInArrow, whose worker holds no freed memory between its tasks.
 
-    Workers outlive a task and those of several stages share an executor.
+    Workers outlive a task, and those of several stages share an executor; so the large
+    state of another operator than ``keeps`` is dropped first.
     """
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(keeps)
         yield from run(batches)
         give_back()
 

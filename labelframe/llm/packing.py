@@ -6,7 +6,7 @@ with the least remaining capacity that still holds it.  A segment tree over the
 remaining capacities finds that window in log2(window) steps.
 
 Tokens come word by word: the tokenizer's pieces never cross white space, so a word is
-encoded once per task and its ids are looked up afterwards (emptied beyond a fixed
+encoded once per worker and its ids are looked up afterwards (emptied beyond a fixed
 number of words).  Packing works on groups of documents that follow one another in a
 partition, each of about ``GROUP_TOKENS`` tokens; nothing is shuffled, and a task holds
 one group.  Padding is left at the ends of windows only, under one per cent of a group
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from labelframe.llm.batches import bounded, tidy
-from labelframe.llm.words import Growing, KnownWords, Slice, Spans, distinct_of, process_state, slices, split_words
+from labelframe.llm.words import Growing, KnownWords, Slice, Spans, distinct_of, large_state, process_state, slices, split_words
 
 WINDOW = 2048
 CLOSING_ID = 1
@@ -162,7 +162,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = process_state(f"{name}_encode", lambda: encoder(shared.value, special_as_text))
-        state = WordIds()
+        state = large_state(name, WordIds)
         first_id = TaskContext.get().partitionId() << 40
         keys, pieces, kept, tokens = [], [], [], 0
 
@@ -206,4 +206,4 @@ def pack(
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = ", ".join([f"`{id_column}` {kind}", *(f"{c} long" for c in COLUMNS), *["ids array<int>"] * with_ids])
-    return bounded(docs).select(id_column, text).mapInArrow(tidy(run), schema)
+    return bounded(docs).select(id_column, text).mapInArrow(tidy(run, name), schema)

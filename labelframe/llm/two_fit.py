@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from labelframe.functions.checkpoints import materialize
 from labelframe.llm.batches import bounded, tidy
 from labelframe.llm.packing import CapacityTree, WordIds, encoder, token_ids
-from labelframe.llm.words import process_state, slices
+from labelframe.llm.words import large_state, process_state, slices
 
 WINDOW = 4096
 CLOSING_ID = 1
@@ -162,7 +162,7 @@ def pack_whole(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = process_state(f"{name}_encode", lambda: encoder(shared.value, special_as_text))
-        state = WordIds()
+        state = large_state(name, WordIds)
         first_id = TaskContext.get().partitionId() << 40
         keys, pieces, held = [], [], 0
 
@@ -221,9 +221,9 @@ def pack_whole(
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, piece int, " + ", ".join(f"{c} long" for c in COLUMNS)
-    first = materialize(bounded(docs).select(id_column, text).mapInArrow(tidy(run), f"{schema}, again boolean"))
+    first = materialize(bounded(docs).select(id_column, text).mapInArrow(tidy(run, name), f"{schema}, again boolean"))
     poor = first.where("again").drop("again")
     groups = max(1, -(-poor.count() // group_pieces))
     cell = F.pmod(F.xxhash64("sequence_id", "offset"), F.lit(groups)).alias("cell")
     dealt = poor.select("*", cell).repartition(groups, "cell").sortWithinPartitions("cell", "sequence_id", "offset")
-    return first.where("NOT again").drop("again").unionAll(dealt.mapInArrow(tidy(repack), schema))
+    return first.where("NOT again").drop("again").unionAll(dealt.mapInArrow(tidy(repack, name), schema))

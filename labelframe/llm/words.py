@@ -38,6 +38,22 @@ def process_state(name: str, make: Callable[[], object]) -> object:
     return getattr(home, name)
 
 
+def large_state(name: str, make: Callable[[], object]) -> object:
+    """Like ``process_state`` for what takes much memory: a worker keeps one such object, that of the operator at work."""
+    kept = process_state("large", lambda: {})
+    if name not in kept:
+        kept.clear()
+        kept[name] = make()
+    return kept[name]
+
+
+def forget_others(name: str | None) -> None:
+    """Drop the large state unless it has this name."""
+    kept = process_state("large", lambda: {})
+    if name not in kept:
+        kept.clear()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values; a bijection."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
