@@ -4,7 +4,8 @@ The automaton reports at-signs, plus signs, digits, URL schemes and identifier c
 one pass over a text.  A small deterministic parser then expands each hit to the
 boundaries of an email address, IP address, card, phone number, URL, secret or account,
 and validates it (octets, Luhn and mod-97 sums, digit counts).  Within a kind, spans are
-leftmost and do not overlap: a parser starts no earlier than its last span ended.
+leftmost and do not overlap: a parser starts no earlier than its last span ended.  A hit
+inside a span of its kind is not expanded, so the work is linear in the text.
 
 Kinds email, ip, card and phone follow the patterns of FIXED beneath; url, secret and
 account are added.
@@ -41,8 +42,9 @@ SECRET_CUES = ("password", "passwd", "token", "secret", "api_key", "apikey")
 ACCOUNT_CUES = ("account", "acct", "iban")
 
 
-def run_end(text: str, at: int, allowed: frozenset) -> int:
-    n = len(text)
+def run_end(text: str, at: int, allowed: frozenset, most: int | None = None) -> int:
+    """End of the run of allowed characters, or of its first ``most`` ones."""
+    n = len(text) if most is None else min(len(text), at + most)
     while at < n and text[at] in allowed:
         at += 1
     return at
@@ -123,8 +125,8 @@ def url(text: str, begin: int, host: int) -> tuple[int, int] | None:
     return (begin, end) if end > host else None
 
 
-def secret(text: str, at: int) -> tuple[int, int] | None:
-    """The value after a cue, = or :, and an optional quote: 6 characters at least."""
+def secret(text: str, at: int, floor: int) -> tuple[int, int] | None:
+    """The value after a cue, = or :, and an optional quote: 6 characters at least, none before ``floor``."""
     n = len(text)
     at = run_end(text, at, frozenset(" "))
     if at >= n or text[at] not in "=:":
@@ -132,6 +134,8 @@ def secret(text: str, at: int) -> tuple[int, int] | None:
     at = run_end(text, at + 1, frozenset(" "))
     if at < n and text[at] in "\"'":
         at += 1
+    if at < floor:
+        return None
     end = at
     while end < n and not text[end].isspace() and text[end] not in "\"',;":
         end += 1
@@ -139,8 +143,10 @@ def secret(text: str, at: int) -> tuple[int, int] | None:
 
 
 def access_key(text: str, at: int) -> tuple[int, int] | None:
-    end = run_end(text, at, KEY)
-    return (at, end) if end - at == 20 and (at == 0 or text[at - 1] not in KEY) else None
+    if at and text[at - 1] in KEY:
+        return None
+    end = run_end(text, at, KEY, 21)
+    return (at, end) if end - at == 20 else None
 
 
 def account(text: str, at: int) -> tuple[int, int] | None:
@@ -153,7 +159,7 @@ def account(text: str, at: int) -> tuple[int, int] | None:
     if at >= n:
         return None
     if text[at] in DIGITS:
-        end = run_end(text, at, DIGITS)
+        end = run_end(text, at, DIGITS, 18)
         return (at, end) if 6 <= end - at <= 17 else None
     end, code = at, ""
     while end < n and (text[end] in KEY or (text[end] == " " and end + 1 < n and text[end + 1] in KEY)) and len(code) < 34:
@@ -212,11 +218,12 @@ def find(text: str | None, cues) -> list[tuple[int, str, int]]:
                 if found[1]:
                     add("phone", (at, found[0]))
         elif cue == "url":
-            add("url", url(text, at, last + 1))
+            if at >= ends["url"]:
+                add("url", url(text, at, last + 1))
         elif cue == "key":
             add("secret", access_key(text, at))
         elif cue == "secret":
-            add("secret", secret(text, last + 1))
+            add("secret", secret(text, last + 1, ends["secret"]))
         else:
             add("account", account(text, last + 1))
     return [(a, KINDS[k], b) for a, k, b in sorted(out)]
