@@ -4,7 +4,8 @@ Each word is written with a leading word mark and cut into vocabulary pieces so
 sum of their log probabilities is greatest (on a tie: into fewer pieces).  A distinct
 word is inserted into a trie once; a trie node holds the best score and piece count of
 its prefix, so words with a common beginning share that work, and the node where a word
-ends holds its count.  The trie grows level by level over all words at once.
+ends holds its count.  The trie grows level by level over all words at once.  Words of
+more than ``LONG`` characters share few prefixes; each is scored alone by the same rule.
 
 The pieces come from a public vocabulary file in merge order.  Their probabilities
 follow Zipf's law over that order, p(r) = 1 / ((r + 1) H); nothing is trained.  A
@@ -29,6 +30,8 @@ POINT = 0x110000
 MULTIPLIER = 0xD1342543DE82EF95
 MASK = (1 << 64) - 1
 KEPT_WORDS = 2_000_000
+LONG = 256
+LONG_BLOCK = 1 << 15
 
 
 @dataclass
@@ -78,8 +81,61 @@ def vocabulary(path: str) -> list[str]:
     return [model.id_to_piece(i) for i in sorted(ids, key=lambda i: (-model.get_score(i), i))]
 
 
+def count_long(word: str, pieces: Pieces) -> int:
+    """Pieces of one word by the same forward scores, without a trie: few words share so long a prefix.
+
+    The pieces that end at each character are looked up for a block of characters at once.
+    """
+    chars = points(word).astype(np.uint64)
+    longest = min(pieces.longest, len(chars))
+    power = [pow(MULTIPLIER, k, 1 << 64) for k in range(longest + 1)]
+    scores, counts = deque([0.0], maxlen=longest), deque([0], maxlen=longest)  # of the last ends, the latest last
+    prefix = np.zeros(0, np.uint64)  # hash of what precedes each of the last characters
+    hash_ = np.uint64(0)
+    for begin in range(0, len(chars), LONG_BLOCK):
+        block = chars[begin : begin + LONG_BLOCK]
+        ends = np.empty(len(block) + 1, np.uint64)
+        ends[0] = hash_
+        value = int(hash_)
+        for k, c in enumerate(block.tolist()):
+            value = (value * MULTIPLIER + c + 1) & MASK
+            ends[k + 1] = value
+        before = np.concatenate([prefix, ends[:-1]])  # before[len(prefix) + i]: the hash before character i
+        shift, hits = len(prefix), [[] for _ in block]
+        for size in range(1, longest + 1):
+            first = max(0, size - 1 - shift)
+            if first >= len(block):
+                break
+            found = pieces.find(ends[1 + first :] - before[shift + first - size + 1 : shift + len(block) - size + 1] * np.uint64(power[size]))
+            for i in np.flatnonzero(found > -np.inf).tolist():
+                hits[i + first].append((size, float(found[i])))
+        for i, c in enumerate(block.tolist()):
+            here = hits[i]
+            if not here or here[0][0] != 1:
+                size = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+                score, count = scores[-1] + size * pieces.byte_score, counts[-1] + size
+            else:
+                score, count = -np.inf, 0
+            for size, s in here:
+                value, total = scores[-size] + s, counts[-size] + 1
+                if value > score or (value == score and total < count):
+                    score, count = value, total
+            scores.append(score)
+            counts.append(count)
+        hash_ = ends[-1]
+        prefix = before[len(before) - min(len(before), longest - 1) :] if longest > 1 else before[:0]
+    return counts[-1]
+
+
 def count_pieces(words: list[str], pieces: Pieces) -> np.ndarray:
-    """Pieces of each distinct word, by forward scores on the trie of all of them."""
+    """Pieces of each distinct word, by forward scores on the trie of all of them; words over ``LONG`` alone."""
+    long = [i for i, w in enumerate(words) if len(w) > LONG]
+    if long:
+        out = np.zeros(len(words), np.int64)
+        out[long] = [count_long(MARK + words[i], pieces) for i in long]
+        short = np.flatnonzero(np.array([len(w) <= LONG for w in words]))
+        out[short] = count_pieces([words[i] for i in short.tolist()], pieces)
+        return out
     marked = [MARK + w for w in words]
     flat = points("".join(marked))
     lengths = np.array([len(w) for w in marked], np.int64)

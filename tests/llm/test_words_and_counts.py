@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -308,3 +309,22 @@ def test_line_rules_of_odd_tables(spark):
     assert all(r.content_share == (1.0 if r.n_words else 0.0) for r in rows)
     assert quality_rules.quality_rules(empty_docs(spark), field).count() == 0
     assert len(texts_of(docs)) == len(EDGE_TEXTS)
+
+
+def test_long_words_count_as_on_the_trie(monkeypatch):
+    pieces = token_counts.make_pieces(["a", "b", "ab", "aba", "bab", "c" * 5, "猫a", token_counts.MARK + "a", "bbbbbbb"])
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcéx猫") for _ in range(rng.randint(1, 400))) for _ in range(40)] + ["ab" * 300, "c" * 999]
+    monkeypatch.setattr(token_counts, "LONG", 10**9)
+    whole = token_counts.count_pieces(words, pieces).tolist()
+    for long, block in ((0, 1), (0, 3), (100, 64), (256, 1 << 15)):
+        monkeypatch.setattr(token_counts, "LONG", long)
+        monkeypatch.setattr(token_counts, "LONG_BLOCK", block)
+        assert token_counts.count_pieces(words, pieces).tolist() == whole
+
+
+def test_a_word_of_a_million_characters_is_counted_in_seconds():
+    pieces = token_counts.make_pieces([*"abcdefgh", "ab", "abc", "abcdefgh", "h" * 16])
+    begin = time.perf_counter()
+    assert token_counts.count_pieces(["abcdefgh" * 125_000, "h" * 1_000_000], pieces).tolist() == [125_003, 62_503]  # the word mark is three bytes here
+    assert time.perf_counter() - begin < 30
