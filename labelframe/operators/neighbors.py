@@ -15,10 +15,11 @@ all that an order by (distance, id) can ever use, and what the caller asks for o
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from labelframe.functions.checkpoints import materialize
 from labelframe.functions.classes import class_counts, require_unique
 from labelframe.functions.hashing import draw_int, draw_unit
 from labelframe.functions.reshape import quoted, vector
-from labelframe.functions.small import local_table
+from labelframe.functions.small import local_table, settle
 
 MAX_PIVOTS = 16_384
 MAX_RINGS = 32_768
@@ -74,25 +75,23 @@ def nearest(
     schema = f"id {id_type}, rank int, neighbour {id_type}, distance2 double{brought}"
     if not index.groups:
         return local_table(queries.sparkSession, [], schema)
-    home = index.search(left, query_rows)
-    if home is None:
-        return local_table(queries.sparkSession, [], schema)
-    state = materialize(home)
+    asked = left.where(F.col("grp").isin(list(index.groups)))
+    homes = materialize(index.homes(asked))
+    best = materialize(index.search(homes, asked, query_rows))
     # nearest rings first, so that the reach has shrunk before the many far ones are weighed
     last = probes - 1 if probes else None
     for lo, hi in zip((0, *ROUNDS), (*ROUNDS, None)):
         stop = last if hi is None or last is not None and last < hi else hi
         if stop is not None and stop <= lo:
             break
-        further = index.search(state, query_rows, lo, stop)
-        if further is not None:
-            state = materialize(index.merge(state, further))
+        visits = materialize(index.open(index.bounds(asked, homes, best), lo, stop))
+        if not visits.isEmpty():
+            best = materialize(index.nearest_of(best.unionByName(index.search(visits, asked, query_rows))))
         elif stop is None or stop - lo > 1:
             # of two rings one is not the home ring; it is closed, and so are all that come after
             break
-    best = state.select("id", F.inline("found"))
     if exclude_self:
-        best = best.where(F.col("id") != F.col("neighbour"))
+        best = best.where(~F.col("id").eqNullSafe(F.col("neighbour")))
     order = Window.partitionBy("id").orderBy("distance2", "neighbour")
     return (
         best.withColumn("rank", F.row_number().over(order))
@@ -107,7 +106,7 @@ class _Index:
     def __init__(self, rows: DataFrame, id_type: str, carried_type: str, keep: int, seed: int, block_rows: int):
         self.spark, self.id_type, self.keep = rows.sparkSession, id_type, keep
         self.one_type = f"struct<neighbour: {id_type}, carried: {carried_type}>"
-        self.found_type = f"struct<distance2: double, neighbour: {id_type}, carried: {carried_type}>"
+        self.found = f"id {id_type}, grp string, distance2 double, neighbour {id_type}, carried {carried_type}"
         sizes = class_counts(rows, "grp")
         self.groups = {g: {} for g in sizes if g is not None}
         if not self.groups:
@@ -195,32 +194,36 @@ class _Index:
         return (
             ringed.join(F.broadcast(table), ["grp", "cell", "ring"])
             .withColumn("block", F.col("start") + part)
-            .select("block", "vec", "ids")
+            .select("block", "vec", F.col("ids.neighbour").alias("neighbours"), F.col("ids.carried").alias("carried"))
         )
 
-    def merge(self, state: DataFrame, further: DataFrame) -> DataFrame:
-        """One row per query again, with the ``keep`` nearest rows of both tables."""
-        both = state.unionByName(further.withColumn("vec", F.lit(None).cast("array<double>")).withColumn("home", F.lit(None).cast("int")))
-        nearest_first = F.array_sort(F.flatten(F.collect_list("found")))
-        return both.groupBy("id", "grp").agg(
-            F.first("vec", ignorenulls=True).alias("vec"),
-            F.first("home", ignorenulls=True).alias("home"),
-            F.min("reach").alias("reach"),
-            F.slice(nearest_first, 1, self.keep).alias("found"),
-        )
+    def nearest_of(self, found: DataFrame) -> DataFrame:
+        """The ``keep`` nearest rows of each query."""
+        order = Window.partitionBy("id", "grp").orderBy("distance2", "neighbour")
+        return found.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= self.keep).drop("_n")
+
+    def bounds(self, queries: DataFrame, homes: DataFrame, best: DataFrame) -> DataFrame:
+        """The queries with their home block and the distance of their k-th row so far, null without so many."""
+        kth = best.groupBy("id", "grp").agg(F.when(F.count("*") >= self.keep, F.sqrt(F.max("distance2"))).alias("kth"))
+        both = homes.select("id", "grp", F.col("block").alias("home")).join(kth, _same_query(homes, kth), "left")
+        both = both.select(homes["id"], homes["grp"], "home", "kth")
+        return queries.join(both, _same_query(queries, both)).select(queries["id"], queries["grp"], "vec", "home", "kth")
 
-    def search(self, queries: DataFrame, query_rows: int, first: int = 0, last: int | None = None) -> DataFrame | None:
-        """Search the home block of raw queries, or the blocks still open after that.
+    def homes(self, queries: DataFrame) -> DataFrame:
+        """``(id, grp, block, reach)``: the one block around each query, without a bound."""
+        return self._visits(queries, lambda part, info: _home_blocks(part, info))
 
-        Output: ``(id, grp, vec, home, reach, found)``, one row per query and block; None
-        when no block has to be searched.  Rows beyond ``reach`` are not looked for.  In
-        the order of their least possible distance, the rings from ``first`` on and
-        before ``last`` are looked at.
+    def open(self, queries: DataFrame, first: int = 0, last: int | None = None) -> DataFrame:
+        """The blocks still open after the home block, as ``homes``.
+
+        Rows beyond ``reach`` are not looked for.  In the order of their least possible
+        distance, the rings from ``first`` on and before ``last`` are looked at.
         """
-        second = "found" in queries.columns
-        groups, keep = self.groups, self.keep
-        head = f"id {self.id_type}, grp string, vec array<double>, home int, reach double"
-        found = f"found array<{self.found_type}>"
+        keep = self.keep
+        return self._visits(queries, lambda part, info: _open_blocks(part, info, keep, first, last))
+
+    def _visits(self, queries: DataFrame, choose: Callable) -> DataFrame:
+        groups = self.groups
 
         def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -230,50 +233,65 @@ class _Index:
                     step = max(1, PAIRS_AT_ONCE // (len(groups[g]["rings"]) + len(groups[g]["pivots"])))
                     for at in range(0, len(part), step):
                         some = part.iloc[at : at + step]
-                        if second:
-                            rows, blocks, reach = _open_blocks(some, groups[g], keep, first, last)
-                        else:
-                            rows, blocks, reach = _home_blocks(some, groups[g], keep)
+                        rows, blocks, reach = choose(some, groups[g])
                         for i in range(0, len(rows), 20_000):
                             cut = slice(i, i + 20_000)
-                            out = some.iloc[rows[cut]][["id", "grp", "vec"]]
-                            yield out.assign(home=blocks[cut].astype("int32"), reach=reach[rows[cut]])
-
-        def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in visits(batches):
-                yield part.groupby("home").size().reset_index(name="n")
-
-        # how often each block is visited: at most one row per block
-        counts = queries.mapInPandas(tally, "home int, n long").groupBy("home").agg(F.sum("n").alias("n")).collect()
-        if not counts:
-            return None
-        sizes = [(r["home"], math.ceil(r["n"] / query_rows)) for r in counts]
-        chunks = local_table(self.spark, sizes, "block int, chunks int")
-        # a block with many visitors is copied, and its visitors are spread over the copies
-        asked = (
-            queries.mapInPandas(visits, head)
-            .join(F.broadcast(chunks), F.col("home") == F.col("block"))
-            .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-            .drop("chunks", "block")
-        )
+                            out = some.iloc[rows[cut]][["id", "grp"]]
+                            yield out.assign(block=blocks[cut].astype("int32"), reach=reach[rows[cut]])
+
+        return queries.mapInPandas(visits, f"id {self.id_type}, grp string, block int, reach double")
+
+    def search(self, visits: DataFrame, queries: DataFrame, query_rows: int) -> DataFrame:
+        """``(id, grp, distance2, neighbour, carried)``: the ``keep`` nearest rows of each visited block.
+
+        Visits are stored without vectors, which meet them on the way to the block.  A block
+        with many visitors is copied, and its visitors are spread over the copies; how often a
+        block is visited stays a table, broadcast only if it is small.
+        """
+        keep = self.keep
+        often = visits.groupBy(F.col("block").alias("at")).agg(F.ceil(F.count("*") / query_rows).cast("int").alias("chunks"))
+        chunks = settle(often)
+        visits = visits.join(chunks, visits["block"] == chunks["at"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+        asked = visits.join(queries, _same_query(visits, queries)).select("block", "chunk", visits["id"], visits["grp"], "vec", "reach")
         held = (
-            self.blocks.join(F.broadcast(chunks), "block")
+            self.blocks.join(chunks, self.blocks["block"] == chunks["at"])
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .drop("chunks")
+            .select("block", "chunk", "vec", "neighbours", "carried")
         )
 
-        def best(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
-            if len(ask) and len(have):
-                reach = ask["reach"].to_numpy()
-                lists = _top(_matrix(ask["vec"]), reach, _matrix(have["vec"]), list(have["ids"]), keep)
-            else:
+        def best(ask: pa.Table, have: pa.Table) -> pa.Table:
+            ask, have = ask.combine_chunks(), have.combine_chunks()
+            if not ask.num_rows or not have.num_rows:
                 # a hash part may be empty; its visitors go on to the other blocks
-                lists = [[] for _ in range(len(ask))]
-            return ask.drop(columns="chunk").assign(found=pd.Series(lists, index=ask.index, dtype=object))
+                row, d2, entry = (np.zeros(0, np.int64) for _ in range(3))
+            else:
+                lists = have.column("neighbours").combine_chunks()
+                row, d2, entry = _top(
+                    _rows(ask.column("vec")), ask.column("reach").to_numpy(), _rows(have.column("vec")),
+                    lists.value_lengths().to_numpy(), lists.flatten().to_numpy(zero_copy_only=False), keep,
+                )
+            row, entry = pa.array(row, pa.int64()), pa.array(entry, pa.int64())
+            flat = {c: have.column(c).combine_chunks().flatten() for c in ("neighbours", "carried")}
+            return pa.table(
+                {
+                    "id": ask.column("id").take(row), "grp": ask.column("grp").take(row), "distance2": pa.array(d2, pa.float64()),
+                    "neighbour": flat["neighbours"].take(entry), "carried": flat["carried"].take(entry),
+                }
+            )
 
-        return (
-            asked.groupBy("home", "chunk").cogroup(held.groupBy("block", "chunk")).applyInPandas(best, f"{head}, {found}")
-        )
+        return asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInArrow(best, self.found)
+
+
+def _same_query(a: DataFrame, b: DataFrame) -> Column:
+    return a["id"].eqNullSafe(b["id"]) & (a["grp"] == b["grp"])
+
+
+def _rows(column: pa.ChunkedArray) -> np.ndarray:
+    """An array column as a matrix."""
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+    if np.isnan(flat).any():
+        raise ValueError("missing values in a feature vector")
+    return flat.reshape(len(column), -1)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -294,7 +312,7 @@ def _slack(v: np.ndarray, info: dict) -> np.ndarray:
     return (SLACK * scale)[:, None]
 
 
-def _home_blocks(part: pd.DataFrame, info: dict, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _home_blocks(part: pd.DataFrame, info: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each query the block whose ring comes nearest to it."""
     v, rings = _matrix(part["vec"]), info["rings"]
     d = _distances(v, info["pivots"])[:, rings[:, 0].astype(int)]
@@ -311,7 +329,7 @@ def _open_blocks(
     cell = rings[:, 0].astype(int)
     to_pivot = _distances(v, info["pivots"])
     d = to_pivot[:, cell]
-    reach = np.array([np.sqrt(f[keep - 1]["distance2"]) if len(f) >= keep else np.inf for f in part["found"]])
+    reach = part["kth"].fillna(np.inf).to_numpy(dtype=float)
     # a set of rings with at least `keep` rows bounds the k-th distance from above
     most = d + rings[:, 2]
     order = most.argsort(axis=1)
@@ -339,21 +357,20 @@ def _offsets(parts: np.ndarray) -> np.ndarray:
     return np.arange(parts.sum()) - starts
 
 
-def _top(asked: np.ndarray, reach: np.ndarray, held: np.ndarray, ids: list, keep: int) -> list[list[dict]]:
-    """Per query the ``keep`` nearest (distance, id) of one block, as far as its reach.
+def _top(
+    asked: np.ndarray, reach: np.ndarray, held: np.ndarray, size: np.ndarray, names: np.ndarray, keep: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, squared distance, entry) of the ``keep`` nearest (distance, id) of one block, as far as the reach.
 
     A matrix product gives a shortlist with a margin for its rounding; distances of
     the shortlist are then taken from the differences themselves.
     """
     n = min(keep, len(held))
-    lists: list[list[dict]] = []
     norm = np.sqrt((held * held).sum(axis=1)).max()
     # copies of a vector: entries of one candidate, ranked by id over the block
-    size = np.array([len(i) for i in ids])
-    entry = np.cumsum(size) - size
-    flat = [one for i in ids for one in i]
-    names = np.array([one["neighbour"] for one in flat])
+    first = np.cumsum(size) - size
     place = np.unique(names, return_inverse=True)[1]
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     step = max(1, PAIRS_AT_ONCE // len(held))
     for at in range(0, len(asked), step):
         some = asked[at : at + step]
@@ -365,20 +382,14 @@ def _top(asked: np.ndarray, reach: np.ndarray, held: np.ndarray, ids: list, keep
         for i in range(0, len(rows), 100_000):
             cut = slice(i, i + 100_000)
             d2[cut] = ((some[rows[cut]] - held[cols[cut]]) ** 2).sum(axis=1)
-        entries = np.repeat(entry[cols], size[cols]) + _offsets(size[cols])
+        entries = np.repeat(first[cols], size[cols]) + _offsets(size[cols])
         rows, d2 = np.repeat(rows, size[cols]), np.repeat(d2, size[cols])
         order = np.lexsort((place[entries], d2, rows))
         rows, d2, entries = rows[order], d2[order], entries[order]
-        starts = np.searchsorted(rows, np.arange(len(some)))
-        ends = np.minimum(np.append(starts[1:], len(rows)), starts + keep)
-        for s, e in zip(starts.tolist(), ends.tolist()):
-            lists.append(
-                [
-                    {"distance2": d, "neighbour": flat[j]["neighbour"], "carried": flat[j]["carried"]}
-                    for d, j in zip(d2[s:e].tolist(), entries[s:e].tolist())
-                ]
-            )
-    return lists
+        nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        mine = nth < keep
+        out.append((rows[mine] + at, d2[mine], entries[mine]))
+    return tuple(np.concatenate(c) for c in zip(*out))
 
 
 def vote(neighbours: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:

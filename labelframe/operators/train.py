@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -33,6 +33,8 @@ from labelframe.operators.extra_trees import ExtraTrees, fit_extra_trees
 from labelframe.operators.resample import bucket_digits, number_rows
 
 CLASS_MODELS_AT_ONCE = 4
+MOST_DRAWS = 100
+SCORED_AT_ONCE = 10
 
 ESTIMATORS: dict[str, Callable] = {
     "logistic_regression": lambda **p: LogisticRegression(family="multinomial", **p),
@@ -220,11 +222,11 @@ def draw_params(space: Mapping, n_trials: int, seed: int = 42) -> list[dict]:
     ``n_trials`` settings is given whole, in order.
     """
     rng = random.Random(seed)
-    sizes = [None if isinstance(c, tuple) and not _whole(c) else len(_values(c)) for c in space.values()]
+    sizes = [None if isinstance(c, tuple) and not _whole(c) and c[0] != c[1] else len(_values(c)) for c in space.values()]
     if None not in sizes and math.prod(sizes) <= n_trials:
         return [dict(zip(space, values)) for values in itertools.product(*map(_values, space.values()))]
     trials: list[dict] = []
-    while len(trials) < n_trials:
+    for _ in range(MOST_DRAWS * n_trials):  # a narrow range of floats may hold fewer values than trials
         drawn = {}
         for name, choice in space.items():
             if isinstance(choice, tuple):
@@ -233,6 +235,8 @@ def draw_params(space: Mapping, n_trials: int, seed: int = 42) -> list[dict]:
                 drawn[name] = rng.choice(_values(choice))
         if drawn not in trials:
             trials.append(drawn)
+        if len(trials) == n_trials:
+            break
     return trials
 
 
@@ -241,7 +245,9 @@ def _whole(choice: tuple) -> bool:
 
 
 def _values(choice: tuple | Sequence) -> Sequence:
-    """The distinct settings of a list or of a range of ints, in order."""
+    """The distinct settings of a list, of a range of ints or of a range that is one point, in order."""
+    if isinstance(choice, tuple) and choice[0] == choice[1]:
+        return [choice[0]]
     return range(choice[0], choice[1] + 1) if isinstance(choice, tuple) else list(dict.fromkeys(choice))
 
 
@@ -259,6 +265,33 @@ def stratified_folds(df: DataFrame, label: str, row_id: str, folds: int, seed: i
     return df.join(table, F.col("base_id" if "base_id" in df.columns else row_id) == F.col("_id")).drop("_id")
 
 
+def _scored_together(fitted: Sequence[Trained], check: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``(model, label, prediction)`` of all models, some in each pass over the rows."""
+    for lo in range(0, len(fitted), SCORED_AT_ONCE):
+        some, scored = fitted[lo : lo + SCORED_AT_ONCE], check
+        for i, model in enumerate(some):
+            scored = model.predict(scored, f"_prediction_{i}")
+        each = [F.struct(F.lit(str(lo + i)).alias("model"), F.col(f"_prediction_{i}").alias("prediction")) for i in range(len(some))]
+        yield scored.select(F.col(label).alias("label"), F.inline(F.array(*each))).select("model", "label", "prediction")
+
+
+def _knn_trials(
+    learn: DataFrame, check: DataFrame, trials: Sequence[Mapping], label: str, row_id: str, features: Sequence[str] | str
+) -> Iterator[DataFrame]:
+    """``(model, label, prediction)`` of all trials: those that differ in ``k`` alone vote from one search."""
+    alike: dict[tuple, dict[int, int]] = {}
+    for t, params in enumerate(trials):
+        rest = tuple(sorted((name, v) for name, v in params.items() if name != "k"))
+        alike.setdefault(rest, {})[params.get("k", 5)] = t
+    for rest, of_k in alike.items():
+        found = neighbors.nearest(check, learn, row_id, features, k=max(of_k), carry=label, **dict(rest))
+        votes = neighbors.vote_each(found, label, list(of_k))
+        truth = check.select(F.col(row_id).alias("_id"), F.col(label).alias("label"), F.explode(F.array(*[F.lit(k) for k in of_k])).alias("_k"))
+        both = truth.join(votes, (truth["_id"] == votes["id"]) & (truth["_k"] == votes["k"]), "left")
+        number = F.element_at(F.create_map(*[F.lit(x) for k, t in of_k.items() for x in (k, str(t))]), F.col("_k"))
+        yield both.select(number.alias("model"), "label", "prediction")
+
+
 def search(
     kind: str,
     df: DataFrame,
@@ -280,7 +313,9 @@ def search(
     holds synthetic rows (``is_synthetic``), they are kept out of the validation
     parts.  ``prepare_first`` applies it to the whole table before the folds are dealt
     instead: rows made from a validation row may then be learned from, and validated on,
-    which flatters the scores.  Returns the refitted model, its settings, its score and
+    which flatters the scores.  The trials of a fold are scored together: ``SCORED_AT_ONCE``
+    models in a pass over its validation rows, and neighbour counts from one search.
+    ``parallelism`` models are fitted at once.  Returns the refitted model, its settings, its score and
     the trials.
     """
     spark = df.sparkSession
@@ -297,19 +332,21 @@ def search(
     trials = draw_params(space, n_trials, seed)
     classes = class_list(dealt, label)
 
-    def score(job: tuple[int, int]) -> tuple[int, int, float]:
-        trial, fold = job
+    def fold_scores(fold: int, pool: ThreadPool) -> dict[int, float]:
         learn, check = parts[fold]
-        fitted = train(kind, learn, label, features, trials[trial], row_id, classes)
-        scored = fitted.predict(check).select(F.lit("m").alias("model"), F.col(label).alias("label"), "prediction")
-        return trial, fold, model_metrics(scored).first()["macro_f1"]
+        if kind == "knn":
+            tables = _knn_trials(learn, check, trials, label, row_id, features)
+        else:
+            fit = lambda t: train(kind, learn, label, features, trials[t], row_id, classes)
+            fitted = pool.map(inheritable_thread_target(spark)(fit), range(len(trials)))
+            tables = _scored_together(fitted, check, label)
+        return {int(r["model"]): r["macro_f1"] for table in tables for r in model_metrics(table).collect()}
 
-    jobs = [(t, f) for t in range(len(trials)) for f in range(folds)]
     with ThreadPool(max(1, parallelism)) as pool:
-        results = pool.map(inheritable_thread_target(spark)(score), jobs)
+        results = [fold_scores(fold, pool) for fold in range(folds)]
     rows = []
     for t, params in enumerate(trials):
-        scores = [s for trial, _, s in sorted(results) if trial == t]
+        scores = [found[t] for found in results]
         rows.append((t, {k: str(v) for k, v in params.items()}, sum(scores) / len(scores)))
     best = max(rows, key=lambda r: (r[2], -r[0]))
     table = local_table(spark, rows, "trial int, params map<string, string>, cv_macro_f1 double")

@@ -66,10 +66,9 @@ def test_pruning_keeps_far_cells_closed(spark):
     assert found(got) == brute(rows, rows, 3, exclude_self=True)
     left = df.select(F.lit("").alias("grp"), "id", F.col("v").alias("vec"), F.lit(None).cast("int").alias("carried"))
     index = neighbors._Index(left, "bigint", "int", 4, 42, 100)
-    first = index.search(left, 1000)
-    more = index.search(first.cache(), 1000)
-    visited = 0 if more is None else more.count()
-    assert visited < 800 * 8
+    homes = index.homes(left).cache()
+    best = index.search(homes, left, 1000).cache()
+    assert homes.count() == 800 and index.open(index.bounds(left, homes, best)).count() < 800 * 8
 
 
 def test_result_does_not_depend_on_partitions(spark, lumpy):

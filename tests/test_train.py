@@ -108,6 +108,33 @@ def test_drawn_params():
     assert len({tuple(t.items()) for t in train.draw_params(space, 119)}) == 119
 
 
+def test_ranges_of_one_point_end():
+    assert train.draw_params({"a": (0.1, 0.1)}, 2) == [{"a": 0.1}]
+    narrow = train.draw_params({"a": (0.1, math.nextafter(0.1, 1))}, 5)
+    assert 1 <= len(narrow) <= 2
+    assert len(train.draw_params({"a": (0.1, 0.1), "b": (0.0, 1.0)}, 3)) == 3
+
+
+def test_trials_scored_together_equal_single_ones(parts, monkeypatch):
+    learn, _ = parts
+    monkeypatch.setattr(train, "SCORED_AT_ONCE", 2)
+    dealt = train.stratified_folds(learn, "label", "id", 2)
+
+    def alone(kind, params):
+        scores = []
+        for fold in (0, 1):
+            fitted = train.train(kind, dealt.where(F.col("fold") != fold).drop("fold"), "label", FEATURES, params, "id")
+            scored = fitted.predict(dealt.where(F.col("fold") == fold)).withColumn("model", F.lit("m"))
+            scores.append(evaluate.model_metrics(scored).first()["macro_f1"])
+        return sum(scores) / 2
+
+    for kind, space in (("decision_tree", {"maxDepth": [1, 2, 4]}), ("knn", {"k": [1, 4, 30], "block_rows": [64]})):
+        _, _, _, trials = train.search(kind, learn, "label", "id", FEATURES, space, n_trials=3, folds=2)
+        for r in trials.collect():
+            params = {name: int(v) for name, v in r["params"].items()}
+            assert abs(r["cv_macro_f1"] - alone(kind, params)) < 1e-12
+
+
 def test_search_refits_the_best_setting(parts):
     learn, check = parts
     grow = lambda part: resample.smote(part, "id", "label", FEATURES, {3: 40}, k=3)
