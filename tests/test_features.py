@@ -147,6 +147,29 @@ def test_density_equals_the_kernel_sum(mixed):
     assert max(abs(r["density"] - exact[(r["class"], r["point"])]) for r in coarse.collect()) < 1e-3
 
 
+def test_density_of_several_columns_with_far_values(spark):
+    """Moments of cells against the kernel sum itself, far tails and copies included."""
+    rng = np.random.default_rng(8)
+    data = {"a": rng.normal(size=500), "b": np.concatenate([rng.standard_t(1.5, 480), np.full(20, 3.0)]), "c": rng.integers(0, 4, 500) * 1.0}
+    pdf = pd.DataFrame({"g": np.where(np.arange(500) % 5 == 0, "p", "q"), **data})
+    pdf.loc[7, "a"] = np.nan
+    got = explore.density(spark.createDataFrame(pdf).repartition(6), ["a", "b", "c"], "g", grid=200).collect()
+    assert len(got) == 3 * 2 * 200
+    for g in ("p", "q"):
+        for c in data:
+            x = pdf[pdf["g"] == g][c].dropna().to_numpy()
+            h = x.std(ddof=1) * len(x) ** -0.2
+            mine = sorted((r["point"], r["x"], r["density"]) for r in got if r["class"] == g and r["column"] == c)
+            points = np.array([m[1] for m in mine])
+            want = np.exp(-0.5 * ((points[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
+            assert np.abs(np.array([m[2] for m in mine]) - want).max() < 1e-11 / h
+
+
+def test_density_without_a_spread(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 2.0), ("c", float("inf")), ("c", 1.0), ("d", 1.0), ("d", 2.0)], "g string, v double")
+    assert {r["class"] for r in explore.density(df, ["v"], "g", grid=4).collect()} == {"d"}
+
+
 def test_violin_has_quartiles(mixed):
     pdf, df = mixed
     row = explore.violin(df, ["c0"], "g", grid=5).where("class = 'a'").first()
