@@ -413,6 +413,9 @@ def oracle_sql() -> dict[str, str]:
         "encode_one_hot": f"SELECT p_partkey, {hot} FROM part",
         "encode_unseen": """SELECT 'b_' || p_brand AS "column", count(*)::DOUBLE AS n FROM part
             WHERE p_brand IN (SELECT p_brand FROM part WHERE p_brand < 'Brand#2' AND p_size <= 25) GROUP BY 1""",
+        "encode_sparse": """WITH cats AS (SELECT user_id, row_number() OVER (ORDER BY user_id) AS place
+              FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 10 <> 3))
+            SELECT event_id, place AS index, 1.0::DOUBLE AS value FROM events JOIN cats USING (user_id)""",
         "encode_align_rows": f"SELECT p_partkey, p_size, {hot} FROM part",
         "encode_inverse": "SELECT p_partkey, CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS BIGINT) AS brand_no FROM part",
         "scale_fit": f"WITH {PART_SPLIT} " + each(
@@ -428,6 +431,14 @@ def oracle_sql() -> dict[str, str]:
         "expect_no_missing": f"""SELECT 'no missing values' AS "check", n = 0 AS passed, CAST(n AS VARCHAR) AS observed,
               '0' AS expected FROM (SELECT count(*) FILTER (WHERE {' OR '.join(c + ' IS NULL' for c in MEASURES)}) AS n
               FROM lineitem)""",
+        "expect_together": " UNION ALL ".join([
+            f"""SELECT 'no missing values' AS "check", n = 0 AS passed, CAST(n AS VARCHAR) AS observed, '0' AS expected
+              FROM (SELECT {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in MEASURES)} AS n FROM lineitem)""",
+            *[f"""SELECT '{c} in range', n = 0, n || ' outside', '[{lo}, {hi}]'
+              FROM (SELECT count(*) FILTER (WHERE {c} NOT BETWEEN {lo!r}::DOUBLE AND {hi!r}::DOUBLE) AS n FROM lineitem)"""
+              for c, (lo, hi) in ITEM_RULES.items()],
+            "SELECT 'row count', count(*) = 60000, CAST(count(*) AS VARCHAR), '60000' FROM lineitem",
+        ]),
         "expect_in_range": """SELECT 'p_size in range' AS "check", n = 0 AS passed, n || ' outside' AS observed,
               '[1, 50]' AS expected FROM (SELECT count(*) FILTER (WHERE p_size NOT BETWEEN 1 AND 50) AS n FROM part)
             UNION ALL SELECT 'c_acctbal in range', n = 0, n || ' outside', '[0, 10000]'

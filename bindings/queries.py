@@ -384,6 +384,22 @@ def explore_sparse_indicators(spark, d):
     return explore.sparse_indicators(hot, columns, share=0.04, below=70).drop("ordinal")
 
 
+def encode_sparse(spark, d):
+    """Indicators of a column of many categories, one of them unseen, as entries of a sparse vector."""
+    events = table(spark, d, "events")
+    fitted = encode.fit_one_hot(events.where("user_id % 10 <> 3"), "user_id")
+    made = encode.one_hot_vector(events.select("event_id", "user_id", "value"), {"user_id": fitted}, "vec", dense=["value"])
+    out = encode.vector_entries(made, "vec", ["event_id"]).where("index > 0")
+    return out.select("event_id", F.col("index").cast("long").alias("index"), "value")
+
+
+def expect_together(spark, d):
+    """Several checks of one table from one aggregate."""
+    items = table(spark, d, "lineitem")
+    ranges = [expect.range_check(c, lo, hi) for c, (lo, hi) in ITEM_RULES.items()]
+    return expect.run_checks(items, [expect.missing_check(items, MEASURES), *ranges, expect.count_check(60_000)])
+
+
 def explore_sparse_categories(spark, d):
     out = explore.sparse_categories(table(spark, d, "events"), "user_id", share=0.0065, below=60)
     return rounded(out, "pct")
@@ -713,8 +729,8 @@ ALL: list[Query] = [
     clean_audit_ranges, clean_drop_impossible, label_distribution,
     split_stratified, split_imbalanced, split_distribution,
     feature_circular, feature_formulas, encode_fit_one_hot, encode_one_hot, encode_unseen,
-    encode_align_rows, encode_inverse, scale_fit, scale_apply,
-    expect_no_missing, expect_in_range, expect_row_count,
+    encode_sparse, encode_align_rows, encode_inverse, scale_fit, scale_apply,
+    expect_no_missing, expect_together, expect_in_range, expect_row_count,
     explore_histogram, explore_histogram_skewed, explore_skewness, explore_correlations,
     explore_correlations_wide, explore_strong_pairs, explore_box_statistics, explore_box_statistics_items,
     explore_violin, explore_cross_tab, explore_cross_tab_percent, explore_indicator_counts,

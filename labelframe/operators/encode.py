@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelframe.functions.reshape import aggregate_columns, is_missing, present, ranked
+from labelframe.functions.reshape import aggregate_columns, is_missing, present, quoted, ranked
+from labelframe.functions.small import local_table, settle
 
 MAX_CATEGORIES = 10_000
 
@@ -20,7 +23,7 @@ def fit_one_hot(df: DataFrame, column: str) -> DataFrame:
 
 
 def categories(params: DataFrame, max_categories: int = MAX_CATEGORIES) -> list:
-    """The ordered categories on the driver; more than can be columns are refused."""
+    """The ordered categories on the driver; more than can be columns are refused, see ``one_hot_vector`` for these."""
     rows = params.orderBy("ordinal").limit(max_categories + 1).collect()
     if len(rows) > max_categories:
         raise ValueError(f"more than {max_categories} categories; one column for each is not useful")
@@ -40,6 +43,53 @@ def one_hot(df: DataFrame, column: str, cats: Sequence, prefix: str | None = Non
     return df.select(*others, *indicators)
 
 
+def one_hot_vector(
+    df: DataFrame, fitted: Mapping[str, DataFrame], output: str = "features", dense: Sequence[str] = ()
+) -> DataFrame:
+    """Add one sparse vector: the ``dense`` columns, then the indicators of each fitted column.
+
+    ``fitted`` gives each categorical column its table of ``fit_one_hot``, of any length: a
+    category finds its ordinal by a join, broadcast only if the table is small.  A category
+    that was not seen, or a missing one, has zeros.  A missing dense value is an error when
+    the vector is made.  Models take the column as it is.
+    """
+    out, hot = df, []
+    for i, (column, params) in enumerate(fitted.items()):
+        size = params.count()
+        if not size:
+            continue
+        known = settle(params.select(F.col("ordinal").alias(f"_at{i}"), F.col("category").alias(f"_category{i}")))
+        out = out.join(known, out[column] == known[f"_category{i}"], "left").drop(f"_category{i}")
+        out = out.withColumn(f"_at{i}", F.coalesce(f"_at{i}", F.lit(size)).cast("double"))
+        # the encoder learns its size from the greatest index; the one above it means "none of them"
+        encoder = OneHotEncoder(inputCol=f"_at{i}", outputCol=f"_hot{i}", handleInvalid="keep", dropLast=True)
+        out = encoder.fit(local_table(df.sparkSession, [(float(size - 1),)], f"_at{i} double")).transform(out).drop(f"_at{i}")
+        hot.append(f"_hot{i}")
+    numbers = {f"_dense{i}": F.col(f"`{c}`").cast("double") for i, c in enumerate(dense)}
+    out = VectorAssembler(inputCols=[*numbers, *hot], outputCol=output, handleInvalid="error").transform(out.withColumns(numbers))
+    return out.drop(*numbers, *hot)
+
+
+def vector_entries(df: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:
+    """Rows ``(keep..., index, value)`` of the entries of a vector column that are not zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = {f: batch.column(len(keep)).field(f) for f in ("type", "indices", "values")}
+            places, values, row = [], [], []
+            for i, (kind, indices, entries) in enumerate(zip(*(parts[f].to_pylist() for f in ("type", "indices", "values")))):
+                used = [(k, v) for k, v in (zip(indices, entries) if kind == 0 else enumerate(entries or [])) if v]
+                places += [k for k, _ in used]
+                values += [v for _, v in used]
+                row += [i] * len(used)
+            taken = [batch.column(k).take(pa.array(row, pa.int64())) for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(places, pa.int32()), pa.array(values, pa.float64())], names=[*keep, "index", "value"])
+
+    plain = df.select(*[F.col(f"`{c}`") for c in keep], F.col(column))
+    kinds = ", ".join(f"{quoted(c)} {df.schema[c].dataType.simpleString()}" for c in keep)
+    return plain.mapInArrow(run, f"{kinds}, index int, value double")
+
+
 def inverse_one_hot(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
     """Trailing digits of the name of the largest indicator; the first one wins ties."""
     values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])

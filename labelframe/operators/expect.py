@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from labelframe.functions.reshape import is_missing
@@ -41,35 +42,76 @@ def column_count(df: DataFrame, expected: int, check: str = "column count") -> D
     return _known(df.sparkSession, check, len(df.columns) == expected, len(df.columns), expected)
 
 
+@dataclass(frozen=True)
+class Check:
+    """One aggregate of a table, and what it must be."""
+
+    name: str
+    measure: Column
+    passes: Callable[[Column], Column]
+    shows: Callable[[Column], Column]
+    expected: str
+
+
+def missing_check(df: DataFrame, columns: Sequence[str] | None = None, check: str = "no missing values") -> Check:
+    each = reduce(lambda a, b: a + b, [F.count_if(is_missing(df, c)) for c in columns or df.columns])
+    return Check(check, each, lambda n: n == 0, lambda n: n.cast("string"), "0")
+
+
+def range_check(column: str, lo, hi, check: str | None = None) -> Check:
+    inside = F.coalesce(F.col(column).between(lo, hi), F.lit(False))
+    shown = lambda n: F.concat(n.cast("string"), F.lit(" outside"))
+    return Check(check or f"{column} in range", F.count_if(~inside), lambda n: n == 0, shown, f"[{lo}, {hi}]")
+
+
+def count_check(expected: int, check: str = "row count") -> Check:
+    return Check(check, F.count("*"), lambda n: n == expected, lambda n: n.cast("string"), str(expected))
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All checks of one table from one aggregate, a row for each."""
+    return _verdicts(df.agg(*[c.measure.alias(f"m{i}") for i, c in enumerate(checks)]), checks)
+
+
+def _verdicts(measured: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    rows = []
+    for i, c in enumerate(checks):
+        value = F.col(f"m{i}")
+        parts = {"check": F.lit(c.name), "passed": c.passes(value), "observed": c.shows(value), "expected": F.lit(c.expected)}
+        rows.append(F.struct(*[v.alias(n) for n, v in parts.items()]))
+    return measured.select(F.inline(F.array(*rows)))
+
+
+def write_checked(df: DataFrame, path: str, checks: Sequence[Check], **options) -> DataFrame:
+    """Write a Parquet table with checks that ride on the write itself; the rows of the checks.
+
+    The table is read once.  If a check fails the written files are deleted and
+    :class:`ExpectationError` is raised; an existing table at ``path`` is an error.
+    """
+    spark, seen = df.sparkSession, Observation()
+    df.observe(seen, *[c.measure.alias(f"m{i}") for i, c in enumerate(checks)]).write.options(**options).parquet(path)
+    found = [seen.get[f"m{i}"] for i in range(len(checks))]
+    verdicts = _verdicts(local_table(spark, [tuple(found)], ", ".join(f"m{i} long" for i in range(len(checks)))), checks)
+    try:
+        require(verdicts)
+    except ExpectationError:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        raise
+    return verdicts
+
+
 def no_missing(df: DataFrame, columns: Sequence[str] | None = None, check: str = "no missing values") -> DataFrame:
-    names = list(columns or df.columns)
-    each = reduce(lambda a, b: a + b, [F.count_if(is_missing(df, c)) for c in names])
-    return df.agg(each.alias("n")).select(
-        F.lit(check).alias("check"),
-        (F.col("n") == 0).alias("passed"),
-        F.col("n").cast("string").alias("observed"),
-        F.lit("0").alias("expected"),
-    )
+    return run_checks(df, [missing_check(df, columns, check)])
 
 
 def in_range(df: DataFrame, column: str, lo, hi, check: str | None = None) -> DataFrame:
     """Every value lies in [lo, hi]; a missing value fails."""
-    inside = F.coalesce(F.col(column).between(lo, hi), F.lit(False))
-    return df.agg(F.count_if(~inside).alias("n")).select(
-        F.lit(check or f"{column} in range").alias("check"),
-        (F.col("n") == 0).alias("passed"),
-        F.concat(F.col("n").cast("string"), F.lit(" outside")).alias("observed"),
-        F.lit(f"[{lo}, {hi}]").alias("expected"),
-    )
+    return run_checks(df, [range_check(column, lo, hi, check)])
 
 
 def row_count(df: DataFrame, expected: int, check: str = "row count") -> DataFrame:
-    return df.agg(F.count("*").alias("n")).select(
-        F.lit(check).alias("check"),
-        (F.col("n") == expected).alias("passed"),
-        F.col("n").cast("string").alias("observed"),
-        F.lit(str(expected)).alias("expected"),
-    )
+    return run_checks(df, [count_check(expected, check)])
 
 
 def class_targets_met(

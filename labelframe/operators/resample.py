@@ -14,6 +14,8 @@ from labelframe.functions.reshape import quoted, vector
 from labelframe.functions.small import local_table, settle
 from labelframe.operators.neighbors import nearest
 
+LEVEL = 2
+
 
 def oversampling_plan(df: DataFrame, label: str, targets: Mapping) -> DataFrame:
     """Rows ``(class, n, target, to_add)``; classes without a target stay as they are."""
@@ -30,14 +32,24 @@ def number_rows(df: DataFrame, label: str, row_id: str, seed: int, purpose: str,
     """Number the rows of each class 0..n-1 in the order of their digests.
 
     Rows are ranked inside buckets of the first hex digits of the digest and moved up
-    by the size of the buckets before, so no task ever holds a whole class.
+    by the size of the buckets before.  That size is summed along the tree of digits,
+    ``LEVEL`` of them at a time: what comes before a bucket are, on each level, the lesser
+    children of its ancestor.  So no window holds more than 16^LEVEL buckets or the rows
+    of one bucket, whatever the size of a class.
     """
     h = draw_hex(seed, purpose, F.col(row_id))
     hashed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
     sizes = df.select(F.col(label).alias("_c"), F.substring(h, 1, digits).alias("_b"))
     sizes = sizes.groupBy("_c", "_b").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = settle(sizes.select("_c", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    starts = sizes.select("_c", "_b", F.lit(0).cast("long").alias("_start"))
+    for level in range(0, digits, LEVEL):
+        up, down = F.substring("_b", 1, level), F.substring("_b", 1, min(digits, level + LEVEL))
+        summed = sizes.groupBy(F.col("_c").alias("_k"), up.alias("_up"), down.alias("_down")).agg(F.sum("_n").alias("_n"))
+        before = Window.partitionBy("_k", "_up").orderBy("_down").rowsBetween(Window.unboundedPreceding, -1)
+        below = summed.select("_k", "_down", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_more"))
+        same = F.col("_c").eqNullSafe(F.col("_k")) & (F.substring("_b", 1, min(digits, level + LEVEL)) == F.col("_down"))
+        starts = starts.join(below, same).select("_c", "_b", (F.col("_start") + F.col("_more")).alias("_start"))
+    starts = settle(starts)
     inner = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", row_id))
     ranked = hashed.withColumn("_rank", inner)
     same = (ranked[label] == starts["_c"]) & (ranked["_b"] == starts["_b"])

@@ -19,6 +19,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,8 @@ KNN_OPTIONS = ("k", "probes", "block_rows", "seed")
 
 def to_ml(df: DataFrame, features: Sequence[str] | str, label: str | None = None, classes: Sequence = ()) -> DataFrame:
     """Add ``_features`` (vector) and, with a label, its 0-based ``_label``."""
-    out = df.withColumn("_features", array_to_vector(vector(features)))
+    made = isinstance(features, str) and isinstance(df.schema[features].dataType, VectorUDT)
+    out = df.withColumn("_features", F.col(features) if made else array_to_vector(vector(features)))
     if label is not None:
         every = F.array(*[F.lit(c) for c in classes])
         out = out.withColumn("_label", (F.array_position(every, F.col(label)) - 1).cast("double"))
@@ -169,7 +171,11 @@ def train(
     estimator = ESTIMATORS[kind](**params)
     estimator = estimator.setFeaturesCol("_features").setLabelCol("_label").setPredictionCol("_prediction")
     ready = to_ml(df.where(F.col(label).isNotNull()), features, label, classes).select("_features", "_label")
-    return Trained(kind, estimator.fit(ready), classes, features)
+    model = estimator.fit(ready)
+    if getattr(model, "hasSummary", False):
+        # a summary holds the training rows and the session, which cannot be sent to the executors
+        model._java_obj.setSummary(df.sparkSession._jvm.scala.Option.apply(None))
+    return Trained(kind, model, classes, features)
 
 
 def train_all(

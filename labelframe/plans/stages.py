@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelframe.functions.checkpoints import materialize
 from labelframe.functions.formulas import add_features
 from labelframe.operators import clean, encode, evaluate, expect, resample, split, train
 
@@ -83,9 +84,12 @@ def build_features(
 
 
 def balance(parts: Parts, targets: Mapping, k: int = 5, seed: int = 42) -> Parts:
-    """Oversample the training rows only; the test rows stay as they are."""
+    """Oversample the training rows only; the test rows stay as they are.
+
+    The larger table is written once here: selection, scaling and training each read it.
+    """
     grown = resample.smote(parts.train, parts.row_id, parts.label, parts.features, targets, k, seed)
-    return Parts(grown, parts.test, parts.row_id, parts.label, parts.quant, parts.indicators)
+    return Parts(materialize(grown), parts.test, parts.row_id, parts.label, parts.quant, parts.indicators)
 
 
 def select(parts: Parts, threshold: float = 0.0005, n_trees: int = 50, max_depth: int = 10, seed: int = 42) -> Parts:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelframe.functions import formulas
-from labelframe.operators import encode, explore
+from labelframe.operators import encode, explore, train
 
 
 def test_formulas(spark):
@@ -41,6 +41,30 @@ def test_one_hot_keeps_all_categories_and_ignores_unseen(spark):
     assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 1.0, 0.0), (2, 0.0, 0.0), (3, 0.0, 0.0)]
 
 
+def test_sparse_indicators_of_many_categories(spark):
+    """12,345 categories, some unseen, one missing: the entries are those of the ordinals."""
+    df = spark.range(20_000).selectExpr("id", "CASE WHEN id <> 5 THEN id * 7 % 12345 END AS k", "id % 3 AS x", "CAST(id % 4 AS string) AS s")
+    many, few = encode.fit_one_hot(df.where("k % 50 <> 1"), "k"), encode.fit_one_hot(df, "s")
+    made = encode.one_hot_vector(df, {"k": many, "s": few}, "vec", dense=["x"])
+    assert made.columns == ["id", "k", "x", "s", "vec"]
+    size = 1 + many.count() + 4
+    place = {r["category"]: r["ordinal"] + 1 for r in many.collect()}
+    want = set()
+    for r in df.collect():
+        want |= {(r["id"], 0, float(r["x"]))} if r["x"] else set()
+        want |= {(r["id"], place[r["k"]], 1.0)} if r["k"] in place else set()
+        want.add((r["id"], size - 4 + int(r["s"]), 1.0))
+    assert {tuple(r) for r in encode.vector_entries(made, "vec", ["id"]).collect()} == want
+    assert made.first()["vec"].size == size and size > 12_000
+
+
+def test_models_take_sparse_vectors(spark):
+    df = spark.range(3000).selectExpr("id", "id % 300 AS k", "CAST(id % 300 < 100 AS long) AS label")
+    made = encode.one_hot_vector(df, {"k": encode.fit_one_hot(df, "k")}, "vec")
+    model = train.train("logistic_regression", made, "label", "vec", {"maxIter": 20})
+    assert model.predict(made).where("label = prediction").count() == 3000
+
+
 def test_too_many_categories_are_refused(spark):
     with pytest.raises(ValueError, match="categories"):
         encode.categories(encode.fit_one_hot(spark.range(20), "id"), max_categories=5)

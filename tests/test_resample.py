@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +92,13 @@ def test_new_ids_are_unique_for_numbers_and_text(separable, grown):
     twice = resample.smote(named, "id", "label", FEATURES, {3: 40}, k=5)
     twice = resample.smote(twice.drop("base_id", "synthetic_no", "is_synthetic"), "id", "label", FEATURES, {3: 50}, k=5)
     assert twice.select("id").distinct().count() == twice.count() == 320
+
+
+@pytest.mark.parametrize("digits", [1, 2, 3, 4, 5])
+def test_rows_are_numbered_in_the_order_of_their_digests(spark, digits):
+    df = spark.range(700).selectExpr("id", "CASE WHEN id % 7 < 5 THEN 'a' ELSE 'b' END AS c")
+    rows = resample.number_rows(df, "c", "id", 42, "test", digits).collect()
+    for c in "ab":
+        mine = [r["id"] for r in sorted((r for r in rows if r["c"] == c), key=lambda r: r["idx"])]
+        assert sorted(r["idx"] for r in rows if r["c"] == c) == list(range(len(mine)))
+        assert mine == sorted(mine, key=lambda i: (hashlib.md5(f"42-test-{i}".encode()).hexdigest(), i))
