@@ -310,6 +310,57 @@ def first_round(eta: float = 0.3) -> str:
     FROM nodes LEFT JOIN cuts USING (class, path)"""
 
 
+def shallow_tree() -> str:
+    """Two levels of the cuts with the greatest Gini gain, then the most frequent label of each leaf."""
+
+    def level(n: int) -> str:
+        return f"""
+    by{n} AS (SELECT path, f, v, label, count(*)::DOUBLE AS n FROM at{n} JOIN long USING (o_orderkey) WHERE split = 'train' GROUP BY ALL),
+    ends{n} AS (SELECT DISTINCT path, f, v AS cut FROM by{n}),
+    sides{n} AS (SELECT b.path, b.f, cut, v > cut AS side, label, sum(n) AS n FROM by{n} b JOIN ends{n} e ON e.path = b.path AND e.f = b.f GROUP BY ALL),
+    score{n} AS (SELECT path, f, cut, sum(s) AS score, count(*) AS sides FROM
+      (SELECT path, f, cut, side, sum(n * n) / sum(n) AS s FROM sides{n} GROUP BY ALL) GROUP BY ALL),
+    cut{n} AS (SELECT path, f, cut FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY round(score, 6) DESC, f, cut) AS place
+      FROM score{n} WHERE sides = 2) WHERE place = 1),
+    at{n + 1} AS (SELECT a.* REPLACE (a.path || CASE WHEN l.v > c.cut THEN 'R' ELSE 'L' END AS path)
+      FROM at{n} a JOIN cut{n} c ON c.path = a.path JOIN long l ON l.o_orderkey = a.o_orderkey AND l.f = c.f)"""
+
+    return f"""WITH {split_ctes(NOISY, 'label', 'o_orderkey', 0.2)},
+    long AS (SELECT o_orderkey, 0 AS f, month AS v FROM parted UNION ALL SELECT o_orderkey, 1, priority FROM parted
+      UNION ALL SELECT o_orderkey, 2, weekday FROM parted),
+    at0 AS (SELECT o_orderkey, label, split, '' AS path FROM parted),
+    {level(0)}, {level(1)},
+    leaf AS (SELECT path, label AS prediction FROM (SELECT path, label, row_number() OVER (PARTITION BY path ORDER BY count(*) DESC, label) AS place
+      FROM at2 WHERE split = 'train' GROUP BY path, label) WHERE place = 1)
+    SELECT o_orderkey, label, prediction FROM at2 JOIN leaf USING (path) WHERE split = 'test'"""
+
+
+def two_levels(trees: int = 4, width: int = 64, kept: int = 8) -> str:
+    """Cuts of the roots and of their children: drawn features, drawn cuts, the best Gini gain."""
+    key = ("tree", "path", "feature")
+
+    def level(n: int) -> str:
+        return f"""
+    mixed{n} AS (SELECT tree, path FROM at{n} GROUP BY ALL HAVING count(DISTINCT label) > 1),
+    here{n} AS (SELECT tree, path, id, label, feature, x FROM at{n} JOIN mixed{n} USING (tree, path) JOIN long USING (id)),
+    spans{n} AS (SELECT tree, path, feature, min(x) AS lo, max(x) AS hi FROM here{n} GROUP BY ALL),
+    drawn{n} AS (SELECT *, row_number() OVER (PARTITION BY tree, path ORDER BY {digest('feature', *key)}) - 1 AS slot,
+      lo + {draw_unit('cut', *key)} * (hi - lo) AS cut FROM spans{n} WHERE lo < hi),
+    cuts{n} AS (SELECT tree, path, feature, slot, CASE WHEN cut > lo THEN cut ELSE hi END AS threshold FROM drawn{n} WHERE slot < {kept}),
+    counted{n} AS (SELECT tree, path, feature, slot, threshold, x >= threshold AS side, label, count(*)::DOUBLE AS n
+      FROM cuts{n} JOIN here{n} USING (tree, path, feature) GROUP BY ALL),
+    scores{n} AS (SELECT tree, path, feature, slot, threshold, sum(s) AS score FROM
+      (SELECT tree, path, feature, slot, threshold, side, sum(n * n) / sum(n) AS s FROM counted{n} GROUP BY ALL) GROUP BY ALL),
+    best{n} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree, path ORDER BY score DESC, slot) AS place FROM scores{n}) WHERE place = 1),
+    at{n + 1} AS (SELECT tree, 2 * path + CAST(x >= threshold AS INTEGER) AS path, id, label FROM best{n} JOIN here{n} USING (tree, path, feature))"""
+
+    return f"""WITH vec AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, embedding::DOUBLE[] AS e FROM embeddings),
+    long AS (SELECT id, f.feature, e[f.feature + 1] AS x FROM vec CROSS JOIN (SELECT range AS feature FROM range({width})) f),
+    at0 AS (SELECT tree, CAST(1 AS BIGINT) AS path, id, label FROM vec CROSS JOIN (SELECT range AS tree FROM range({trees})) t),
+    {level(0)}, {level(1)}
+    SELECT tree, path, feature, {r6('threshold', 'threshold')} FROM (SELECT * FROM best0 UNION ALL SELECT * FROM best1)"""
+
+
 def first_cut(trees: int = 8, width: int = 64, kept: int = 8) -> str:
     key = ("tree", "path", "feature")
     return f"""WITH vec AS (SELECT CAST(label AS BIGINT) AS label, embedding::DOUBLE[] AS e FROM embeddings),
@@ -539,6 +590,8 @@ def oracle_sql() -> dict[str, str]:
         "expect_metric_floor": f"""WITH {KNN} SELECT model || ' macro_f1' AS "check", macro_f1 > 0.06 AS passed,
               printf('%.4f', macro_f1) AS observed, '> 0.06' AS expected FROM metrics""",
         "extra_trees_first_cut": first_cut(),
+        "extra_trees_two_levels": two_levels(),
+        "train_shallow_tree": shallow_tree(),
         "source_round_trip": """WITH f AS (SELECT unnest(['parquet', 'csv']) AS format),
               n AS (SELECT CAST(count(*) AS VARCHAR) AS n,
                 CAST(count(*) FILTER (WHERE o_orderkey IS NULL OR o_custkey IS NULL OR o_orderstatus IS NULL

@@ -562,6 +562,13 @@ def extra_trees_first_cut(spark, d):
     return rounded(roots.select(F.col("tree").cast("long").alias("tree"), F.col("feature").cast("long").alias("feature"), "threshold"), "threshold")
 
 
+def extra_trees_two_levels(spark, d):
+    """The cuts of the roots and of their children, of four trees."""
+    forest = extra_trees.fit_extra_trees(vectors(spark, d), "label", "embedding", n_trees=4, max_depth=2, seed=SEED)
+    cuts = forest.table(spark).where("child > 0")
+    return rounded(cuts.selectExpr("CAST(tree AS long) AS tree", "CAST(node + 1 AS long) AS path", "CAST(feature AS long) AS feature", "threshold"), "threshold")
+
+
 def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders with a label that their month decides: what a model should learn is known."""
     month = F.month("o_orderdate")
@@ -639,10 +646,21 @@ def noisy_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def noisy_split(spark, d):
+    df = split.stratified_split(noisy_seasons(spark, d), "label", "o_orderkey", 0.2, SEED)
+    return tuple(df.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+
+
+def train_shallow_tree(spark, d):
+    """Two levels of cuts by Gini gain on noisy labels, the most frequent label of each leaf."""
+    learn, check = noisy_split(spark, d)
+    model = train.train("decision_tree", learn, "label", NOISY_FEATURES, {"maxDepth": 2})
+    return model.predict(check).select("o_orderkey", "label", "prediction")
+
+
 def train_multinomial_boosting(spark, d):
     """Boosted trees of all classes see through the noise: the band is what they predict."""
-    df = split.stratified_split(noisy_seasons(spark, d), "label", "o_orderkey", 0.2, SEED)
-    learn, check = (df.where(F.col("split") == s) for s in ("train", "test"))
+    learn, check = noisy_split(spark, d)
     model = train.train("multinomial_boosting", learn, "label", NOISY_FEATURES, {"rounds": 10, "max_depth": 3, "min_child_weight": 20.0})
     return model.predict(check).select("o_orderkey", "label", "prediction")
 
@@ -738,7 +756,7 @@ ALL: list[Query] = [
     resample_plan, resample_neighbors, resample_smote, resample_comparison, expect_class_targets,
     knn_classify, knn_on_oversampled, evaluate_confusion, evaluate_accuracy, evaluate_class_report, evaluate_full_report, evaluate_macro,
     evaluate_weighted, evaluate_comparison, evaluate_ranking, evaluate_baselines, expect_metric_floor,
-    extra_trees_first_cut, train_logistic_regression, train_decision_tree, train_random_forest,
+    extra_trees_first_cut, extra_trees_two_levels, train_shallow_tree, train_logistic_regression, train_decision_tree, train_random_forest,
     train_extra_trees, train_boosted_trees, train_multinomial_boosting, boosting_first_round, train_stump, train_importances, train_search, model_metrics_table,
     source_round_trip,
 ]
