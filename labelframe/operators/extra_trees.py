@@ -9,8 +9,8 @@ level reads it twice, whatever the number of trees: one pass counts the classes
 sides of all drawn cuts; the next moves the rows by the cuts chosen, which are all that is
 broadcast, writes them with their new nodes, and gives the ranges of the features there.
 Rows in leaves of all trees are left behind.  Partial ranges and counts are merged by
-Spark, by node and feature.  The nodes of a level are written as a table when the level is
-done, so the driver holds one level.
+Spark, by node and feature.  Finished nodes go to a table; the driver holds one level and at
+most ``NODES_PER_WRITE`` finished nodes.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from labelframe.functions.reshape import vector
 
 CELLS_PER_PASS = 8_000_000
 NODES_PER_BROADCAST = 1_000_000
+NODES_PER_WRITE = 200_000
 PAIRS_AT_ONCE = 1 << 15
 MAX_DEPTH = 61
 MODEL_SCHEMA = "tree int, node int, feature int, threshold double, child int, counts array<double>"
@@ -201,14 +202,14 @@ def fit_extra_trees(
     grower = _Grower(rows.sparkSession, len(classes), width, max_features or max(1, int(width**0.5)), seed)
     start = np.tile([float(counts[c]) for c in classes], (n_trees, 1))
     level = Level(np.arange(n_trees), np.ones(n_trees, np.int64), np.zeros(n_trees, np.int64), start)
-    made, size = [], np.ones(n_trees, np.int64)
+    made, size = _Nodes(rows.sparkSession), np.ones(n_trees, np.int64)
     is_open = _can_split(level.counts, 0, max_depth, min_samples_split)
     state, path = rows.withColumn("at", F.array(*[F.lit(t if is_open[t] else -1) for t in range(n_trees)])), None
     cuts = None
     for depth in range(max_depth + 1):
         opened = level.where(is_open)
         if not len(opened):
-            made.append(_node_table(rows.sparkSession, level, is_open, None, None))
+            made.add(_node_table(level, is_open, None, None))
             break
         state, before = grower.move(state, cuts, opened), path
         state, path = state
@@ -222,7 +223,7 @@ def fit_extra_trees(
             mine = np.flatnonzero(cut & (opened.tree == t))
             child[mine] = size[t] + 2 * np.arange(len(mine))
             size[t] += 2 * len(mine)
-        made.append(_node_table(rows.sparkSession, level, is_open, (feature, threshold), child))
+        made.add(_node_table(level, is_open, (feature, threshold), child))
         both = np.repeat(np.flatnonzero(cut), 2)
         side = np.tile([0, 1], int(cut.sum()))
         level = Level(opened.tree[both], 2 * opened.path[both] + side, child[both] + side, sides[both, side])
@@ -232,21 +233,21 @@ def fit_extra_trees(
         cuts = Cuts(feature, threshold, after)
     if path:
         discard(rows.sparkSession, path)
-    return ExtraTrees(classes, materialize(reduce(DataFrame.unionAll, made)))
+    return ExtraTrees(classes, made.table())
 
 
 def _can_split(counts: np.ndarray, depth: int, max_depth: int, min_samples: int) -> np.ndarray:
     return (depth < max_depth) & (counts.sum(axis=1) >= min_samples) & ((counts > 0).sum(axis=1) > 1)
 
 
-def _node_table(spark: SparkSession, level: Level, is_open: np.ndarray, cuts: tuple | None, child: np.ndarray | None) -> DataFrame:
-    """The nodes of a level as rows of the model, stored."""
+def _node_table(level: Level, is_open: np.ndarray, cuts: tuple | None, child: np.ndarray | None) -> pa.Table:
+    """The nodes of a level as rows of the model."""
     feature, threshold, first = np.full(len(level), -1), np.zeros(len(level)), np.full(len(level), -1)
     if cuts is not None:
         feature[is_open], first[is_open] = cuts[0], child
         threshold[is_open] = np.where(cuts[0] >= 0, cuts[1], 0.0)
     width = level.counts.shape[1]
-    table = pa.table(
+    return pa.table(
         {
             "tree": pa.array(level.tree, pa.int32()),
             "node": pa.array(level.node, pa.int32()),
@@ -256,7 +257,27 @@ def _node_table(spark: SparkSession, level: Level, is_open: np.ndarray, cuts: tu
             "counts": pa.ListArray.from_arrays(np.arange(0, level.counts.size + 1, width).astype(np.int32), level.counts.ravel()),
         }
     )
-    return materialize(spark.createDataFrame(table, schema=MODEL_SCHEMA))
+
+
+class _Nodes:
+    """Finished nodes, written some levels at a time."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held, self.stored = spark, [], []
+
+    def add(self, nodes: pa.Table) -> None:
+        self.held.append(nodes)
+        if sum(t.num_rows for t in self.held) >= NODES_PER_WRITE:
+            self._write()
+
+    def _write(self) -> None:
+        if self.held:
+            self.stored.append(materialize(self.spark.createDataFrame(pa.concat_tables(self.held), schema=MODEL_SCHEMA)))
+            self.held = []
+
+    def table(self) -> DataFrame:
+        self._write()
+        return reduce(DataFrame.unionAll, self.stored)
 
 
 class _Grower:
@@ -288,7 +309,7 @@ class _Grower:
                     batch = batch.filter(pa.array(stay))
                     at = pa.ListArray.from_arrays((np.arange(stay.sum() + 1) * at.shape[1]).astype(np.int32), at[stay].ravel())
                     empty = [pa.nulls(len(at), kind) for kind in (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.float64())]
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), at, *empty], names=names)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.list_(pa.float64())), at, *empty], names=names)
             if found:
                 for columns in found.rows():
                     n = len(columns[0])

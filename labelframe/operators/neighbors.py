@@ -33,6 +33,8 @@ MAX_PIVOTS = 16_384
 MAX_RINGS = 32_768
 ROUNDS = (8, 64)
 SLACK = 1e-6
+# a group of so many blocks' rows is searched whole, as one block
+WHOLE = 4
 PAIRS_AT_ONCE = 4_000_000
 
 
@@ -66,9 +68,10 @@ def nearest(
         key = F.col(group).cast("string") if group else F.lit("")
         return df.select(key.alias("grp"), F.col(row_id).alias("id"), vector(features).alias("vec"), *more)
 
-    require_unique(candidates, row_id, "candidates")
     carried = F.col(carry) if carry else F.lit(None).cast("int")
-    left, right = prepared(queries), prepared(candidates, carried.alias("carried"))
+    # each is read several times; what made it, such as a split or an oversampling, runs once
+    left, right = materialize(prepared(queries)), materialize(prepared(candidates, carried.alias("carried")))
+    require_unique(right, "id", "candidates")
     id_type, carried_type = (right.schema[c].dataType.simpleString() for c in ("id", "carried"))
     index = _Index(right, id_type, carried_type, keep, seed, block_rows)
     brought = f", {quoted(carry)} {carried_type}" if carry else ""
@@ -80,7 +83,8 @@ def nearest(
     best = materialize(index.search(homes, asked, query_rows))
     # nearest rings first, so that the reach has shrunk before the many far ones are weighed
     last = probes - 1 if probes else None
-    for lo, hi in zip((0, *ROUNDS), (*ROUNDS, None)):
+    more = any(g not in index.whole for g in index.groups)
+    for lo, hi in zip((0, *ROUNDS), (*ROUNDS, None)) if more else ():
         stop = last if hi is None or last is not None and last < hi else hi
         if stop is not None and stop <= lo:
             break
@@ -111,6 +115,7 @@ class _Index:
         self.groups = {g: {} for g in sizes if g is not None}
         if not self.groups:
             return
+        self.whole = {g for g in self.groups if sizes[g] <= WHOLE * block_rows}
         self._choose_pivots(rows, sizes, seed, block_rows)
         ring_rows = max(block_rows, math.ceil(sum(sizes.values()) / MAX_RINGS))
         placed = materialize(self._place(self._distinct(rows)))
@@ -125,7 +130,7 @@ class _Index:
 
     def _choose_pivots(self, rows: DataFrame, sizes: dict, seed: int, block_rows: int) -> None:
         share = min(256, max(1, MAX_PIVOTS // len(self.groups)))
-        wanted = {g: min(share, math.ceil(4 * sizes[g] / block_rows)) for g in self.groups}
+        wanted = {g: 1 if g in self.whole else min(share, math.ceil(4 * sizes[g] / block_rows)) for g in self.groups}
         # about 16 times the wanted rows pass the first filter, whatever the size of the group
         share_of = {g: min(1.0, 16 * wanted[g] / sizes[g]) for g in self.groups}
         shares = local_table(self.spark, list(share_of.items()), "grp string, share double")
@@ -171,7 +176,7 @@ class _Index:
         widths = [
             (r["grp"], r["cell"], rings, (r["radius"] / rings) or 1.0)
             for r in cells.collect()
-            for rings in [math.ceil(r["n"] / ring_rows)]
+            for rings in [1 if r["grp"] in self.whole else math.ceil(r["n"] / ring_rows)]
         ]
         table = local_table(self.spark, widths, "grp string, cell int, rings int, width double")
         ring = F.least(F.floor(F.col("dist") / F.col("width")).cast("int"), F.col("rings") - 1)
@@ -181,7 +186,7 @@ class _Index:
         ).collect()
         numbered, start = [], 0
         for r in sorted(stats, key=lambda r: (r["grp"], r["cell"], r["ring"])):
-            parts = math.ceil(r["n"] / block_rows)
+            parts = 1 if r["grp"] in self.whole else math.ceil(r["n"] / block_rows)
             numbered.append((r["grp"], r["cell"], r["ring"], start, parts))
             self.groups[r["grp"]].setdefault("rings", []).append(
                 (r["cell"], r["lo"], r["hi"], start, parts, r["n"])

@@ -321,7 +321,7 @@ def search(
     instead: rows made from a validation row may then be learned from, and validated on,
     which flatters the scores.  The trials of a fold are scored together: ``SCORED_AT_ONCE``
     models in a pass over its validation rows, and neighbour counts from one search.
-    ``parallelism`` models are fitted at once.  Returns the refitted model, its settings, its score and
+    ``parallelism`` models are fitted, and folds scored, at once.  Returns the refitted model, its settings, its score and
     the trials.
     """
     spark = df.sparkSession
@@ -338,18 +338,22 @@ def search(
     trials = draw_params(space, n_trials, seed)
     classes = class_list(dealt, label)
 
-    def fold_scores(fold: int, pool: ThreadPool) -> dict[int, float]:
+    def fit(job: tuple[int, int]) -> Trained:
+        trial, fold = job
+        return train(kind, parts[fold][0], label, features, trials[trial], row_id, classes)
+
+    def fold_scores(fold: int) -> dict[int, float]:
         learn, check = parts[fold]
         if kind == "knn":
             tables = _knn_trials(learn, check, trials, label, row_id, features)
         else:
-            fit = lambda t: train(kind, learn, label, features, trials[t], row_id, classes)
-            fitted = pool.map(inheritable_thread_target(spark)(fit), range(len(trials)))
-            tables = _scored_together(fitted, check, label)
+            tables = _scored_together([fitted[t, fold] for t in range(len(trials))], check, label)
         return {int(r["model"]): r["macro_f1"] for table in tables for r in model_metrics(table).collect()}
 
+    jobs = [(t, fold) for fold in range(folds) for t in range(len(trials))] if kind != "knn" else []
     with ThreadPool(max(1, parallelism)) as pool:
-        results = [fold_scores(fold, pool) for fold in range(folds)]
+        fitted = dict(zip(jobs, pool.map(inheritable_thread_target(spark)(fit), jobs)))
+        results = pool.map(inheritable_thread_target(spark)(fold_scores), range(folds))
     rows = []
     for t, params in enumerate(trials):
         scores = [found[t] for found in results]

@@ -85,6 +85,35 @@ def test_extra_trees_scoring_in_groups(spark, parts, monkeypatch):
     assert set(forest.predict(check, FEATURES).select("id", "prediction").collect()) == set(whole)
 
 
+def test_reads_of_a_level_do_not_depend_on_the_trees(spark, parts, monkeypatch):
+    """Each level writes its rows once and counts once, for 3 trees as for 40; the table of nodes may be written in parts."""
+    learn, _ = parts
+    calls = []
+    for name in ("move", "counts", "ranges"):
+        real = getattr(extra_trees._Grower, name)
+        monkeypatch.setattr(extra_trees._Grower, name, lambda self, *a, real=real, name=name: (calls.append(name), real(self, *a))[1])
+    grown = {}
+    for n_trees in (3, 40):
+        calls.clear()
+        grown[n_trees] = extra_trees.fit_extra_trees(learn, "label", FEATURES, n_trees=n_trees, max_depth=4)
+        assert (calls.count("move"), calls.count("counts"), calls.count("ranges")) == (4, 4, 0)
+    monkeypatch.setattr(extra_trees, "NODES_PER_WRITE", 10)
+    again = extra_trees.fit_extra_trees(learn, "label", FEATURES, n_trees=3, max_depth=4)
+    assert tree_rows(again, spark) == tree_rows(grown[3], spark) and len(grown[40].trees) == 40
+
+
+def test_a_hundred_deep_trees(spark):
+    """Noisy classes that take many nodes: the forest holds every row in each tree and beats one stump."""
+    df = spark.range(6000).selectExpr("id", "rand(1) AS a", "rand(2) AS b", "rand(3) AS c", "rand(4) AS u").cache()
+    df = df.selectExpr("id", "a", "b", "c", "CASE WHEN u < 0.1 THEN id % 3 ELSE CAST(a * 3 AS long) END AS label")
+    forest = extra_trees.fit_extra_trees(df, "label", ["a", "b", "c"], n_trees=100, max_depth=12, max_features=2)
+    nodes = forest.table(spark)
+    leaves = nodes.where("child < 0").groupBy("tree").agg(F.sum(F.aggregate("counts", F.lit(0.0), lambda s, n: s + n)).alias("n"))
+    assert {r["n"] for r in leaves.collect()} == {6000.0} and leaves.count() == 100 and nodes.count() > 20_000
+    scored = forest.predict(df, ["a", "b", "c"])
+    assert scored.where("label = prediction").count() > 5400
+
+
 def test_constant_features_cannot_be_cut(spark):
     df = spark.createDataFrame([(i % 2, 1.0) for i in range(10)], "label long, x double")
     forest = extra_trees.fit_extra_trees(df, "label", ["x"], n_trees=2, max_depth=3)
