@@ -2,8 +2,10 @@
 
 Candidates are cut into cells around pivot points and each cell into rings by the
 distance to its pivot (the iDistance idea: Jagadish et al., ACM TODS 2005; the
-pivot-cell join: Lu et al., VLDB 2012).  A ring with many rows is split further by a
-hash, so a block always has a bounded number of rows, whatever the size of the table.  Every query first searches
+pivot-cell join: Lu et al., VLDB 2012).  A ring with many rows is divided among centres of
+its own, and a large part by a hash, so a block always has a bounded number of rows,
+whatever the size of the table.  The driver knows the rings, whose number is bounded; the
+parts are a table.  Every query first searches
 the one block around it; the k-th distance found there, with the triangle
 inequality, rules out the blocks that cannot hold a nearer row, and only the blocks
 left are searched.  No pair of rows is ever emitted: a block search gives k rows.
@@ -35,6 +37,9 @@ ROUNDS = (8, 64)
 SLACK = 1e-6
 # a group of so many blocks' rows is searched whole, as one block
 WHOLE = 4
+TASK_BLOCKS = 32
+# a ring of so many blocks is cut by hash, a larger one by centres
+HASHED = 4
 PAIRS_AT_ONCE = 4_000_000
 
 
@@ -167,10 +172,13 @@ class _Index:
         return distinct.where(F.col("grp").isNotNull()).mapInPandas(place, schema)
 
     def _split(self, placed: DataFrame, ring_rows: int, block_rows: int) -> DataFrame:
-        """Number the blocks: rings of a cell, and hash parts of a ring.
+        """Number the blocks: rings of a cell, parts of a large ring, pieces of a large part.
 
-        The directory lists rings, whose number is bounded; a block is a part of a ring
-        and has about ``block_rows`` rows however large the table is.
+        Rings are few, and the driver knows them.  A ring of a few blocks is cut by hash.  A larger
+        one is divided among centres drawn from it; these parts with their radii are a table of
+        their own, the second level of the directory, which visits meet in a join.  A block
+        is a piece by hash of a part and has about ``block_rows`` rows however large the
+        table is.
         """
         cells = placed.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.max("dist").alias("radius"))
         widths = [
@@ -184,23 +192,67 @@ class _Index:
         stats = ringed.groupBy("grp", "cell", "ring").agg(
             F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi")
         ).collect()
-        numbered, start = [], 0
-        for r in sorted(stats, key=lambda r: (r["grp"], r["cell"], r["ring"])):
+        numbered = []
+        for number, r in enumerate(sorted(stats, key=lambda r: (r["grp"], r["cell"], r["ring"]))):
             parts = 1 if r["grp"] in self.whole else math.ceil(r["n"] / block_rows)
-            numbered.append((r["grp"], r["cell"], r["ring"], start, parts))
-            self.groups[r["grp"]].setdefault("rings", []).append(
-                (r["cell"], r["lo"], r["hi"], start, parts, r["n"])
-            )
-            start += parts
+            numbered.append((r["grp"], r["cell"], r["ring"], number, parts, r["n"]))
+            self.groups[r["grp"]].setdefault("rings", []).append((r["cell"], r["lo"], r["hi"], number, parts, r["n"]))
         for info in self.groups.values():
             info["rings"] = np.array(info["rings"], dtype=float).reshape(-1, 6)
-        table = local_table(self.spark, numbered, "grp string, cell int, ring int, start int, parts int")
-        part = F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int")
-        return (
-            ringed.join(F.broadcast(table), ["grp", "cell", "ring"])
-            .withColumn("block", F.col("start") + part)
-            .select("block", "vec", F.col("ids.neighbour").alias("neighbours"), F.col("ids.carried").alias("carried"))
+        table = local_table(self.spark, numbered, "grp string, cell int, ring int, number int, parts int, n long")
+        rows = ringed.join(F.broadcast(table), ["grp", "cell", "ring"]).select(
+            "number", "parts", "n", "vec", F.col("ids.neighbour").alias("neighbours"), F.col("ids.carried").alias("carried")
+        )
+        few = F.col("parts") <= HASHED
+        piece = F.pmod(F.xxhash64("vec"), F.col("parts"))
+        small = rows.where(few).select(_block(F.col("number"), None, piece).alias("block"), "vec", "neighbours", "carried")
+        self.parts = None
+        if all(r[4] <= HASHED for r in numbered):
+            return small
+        divided = materialize(self._divide(rows.where(~few), block_rows))
+        self.parts = materialize(
+            divided.groupBy("number", "part")
+            .agg(F.first("centre").alias("centre"), F.max("away").alias("radius"), F.count("*").alias("n"))
+            .select("number", "part", "centre", "radius", F.ceil(F.col("n") / block_rows).cast("int").alias("pieces"))
+        )
+        pieces = settle(self.parts.select("number", "part", "pieces"))
+        piece = F.pmod(F.xxhash64("vec"), F.col("pieces"))
+        large = divided.join(pieces, ["number", "part"]).select(
+            _block(F.col("number"), F.col("part"), piece).alias("block"), "vec", "neighbours", "carried"
         )
+        return small.unionByName(large)
+
+    def _divide(self, rows: DataFrame, block_rows: int) -> DataFrame:
+        """Rows of large rings with the nearest of the centres drawn in their ring, and the distance to it.
+
+        A ring is spread over tasks of about ``TASK_BLOCKS`` blocks, each of which gets its centres.
+        """
+        share = F.least(F.lit(1.0), F.col("parts") / F.col("n"))
+        draw = F.pmod(F.xxhash64("vec", F.lit("centre")), F.lit(1 << 30)) / float(1 << 30)
+        picked = rows.where(draw < share).select("number", "vec")
+        least = rows.groupBy("number").agg(F.min("vec").alias("vec"))  # chance may leave a ring without any
+        centres = picked.unionByName(least).distinct()
+        salts = F.ceil(F.col("parts") / TASK_BLOCKS).cast("int")
+        sizes = rows.select("number", salts.alias("salts")).distinct()
+        copies = centres.join(sizes, "number").select("number", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "vec")
+        copies = materialize(copies)
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("vec", F.lit("salt")), salts).cast("int")).drop("parts", "n")
+        ids = {c: rows.schema[c].dataType.simpleString() for c in ("neighbours", "carried")}
+        schema = f"number int, vec array<double>, neighbours {ids['neighbours']}, carried {ids['carried']}, part int, centre array<double>, away double"
+
+        def nearest_centre(some: pa.Table, around: pa.Table) -> pa.Table:
+            if not some.num_rows:
+                some = some.slice(0, 0)
+            x = _rows(some.column("vec"))
+            c = np.unique(_rows(around.column("vec")), axis=0)  # the same numbers in every task of the ring
+            part = np.concatenate([_distances(x[i : i + 4096], c).argmin(axis=1) for i in range(0, len(x), 4096)] or [np.zeros(0, np.int64)])
+            away = np.sqrt(((x - c[part]) ** 2).sum(axis=1))
+            ends = (np.arange(len(part) + 1) * c.shape[1]).astype(np.int32)
+            columns = {n: some.column(n).combine_chunks() for n in ("number", "vec", "neighbours", "carried")}
+            columns |= {"part": pa.array(part, pa.int32()), "centre": pa.ListArray.from_arrays(ends, c[part].ravel()), "away": pa.array(away)}
+            return pa.table(columns)
+
+        return salted.groupBy("number", "salt").cogroup(copies.groupBy("number", "salt")).applyInArrow(nearest_centre, schema)
 
     def nearest_of(self, found: DataFrame) -> DataFrame:
         """The ``keep`` nearest rows of each query."""
@@ -216,16 +268,21 @@ class _Index:
 
     def homes(self, queries: DataFrame) -> DataFrame:
         """``(id, grp, block, reach)``: the one block around each query, without a bound."""
-        return self._visits(queries, lambda part, info: _home_blocks(part, info))
+        rings = self._visits(queries, lambda part, info: _home_rings(part, info))
+        return self._blocks_of(rings, queries, home=True)
 
     def open(self, queries: DataFrame, first: int = 0, last: int | None = None) -> DataFrame:
         """The blocks still open after the home block, as ``homes``.
 
         Rows beyond ``reach`` are not looked for.  In the order of their least possible
-        distance, the rings from ``first`` on and before ``last`` are looked at.
+        distance, the rings from ``first`` on and before ``last`` are looked at, and of a
+        large ring the parts that come within reach.
         """
         keep = self.keep
-        return self._visits(queries, lambda part, info: _open_blocks(part, info, keep, first, last))
+        rings = self._visits(queries, lambda part, info: _open_rings(part, info, keep, first, last))
+        blocks = self._blocks_of(rings, queries)
+        same = _same_query(blocks, queries) & (blocks["block"] == queries["home"])
+        return blocks.join(queries.select("id", "grp", "home"), same, "left_anti")
 
     def _visits(self, queries: DataFrame, choose: Callable) -> DataFrame:
         groups = self.groups
@@ -238,13 +295,39 @@ class _Index:
                     step = max(1, PAIRS_AT_ONCE // (len(groups[g]["rings"]) + len(groups[g]["pivots"])))
                     for at in range(0, len(part), step):
                         some = part.iloc[at : at + step]
-                        rows, blocks, reach = choose(some, groups[g])
+                        rows, rings, reach = choose(some, groups[g])
+                        parts = groups[g]["rings"][rings, 4]
+                        numbers = groups[g]["rings"][rings, 3].astype("int32")
                         for i in range(0, len(rows), 20_000):
                             cut = slice(i, i + 20_000)
                             out = some.iloc[rows[cut]][["id", "grp"]]
-                            yield out.assign(block=blocks[cut].astype("int32"), reach=reach[rows[cut]])
-
-        return queries.mapInPandas(visits, f"id {self.id_type}, grp string, block int, reach double")
+                            yield out.assign(number=numbers[cut], pieces=parts[cut].astype("int32"), reach=reach[rows[cut]])
+
+        return queries.mapInPandas(visits, f"id {self.id_type}, grp string, number int, pieces int, reach double")
+
+    def _blocks_of(self, rings: DataFrame, queries: DataFrame, home: bool = False) -> DataFrame:
+        """The blocks of the visited rings: the ring itself, or its parts in reach (of a home ring, the nearest part)."""
+        few = F.col("pieces") <= HASHED
+        piece = F.lit(0) if home else F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+        direct = rings.where(few).withColumn("piece", piece)
+        direct = direct.select("id", "grp", _block(F.col("number"), None, F.col("piece")).alias("block"), "reach")
+        if self.parts is None:
+            return direct
+        visits = rings.where(~few).drop("pieces")
+        met = visits.join(queries.select("id", "grp", "vec"), _same_query(visits, queries)).select(visits["id"], visits["grp"], "number", "reach", "vec")
+        met = met.join(settle(self.parts), "number")
+        squares = F.zip_with("vec", "centre", lambda a, b: (a - b) * (a - b))
+        scale = F.sqrt(F.aggregate("centre", F.lit(0.0), lambda t, v: t + v * v)) + F.sqrt(F.aggregate("vec", F.lit(0.0), lambda t, v: t + v * v))
+        met = met.withColumn("least", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda t, v: t + v)) - F.col("radius") - SLACK * scale)
+        if home:
+            order = Window.partitionBy("id", "grp").orderBy("least", "part")
+            nearest = met.withColumn("_n", F.row_number().over(order)).where("_n = 1")
+            piece = F.pmod(F.xxhash64("id"), F.col("pieces"))
+        else:
+            nearest = met.where(F.col("least") <= F.col("reach"))
+            nearest = nearest.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+            piece = F.col("piece")
+        return direct.unionByName(nearest.select("id", "grp", _block(F.col("number"), F.col("part"), piece).alias("block"), "reach"))
 
     def search(self, visits: DataFrame, queries: DataFrame, query_rows: int) -> DataFrame:
         """``(id, grp, distance2, neighbour, carried)``: the ``keep`` nearest rows of each visited block.
@@ -287,6 +370,13 @@ class _Index:
         return asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInArrow(best, self.found)
 
 
+def _block(number: Column, part: Column | None = None, piece: Column | None = None) -> Column:
+    """The number of a block: that of its ring, its part, its piece."""
+    zero = F.lit(0)
+    low = (zero if part is None else part).cast("long") * (1 << 16) + (zero if piece is None else piece).cast("long")
+    return F.shiftleft(number.cast("long"), 32) + low
+
+
 def _same_query(a: DataFrame, b: DataFrame) -> Column:
     return a["id"].eqNullSafe(b["id"]) & (a["grp"] == b["grp"])
 
@@ -317,19 +407,18 @@ def _slack(v: np.ndarray, info: dict) -> np.ndarray:
     return (SLACK * scale)[:, None]
 
 
-def _home_blocks(part: pd.DataFrame, info: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each query the block whose ring comes nearest to it."""
+def _home_rings(part: pd.DataFrame, info: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each query the ring that comes nearest to it."""
     v, rings = _matrix(part["vec"]), info["rings"]
     d = _distances(v, info["pivots"])[:, rings[:, 0].astype(int)]
     gap = np.maximum(np.maximum(rings[:, 1] - d, d - rings[:, 2]), 0.0)
-    ring = (gap + 1e-3 * d).argmin(axis=1)
-    return np.arange(len(part)), rings[ring, 3].astype(int), np.full(len(part), np.inf)
+    return np.arange(len(part)), (gap + 1e-3 * d).argmin(axis=1), np.full(len(part), np.inf)
 
 
-def _open_blocks(
+def _open_rings(
     part: pd.DataFrame, info: dict, keep: int, first: int, last: int | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each query the blocks that may hold a row nearer than its k-th so far, ranked [first, last) by ring."""
+    """For each query the rings that may hold a row nearer than its k-th so far, ranked [first, last)."""
     v, rings = _matrix(part["vec"]), info["rings"]
     cell = rings[:, 0].astype(int)
     to_pivot = _distances(v, info["pivots"])
@@ -348,12 +437,7 @@ def _open_blocks(
     least = np.maximum(ring_gap, half_plane)
     by_bound = least.argsort(axis=1, kind="stable")[:, first:last]
     rows, place = np.nonzero(np.take_along_axis(least, by_bound, axis=1) <= reach)
-    ring = by_bound[rows, place]
-    parts = rings[ring, 4].astype(int)
-    blocks = np.repeat(rings[ring, 3].astype(int), parts) + _offsets(parts)
-    rows = np.repeat(rows, parts)
-    new = blocks != part["home"].to_numpy()[rows]
-    return rows[new], blocks[new], reach[:, 0]
+    return rows, by_bound[rows, place], reach[:, 0]
 
 
 def _offsets(parts: np.ndarray) -> np.ndarray:

@@ -151,6 +151,27 @@ def test_blocks_stay_small_when_the_directory_is_full(spark, lumpy, monkeypatch)
     assert index.blocks.groupBy("block").count().agg(F.max("count")).first()[0] <= 48
 
 
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_parts_of_large_rings_are_exact_and_prune(spark, monkeypatch, exclude_self):
+    """Weakly clustered vectors and few rings: parts in reach are visited, the others are not."""
+    monkeypatch.setattr(neighbors, "MAX_RINGS", 3)
+    monkeypatch.setattr(neighbors, "MAX_PIVOTS", 1)
+    monkeypatch.setattr(neighbors, "TASK_BLOCKS", 2)
+    rng = np.random.default_rng(9)
+    rows = [(i, "a", rng.normal(size=3) + rng.integers(0, 6, 3)) for i in range(1200)]
+    df = frame(spark, rows)
+    got = neighbors.nearest(df, df, "id", "v", k=4, block_rows=25, exclude_self=exclude_self)
+    assert found(got) == brute(rows, rows, 4, exclude_self=exclude_self)
+    left = df.select(F.lit("").alias("grp"), "id", F.col("v").alias("vec"), F.lit(None).cast("int").alias("carried"))
+    index = neighbors._Index(left, "bigint", "int", 4, 42, 25)
+    assert index.parts is not None and index.blocks.groupBy("block").count().agg(F.max("count")).first()[0] < 100
+    homes = index.homes(left).cache()
+    best = index.search(homes, left, 1000).cache()
+    blocks = index.blocks.select("block").distinct().count()
+    visits = index.open(index.bounds(left, homes, best)).count()
+    assert homes.count() == 1200 and visits < 0.5 * 1200 * blocks
+
+
 def test_votes_on_an_oversampled_table_equal_brute_force(spark):
     """Overlapping classes, so that a wrong vote shows."""
     rng = np.random.default_rng(12)
