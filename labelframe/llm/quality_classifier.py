@@ -65,6 +65,7 @@ def describe(part: Slice, hashed: bool = True) -> Described:
     n = np.maximum(n_words, 1)
     symbols, marks, capitals, letters = (spans_of(np.flatnonzero(bits[data]), words) for bits in (SYMBOLS, MARKS, CAPITALS, LETTERS))
     twice = np.flatnonzero(data[1:] == data[:-1]) + 1
+    twice = np.setdiff1d(twice, part.offsets)  # the byte before a text is another text's
     same = np.zeros(len(words), bool)
     same[1:] = (words.hashes[1:] == words.hashes[:-1]) & (words.rows[1:] == words.rows[:-1])
     _, before = repeats(in_row(words.rows, words.hashes))

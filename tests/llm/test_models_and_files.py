@@ -347,3 +347,56 @@ def test_packing_of_odd_tables(spark):
     assert len([r for r in rows if r.start == 0]) == len(EDGE_TEXTS)
     assert [r.doc_tokens for r in rows if r.doc_id in (1, 2, 3)] == [1, 1, 1]
     assert packing.pack(empty_docs(spark), queries.tokenizer()).count() == 0
+
+
+def plain_description(text):
+    """Shares and hashed features of one text, word by word."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    raw = [w.encode() for w in words]
+    n = max(len(words), 1)
+    symbols = [sum(w.count(c) for c in "#*$%&|<>") for w in words]
+    marks = [w.count("!") for w in words]
+    capitals = [sum("A" <= c <= "Z" for c in w) for w in words]
+    letters = [sum(65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in r) for r in raw]
+    same = [i > 0 and words[i] == words[i - 1] for i in range(len(words))]
+    before = [w in words[:i] for i, w in enumerate(words)]
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    often = [any(windows[tuple(words[j : j + 5])] >= 3 for j in range(max(0, i - 4), i + 1) if j + 5 <= len(words)) for i in range(len(words))]
+    twice = sum(a == b for r in raw for a, b in zip(r, r[1:]))
+    shares = [
+        sum(symbols) / n, sum(s > 0 for s in symbols) / n, sum(marks) / n, twice / max(sum(map(len, raw)), 1),
+        sum(capitals) / max(sum(letters), 1), sum(same) / n, sum(before) / n, sum(often) / n,
+    ]
+    features = np.zeros(quality_classifier.BUCKETS)
+
+    def put(kind, value):
+        h = np.array([value + (kind << 32)], np.uint64)
+        features[int(quality_classifier.mix(h)[0] % np.uint64(quality_classifier.BUCKETS))] += 1 / n
+
+    for i, r in enumerate(raw):
+        length = min(sum(len(r) >= k for k in (4, 8, 13, 30)), 4)
+        shouted = capitals[i] > 1 and letters[i] == capitals[i]
+        put(1, length + 8 * min(symbols[i], 3) + 32 * shouted + 64 * min(marks[i], 3) + 256 * often[i] + 512 * same[i])
+        put(2, int(before[i]))
+        put(3, r[-1] + (256 * r[-2] if len(r) > 1 else 0))
+        put(4, often[i] + 2 * before[i] + 4 * same[i])
+    return len(words), np.array(shares), features
+
+
+def test_classifier_equals_a_plain_reading_of_each_text(spark):
+    """Words, votes, posterior, score and decision of every row; rows beside each other do not mix."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.where("length(text) < 20000").collect()}
+    texts |= {-1 - i: t for i, t in enumerate(["a", "aa", "a", "ab", "ba!!! #x ba ba", "", None, "!é É éé", *(t for t in EDGE_TEXTS if t is None or len(t) < 20000)])}
+    model = quality_classifier.fit(docs)
+    own = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in quality_classifier.classify(own, model).collect()}
+    assert set(got) == set(texts) and len({r.kept for r in got.values()}) == 2
+    low, high = (np.array([x[i] for x in quality_classifier.LABELLERS]) for i in (1, 2))
+    for i, text in texts.items():
+        n, shares, features = plain_description(text)
+        vote = (shares <= low).astype(int) - (shares >= high) if n else np.zeros(len(low), int)
+        code = sum((v + 1) * 3**k for k, v in enumerate(vote.tolist()))
+        p = 1 / (1 + np.exp(-(features @ model.weights[:-1] + model.weights[-1]))) if n else 0.0
+        assert got[i].n_words == n and got[i].weak_label == model.labels.posterior[code]
+        assert abs(got[i].p_quality - p) < 1e-4 and (abs(p - 0.5) < 1e-4 or got[i].kept == (p >= 0.5))
