@@ -6,7 +6,7 @@ from collections import defaultdict
 from pathlib import Path
 
 import corpus_pipeline
-from corpus_cases import DATA, edge_docs
+from corpus_cases import DATA, edge_docs, empty_docs
 from labelframe.functions.checkpoints import materialize
 from labelframe.llm import pii, quality_classifier
 from test_models_and_files import check_pieces
@@ -53,6 +53,14 @@ def test_pipeline_of_an_odd_table(spark):
     assert docs.columns[:3] == ["doc_id", "start", "length"]
 
 
+def test_pipeline_of_an_empty_table(spark):
+    docs = empty_docs(spark)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, DATA))
+        assert docs.count() == 0 and (name == "packing" or docs.columns == columns)
+
+
 def test_the_library_does_without_the_corpus_operators():
     code = """
 import sys
