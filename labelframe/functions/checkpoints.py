@@ -57,26 +57,38 @@ def clean(spark: SparkSession) -> None:
     files.mkdirs(path)
 
 
-_lock = threading.Lock()
-_writers: dict[int, list] = {}  # by session: how many write just now, and the setting before the first of them
+class _Writers:
+    """By session: how many write just now, and the setting before the first of them.
+
+    Functions that travel to executors may bring this module along; a copy is a new, idle one.
+    """
+
+    def __init__(self) -> None:
+        self.lock, self.held = threading.Lock(), {}
+
+    def __reduce__(self) -> tuple:
+        return _Writers, ()
+
+
+_writers = _Writers()
 
 
 @contextmanager
 def _cleaned_up(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the queries inside are deleted after them; the setting comes back when the last thread is out."""
     key = id(spark._jsparkSession)
-    with _lock:
-        held = _writers.setdefault(key, [0, spark.conf.get(CLEAN_UP, None)])
-        held[0] += 1
+    with _writers.lock:
+        own = _writers.held.setdefault(key, [0, spark.conf.get(CLEAN_UP, None)])
+        own[0] += 1
         spark.conf.set(CLEAN_UP, "true")
     try:
         yield
     finally:
-        with _lock:
-            held[0] -= 1
-            if not held[0]:
-                del _writers[key]
-                spark.conf.set(CLEAN_UP, held[1]) if held[1] is not None else spark.conf.unset(CLEAN_UP)
+        with _writers.lock:
+            own[0] -= 1
+            if not own[0]:
+                del _writers.held[key]
+                spark.conf.set(CLEAN_UP, own[1]) if own[1] is not None else spark.conf.unset(CLEAN_UP)
 
 
 def store(df: DataFrame) -> tuple[DataFrame, str]:
