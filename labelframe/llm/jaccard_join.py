@@ -371,13 +371,16 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
     groups = roots.join(least_id, "root").select(F.col("node").alias("own"), "class_first")
     counts = linked.groupBy("own").agg(F.sum("links").alias("links"))
     known = classes.select("own", "first_id", "copies").join(counts, "own", "left").join(groups, "own", "left")
-    joined = sketches.select("id", "text_hash", "own").join(known, "own", "left")
-    return joined.select(
+    # texts without words are in no class; beside the join, not in it, since they all have the same null key
+    rows = sketches.select("id", "text_hash", "own")
+    joined = rows.where("own IS NOT NULL").join(known, "own").select(
         F.col("id").alias(id_column),
         "text_hash",
-        F.when(F.col("own").isNull(), F.col("id")).otherwise(F.coalesce("class_first", "first_id")).alias("class_id"),
-        F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("class_first", "first_id").alias("class_id"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"),
     )
+    wordless = rows.where("own IS NULL").select(F.col("id").alias(id_column), "text_hash", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return joined.unionByName(wordless)
 
 
 def runs(ordered: np.ndarray) -> tuple[list[int], list[slice]]:
