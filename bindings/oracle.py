@@ -310,7 +310,7 @@ def first_round(eta: float = 0.3) -> str:
     FROM nodes LEFT JOIN cuts USING (class, path)"""
 
 
-def shallow_tree() -> str:
+def shallow_tree(result: str) -> str:
     """Two levels of the cuts with the greatest Gini gain, then the most frequent label of each leaf."""
 
     def level(n: int) -> str:
@@ -320,8 +320,10 @@ def shallow_tree() -> str:
     sides{n} AS (SELECT b.path, b.f, cut, v > cut AS side, label, sum(n) AS n FROM by{n} b JOIN ends{n} e ON e.path = b.path AND e.f = b.f GROUP BY ALL),
     score{n} AS (SELECT path, f, cut, sum(s) AS score, count(*) AS sides FROM
       (SELECT path, f, cut, side, sum(n * n) / sum(n) AS s FROM sides{n} GROUP BY ALL) GROUP BY ALL),
-    cut{n} AS (SELECT path, f, cut FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY round(score, 6) DESC, f, cut) AS place
+    cut{n} AS (SELECT path, f, cut, score FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY round(score, 6) DESC, f, cut) AS place
       FROM score{n} WHERE sides = 2) WHERE place = 1),
+    whole{n} AS (SELECT path, sum(n * n) / sum(n) AS s FROM
+      (SELECT path, label, count(*)::DOUBLE AS n FROM at{n} WHERE split = 'train' GROUP BY ALL) GROUP BY path),
     at{n + 1} AS (SELECT a.* REPLACE (a.path || CASE WHEN l.v > c.cut THEN 'R' ELSE 'L' END AS path)
       FROM at{n} a JOIN cut{n} c ON c.path = a.path JOIN long l ON l.o_orderkey = a.o_orderkey AND l.f = c.f)"""
 
@@ -332,7 +334,17 @@ def shallow_tree() -> str:
     {level(0)}, {level(1)},
     leaf AS (SELECT path, label AS prediction FROM (SELECT path, label, row_number() OVER (PARTITION BY path ORDER BY count(*) DESC, label) AS place
       FROM at2 WHERE split = 'train' GROUP BY path, label) WHERE place = 1)
-    SELECT o_orderkey, label, prediction FROM at2 JOIN leaf USING (path) WHERE split = 'test'"""
+    {result}"""
+
+
+SHALLOW_PREDICTIONS = "SELECT o_orderkey, label, prediction FROM at2 JOIN leaf USING (path) WHERE split = 'test'"
+SHALLOW_IMPORTANCES = f"""
+    , gains AS (SELECT f, score - s AS gain FROM cut0 JOIN whole0 USING (path) UNION ALL
+      SELECT f, score - s FROM cut1 c JOIN whole1 USING (path) JOIN leaf l ON l.path = c.path || 'L' JOIN leaf r ON r.path = c.path || 'R'
+      WHERE l.prediction <> r.prediction)
+    SELECT ['month', 'priority', 'weekday'][f + 1] AS feature,
+      {r6('coalesce((SELECT sum(gain) FROM gains g WHERE g.f = x.f), 0) / (SELECT sum(gain) FROM gains)', 'importance')}
+    FROM (SELECT unnest([0, 1, 2]) AS f) x"""
 
 
 def two_levels(trees: int = 4, width: int = 64, kept: int = 8) -> str:
@@ -591,7 +603,8 @@ def oracle_sql() -> dict[str, str]:
               printf('%.4f', macro_f1) AS observed, '> 0.06' AS expected FROM metrics""",
         "extra_trees_first_cut": first_cut(),
         "extra_trees_two_levels": two_levels(),
-        "train_shallow_tree": shallow_tree(),
+        "train_shallow_tree": shallow_tree(SHALLOW_PREDICTIONS),
+        "train_tree_importances": shallow_tree(SHALLOW_IMPORTANCES),
         "source_round_trip": """WITH f AS (SELECT unnest(['parquet', 'csv']) AS format),
               n AS (SELECT CAST(count(*) AS VARCHAR) AS n,
                 CAST(count(*) FILTER (WHERE o_orderkey IS NULL OR o_custkey IS NULL OR o_orderstatus IS NULL

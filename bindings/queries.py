@@ -658,6 +658,13 @@ def train_shallow_tree(spark, d):
     return model.predict(check).select("o_orderkey", "label", "prediction")
 
 
+def train_tree_importances(spark, d):
+    """Gini gains by feature of the shallow tree; a cut whose sides predict the same label is no cut."""
+    learn, _ = noisy_split(spark, d)
+    model = train.train("decision_tree", learn, "label", NOISY_FEATURES, {"maxDepth": 2})
+    return rounded(train.importances(model).drop("ordinal"), "importance")
+
+
 def train_multinomial_boosting(spark, d):
     """Boosted trees of all classes see through the noise: the band is what they predict."""
     learn, check = noisy_split(spark, d)
@@ -756,7 +763,7 @@ ALL: list[Query] = [
     resample_plan, resample_neighbors, resample_smote, resample_comparison, expect_class_targets,
     knn_classify, knn_on_oversampled, evaluate_confusion, evaluate_accuracy, evaluate_class_report, evaluate_full_report, evaluate_macro,
     evaluate_weighted, evaluate_comparison, evaluate_ranking, evaluate_baselines, expect_metric_floor,
-    extra_trees_first_cut, extra_trees_two_levels, train_shallow_tree, train_logistic_regression, train_decision_tree, train_random_forest,
+    extra_trees_first_cut, extra_trees_two_levels, train_shallow_tree, train_tree_importances, train_logistic_regression, train_decision_tree, train_random_forest,
     train_extra_trees, train_boosted_trees, train_multinomial_boosting, boosting_first_round, train_stump, train_importances, train_search, model_metrics_table,
     source_round_trip,
 ]

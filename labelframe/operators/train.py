@@ -188,6 +188,14 @@ def train_all(
     return {k: train(k, df, label, features, (params or {}).get(k), row_id, classes) for k in kinds}
 
 
+def importances(model: Trained) -> DataFrame:
+    """Rows ``(ordinal, feature, importance)`` of a fitted tree or forest of Spark's: gains by feature, summing to 1."""
+    shares = model.model.featureImportances.toArray()
+    names = [f"{model.features}[{i}]" for i in range(len(shares))] if isinstance(model.features, str) else model.features
+    rows = [(i, f, float(v)) for i, (f, v) in enumerate(zip(names, shares))]
+    return local_table(_session(), rows, "ordinal int, feature string, importance double")
+
+
 def forest_importances(
     df: DataFrame, label: str, features: Sequence[str], n_trees: int = 50, max_depth: int = 10, seed: int = 42
 ) -> DataFrame:
@@ -196,9 +204,7 @@ def forest_importances(
         "random_forest", df, label, features,
         {"numTrees": n_trees, "maxDepth": max_depth, "seed": seed, "featureSubsetStrategy": "sqrt"},
     )
-    shares = fitted.model.featureImportances.toArray()
-    rows = [(i, f, float(v)) for i, (f, v) in enumerate(zip(features, shares))]
-    return local_table(df.sparkSession, rows, "ordinal int, feature string, importance double")
+    return importances(fitted)
 
 
 def select_features(importances: DataFrame, threshold: float = 0.0005) -> DataFrame:

@@ -47,6 +47,13 @@ def test_importances_sum_to_one_and_selection_keeps_order(parts):
     assert train.apply_selection(learn, names, ["id"]).columns == ["id", *names]
 
 
+def test_importances_of_an_array_of_features(parts):
+    learn, _ = parts
+    packed = learn.select("id", "label", F.array("x", "y", "noise").alias("v"))
+    rows = train.importances(train.train("decision_tree", packed, "label", "v", {"maxDepth": 3})).collect()
+    assert [r["feature"] for r in rows] == ["v[0]", "v[1]", "v[2]"] and math.isclose(sum(r["importance"] for r in rows), 1.0)
+
+
 def tree_rows(forest, spark):
     return {tuple(r[:5]) + tuple(r["counts"]) for r in forest.table(spark).collect()}
 
