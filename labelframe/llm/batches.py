@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from labelframe.functions.memory import give_back
 from labelframe.llm.words import forget_others
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -30,15 +30,6 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
-def give_back() -> None:
-    """Return freed memory of this process to the system."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # not this C library
-        pass
-
-
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str | None = None) -> Callable:
     """``run`` for mapInArrow, whose worker holds no freed memory between its tasks.
 

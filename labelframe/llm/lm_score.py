@@ -21,7 +21,7 @@ with the texts.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelframe.functions.checkpoints import materialize
-from labelframe.llm.batches import bounded
+from labelframe.functions.memory import tidy_pair
+from labelframe.llm.batches import bounded, tidy
 from labelframe.llm.words import BASE, Slice, mix, row_sums, slices, split_words
 
 FOLDS = 5
@@ -39,6 +40,7 @@ DELETED = 2
 BLOCK_BYTES = 8 << 20
 ROW_BYTES = 16  # what a row counts in a block besides its text: null and empty texts have an end token too
 RANGE_BYTES = 8 << 20
+SENT_BYTES = 2 << 20  # lists of counts go to Spark in batches of about this size
 BUCKETS = 64  # binary logarithms of a 64-bit count
 BINS = 8  # bins of the weights' statistics in a factor of two
 ROUNDS = 100
@@ -70,12 +72,16 @@ def sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarra
     return np.add.reduceat(values[order], starts) if len(starts) else np.zeros(0, np.int64)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[int, list[tuple[pa.RecordBatch, Slice]]]]:
-    """Consecutive rows of a partition in blocks of bounded text and number, with an id for each block."""
+def blocks(batches: Iterator[pa.RecordBatch], text_at: int, make: Callable | None = None) -> Iterator[tuple[int, list]]:
+    """Consecutive rows of a partition in blocks of bounded text and number, with an id for each block.
+
+    A block is a list of (rows, slice), or of what ``make`` takes from them as they come.
+    """
     first, number, held, size = TaskContext.get().partitionId() << 28, 0, [], 0
     for batch in batches:
         for part in slices(batch.column(text_at)):
-            held.append((batch.slice(part.first, part.rows), part))
+            rows = batch.slice(part.first, part.rows)
+            held.append(make(rows, part) if make else (rows, part))
             size += len(part.data) + ROW_BYTES * part.rows
             if size >= BLOCK_BYTES:
                 yield first + number, held
@@ -84,36 +90,58 @@ def blocks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[in
         yield first + number, held
 
 
+def occurrences(some: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """How often each of the ordered distinct keys occurs among some of them."""
+    return np.bincount(np.searchsorted(distinct, np.sort(some)), minlength=len(distinct))
+
+
+def in_pieces(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch of ``size`` bytes in consecutive batches of about ``SENT_BYTES``."""
+    step = max(1, batch.num_rows * SENT_BYTES // max(1, size))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def count_requests(docs: DataFrame, ranges: int) -> DataFrame:
     """(block, range, size, keys, total, deleted): each distinct key of a block with its training counts."""
 
+    def coded(rows: pa.RecordBatch, part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        unigrams, bigrams, offsets = token_keys(part)
+        return unigrams, bigrams, np.repeat(rows.column(1).to_numpy().astype(np.int8), np.diff(offsets))
+
+    def requests(block: int, size: int, keys: np.ndarray, fold: np.ndarray) -> Iterator[pa.RecordBatch]:
+        held_out, left_out = keys[fold == HELD_OUT], keys[fold == DELETED]
+        keys.sort()
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        distinct, total = keys[starts], np.diff(np.append(starts, len(keys)))
+        del keys, starts
+        total -= occurrences(held_out, distinct)
+        deleted = occurrences(left_out, distinct)
+        owner = ((distinct >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+        cut = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])), len(owner))
+        n = len(cut) - 1
+        offsets = pa.array(cut, pa.int32())
+        made = pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n, block, np.int64)),
+                pa.array(owner[cut[:-1]].astype(np.int32)),
+                pa.array(np.full(n, size, np.int32)),
+                *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (distinct.view(np.int64), total, deleted)),
+            ],
+            names=["block", "range", "size", "keys", "total", "deleted"],
+        )
+        yield from in_pieces(made, 24 * len(distinct))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, held in blocks(batches, 2):
-            folds = [b.column(1).to_numpy() for b, _ in held]
-            made = [token_keys(part) for _, part in held]
-            fold = np.concatenate([np.repeat(f, np.diff(m[2])) for f, m in zip(folds, made)])
-            train, deleted = (fold != HELD_OUT).astype(np.int64), (fold == DELETED).astype(np.int64)
+        for block, held in blocks(batches, 2, coded):
+            *keys, fold = ([m[i] for m in held] for i in range(3))
+            held.clear()  # each list goes once it is joined, all before the next block is read
+            fold = np.concatenate(fold)
             for size in (1, 2):
-                keys = np.concatenate([m[size - 1] for m in made])
-                order, starts, _ = grouped(keys)
-                distinct = keys[order[starts]]
-                owner = ((distinct >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-                cut = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])), len(owner))
-                n = len(cut) - 1
-                offsets = pa.array(cut, pa.int32())
-                lists = (distinct.view(np.int64), sums(train, order, starts), sums(deleted, order, starts))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, block, np.int64)),
-                        pa.array(owner[cut[:-1]].astype(np.int32)),
-                        pa.array(np.full(n, size, np.int32)),
-                        *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists),
-                    ],
-                    names=["block", "range", "size", "keys", "total", "deleted"],
-                )
+                yield from requests(block, size, np.concatenate(keys.pop(0)), fold)
 
     schema = "block long, `range` int, size int, keys array<long>, total array<long>, deleted array<long>"
-    return docs.select("id", "fold", "text").mapInArrow(run, schema)
+    return docs.select("id", "fold", "text").mapInArrow(tidy(run), schema)
 
 
 def add_up(requests: DataFrame, ranges: int) -> DataFrame:
@@ -123,42 +151,45 @@ def add_up(requests: DataFrame, ranges: int) -> DataFrame:
     distinct known tokens and its tokens, of all training texts and of the kept ones.
     """
 
+    def added(own: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
+        about = [own.column(c).combine_chunks() for c in ("block", "range", "size")]
+        ends = np.append(0, np.cumsum(pa.compute.list_value_length(own.column("keys")).to_numpy()))
+        keys, total, deleted = (flat(own.column(c)) for c in ("keys", "total", "deleted"))
+        del own
+        order, starts, times = grouped(keys)
+        with np.errstate(over="ignore"):
+            check = row_check(keys, ends)
+        del keys
+        all_, gone = sums(total, order, starts), sums(deleted, order, starts)
+        answer, absent = total, deleted  # whose place the sums take
+        answer[order], absent[order] = np.repeat(all_, times), np.repeat(gone, times)
+        offsets = pa.array(ends, pa.int32())
+        stats = np.zeros((3, len(check)), np.int64)
+        if size == 1:
+            stats[:, 0] = (all_ > 0).sum(), all_.sum(), (all_ - gone).sum()
+        made = pa.RecordBatch.from_arrays(
+            [
+                *about,
+                pa.array(check),
+                pa.ListArray.from_arrays(offsets, pa.array(answer)),
+                pa.ListArray.from_arrays(offsets, pa.array(absent)),
+                *map(pa.array, stats),
+            ],
+            names=["block", "range", "size", "check", "total", "deleted", "known", "tokens", "kept_tokens"],
+        )
+        yield from in_pieces(made, 16 * len(answer))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
             return
-        table = pa.Table.from_batches(held)
-        sizes = table.column("size").to_numpy()
         for size in (1, 2):
-            own = table.take(pa.array(np.flatnonzero(sizes == size))).combine_chunks()
-            if not own.num_rows:
-                continue
-            keys, total, deleted = (flat(own.column(c)) for c in ("keys", "total", "deleted"))
-            lengths = pa.compute.list_value_length(own.column("keys")).to_numpy()
-            order, starts, times = grouped(keys)
-            all_, gone = sums(total, order, starts), sums(deleted, order, starts)
-            answer, absent = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
-            answer[order], absent[order] = np.repeat(all_, times), np.repeat(gone, times)
-            ends = np.append(0, np.cumsum(lengths))
-            with np.errstate(over="ignore"):
-                check = row_check(keys, ends)
-            offsets = pa.array(ends, pa.int32())
-            stats = np.zeros((3, own.num_rows), np.int64)
-            if size == 1:
-                stats[:, 0] = (all_ > 0).sum(), all_.sum(), (all_ - gone).sum()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(own.column(c).combine_chunks() for c in ("block", "range", "size")),
-                    pa.array(check),
-                    pa.ListArray.from_arrays(offsets, pa.array(answer)),
-                    pa.ListArray.from_arrays(offsets, pa.array(absent)),
-                    *map(pa.array, stats),
-                ],
-                names=["block", "range", "size", "check", "total", "deleted", "known", "tokens", "kept_tokens"],
-            )
+            own = pa.Table.from_batches([b.filter(pa.compute.equal(b.column("size"), size)) for b in held])
+            if own.num_rows:
+                yield from added(own, size)
 
     schema = "block long, `range` int, size int, check long, total array<long>, deleted array<long>, known long, tokens long, kept_tokens long"
-    return requests.repartitionById(ranges, F.col("range")).mapInArrow(run, schema)
+    return requests.repartitionById(ranges, F.col("range")).mapInArrow(tidy(run), schema)
 
 
 def flat(column: pa.ChunkedArray) -> np.ndarray:
@@ -184,29 +215,32 @@ def counted(docs: DataFrame, answers: DataFrame) -> DataFrame:
         ids, folds = left.column("id"), left.column("fold").to_numpy()
         made = [token_keys(part) for chunk in left.column("text").chunks for part in slices(chunk)]
         n_tokens = np.concatenate([np.diff(m[2]) for m in made])
+        by_size = {size: [m[size - 1] for m in made] for size in (1, 2)}
+        del made
         ends = np.append(0, np.cumsum(n_tokens))
         deleted = np.repeat(folds == DELETED, n_tokens)
         kept_ends = np.append(0, np.cumsum(n_tokens * (folds == DELETED)))
         columns = {}
         for size, name in ((1, "unigram"), (2, "bigram")):
-            keys = np.concatenate([m[size - 1] for m in made])
+            keys = np.concatenate(by_size.pop(size))
             own = right.take(pa.array(np.flatnonzero(right.column("size").to_numpy() == size))).sort_by("range").combine_chunks()
             order, starts, times = grouped(keys)
             lengths = pa.compute.list_value_length(own.column("total")).to_numpy()
             cut = np.append(0, np.cumsum(lengths))
             if cut[-1] != len(starts) or (row_check(keys[order[starts]], cut) != own.column("check").to_numpy()).any():
                 raise ValueError("the documents came in another order at the second reading; store them first")
-            total = flat(own.column("total"))
+            n, total = len(keys), flat(own.column("total"))
+            del keys
             for sums_, prefix, offsets in ((total, "", ends), (total - flat(own.column("deleted")), "kept_", kept_ends)):
-                of_token = np.empty(len(keys), np.int64)
+                of_token = np.empty(n, np.int64)
                 of_token[order] = np.repeat(sums_, times)
                 values = of_token[deleted] if prefix else of_token
                 columns[prefix + name] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
         return pa.table({"id": ids, "fold": left.column("fold"), **columns})
 
     schema = f"id {key.simpleString()}, fold long, unigram array<long>, kept_unigram array<long>, bigram array<long>, kept_bigram array<long>"
-    placed = docs.select("id", "fold", "text").mapInArrow(texts, f"block long, id {key.simpleString()}, fold long, text string")
-    return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
+    placed = docs.select("id", "fold", "text").mapInArrow(tidy(texts), f"block long, id {key.simpleString()}, fold long, text string")
+    return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tidy_pair(meet), schema)
 
 
 def contexts(unigram: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -251,7 +285,7 @@ def evidence(counts: DataFrame, tokens: int, uniform: float) -> DataFrame:
             )
 
     own = counts.where(F.col("fold") == DELETED).select("kept_unigram", "kept_bigram")
-    found = own.mapInArrow(run, "cell long, n long, bigram_log double, unigram_log double")
+    found = own.mapInArrow(tidy(run), "cell long, n long, bigram_log double, unigram_log double")
     return found.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("bigram_log").alias("bigram_log"), F.sum("unigram_log").alias("unigram_log"))
 
 
@@ -331,4 +365,4 @@ def lm_score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return counts.select("id", "fold", "unigram", "bigram").mapInArrow(run, schema)
+    return counts.select("id", "fold", "unigram", "bigram").mapInArrow(tidy(run), schema)

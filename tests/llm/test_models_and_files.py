@@ -6,8 +6,10 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -115,6 +117,40 @@ def test_blocks_of_null_and_empty_texts_are_bounded(spark, monkeypatch):
     assert lm_score.lm_score(rows.selectExpr("id AS doc_id", "text")).count() == 30000
 
 
+class Captured:
+    """Stands in for a frame and keeps the function that it is given."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        self.run = run
+        return self
+
+
+def test_counting_a_block_takes_little_memory(monkeypatch):
+    """Texts of a block are dropped once they are coded, its arrays before the next block, and what is sent is cut."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.2, 6000) % 400_000) for _ in range(800)]
+    size = sum(map(len, texts))
+    assert size > 2 * lm_score.BLOCK_BYTES  # two whole blocks and more
+    monkeypatch.setattr(lm_score, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    made = (
+        pa.RecordBatch.from_pydict({"id": list(range(i, i + 50)), "fold": [0] * 50, "text": texts[i : i + 50]})
+        for i in range(0, len(texts), 50)
+    )
+    frame = lm_score.count_requests(Captured(), 64)
+    tracemalloc.start()
+    total, largest = 0, 0
+    for batch in frame.run(made):
+        total += batch.column("total").flatten().to_numpy().sum() if batch.column("size")[0].as_py() == 1 else 0
+        largest = max(largest, batch.nbytes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == sum(len(t.split()) + 1 for t in texts)
+    assert largest < 4 << 20 and peak < 20 * lm_score.BLOCK_BYTES, (largest, peak)
+
+
 def test_weights_recover_a_known_mixture():
     rng = np.random.default_rng(3)
     n, weights = 40000, np.array([0.5, 0.3, 0.2])
