@@ -1,4 +1,4 @@
-"""Small tables that live on the driver, and a size check before a broadcast."""
+"""Small tables that live on the driver, a size check before a broadcast, and joins without one."""
 
 from __future__ import annotations
 
@@ -34,3 +34,12 @@ def settle(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     if found.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(found, schema=df.schema))
+
+
+def large(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: both sides are shuffled.
+
+    Left to its size, such a table would be broadcast while it is below Spark's threshold,
+    and go through the driver each time.
+    """
+    return df.hint("merge")

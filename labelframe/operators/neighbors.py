@@ -29,7 +29,7 @@ from labelframe.functions.checkpoints import materialize
 from labelframe.functions.classes import class_counts, require_unique
 from labelframe.functions.hashing import draw_int, draw_unit
 from labelframe.functions.reshape import quoted, vector
-from labelframe.functions.small import local_table, settle
+from labelframe.functions.small import large, local_table, settle
 
 MAX_PIVOTS = 16_384
 MAX_RINGS = 32_768
@@ -215,6 +215,7 @@ class _Index:
             .agg(F.first("centre").alias("centre"), F.max("away").alias("radius"), F.count("*").alias("n"))
             .select("number", "part", "centre", "radius", F.ceil(F.col("n") / block_rows).cast("int").alias("pieces"))
         )
+        self.near = settle(self.parts)  # fetched once, for all rounds
         pieces = settle(self.parts.select("number", "part", "pieces"))
         piece = F.pmod(F.xxhash64("vec"), F.col("pieces"))
         large = divided.join(pieces, ["number", "part"]).select(
@@ -262,9 +263,9 @@ class _Index:
     def bounds(self, queries: DataFrame, homes: DataFrame, best: DataFrame) -> DataFrame:
         """The queries with their home block and the distance of their k-th row so far, null without so many."""
         kth = best.groupBy("id", "grp").agg(F.when(F.count("*") >= self.keep, F.sqrt(F.max("distance2"))).alias("kth"))
-        both = homes.select("id", "grp", F.col("block").alias("home")).join(kth, _same_query(homes, kth), "left")
+        both = homes.select("id", "grp", F.col("block").alias("home")).join(large(kth), _same_query(homes, kth), "left")
         both = both.select(homes["id"], homes["grp"], "home", "kth")
-        return queries.join(both, _same_query(queries, both)).select(queries["id"], queries["grp"], "vec", "home", "kth")
+        return queries.join(large(both), _same_query(queries, both)).select(queries["id"], queries["grp"], "vec", "home", "kth")
 
     def homes(self, queries: DataFrame) -> DataFrame:
         """``(id, grp, block, reach)``: the one block around each query, without a bound."""
@@ -282,7 +283,7 @@ class _Index:
         rings = self._visits(queries, lambda part, info: _open_rings(part, info, keep, first, last))
         blocks = self._blocks_of(rings, queries)
         same = _same_query(blocks, queries) & (blocks["block"] == queries["home"])
-        return blocks.join(queries.select("id", "grp", "home"), same, "left_anti")
+        return blocks.join(large(queries.select("id", "grp", "home")), same, "left_anti")
 
     def _visits(self, queries: DataFrame, choose: Callable) -> DataFrame:
         groups = self.groups
@@ -314,8 +315,8 @@ class _Index:
         if self.parts is None:
             return direct
         visits = rings.where(~few).drop("pieces")
-        met = visits.join(queries.select("id", "grp", "vec"), _same_query(visits, queries)).select(visits["id"], visits["grp"], "number", "reach", "vec")
-        met = met.join(settle(self.parts), "number")
+        met = visits.join(large(queries.select("id", "grp", "vec")), _same_query(visits, queries)).select(visits["id"], visits["grp"], "number", "reach", "vec")
+        met = met.join(self.near, "number")
         squares = F.zip_with("vec", "centre", lambda a, b: (a - b) * (a - b))
         scale = F.sqrt(F.aggregate("centre", F.lit(0.0), lambda t, v: t + v * v)) + F.sqrt(F.aggregate("vec", F.lit(0.0), lambda t, v: t + v * v))
         met = met.withColumn("least", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda t, v: t + v)) - F.col("radius") - SLACK * scale)
@@ -340,7 +341,7 @@ class _Index:
         often = visits.groupBy(F.col("block").alias("at")).agg(F.ceil(F.count("*") / query_rows).cast("int").alias("chunks"))
         chunks = settle(often)
         visits = visits.join(chunks, visits["block"] == chunks["at"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-        asked = visits.join(queries, _same_query(visits, queries)).select("block", "chunk", visits["id"], visits["grp"], "vec", "reach")
+        asked = visits.join(large(queries), _same_query(visits, queries)).select("block", "chunk", visits["id"], visits["grp"], "vec", "reach")
         held = (
             self.blocks.join(chunks, self.blocks["block"] == chunks["at"])
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -505,4 +506,4 @@ def classify(
     found = nearest(test, train, row_id, features, k=k, carry=label, **options)
     predicted = vote(found, label)
     truth = test.select(F.col(row_id).alias("id"), F.col(label).alias("label"))
-    return truth.join(predicted, "id", "left")
+    return truth.join(large(predicted), "id", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.hashing import draw_hex, draw_int, draw_unit
 from labelframe.functions.reshape import quoted, vector
-from labelframe.functions.small import local_table, settle
+from labelframe.functions.small import large, local_table, settle
 from labelframe.operators.neighbors import nearest
 
 LEVEL = 2
@@ -131,18 +131,18 @@ def synthetic_rows(
     digits = bucket_digits(max(plan[c]["n"] for c in grown))
     numbered = number_rows(minority.select(row_id, label), label, row_id, seed, "smote-order", digits)
     drawn = materialize(
-        draws.join(numbered, (F.col("_class") == F.col(label)) & (F.col("_idx") == F.col("idx"))).select(
+        draws.join(large(numbered), (F.col("_class") == F.col(label)) & (F.col("_idx") == F.col("idx"))).select(
             F.col(row_id).alias("_base"), "_new_id", "synthetic_no", "_rank", "_gap"
         )
     )
-    asked = minority.join(drawn.select(F.col("_base").alias(row_id)).distinct(), row_id, "left_semi")
+    asked = minority.join(large(drawn.select(F.col("_base").alias(row_id)).distinct()), row_id, "left_semi")
     found = nearest(asked, minority, row_id, "_vec", k=k, group=label, exclude_self=True, seed=seed)
     found = found.select(F.col("id").alias("_id"), F.col("rank").alias("_r"), "neighbour")
     other = minority.select(F.col(row_id).alias("_other"), F.col("_vec").alias("_to"))
     made = (
-        drawn.join(found, (F.col("_base") == F.col("_id")) & (F.col("_rank") == F.col("_r")))
-        .join(minority, F.col("_base") == F.col(row_id))
-        .join(other, F.col("neighbour") == F.col("_other"))
+        drawn.join(large(found), (F.col("_base") == F.col("_id")) & (F.col("_rank") == F.col("_r")))
+        .join(large(minority), F.col("_base") == F.col(row_id))
+        .join(large(other), F.col("neighbour") == F.col("_other"))
         .withColumn("_new", F.expr("zip_with(_vec, _to, (a, b) -> a + _gap * (b - a))"))
     )
     return made.selectExpr(f"_new_id AS {quoted(row_id)}", quoted(label), *moved, "_base AS base_id", "synthetic_no")

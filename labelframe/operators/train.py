@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.classes import class_counts, class_list
 from labelframe.functions.reshape import vector
-from labelframe.functions.small import local_table
+from labelframe.functions.small import large, local_table
 from labelframe.operators import neighbors
 from labelframe.operators.boosting import Boosted, fit_boosting
 from labelframe.operators.evaluate import model_metrics
@@ -86,7 +86,7 @@ class Trained:
         votes = neighbors.vote(found, label).select(
             F.col("id").alias("_id"), F.col("prediction").alias(output)
         )
-        return df.drop(output).join(votes, F.col(row_id) == F.col("_id"), "left").drop("_id")
+        return df.drop(output).join(large(votes), F.col(row_id) == F.col("_id"), "left").drop("_id")
 
     def save(self, path: str) -> None:
         """Spark models in their own format, extra trees, multinomial boosting and neighbours as tables."""
@@ -274,7 +274,7 @@ def stratified_folds(df: DataFrame, label: str, row_id: str, folds: int, seed: i
     largest = max(class_counts(keys, label).values(), default=0)
     numbered = number_rows(keys, label, row_id, seed, "fold", bucket_digits(largest))
     table = numbered.select(F.col(row_id).alias("_id"), F.pmod(F.col("idx"), F.lit(folds)).cast("int").alias("fold"))
-    return df.join(table, F.col("base_id" if "base_id" in df.columns else row_id) == F.col("_id")).drop("_id")
+    return df.join(large(table), F.col("base_id" if "base_id" in df.columns else row_id) == F.col("_id")).drop("_id")
 
 
 def _scored_together(fitted: Sequence[Trained], check: DataFrame, label: str) -> Iterator[DataFrame]:
@@ -299,7 +299,7 @@ def _knn_trials(
         found = neighbors.nearest(check, learn, row_id, features, k=max(of_k), carry=label, **dict(rest))
         votes = neighbors.vote_each(found, label, list(of_k))
         truth = check.select(F.col(row_id).alias("_id"), F.col(label).alias("label"), F.explode(F.array(*[F.lit(k) for k in of_k])).alias("_k"))
-        both = truth.join(votes, (truth["_id"] == votes["id"]) & (truth["_k"] == votes["k"]), "left")
+        both = truth.join(large(votes), (truth["_id"] == votes["id"]) & (truth["_k"] == votes["k"]), "left")
         number = F.element_at(F.create_map(*[F.lit(x) for k, t in of_k.items() for x in (k, str(t))]), F.col("_k"))
         yield both.select(number.alias("model"), "label", "prediction")
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from labelframe.functions.checkpoints import materialize
 from labelframe.operators import neighbors, resample
 
 
@@ -186,3 +187,16 @@ def test_votes_on_an_oversampled_table_equal_brute_force(spark):
         near = sorted(((x - a) ** 2 + (y - b) ** 2, j, c) for j, c, a, b in held)[:5]
         votes = [c for _, _, c in near]
         assert got[i] == max(sorted(set(votes)), key=votes.count)
+
+
+def test_queries_are_not_sent_through_the_driver(spark, lumpy):
+    """Joins by the id of a query shuffle both sides, however small."""
+    df = frame(spark, lumpy)
+    left = materialize(df.select(F.lit("").alias("grp"), "id", F.col("v").alias("vec"), F.lit(None).cast("int").alias("carried")))
+    index = neighbors._Index(left, "bigint", "int", 3, 42, 16)
+    homes = materialize(index.homes(left))
+    search = index.search(homes, left, 1000)
+    bounds = index.bounds(left, homes, materialize(search))
+    for made in (search, bounds, index.open(materialize(bounds))):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [coalesce(id#" in plan and "BroadcastHashJoin [coalesce(id#" not in plan, plan
