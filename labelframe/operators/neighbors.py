@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from labelframe.functions.checkpoints import materialize
 from labelframe.functions.classes import class_counts, require_unique
 from labelframe.functions.hashing import draw_int, draw_unit
+from labelframe.functions.memory import give_back, tidy_pair
 from labelframe.functions.reshape import quoted, vector
 from labelframe.functions.small import large, local_table, settle
 
@@ -40,7 +41,8 @@ WHOLE = 4
 TASK_BLOCKS = 32
 # a ring of so many blocks is cut by hash, a larger one by centres
 HASHED = 4
-PAIRS_AT_ONCE = 4_000_000
+# distances, or numbers of vectors, that a worker holds in one array
+PAIRS_AT_ONCE = 500_000
 
 
 def nearest(
@@ -164,10 +166,12 @@ class _Index:
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for g, part in batch.groupby("grp", sort=False):
-                    v = _matrix(part["vec"])
-                    cell = _distances(v, pivots[g]).argmin(axis=1)
-                    dist = np.sqrt(((v - pivots[g][cell]) ** 2).sum(axis=1))
-                    yield part.assign(cell=cell.astype("int32"), dist=dist)
+                    for some in _cut(part, max(pivots[g].shape)):
+                        v = _matrix(some["vec"])
+                        cell = _distances(v, pivots[g]).argmin(axis=1)
+                        dist = np.sqrt(((v - pivots[g][cell]) ** 2).sum(axis=1))
+                        yield some.assign(cell=cell.astype("int32"), dist=dist)
+            give_back()
 
         return distinct.where(F.col("grp").isNotNull()).mapInPandas(place, schema)
 
@@ -246,14 +250,18 @@ class _Index:
                 some = some.slice(0, 0)
             x = _rows(some.column("vec"))
             c = np.unique(_rows(around.column("vec")), axis=0)  # the same numbers in every task of the ring
-            part = np.concatenate([_distances(x[i : i + 4096], c).argmin(axis=1) for i in range(0, len(x), 4096)] or [np.zeros(0, np.int64)])
-            away = np.sqrt(((x - c[part]) ** 2).sum(axis=1))
+            step = max(1, PAIRS_AT_ONCE // max(c.shape))
+            part, away = np.zeros(len(x), np.int64), np.zeros(len(x))
+            for i in range(0, len(x), step):
+                v = x[i : i + step]
+                part[i : i + step] = _distances(v, c).argmin(axis=1)
+                away[i : i + step] = np.sqrt(((v - c[part[i : i + step]]) ** 2).sum(axis=1))
             ends = (np.arange(len(part) + 1) * c.shape[1]).astype(np.int32)
             columns = {n: some.column(n).combine_chunks() for n in ("number", "vec", "neighbours", "carried")}
             columns |= {"part": pa.array(part, pa.int32()), "centre": pa.ListArray.from_arrays(ends, c[part].ravel()), "away": pa.array(away)}
             return pa.table(columns)
 
-        return salted.groupBy("number", "salt").cogroup(copies.groupBy("number", "salt")).applyInArrow(nearest_centre, schema)
+        return salted.groupBy("number", "salt").cogroup(copies.groupBy("number", "salt")).applyInArrow(tidy_pair(nearest_centre), schema)
 
     def nearest_of(self, found: DataFrame) -> DataFrame:
         """The ``keep`` nearest rows of each query."""
@@ -293,9 +301,7 @@ class _Index:
                 for g, part in batch.groupby("grp", sort=False):
                     if g not in groups:
                         continue
-                    step = max(1, PAIRS_AT_ONCE // (len(groups[g]["rings"]) + len(groups[g]["pivots"])))
-                    for at in range(0, len(part), step):
-                        some = part.iloc[at : at + step]
+                    for some in _cut(part, max(len(groups[g]["rings"]) + len(groups[g]["pivots"]), groups[g]["pivots"].shape[1])):
                         rows, rings, reach = choose(some, groups[g])
                         parts = groups[g]["rings"][rings, 4]
                         numbers = groups[g]["rings"][rings, 3].astype("int32")
@@ -303,6 +309,7 @@ class _Index:
                             cut = slice(i, i + 20_000)
                             out = some.iloc[rows[cut]][["id", "grp"]]
                             yield out.assign(number=numbers[cut], pieces=parts[cut].astype("int32"), reach=reach[rows[cut]])
+            give_back()
 
         return queries.mapInPandas(visits, f"id {self.id_type}, grp string, number int, pieces int, reach double")
 
@@ -368,7 +375,7 @@ class _Index:
                 }
             )
 
-        return asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInArrow(best, self.found)
+        return asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInArrow(tidy_pair(best), self.found)
 
 
 def _block(number: Column, part: Column | None = None, piece: Column | None = None) -> Column:
@@ -403,6 +410,13 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d2, 0.0))
 
 
+def _cut(part: pd.DataFrame, width: int) -> Iterator[pd.DataFrame]:
+    """A batch in pieces whose rows have ``PAIRS_AT_ONCE`` numbers or fewer, ``width`` each."""
+    step = max(1, PAIRS_AT_ONCE // width)
+    for at in range(0, len(part), step):
+        yield part.iloc[at : at + step]
+
+
 def _slack(v: np.ndarray, info: dict) -> np.ndarray:
     scale = np.sqrt((v * v).sum(axis=1)) + np.sqrt((info["pivots"] ** 2).sum(axis=1).max())
     return (SLACK * scale)[:, None]
@@ -461,7 +475,7 @@ def _top(
     first = np.cumsum(size) - size
     place = np.unique(names, return_inverse=True)[1]
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    step = max(1, PAIRS_AT_ONCE // len(held))
+    step, width = (max(1, PAIRS_AT_ONCE // max(1, n)) for n in held.shape)
     for at in range(0, len(asked), step):
         some = asked[at : at + step]
         rough = _distances(some, held)
@@ -469,8 +483,8 @@ def _top(
         margin = SLACK * (np.sqrt((some * some).sum(axis=1)) + norm)
         rows, cols = np.nonzero(rough <= (np.minimum(kth, reach[at : at + step]) + margin)[:, None])
         d2 = np.empty(len(rows))
-        for i in range(0, len(rows), 100_000):
-            cut = slice(i, i + 100_000)
+        for i in range(0, len(rows), width):
+            cut = slice(i, i + width)
             d2[cut] = ((some[rows[cut]] - held[cols[cut]]) ** 2).sum(axis=1)
         entries = np.repeat(first[cols], size[cols]) + _offsets(size[cols])
         rows, d2 = np.repeat(rows, size[cols]), np.repeat(d2, size[cols])

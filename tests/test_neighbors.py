@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +203,36 @@ def test_queries_are_not_sent_through_the_driver(spark, lumpy):
     for made in (search, bounds, index.open(materialize(bounds))):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin [coalesce(id#" in plan and "BroadcastHashJoin [coalesce(id#" not in plan, plan
+
+
+class Captured:
+    """Stands in for a frame and keeps the function that it is given."""
+
+    def where(self, _):
+        return self
+
+    def mapInPandas(self, run, _):
+        self.run = run
+        return self
+
+
+def test_a_worker_holds_little_whatever_the_directory():
+    rng = np.random.default_rng(8)
+    v, pivots = rng.normal(size=(10_000, 64)), rng.normal(size=(256, 64))
+    index = object.__new__(neighbors._Index)
+    index.id_type, index.one_type, index.keep = "bigint", "struct<neighbour: bigint, carried: int>", 5
+    rings = np.array([(c, 6.0, 14.0, c, 1, 40) for c in range(256)], dtype=float)
+    index.groups = {"": {"pivots": pivots, "rings": rings}}
+    asked = pd.DataFrame({"id": np.arange(len(v)), "grp": "", "vec": list(v), "kth": 8.0, "home": 0, "ids": None})
+    tracemalloc.start()
+    rows = sum(len(b) for b in index._place(Captured()).run(iter([asked])))
+    placed = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    visits = sum(len(b) for b in index._visits(Captured(), lambda part, info: neighbors._open_rings(part, info, 5, 0, 8)).run(iter([asked])))
+    opened = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    top = neighbors._top(v[:8192], np.full(8192, np.inf), v[:2048], np.ones(2048, int), np.arange(2048), 5)
+    searched = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 10_000 and visits == 80_000 and len(top[0]) == 8192 * 5
+    assert max(placed, opened, searched) < 60e6, (placed, opened, searched)
